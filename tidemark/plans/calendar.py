@@ -214,8 +214,10 @@ def date_dim(
 
 
 def with_calendar(df: DataFrame, day: str, calendar: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Attach calendar columns to facts by their date; the calendar has one row per day of its fixed range."""
-    wanted = list(columns or calendar.columns)
-    side = calendar.select(*[F.col(c) for c in wanted if c != "DateFull"], F.col("DateFull").alias("__day"))
-    joined = df.join(F.broadcast(side), F.to_date(df[day]) == F.col("__day"), "left")
-    return joined.withColumnRenamed("__day", "DateFull") if "DateFull" in wanted else joined.drop("__day")
+    """Attach calendar columns to facts by their date.
+
+    The calendar has one row per day of a fixed range, so its broadcast does not grow with the facts.
+    """
+    wanted = columns or calendar.columns
+    side = calendar.select(F.col("DateFull").alias("__day"), *[c for c in wanted])
+    return df.join(F.broadcast(side), F.to_date(df[day]) == F.col("__day"), "left").drop("__day")

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tidemark.operators import scd2
-from tidemark.operators.joins import BROADCAST_ROWS  # noqa: F401  (re-exported bound)
 from tidemark.operators.scd2 import VersionSpec
 from tidemark.plans.fact import FactSpec
 
@@ -90,11 +89,11 @@ def employee_schema() -> T.StructType:
     return T.StructType.fromDDL(EMPLOYEE_DDL)
 
 
-def employee_seed(spark: SparkSession) -> DataFrame:
-    """The row a new employee dimension starts with."""
+def employee_seed(spark: SparkSession, company: str = "none", code: str = "none") -> DataFrame:
+    """The row a new employee dimension starts with; facts without an employee can point at it."""
     # The stored seed row.
     seed = (
-        99990101, -1, "CARHS00", "test", "CARHS", date(1, 1, 1), *["null"] * 9, 1234, "null", "null",
+        99990101, -1, code, "test", company, date(1, 1, 1), *["null"] * 9, 1234, "null", "null",
         date(9999, 12, 31), date(1, 1, 1), "none", "NY", "null", "s000", date(1, 1, 1), date(9999, 12, 31),
         "a9a433af4c2cc502",
     )
