@@ -30,23 +30,32 @@ def _spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.withColumn(_SPREAD, F.when(_any_null(df, keys), content + 1).otherwise(F.lit(0)))
 
 
-def anti_join(df: DataFrame, other: DataFrame, keys: Sequence[str], nullable_keys: bool = True) -> DataFrame:
+def anti_join(
+    df: DataFrame, other: DataFrame, keys: Sequence[str], nullable_keys: bool = True, small: bool = False
+) -> DataFrame:
     """Rows of ``df`` whose key is absent from ``other``; rows with a null key always stay.
 
     ``other`` is reduced to its distinct keys first: the map-side half of that aggregation folds repeated keys before
-    the shuffle, and both sides then share the shuffle on ``keys``.
+    the shuffle, and both sides then share the shuffle on ``keys``.  With ``small`` (the caller has checked the size of
+    ``other``) its keys are broadcast and ``df`` is not shuffled at all.
     """
-    return _existence_join(df, other, keys, "left_anti", nullable_keys)
+    return _existence_join(df, other, keys, "left_anti", nullable_keys, small)
 
 
-def semi_join(df: DataFrame, other: DataFrame, keys: Sequence[str], nullable_keys: bool = True) -> DataFrame:
+def semi_join(
+    df: DataFrame, other: DataFrame, keys: Sequence[str], nullable_keys: bool = True, small: bool = False
+) -> DataFrame:
     """Rows of ``df`` whose key occurs in ``other``; rows with a null key never do."""
-    return _existence_join(df, other, keys, "left_semi", nullable_keys)
+    return _existence_join(df, other, keys, "left_semi", nullable_keys, small)
 
 
-def _existence_join(df: DataFrame, other: DataFrame, keys: Sequence[str], how: str, nullable: bool) -> DataFrame:
+def _existence_join(
+    df: DataFrame, other: DataFrame, keys: Sequence[str], how: str, nullable: bool, small: bool
+) -> DataFrame:
     keys = list(keys)
     wanted = other.select(*keys).na.drop(subset=keys).distinct() if nullable else other.select(*keys).distinct()
+    if small:
+        return df.join(F.broadcast(wanted), keys, how).select(*df.columns)
     if not nullable:
         return df.join(wanted, keys, how).select(*df.columns)
     if how == "left_semi":

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.enrich import drop_system_columns
+from tidemark.sources.rows import local_frame
 
 
 def row_count(df: DataFrame | None) -> int:
@@ -72,7 +73,7 @@ def null_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFra
 
 
 def _type_rows(spark: SparkSession, types: list[tuple[str, str]]) -> DataFrame:
-    return spark.createDataFrame(types, "column string, dtype string")
+    return local_frame(spark, types, "column string, dtype string")
 
 
 def _type_report(spark: SparkSession, left: list[tuple[str, str]], right: list[tuple[str, str]]) -> DataFrame:

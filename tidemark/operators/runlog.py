@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.temporal import instant
 from tidemark.sources import paths, tables
+from tidemark.sources.rows import local_frame
 from tidemark.spec import LoadType, as_utc
 
 RUN_LOG_SCHEMA = T.StructType(
@@ -79,7 +80,7 @@ def status_of(rows: int) -> str:
 
 
 def log_frame(spark: SparkSession, entries: list[RunEntry]) -> DataFrame:
-    return spark.createDataFrame([e.as_row() for e in entries], RUN_LOG_SCHEMA)
+    return local_frame(spark, [e.as_row() for e in entries], RUN_LOG_SCHEMA)
 
 
 def seed_row() -> tuple:
@@ -90,9 +91,9 @@ def seed_row() -> tuple:
 def append_log(spark: SparkSession, path: str, entries: list[RunEntry]) -> None:
     """Append entries; a new log first gets its seed row."""
     if not paths.exists(spark, path):
-        tables.overwrite(spark.createDataFrame([seed_row()], RUN_LOG_SCHEMA), path)
+        tables.overwrite(local_frame(spark, [seed_row()], RUN_LOG_SCHEMA), path)
     if entries:
-        tables.append(log_frame(spark, entries).coalesce(1), path)
+        tables.append(log_frame(spark, entries), path)
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:

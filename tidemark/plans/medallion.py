@@ -22,6 +22,7 @@ from tidemark.operators.enrich import add_lineage
 from tidemark.operators.upsert import dedupe_latest
 from tidemark.operators.watermarks import commit_watermarks, earliest_watermark, filter_since
 from tidemark.sources import landing, paths, tables
+from tidemark.sources.rows import local_frame
 from tidemark.spec import TableSpec
 
 log = logging.getLogger(__name__)
@@ -77,7 +78,7 @@ class Medallion:
     def state(self, staged: bool = False) -> DataFrame:
         path = self.state_path(staged)
         if not tables.snapshot_exists(self.spark, path):
-            return self.spark.createDataFrame([], STATE_DDL)
+            return local_frame(self.spark, [], STATE_DDL)
         return tables.read_snapshot(self.spark, path)
 
     def at_watermark(self, spec: TableSpec) -> TableSpec:
@@ -105,7 +106,7 @@ class Medallion:
             if x.last is not None
         ]
         if rows:
-            staged = commit_watermarks(self.state(staged=True), self.spark.createDataFrame(rows, STATE_DDL), STATE_KEYS)
+            staged = commit_watermarks(self.state(staged=True), local_frame(self.spark, rows, STATE_DDL), STATE_KEYS)
             tables.write_snapshot(staged.coalesce(1), self.state_path(staged=True))
 
     def commit(self) -> DataFrame:
@@ -145,7 +146,7 @@ class Medallion:
         names = [(spec.relative_path, name) for name in landing.landed_batches(self.spark, base)]
         if not names:
             return []
-        batches = self.spark.createDataFrame(names, f"source string, {landing.BATCH} string")
+        batches = local_frame(self.spark, names, f"source string, {landing.BATCH} string")
         todo = landing.pending_batches(batches, landing.read_ledger(self.spark, self.ledger_path))
         return sorted(row[landing.BATCH] for row in todo.collect())
 

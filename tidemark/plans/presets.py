@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from tidemark.operators import scd2
 from tidemark.operators.scd2 import VersionSpec
 from tidemark.plans.fact import FactSpec
+from tidemark.sources.rows import local_frame
 
 # Key of interaction tables.
 INTERACTION_KEY = ("InteractionIDKey", "SiteID", "SeqNo")
@@ -97,7 +98,7 @@ def employee_seed(spark: SparkSession, company: str = "none", code: str = "none"
         date(9999, 12, 31), date(1, 1, 1), "none", "NY", "null", "s000", date(1, 1, 1), date(9999, 12, 31),
         "a9a433af4c2cc502",
     )
-    return spark.createDataFrame([seed], employee_schema())
+    return local_frame(spark, [seed], employee_schema())
 
 
 def employee_versions(history: DataFrame, spec: VersionSpec = EMPLOYEE_DIM) -> DataFrame:

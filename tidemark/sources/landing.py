@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.temporal import instant
 from tidemark.sources import paths, tables
+from tidemark.sources.rows import local_frame
 
 BATCH = "batch_id"
 
@@ -73,15 +74,17 @@ def ledger_rows(
     spark: SparkSession, source: str, batches: Sequence[str], status: str, as_of: datetime | None = None
 ) -> DataFrame:
     moment = F.current_timestamp() if as_of is None else instant(as_of)
-    rows = spark.createDataFrame([(source, batch, status) for batch in batches], f"source string, {BATCH} string, status string")
+    rows = local_frame(
+        spark, [(source, batch, status) for batch in batches], f"source string, {BATCH} string, status string"
+    )
     return rows.withColumn("recorded_utc", moment)
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     if not paths.exists(spark, path):
-        return spark.createDataFrame([], LEDGER_SCHEMA)
+        return local_frame(spark, [], LEDGER_SCHEMA)
     return spark.read.schema(LEDGER_SCHEMA).parquet(path)
 
 
 def record(ledger_path: str, rows: DataFrame) -> None:
-    tables.append(rows.coalesce(1), ledger_path)
+    tables.append(rows, ledger_path)

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.joins import anti_join, left_join
+from tidemark.operators.joins import BROADCAST_ROWS, anti_join, semi_join
 from tidemark.sources import paths
 
 POINTER = "_CURRENT"
@@ -115,31 +115,16 @@ def _keep_schema(spark: SparkSession, path: str, df: DataFrame) -> None:
     paths.replace_text(spark, f"{path}/{SCHEMA_FILE}", df.schema.json())
 
 
-def touched_partitions(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], partition: str, nullable_keys: bool = True
+def partitions_left(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], partition: str, nullable_keys: bool, small: bool
 ) -> DataFrame:
-    """Partitions an upsert changes: one row each with ``keeps`` (does any row of it survive or arrive).
+    """Partitions that hold a row the source replaces, with the number of such rows.
 
-    Reads keys and the partition column only.  A key may move between partitions, so partitions holding a matched
-    target row count as touched even if the source brings them nothing.
+    A key may move between partitions, so these are rewritten even if the source brings them nothing.  Reads keys and
+    the partition column only; a batch of checked size is broadcast, so that the table's keys are not shuffled.
     """
-    zero = F.lit(0).cast("bigint")
-    matched = source.select(*keys).na.drop(subset=list(keys)).distinct().withColumn("__hit", F.lit(True))
-    flagged = left_join(target.select(*keys, partition), matched, keys, nullable_keys)
-    before = flagged.groupBy(partition).agg(
-        F.count_if(F.col("__hit").isNull()).alias("kept"), F.count("__hit").alias("left")
-    )
-    arriving = source.groupBy(partition).agg(F.count("*").alias("arriving"))
-    return (
-        before.withColumn("arriving", zero)
-        .unionByName(
-            arriving.select(partition, zero.alias("kept"), zero.alias("left"), "arriving")
-        )
-        .groupBy(partition)
-        .agg(F.sum("kept").alias("kept"), F.sum("left").alias("left"), F.sum("arriving").alias("arriving"))
-        .where((F.col("left") > 0) | (F.col("arriving") > 0))
-        .select(partition, ((F.col("kept") > 0) | (F.col("arriving") > 0)).alias("keeps"))
-    )
+    replaced = semi_join(target.select(*keys, partition), source, keys, nullable_keys, small)
+    return replaced.groupBy(partition).agg(F.count("*").alias("leaving"))
 
 
 def upsert_partitions(
@@ -154,29 +139,46 @@ def upsert_partitions(
     """Upsert ``source`` (unique on ``keys``) into a partitioned Parquet table, creating it if missing.
 
     ``stable_partition`` promises that a key never changes partition, which saves the key scan over the whole table.
-    Returns the touched partition values; their number is bounded by the partitions of the table, not by its rows.
+    Returns the rewritten partition values; they and the other values that pass through the driver are bounded by the
+    number of partitions, not by rows.
     """
     if not paths.has_data(spark, path):
         overwrite(source, path, [partition])
         _keep_schema(spark, path, source)
-        return [row[0] for row in source.select(partition).distinct().collect()]
+        return []
+    # The batch feeds several jobs below; it is small beside the table.
+    source = source.persist()
+    try:
+        return _rewrite(spark, path, source, list(keys), partition, nullable_keys, stable_partition)
+    finally:
+        source.unpersist()
+
+
+def _rewrite(spark, path, source, keys, partition, nullable_keys, stable_partition) -> list:
     target = read_partitioned(spark, path)
-    if stable_partition:
-        touched = {row[0]: True for row in source.select(partition).distinct().collect()}
-    else:
-        found = touched_partitions(target, source, keys, partition, nullable_keys).collect()
-        touched = {row[partition]: row["keeps"] for row in found}
-    if not touched:
+    arriving = {row[0]: row[1] for row in source.groupBy(partition).count().collect()}
+    if not arriving:
         return []
+    small = sum(arriving.values()) <= BROADCAST_ROWS
+    leaving: dict = {}
+    if not stable_partition:
+        found = partitions_left(target, source, keys, partition, nullable_keys, small).collect()
+        leaving = {row[partition]: row["leaving"] for row in found if row[partition] not in arriving}
+    emptied = []
+    if leaving:
+        # Row counts come from the files' footers.
+        totals = target.where(_is_one_of(partition, leaving)).groupBy(partition).count().collect()
+        emptied = [row[0] for row in totals if row[1] == leaving[row[0]]]
+    touched = [*arriving, *leaving]
     affected = target.where(_is_one_of(partition, touched))
-    merged = anti_join(affected, source, keys, nullable_keys).unionByName(source, allowMissingColumns=True)
+    kept = anti_join(affected, source, keys, nullable_keys, small)
+    merged = kept.unionByName(source, allowMissingColumns=True)
     _keep_schema(spark, path, merged)
-    writer = _writer(merged, "overwrite", [partition]).option("partitionOverwriteMode", "dynamic")
-    writer.parquet(path)
-    for value, keeps in touched.items():
-        if not keeps:
-            paths.delete(spark, f"{path}/{_folder(partition, value)}")
-    return list(touched)
+    _writer(merged, "overwrite", [partition]).option("partitionOverwriteMode", "dynamic").parquet(path)
+    # Dynamic overwrite leaves partitions alone that receive no row.
+    for value in emptied:
+        paths.delete(spark, f"{path}/{_folder(partition, value)}")
+    return touched
 
 
 def _is_one_of(column: str, values):
