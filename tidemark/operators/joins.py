@@ -30,6 +30,14 @@ def _spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.withColumn(_SPREAD, F.when(_any_null(df, keys), content + 1).otherwise(F.lit(0)))
 
 
+def _unspread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The other side of :func:`_spread`: zero on every row.
+
+    A literal zero would be folded into a one-sided condition, and the join would be partitioned by the keys alone.
+    """
+    return df.withColumn(_SPREAD, F.pmod(F.xxhash64(*[df[k] for k in keys]), F.lit(1)).cast("int"))
+
+
 def anti_join(
     df: DataFrame, other: DataFrame, keys: Sequence[str], nullable_keys: bool = True, small: bool = False
 ) -> DataFrame:
@@ -61,7 +69,7 @@ def _existence_join(
     if how == "left_semi":
         return df.na.drop(subset=keys).join(wanted, keys, how).select(*df.columns)
     spread = _spread(df, keys)
-    return spread.join(wanted.withColumn(_SPREAD, F.lit(0)), [*keys, _SPREAD], how).select(*df.columns)
+    return spread.join(_unspread(wanted, keys), [*keys, _SPREAD], how).select(*df.columns)
 
 
 def left_join(left: DataFrame, right: DataFrame, keys: Sequence[str], nullable_keys: bool = True) -> DataFrame:
@@ -76,7 +84,7 @@ def left_join(left: DataFrame, right: DataFrame, keys: Sequence[str], nullable_k
     if not nullable_keys:
         return left.join(right, keys, "left").select(*left.columns, *extra)
     spread = _spread(left, keys)
-    marked = right.na.drop(subset=keys).withColumn(_SPREAD, F.lit(0))
+    marked = _unspread(right.na.drop(subset=keys), keys)
     return spread.join(marked, [*keys, _SPREAD], "left").select(*left.columns, *extra)
 
 
