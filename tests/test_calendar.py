@@ -83,6 +83,15 @@ def test_placeholder_day(spark, days):
     assert (row.StartOfWeek, row.EndOfWeek, row.DayName) == (date(1899, 12, 31), date(1900, 1, 6), "Monday")
     assert (row.EndOfQuarter, row.EndOfMonth, row.YearMonth) == (date(1900, 3, 31), date(1900, 1, 31), "Jan 1900")
     assert days.where("Year = 1900").count() == 0
+    kept = calendar.date_dim(spark, keep_unknown=True)
+    assert kept.count() == 11_324 and kept.where("Year = 1900").head().EasternOffSet == -5
+
+
+def test_transitions_agree_with_the_rule(spark, days):
+    transitions = calendar.dst_transitions(days)
+    assert transitions.count() == 31
+    first, last = calendar.dst_bounds(F.col("Year"))
+    assert transitions.where((first != F.col("dst_first")) | (last != F.col("dst_last"))).count() == 0
 
 
 def test_leap_years(spark):

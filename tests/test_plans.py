@@ -51,8 +51,18 @@ def test_fact_shuffles_each_side_once(spark, shuffled):
     assert count(text, "Exchange") == 2 and "unused" not in text
 
 
-def test_refresh_shares_one_partitioning(spark, shuffled):
+def test_refresh_of_few_keys_shuffles_only_their_rows(spark, shuffled):
+    base, attributes = sides(spark)
+    text = plan(refresh_fact(base, attributes, base.where("a < 10").select(*KEYS), SPEC))
+    assert count(text, "BroadcastHashJoin") == 2
+    for line, below in zip(text.splitlines(), text.splitlines()[1:]):
+        if "hashpartitioning(a#" in line and "BroadcastHashJoin" not in below:
+            assert "Aggregate" in below or "Project" in below
+
+
+def test_refresh_shares_one_partitioning(spark, shuffled, monkeypatch):
     """Affected keys, both semi-joins and the final join all partition by the keys."""
+    monkeypatch.setattr("tidemark.operators.joins.BROADCAST_ROWS", 0)
     base, attributes = sides(spark)
     affected = base.where("a < 10").select(*KEYS)
     text = plan(refresh_fact(base, attributes, affected, SPEC))
@@ -68,6 +78,7 @@ def test_no_python_and_no_products(spark, sf_dir, name):
     text = plan(entry.queries()[name](spark, sf_dir))
     for operator in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert operator not in text
-    if name not in ("date_dim", "date_dim_offsets", "orders_by_calendar"):  # the calendar unfolds from one row
-        windows = [line for line in text.splitlines() if "Window [" in line]
-        assert not windows or "SinglePartition" not in text
+    lines = text.splitlines()
+    for line, below in zip(lines, lines[1:]):
+        # A single task may only ever receive what an aggregation has already folded.
+        assert "Exchange SinglePartition" not in line or "Aggregate" in below

@@ -158,6 +158,16 @@ def test_conform_union_is_a_bag_union(spark, sizes):
     assert conform_union(frames).count() == sum(sizes)
 
 
+def test_checked_batch_is_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        t, s = spark.range(100).withColumn("v", F.lit(1)), spark.range(50, 60).withColumn("v", F.lit(2))
+        text = plan(upsert(t, s, ["id"]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+
+
 def test_upsert_shuffles_each_side_once(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:

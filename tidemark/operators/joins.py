@@ -30,6 +30,11 @@ def _spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.withColumn(_SPREAD, F.when(_any_null(df, keys), content + 1).otherwise(F.lit(0)))
 
 
+def fits_broadcast(df: DataFrame) -> bool:
+    """Count a key list before it is broadcast; beyond the bound the join shuffles instead."""
+    return df.count() <= BROADCAST_ROWS
+
+
 def _unspread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The other side of :func:`_spread`: zero on every row.
 

@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.hashing import fingerprint
 from tidemark.functions.temporal import OPEN_END, timestamps_to_dates
-from tidemark.operators.joins import anti_join, semi_join
+from tidemark.operators.joins import fits_broadcast
 from tidemark.operators.ordered import SEGMENT, Timeline, split_hot
-from tidemark.operators.upsert import insert_only, new_rows
+from tidemark.operators.upsert import dedupe_latest, insert_only, new_rows
 
 # Literals that stored dimensions contain.
 NO_REASON = "null"
@@ -151,13 +151,10 @@ def versions(history: DataFrame, spec: VersionSpec) -> DataFrame:
 def latest_per_day(df: DataFrame, entity: str, order: str) -> DataFrame:
     """Reduce a history to one row per entity and day: the day's last.
 
-    Effective dates have day grain, so this bounds an entity's history by the number of days.  The aggregation folds
-    rows map-side, however many of them one entity has.
+    Effective dates have day grain, so this bounds an entity's history by the number of days.  Each task keeps one row
+    per entity and day before it shuffles, however many of them one entity has.
     """
-    ranked = [order, *[c for c in df.columns if c != order]]
-    row = F.max(F.struct(*[F.col(f"`{c}`") for c in ranked])).alias("__row")
-    days = df.groupBy(entity, F.to_date(order).alias("__day")).agg(row)
-    return days.select(*[F.col("__row")[c].alias(c) for c in df.columns])
+    return dedupe_latest(df.withColumn("__day", F.to_date(order)), [entity, "__day"], [order]).drop("__day")
 
 
 def finish(df: DataFrame, columns: Sequence[str], renames: dict[str, str] | None = None) -> DataFrame:
@@ -172,13 +169,19 @@ def merge_versions(
 
     ``history`` is the conformed table with all snapshots, ``changed`` the batch.  Re-deriving closes the previously
     open version, keeps a return to earlier values (A, B, A) and places late rows, because it sees what a full build
-    sees.  Only rows of touched entities enter the windows.
+    sees.  Only rows of touched entities enter the windows.  While the touched entities fit the broadcast bound, neither
+    the history nor the dimension is shuffled to find them.
     """
-    entity = [spec.entity]
-    touched = changed.select(spec.entity)
+    touched = changed.select(F.col(spec.entity).alias("__touched")).distinct()
+    touched = F.broadcast(touched) if fits_broadcast(touched) else touched
     build = build or (lambda df: versions(df, spec))
-    rebuilt = build(semi_join(history, touched, entity))
-    return anti_join(target, touched, entity).unionByName(rebuilt.select(*target.columns))
+
+    def among(df: DataFrame, how: str) -> DataFrame:
+        # Rows without an entity are an entity of their own here, as in a full build.
+        return df.join(touched, df[spec.entity].eqNullSafe(touched["__touched"]), how)
+
+    rebuilt = build(among(history, "left_semi"))
+    return among(target, "left_anti").unionByName(rebuilt.select(*target.columns))
 
 
 def insert_versions(target: DataFrame, built: DataFrame, spec: VersionSpec) -> DataFrame:

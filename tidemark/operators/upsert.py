@@ -8,7 +8,7 @@ from enum import Enum
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.joins import anti_join
+from tidemark.operators.joins import BROADCAST_ROWS, anti_join
 
 
 class OnDuplicate(str, Enum):
@@ -54,11 +54,20 @@ def resolve_duplicates(
     policy = OnDuplicate(on_duplicate)
     if policy is OnDuplicate.LATEST:
         return dedupe_latest(source, keys, order, nullable_keys)
-    if policy is OnDuplicate.ERROR and (found := duplicate_keys(source, keys).head(1)):
-        raise ValueError(f"several source rows share the key {found[0].asDict()}")
+    if policy is OnDuplicate.ERROR:
+        checked_key_count(source, keys)
     return source
 
 
+def checked_key_count(source: DataFrame, keys: Sequence[str]) -> int:
+    """Number of keys of a batch, an error if one of them repeats.  One aggregation answers both."""
+    per_key = source.where(_complete(keys)).groupBy(*keys).agg(F.count("*").alias("rows"))
+    count, most = per_key.agg(F.count("*"), F.max("rows")).head()
+    if count and most > 1:
+        raise ValueError(f"several source rows share the key {duplicate_keys(source, keys).head().asDict()}")
+    return count
+
+
 def upsert(
     target: DataFrame,
     source: DataFrame,
@@ -71,9 +80,16 @@ def upsert(
 
     Columns new in the source are added, columns the source lacks become null in its rows.  A null in a key never
     matches, so such source rows are inserted again.
+
+    The duplicate check also tells the batch's size: keys within the bound are broadcast and the target is not shuffled.
+    Under the other policies Spark decides at run time.
     """
-    source = resolve_duplicates(source, keys, on_duplicate, order, nullable_keys)
-    return anti_join(target, source, keys, nullable_keys).unionByName(source, allowMissingColumns=True)
+    small = False
+    if OnDuplicate(on_duplicate) is OnDuplicate.ERROR:
+        small = checked_key_count(source, keys) <= BROADCAST_ROWS
+    else:
+        source = resolve_duplicates(source, keys, on_duplicate, order, nullable_keys)
+    return anti_join(target, source, keys, nullable_keys, small).unionByName(source, allowMissingColumns=True)
 
 
 def new_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], nullable_keys: bool = True) -> DataFrame:

@@ -180,25 +180,28 @@ def unknown_day(spark: SparkSession) -> DataFrame:
     )
 
 
+def dst_bounds(year: Column) -> tuple[Column, Column]:
+    """Second Sunday of March and first Sunday of November."""
+    return F.next_day(F.make_date(year, F.lit(3), F.lit(7)), "Sun"), F.next_day(
+        F.make_date(year, F.lit(10), F.lit(31)), "Sun"
+    )
+
+
+def utc_offsets(summer: Column) -> dict[str, Column]:
+    """Hours from UTC per zone, in stored order."""
+    hours = {zone: F.when(summer, base + 1).otherwise(base) for zone, base in SHIFTING_ZONES.items()}
+    hours |= {zone: F.lit(base) for zone, base in FIXED_ZONES.items()}
+    return {f"{zone}OffSet": hours[zone] for zone in OFFSET_ORDER}
+
+
 def add_offsets(days: DataFrame, workday: str = "IsCompanyWorkday") -> DataFrame:
     """Workday flag and UTC offsets, daylight saving counted from its first to its last day inclusive.
 
-    Both joined sides hold one row per calendar year, so broadcasting them is safe.  Days of a year without both
-    transitions (such as the placeholder row) drop out.
+    The transitions follow from the year, so no join is needed and unused offsets are pruned.
     """
-
-    def transition(flag: str, alias: str) -> DataFrame:
-        return F.broadcast(days.where(F.col(flag) == 1).select("Year", F.col("DateFull").alias(alias)).distinct())
-
-    summer = F.col("DateFull").between(F.col("__from"), F.col("__to"))
-    offsets = {z: F.when(summer, hours + 1).otherwise(hours) for z, hours in SHIFTING_ZONES.items()}
-    offsets |= {z: F.lit(hours) for z, hours in FIXED_ZONES.items()}
+    summer = F.col("DateFull").between(*dst_bounds(F.col("Year")))
     works = (F.col("IsWeekday") == 1) & ~F.col("USFederalHoliday").isin(*COMPANY_HOLIDAYS)
-    return (
-        days.join(transition("IsDSTStartDate", "__from"), "Year")
-        .join(transition("IsDSTEndDate", "__to"), "Year")
-        .select(*days.columns, _is(works).alias(workday), *[offsets[z].alias(f"{z}OffSet") for z in OFFSET_ORDER])
-    )
+    return days.select("*", _is(works).alias(workday), *[c.alias(n) for n, c in utc_offsets(summer).items()])
 
 
 def date_dim(
@@ -207,10 +210,30 @@ def date_dim(
     last: date = LAST_DAY,
     workday: str = "IsCompanyWorkday",
     reference_compatible: bool = False,
+    keep_unknown: bool = False,
 ) -> DataFrame:
-    """The whole dimension; ``first`` and ``last`` should be year ends, since offsets need both transitions."""
-    days = calendar_days(spark, first, last, reference_compatible).unionByName(unknown_day(spark))
-    return add_offsets(days, workday)
+    """The whole dimension.  Stored calendars lack the placeholder day; ``keep_unknown`` adds it."""
+    days = calendar_days(spark, first, last, reference_compatible)
+    return add_offsets(days.unionByName(unknown_day(spark)) if keep_unknown else days, workday)
+
+
+def dst_transitions(days: DataFrame) -> DataFrame:
+    """One row per year with both transition days, read off a calendar; years lacking one drop out."""
+
+    def flagged(flag: str, name: str) -> DataFrame:
+        return days.where(F.col(flag) == 1).select("Year", F.col("DateFull").alias(name)).distinct()
+
+    return flagged("IsDSTStartDate", "dst_first").join(flagged("IsDSTEndDate", "dst_last"), "Year")
+
+
+def with_offsets(df: DataFrame, day: str, transitions: DataFrame) -> DataFrame:
+    """Attach UTC offsets to facts by a range test against their year's transitions.
+
+    ``transitions`` has one row per calendar year, so its broadcast does not grow with the facts.
+    """
+    joined = df.join(F.broadcast(transitions), F.year(df[day]) == transitions["Year"])
+    summer = df[day].between(F.col("dst_first"), F.col("dst_last"))
+    return joined.select(*df.columns, *[c.alias(n) for n, c in utc_offsets(summer).items()])
 
 
 def with_calendar(df: DataFrame, day: str, calendar: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.hashing import fingerprint, joined_id
-from tidemark.operators.joins import left_join, left_join_many, semi_join
+from tidemark.operators.joins import fits_broadcast, left_join, left_join_many, semi_join
 from tidemark.operators.watermarks import filter_since
 
 
@@ -73,11 +73,15 @@ def refresh_fact(base: DataFrame, attributes: DataFrame, affected: DataFrame, sp
     """Fact rows of the affected keys, built from *all* their base and attribute rows.
 
     Filtering both sides by their own watermark instead would blank attributes of re-read base rows and never attach
-    attributes that arrive after their base row.  All joins share one partitioning on the keys.
+    attributes that arrive after their base row.  While the affected keys fit the broadcast bound, only their rows are
+    shuffled, for the final join; beyond it all joins share one partitioning on the keys.
     """
     keys = list(spec.keys)
+    small = fits_broadcast(affected)
     return build_fact(
-        semi_join(base, affected, keys, spec.nullable_keys), semi_join(attributes, affected, keys, spec.nullable_keys), spec
+        semi_join(base, affected, keys, spec.nullable_keys, small),
+        semi_join(attributes, affected, keys, spec.nullable_keys, small),
+        spec,
     )
 
 

@@ -15,6 +15,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Recording the Python call site of every expression doubles the time it takes to build a wide plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
