@@ -166,6 +166,15 @@ def test_write_metrics_come_from_the_write(spark):
     assert metrics.rows == 2 and metrics.last is not None
 
 
+@pytest.mark.parametrize("condition", ["false", "k > 99", "k IN (SELECT k FROM nothing)"])
+def test_write_metrics_of_an_empty_result(spark, condition):
+    """Also where the optimizer or AQE finds out that nothing is left."""
+    pull(spark, (7, 1, "x")).where("k < 0").createOrReplaceTempView("nothing")
+    metrics = runlog.WriteMetrics("at")
+    metrics.attach(pull(spark, (1, 1, "a")).where(condition)).write.format("noop").mode("overwrite").save()
+    assert (metrics.rows, metrics.last) == (0, None)
+
+
 def test_stream_takes_up_only_new_batches(spark):
     root = scratch_path(spark, "stream")
     seen = []

@@ -125,11 +125,11 @@ def test_chain_has_one_shuffle_and_one_sort(spark):
 
 
 def test_latest_per_day_folds_before_the_shuffle(spark):
-    h = history(spark, on(1), on(1, "B").__class__((1, datetime(2024, 1, 1, 9), *on(1, "B")[2:])))
+    h = history(spark, on(1), (1, datetime(2024, 1, 1, 9), *on(1, "B")[2:]))
     daily = scd2.latest_per_day(h, "id", "at")
+    assert count(plan(daily), "WindowGroupLimit") == 2
     assert [r.job for r in daily.collect()] == ["B"]
     assert daily.columns == h.columns
-    assert plan(daily).count("WindowGroupLimit") == 2
 
 
 # --- batches ---------------------------------------------------------------------------------------------------------
