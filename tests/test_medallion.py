@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from tidemark import spec as S
 from tidemark.operators import runlog
+from tests.test_scd2 import employees
+from tidemark.plans.fact import FactSpec
 from tidemark.plans.medallion import Medallion, OnError
+from tidemark.plans.presets import EMPLOYEE_DIM, employee_schema, employee_seed, employee_versions
 from tidemark.session import scratch_path
 from tidemark.sources import landing, paths, tables
 from tidemark.spec import LoadType, TableSpec
@@ -148,6 +151,60 @@ def test_full_load(spark, lake):
     assert spark.table("gold.codes").count() == 1
 
 
+def test_fact_attaches_attributes_that_arrive_later(spark, lake):
+    calls = TableSpec("srv-a", "db", "dbo", "calls", ("k",), "at")
+    notes = TableSpec("srv-a", "db", "dbo", "notes", ("k",), "at")
+    fact = FactSpec(
+        keys=("k",), base={c: c for c in ("k", "at", "v", S.PARTITION_DATE)}, attributes={"note": "v"}, matched="callId"
+    )
+
+    def step(call_rows, note_rows, day):
+        for spec, rows in ((calls, call_rows), (notes, note_rows)):
+            lake.land(spec, pull(spark, *rows), utc(day))
+            lake.bronze(spec)
+            lake.silver([spec])
+        lake.fact("fact_calls", calls, notes, fact, ["Fact_ID", "k"], S.PARTITION_DATE)
+        lake.commit()
+        got = tables.read_partitioned(spark, lake.path("gold", "fact_calls"))
+        return sorted((tuple(r) for r in got.select("k", "v", "note").collect()), key=repr)
+
+    assert step([(1, 1, "a"), (2, 1, "a")], [(1, 1, "n")], 2) == [(1, "a", "n"), (2, "a", None)]
+    late = step([(3, 3, "b"), (None, 3, "lost key")], [(2, 3, "late")], 4)
+    assert late == sorted([(1, "a", "n"), (2, "a", "late"), (3, "b", None), (None, "lost key", None)], key=repr)
+    assert step([(1, 5, "A")], [], 6)[0] == (1, "A", "n")
+
+
+def test_dimension_closes_versions_and_keeps_its_seed(spark, lake):
+    people = TableSpec("srv-a", "db", "hr", "people", ("EmployeeID", "LoadDate"), "LoadDate")
+
+    def step(day, *rows):
+        lake.land(people, employees(spark, *rows), utc(day))
+        lake.bronze(people)
+        lake.silver([people])
+        lake.dimension("dim_employee", people, EMPLOYEE_DIM, employee_versions, employee_seed(spark))
+        lake.commit()
+        dim = tables.read_snapshot(spark, lake.path("gold", "dim_employee"))
+        assert dim.schema == employee_schema()
+        found = dim.select("EmployeeID", "JobTitle", F.dayofmonth("EffectiveEndDate")).orderBy("EmployeeID", "EffectiveStartDate")
+        return [tuple(r) for r in found.collect()]
+
+    assert step(2, (5, 1, {"JobTitle": "Agent"})) == [(-1, "null", 31), (5, "Agent", 31)]
+    assert step(8, (5, 7, {"JobTitle": "Lead"}), (6, 7, {})) == [
+        (-1, "null", 31), (5, "Agent", 6), (5, "Lead", 31), (6, None, 31),
+    ]
+
+
+def test_failed_silver_load_is_logged(spark, lake, monkeypatch):
+    lake.land(A, pull(spark, (1, 1, "a")), utc(1))
+    lake.bronze(A)
+    monkeypatch.setattr(tables, "upsert_partitions", lambda *args: (_ for _ in ()).throw(RuntimeError("full disk")))
+    with pytest.raises(RuntimeError, match="full disk"):
+        lake.silver([A])
+    log = runlog.read_log(spark, lake.log_path).where("medallion_layer = 'silver'")
+    assert [r.notebook_execution_status for r in log.collect()] == [runlog.FAILED]
+    assert lake.state(staged=True).isEmpty()
+
+
 def test_run_log(spark, lake):
     run(lake, {A: pull(spark, (1, 1, "a"), (2, 2, "b"))}, 3)
     log = runlog.read_log(spark, lake.log_path).orderBy("start_datetime_utc")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -69,20 +71,28 @@ def affected_keys(
     return changed.unionByName(arrived).distinct()
 
 
-def refresh_fact(base: DataFrame, attributes: DataFrame, affected: DataFrame, spec: FactSpec) -> DataFrame:
+def refresh_fact(
+    base: DataFrame, attributes: DataFrame, affected: DataFrame, spec: FactSpec, unkeyed: DataFrame | None = None
+) -> DataFrame:
     """Fact rows of the affected keys, built from *all* their base and attribute rows.
 
     Filtering both sides by their own watermark instead would blank attributes of re-read base rows and never attach
     attributes that arrive after their base row.  While the affected keys fit the broadcast bound, only their rows are
     shuffled, for the final join; beyond it all joins share one partitioning on the keys.
+
+    Rows with a null in their key match no list of keys; new ones are handed over as ``unkeyed``.
     """
     keys = list(spec.keys)
     small = fits_broadcast(affected)
-    return build_fact(
-        semi_join(base, affected, keys, spec.nullable_keys, small),
-        semi_join(attributes, affected, keys, spec.nullable_keys, small),
-        spec,
-    )
+    rows = semi_join(base, affected, keys, spec.nullable_keys, small)
+    if unkeyed is not None:
+        rows = rows.unionByName(unkeyed)
+    return build_fact(rows, semi_join(attributes, affected, keys, spec.nullable_keys, small), spec)
+
+
+def without_key(base: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows with a null in any key column."""
+    return base.where(reduce(or_, [F.col(k).isNull() for k in keys]))
 
 
 def windowed_fact(

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Iterable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 from enum import Enum
 
@@ -19,8 +19,10 @@ from tidemark import spec as S
 from tidemark.operators import runlog
 from tidemark.operators.conform import conform_union
 from tidemark.operators.enrich import add_lineage
+from tidemark.operators.scd2 import VersionSpec, merge_versions
 from tidemark.operators.upsert import dedupe_latest
-from tidemark.operators.watermarks import commit_watermarks, earliest_watermark, filter_since
+from tidemark.operators.watermarks import commit_watermarks, earliest_watermark, filter_lookback, filter_since
+from tidemark.plans.fact import FactSpec, affected_keys, build_fact, refresh_fact, without_key
 from tidemark.sources import landing, paths, tables
 from tidemark.sources.rows import local_frame
 from tidemark.spec import TableSpec
@@ -219,6 +221,14 @@ class Medallion:
     def silver(self, specs: Sequence[TableSpec]) -> list[Loaded]:
         """One silver table from all its servers; watermarks are staged only after the write succeeded."""
         start = self.clock()
+        try:
+            return self._silver(specs, start)
+        except Exception as error:
+            failed = Loaded(specs[0], 0, None, runlog.FAILED, error)
+            self._log(failed, "silver", self.path("silver", specs[0]), start, consolidated=True)
+            raise
+
+    def _silver(self, specs: Sequence[TableSpec], start: datetime) -> list[Loaded]:
         first = specs[0]
         path = self.path("silver", first)
         batch = self.gather(specs)
@@ -257,6 +267,64 @@ class Medallion:
 
     # --- gold --------------------------------------------------------------------------------------------------------
 
+    def fact(
+        self, name: str, base: TableSpec, attributes: TableSpec, fact: FactSpec, merge_keys: Sequence[str], partition: str
+    ) -> None:
+        """Create the fact or bring it up to date with what changed in silver on either side since the last commit."""
+        start = self.clock()
+        path = self.path("gold", name)
+        rows, details = self.read_silver(base), self.read_silver(attributes)
+        if not paths.has_data(self.spark, path):
+            tables.upsert_partitions(self.spark, path, build_fact(rows, details, fact), merge_keys, partition)
+        else:
+            since, details_since = self._earliest_or_never(base.table), self._earliest_or_never(attributes.table)
+            keys = affected_keys(
+                rows, details, fact.keys, base.watermark, since, attributes.watermark, details_since
+            )
+            unkeyed = without_key(filter_since(rows, base.watermark, since, S.PARTITION_DATE), fact.keys)
+            fresh = refresh_fact(rows, details, keys, fact, unkeyed)
+            tables.upsert_partitions(self.spark, path, fresh, merge_keys, partition, fact.nullable_keys)
+        self._log_table(name, path, base, start)
+
+    def dimension(
+        self,
+        name: str,
+        source: TableSpec,
+        versions: VersionSpec,
+        build: Callable[[DataFrame], DataFrame],
+        seed: DataFrame | None = None,
+        lookback_days: int = 2,
+    ) -> None:
+        """Create the dimension or re-derive the entities with rows since the committed watermark, less a look-back.
+
+        ``build`` turns history rows into dimension rows; ``seed`` rows are put into a new dimension.
+        """
+        start = self.clock()
+        path = self.path("gold", name)
+        history = self.read_silver(source)
+        if not tables.snapshot_exists(self.spark, path):
+            built = build(history)
+            tables.write_snapshot(built if seed is None else seed.unionByName(built), path)
+        else:
+            since = self._earliest_or_never(source.table)
+            changed = filter_lookback(history, source.watermark, since, lookback_days, S.PARTITION_DATE)
+            target = tables.read_snapshot(self.spark, path)
+            tables.write_snapshot(merge_versions(target, history, changed, versions, build), path)
+        self._log_table(name, path, source, start)
+
+    def _earliest_or_never(self, table: str) -> datetime:
+        try:
+            return self.earliest(table)
+        except LookupError:
+            return S.NEVER_LOADED
+
+    def _log_table(self, name: str, path: str, source: TableSpec, start: datetime) -> None:
+        """Gold tables belong to no server; the row count is the table's, read from the files' footers."""
+        fmt = "snapshot" if tables.snapshot_exists(self.spark, path) else "partitioned"
+        rows = tables.read_table(self.spark, path, fmt).count()
+        done = Loaded(replace(source, table=name), rows, start, runlog.status_of(rows))
+        self._log(done, "gold", path, start, consolidated=True)
+
     def promote(self, names: Iterable[str]) -> None:
         """Copy full-load tables from silver to gold as they are."""
         for name in names:

@@ -103,4 +103,5 @@ def employee_seed(spark: SparkSession, company: str = "none", code: str = "none"
 
 def employee_versions(history: DataFrame, spec: VersionSpec = EMPLOYEE_DIM) -> DataFrame:
     """Employee snapshots -> dimension rows in the stored layout."""
-    return scd2.finish(scd2.versions(history, spec), employee_schema().names, EMPLOYEE_RENAMES)
+    needed = history.select(*EMPLOYEE_TRACKED, spec.order)
+    return scd2.finish(scd2.versions(needed, spec), employee_schema().names, EMPLOYEE_RENAMES)
