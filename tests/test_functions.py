@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.hashing import fingerprint, joined_id, source_key
 from tidemark.functions.temporal import at_zone, instant, literal_like, timestamps_to_dates
+from tidemark.session import scratch_path, shuffle_conf
 from tidemark.spec import LoadType, TableSpec, parse_instant, specs_from_json
 
 
@@ -92,6 +93,18 @@ def test_specs_from_json():
     assert incremental.qualified_table == "dbo.Calls" and incremental.relative_path == "h/d/Calls"
 
 
+def test_shuffle_partitions_follow_the_data():
+    assert shuffle_conf(1 << 30)["spark.sql.shuffle.partitions"] == "200"
+    assert shuffle_conf(1 << 40)["spark.sql.shuffle.partitions"] == "8192"
+    assert shuffle_conf(100 << 40)["spark.sql.shuffle.partitions"] == "100000"
+
+
+def test_scratch_folders_are_below_the_sessions_checkpoint_dir(spark):
+    root = spark.conf.get("spark.checkpoint.dir")
+    first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert first != second and first.startswith(root) and second.startswith(root)
+
+
 def test_spec_needs_keys_and_watermark():
     with pytest.raises(ValueError, match="key"):
         TableSpec("h", "d", "s", "t", ())

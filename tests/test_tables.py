@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tests.plans import plan
+from tidemark.operators.joins import rows_of_keys
 from tidemark.sources import landing, paths, tables
 from tidemark.sources.rows import local_frame
 from tidemark.session import scratch_path
@@ -129,6 +130,16 @@ def test_batches_in_sequence_equal_a_dictionary(spark, batches):
         assert rows(tables.read_partitioned(spark, base)) == rows(made(spark, *[(k, v, d) for k, (v, d) in model.items()]))
 
 
+def test_rows_of_keys_reads_only_partitions_that_hold_one(spark, base):
+    tables.upsert_partitions(spark, base, made(spark, (1, "a", 1), (2, "a", 2), (3, "a", None), (4, "a", 3)), ["k"], "part")
+    wanted = spark.createDataFrame([(2,), (3,), (9,)], "k int")
+    df = rows_of_keys(tables.read_partitioned(spark, base), wanted, ["k"], "part", small=True)
+    assert rows(df.select("k")) == [(2,), (3,)]
+    assert len(df.inputFiles()) == 4 and "2024-01-02" in plan(df, "formatted")
+    pruned = df.where("part = DATE '2024-01-01'")
+    assert rows(pruned) == []
+
+
 # --- catalog ---------------------------------------------------------------------------------------------------------
 
 

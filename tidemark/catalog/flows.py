@@ -8,8 +8,10 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark import spec as S
 from tidemark.catalog.layers import AS_OF, _order_batch, naive_records
 from tidemark.catalog.registry import query, table
+from tidemark.plans.fact import FactSpec
 from tidemark.plans.medallion import Medallion
 from tidemark.session import scratch_path
 from tidemark.sources import landing, tables
@@ -140,3 +142,40 @@ def bronze_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         run.awaitTermination()
     return naive_records(tables.read_partitioned(spark, f"{root}/bronze"))
 
+
+
+NOTED = FactSpec(
+    keys=("event_id",),
+    base={c: c for c in ("event_id", "user_id", "ts", "event_type", S.PARTITION_DATE)},
+    attributes={"amount": "value", "details": "props"},
+    nullable_keys=False,
+)
+
+
+@query("""
+SELECT CAST(e.event_id AS VARCHAR) AS "Fact_ID", sha256(CAST(e.event_id AS VARCHAR)) AS "HashKey", e.event_id, e.user_id,
+       e.ts, e.event_type, CAST(e.ts AS DATE) AS "__PartitionDateUTC", a.event_id AS "callId", a.value AS amount,
+       a.props AS details
+FROM events e LEFT JOIN events a ON a.event_id = e.event_id AND a.event_id % 3 <> 0
+""")
+def gold_fact_two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attributes arrive three days after their base row, many of them one batch later.  Equal to one full join."""
+    lake = Medallion(spark, scratch_path(spark, "gold"))
+    events = TableSpec("srv", "web", "dbo", "events", ("event_id",), "ts")
+    notes = replace(events, table="notes", watermark="stamped")
+    rows = table(spark, sf_dir, "events").drop("value", "props")
+    details = (
+        table(spark, sf_dir, "events")
+        .where(F.col("event_id") % 3 != 0)
+        .select("event_id", (F.col("ts") + F.expr("INTERVAL 3 DAYS")).alias("stamped"), "value", "props")
+    )
+    cut = F.lit("2024-01-16").cast("timestamp_ntz")
+    for number, later in enumerate([False, True]):
+        for spec, df in ((events, rows), (notes, details)):
+            stamp = F.col(spec.watermark)
+            lake.land(spec, df.where(stamp >= cut if later else stamp < cut), datetime(2024, 2, 1 + number))
+            lake.bronze(spec, AS_OF)
+            lake.silver([spec])
+        lake.fact("fact_events", events, notes, NOTED, ["Fact_ID", "event_id"], S.PARTITION_DATE)
+        lake.commit()
+    return tables.read_partitioned(spark, lake.path("gold", "fact_events"))

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 from functools import reduce
 from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import ensure_checkpoint_dir
+
 # Null keys never match, so their rows may go anywhere: this many hash buckets keep them out of a single task.
 NULL_SPREAD = 1024
 # Upper bound on the rows of a frame that is broadcast on purpose.
@@ -77,6 +79,29 @@ def _existence_join(
     return spread.join(_unspread(wanted, keys), [*keys, _SPREAD], how).select(*df.columns)
 
 
+def is_one_of(column: str, values: Collection) -> Column:
+    """Membership in a list that may hold null; prunes partitions when ``column`` is a partition column."""
+    hit = F.col(column).isin([v for v in values if v is not None])
+    return hit | F.col(column).isNull() if None in values else hit
+
+
+def rows_of_keys(
+    df: DataFrame,
+    listed: DataFrame,
+    keys: Sequence[str],
+    partition: str,
+    nullable_keys: bool = True,
+    small: bool = False,
+) -> DataFrame:
+    """Semi-join against a partitioned table that reads whole rows only in partitions where a listed key occurs.
+
+    A first pass over the key columns finds those partitions; their number, not that of rows, bounds what is collected.
+    """
+    hits = semi_join(df.select(*keys, partition), listed, keys, nullable_keys, small).select(partition).distinct()
+    values = [row[0] for row in hits.collect()]
+    return semi_join(df.where(is_one_of(partition, values)), listed, keys, nullable_keys, small)
+
+
 def left_join(left: DataFrame, right: DataFrame, keys: Sequence[str], nullable_keys: bool = True) -> DataFrame:
     """Left outer equi-join for a right side that holds each key a bounded number of times.
 
@@ -112,7 +137,8 @@ def left_join_many(
     """
     keys = list(keys)
     extra = [c for c in right.columns if c not in keys]
-    hot = hot_keys(right.na.drop(subset=keys), keys, max_rows).select(*keys)
+    ensure_checkpoint_dir(right.sparkSession)
+    hot = hot_keys(right.na.drop(subset=keys), keys, max_rows).select(*keys).checkpoint()
     n_hot = hot.count()
     if n_hot == 0:
         return left_join(left, right, keys)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.hashing import fingerprint, joined_id
-from tidemark.operators.joins import fits_broadcast, left_join, left_join_many, semi_join
+from tidemark.operators.joins import fits_broadcast, left_join, left_join_many, rows_of_keys, semi_join
 from tidemark.operators.watermarks import filter_since
 
 
@@ -64,15 +64,21 @@ def affected_keys(
     base_since: datetime,
     attribute_watermark: str,
     attribute_since: datetime,
+    partition: str | None = None,
 ) -> DataFrame:
-    """Keys that changed on either side since its watermark."""
-    changed = filter_since(base, base_watermark, base_since).select(*keys)
-    arrived = filter_since(attributes, attribute_watermark, attribute_since).select(*keys)
+    """Keys that changed on either side since its watermark; ``partition`` holds the watermarks' date on both sides."""
+    changed = filter_since(base, base_watermark, base_since, partition).select(*keys)
+    arrived = filter_since(attributes, attribute_watermark, attribute_since, partition).select(*keys)
     return changed.unionByName(arrived).distinct()
 
 
 def refresh_fact(
-    base: DataFrame, attributes: DataFrame, affected: DataFrame, spec: FactSpec, unkeyed: DataFrame | None = None
+    base: DataFrame,
+    attributes: DataFrame,
+    affected: DataFrame,
+    spec: FactSpec,
+    unkeyed: DataFrame | None = None,
+    partition: str | None = None,
 ) -> DataFrame:
     """Fact rows of the affected keys, built from *all* their base and attribute rows.
 
@@ -80,14 +86,21 @@ def refresh_fact(
     attributes that arrive after their base row.  While the affected keys fit the broadcast bound, only their rows are
     shuffled, for the final join; beyond it all joins share one partitioning on the keys.
 
-    Rows with a null in their key match no list of keys; new ones are handed over as ``unkeyed``.
+    Rows with a null in their key match no list of keys; new ones are handed over as ``unkeyed``.  With ``partition``,
+    a column both tables are partitioned by, whole rows are read only from partitions in which an affected key occurs.
     """
     keys = list(spec.keys)
     small = fits_broadcast(affected)
-    rows = semi_join(base, affected, keys, spec.nullable_keys, small)
+
+    def of_affected(df: DataFrame) -> DataFrame:
+        if partition is None:
+            return semi_join(df, affected, keys, spec.nullable_keys, small)
+        return rows_of_keys(df, affected, keys, partition, spec.nullable_keys, small)
+
+    rows = of_affected(base)
     if unkeyed is not None:
         rows = rows.unionByName(unkeyed)
-    return build_fact(rows, semi_join(attributes, affected, keys, spec.nullable_keys, small), spec)
+    return build_fact(rows, of_affected(attributes), spec)
 
 
 def without_key(base: DataFrame, keys: Sequence[str]) -> DataFrame:

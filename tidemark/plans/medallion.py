@@ -279,10 +279,10 @@ class Medallion:
         else:
             since, details_since = self._earliest_or_never(base.table), self._earliest_or_never(attributes.table)
             keys = affected_keys(
-                rows, details, fact.keys, base.watermark, since, attributes.watermark, details_since
+                rows, details, fact.keys, base.watermark, since, attributes.watermark, details_since, S.PARTITION_DATE
             )
             unkeyed = without_key(filter_since(rows, base.watermark, since, S.PARTITION_DATE), fact.keys)
-            fresh = refresh_fact(rows, details, keys, fact, unkeyed)
+            fresh = refresh_fact(rows, details, keys, fact, unkeyed, S.PARTITION_DATE)
             tables.upsert_partitions(self.spark, path, fresh, merge_keys, partition, fact.nullable_keys)
         self._log_table(name, path, base, start)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
+from math import ceil
 
 from pyspark.sql import SparkSession
 
@@ -19,6 +20,9 @@ SESSION_CONF = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
+# Beyond this the driver spends more on bookkeeping than smaller partitions save.
+MAX_SHUFFLE_PARTITIONS = 100_000
+
 
 def build_session(app: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
@@ -29,6 +33,20 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def shuffle_conf(largest_shuffle_bytes: int, partition_bytes: int = 128 << 20) -> dict[str, str]:
+    """Settings for a job whose largest shuffle moves about ``largest_shuffle_bytes``.
+
+    AQE can merge shuffle partitions that turn out small but cannot add any, so the initial number has to suit the
+    largest shuffle: partitions of ``partition_bytes`` sort in memory.
+    """
+    partitions = min(max(200, ceil(largest_shuffle_bytes / partition_bytes)), MAX_SHUFFLE_PARTITIONS)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(2 * partition_bytes),
+    }
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The folder shared by all executors that the cluster names in ``spark.checkpoint.dir``.
 

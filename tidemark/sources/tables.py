@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.joins import BROADCAST_ROWS, anti_join, semi_join
+from tidemark.operators.joins import BROADCAST_ROWS, anti_join, is_one_of, semi_join
 from tidemark.sources import paths
 
 POINTER = "_CURRENT"
@@ -167,10 +167,10 @@ def _rewrite(spark, path, source, keys, partition, nullable_keys, stable_partiti
     emptied = []
     if leaving:
         # Row counts come from the files' footers.
-        totals = target.where(_is_one_of(partition, leaving)).groupBy(partition).count().collect()
+        totals = target.where(is_one_of(partition, leaving)).groupBy(partition).count().collect()
         emptied = [row[0] for row in totals if row[1] == leaving[row[0]]]
     touched = [*arriving, *leaving]
-    affected = target.where(_is_one_of(partition, touched))
+    affected = target.where(is_one_of(partition, touched))
     kept = anti_join(affected, source, keys, nullable_keys, small)
     merged = kept.unionByName(source, allowMissingColumns=True)
     _keep_schema(spark, path, merged)
@@ -181,12 +181,6 @@ def _rewrite(spark, path, source, keys, partition, nullable_keys, stable_partiti
     return touched
 
 
-def _is_one_of(column: str, values):
-    known = [v for v in values if v is not None]
-    hit = F.col(column).isin(known)
-    return hit | F.col(column).isNull() if None in values else hit
-
-
 def _folder(column: str, value) -> str:
     return f"{column}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
 
