@@ -122,6 +122,14 @@ def test_left_join_many_equals_a_plain_left_join(spark, max_rows):
     assert rows(left_join_many(left, right, ["k"], max_rows=max_rows, buckets=4)) == rows(plain)
 
 
+def test_map_columns_are_carried_along(spark):
+    t = spark.sql("SELECT CAST(NULL AS INT) k, map('a', 1) m UNION ALL SELECT 1, map('b', 2)")
+    s = spark.sql("SELECT 1 k, map('c', 3) m")
+    assert sorted(str(r.m) for r in upsert(t, s, ["k"], on_duplicate="keep").collect()) == ["{'a': 1}", "{'c': 3}"]
+    assert dedupe_latest(t.union(s), ["k"], ["k"]).count() == 2
+    assert left_join_many(s, t.withColumnRenamed("m", "n"), ["k"], max_rows=0).count() == 1
+
+
 # --- conforming union ------------------------------------------------------------------------------------------------
 
 

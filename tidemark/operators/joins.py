@@ -26,10 +26,16 @@ def _any_null(df: DataFrame, keys: Sequence[str]) -> Column:
 def _spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Add a join column that is constant for real keys and spreads null-key rows by their content.
 
-    The content hash is deterministic, so a re-run task after an executor loss produces the same placement.
+    The content hash is deterministic, so a re-run task after an executor loss produces the same placement.  It covers
+    all columns of ``df``, so project to the needed ones before a join; it is computed for null-key rows only.
     """
-    content = F.pmod(F.xxhash64(*[df[f"`{c}`"] for c in df.columns]), F.lit(NULL_SPREAD)).cast("int")
-    return df.withColumn(_SPREAD, F.when(_any_null(df, keys), content + 1).otherwise(F.lit(0)))
+    return df.withColumn(_SPREAD, F.when(_any_null(df, keys), _content(df, NULL_SPREAD) + 1).otherwise(F.lit(0)))
+
+
+def _content(df: DataFrame, buckets: int) -> Column:
+    """Bucket of a row by what it holds; maps cannot be hashed and are left out."""
+    hashable = [df[f"`{f.name}`"] for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    return F.pmod(F.xxhash64(*hashable), F.lit(buckets)).cast("int")
 
 
 def fits_broadcast(df: DataFrame) -> bool:
@@ -144,8 +150,7 @@ def left_join_many(
         return left_join(left, right, keys)
     hot = F.broadcast(hot) if n_hot <= BROADCAST_ROWS else hot
     plain = left_join(anti_join_small(left, hot, keys), anti_join_small(right, hot, keys), keys)
-    content = F.pmod(F.xxhash64(*[right[f"`{c}`"] for c in right.columns]), F.lit(buckets)).cast("int")
-    split = right.join(hot, keys, "left_semi").withColumn("__bucket", content)
+    split = right.join(hot, keys, "left_semi").withColumn("__bucket", _content(right, buckets))
     copies = left.join(hot, keys, "left_semi").withColumn(
         "__bucket", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1)))
     )

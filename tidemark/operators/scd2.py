@@ -47,8 +47,9 @@ class VersionSpec:
     row_hash: str = "RowHashKey"
     effective_start: str = "EffectiveStartDate"
     effective_end: str = "EffectiveEndDate"
-    # An entity with more rows than this is processed in segments; None promises that no entity gets there.
-    max_rows_per_entity: int | None = 1_000_000
+    # An entity with more rows than this is processed in segments, since one task has to sort an entity's rows; None
+    # promises that no entity gets there.
+    max_rows_per_entity: int | None = 5_000_000
 
     @property
     def timeline(self) -> Timeline:

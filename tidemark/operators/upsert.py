@@ -25,7 +25,8 @@ def dedupe_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str], null
     ``row_number() = 1`` lets Spark prune every group to one row per map task *before* the shuffle (window group
     limit), so a key with very many copies costs no more than one row per input split.
     """
-    rest = [c for c in df.columns if c not in {*keys, *order}]
+    comparable = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    rest = [c for c in comparable if c not in {*keys, *order}]
     latest = Window.partitionBy(*keys).orderBy(*[F.col(f"`{c}`").desc_nulls_last() for c in [*order, *rest]])
     picked = df.where(_complete(keys)) if nullable_keys else df
     picked = picked.withColumn("__rank", F.row_number().over(latest)).where(F.col("__rank") == 1).drop("__rank")
