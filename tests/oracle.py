@@ -37,7 +37,7 @@ def rows_of(table: pa.Table) -> list[tuple]:
 
 def differences(spark_df: DataFrame, sql: str, connection: duckdb.DuckDBPyConnection) -> list[str]:
     """Empty when both engines agree."""
-    ours, theirs = spark_df.toArrow(), connection.execute(sql).to_arrow_table()
+    ours, theirs = spark_df.toArrow(), connection.sql(sql).to_arrow_table()
     found = []
     if schema_of(ours) != schema_of(theirs):
         a, b = schema_of(ours), schema_of(theirs)

@@ -60,14 +60,14 @@ def test_refresh_of_few_keys_shuffles_only_their_rows(spark, shuffled):
             assert "Aggregate" in below or "Project" in below
 
 
-def test_refresh_shares_one_partitioning(spark, shuffled, monkeypatch):
-    """Affected keys, both semi-joins and the final join all partition by the keys."""
+def test_refresh_of_many_keys_shuffles_whole_tables_once(spark, shuffled, monkeypatch):
+    """Base, attributes and the key list (for either side) once each; then the affected rows for the final join."""
     monkeypatch.setattr("tidemark.operators.joins.BROADCAST_ROWS", 0)
     base, attributes = sides(spark)
     affected = base.where("a < 10").select(*KEYS)
     text = plan(refresh_fact(base, attributes, affected, SPEC))
     assert count(text, "SortMergeJoin") + count(text, "ShuffledHashJoin") == 3
-    assert count(text, "Exchange") <= 4
+    assert count(text, "Exchange") <= 6
 
 
 @pytest.mark.parametrize("name", sorted(entry.queries()))

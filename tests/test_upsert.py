@@ -39,6 +39,7 @@ def test_upsert_is_a_dictionary_update(spark, target, source):
 def test_insert_only_keeps_target_rows(spark, target, source):
     t, s = frame(spark, list(target.items())), frame(spark, list(source.items()))
     assert rows(insert_only(t, s, ["k"])) == sorted((source | target).items(), key=repr)
+    assert rows(insert_only(t, s, ["k"], small=True)) == sorted((source | target).items(), key=repr)
 
 
 @pytest.mark.parametrize("nullable", [True, False])
@@ -176,11 +177,37 @@ def test_checked_batch_is_broadcast(spark):
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
 
 
-def test_upsert_shuffles_each_side_once(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        t, s = spark.range(100).withColumn("v", F.lit(1)), spark.range(50, 60).withColumn("v", F.lit(2))
-        text = plan(upsert(t, s, ["id"], on_duplicate="keep", nullable_keys=False))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert count(text, "Exchange") == 2
+@pytest.fixture
+def large(spark):
+    """Settings under which small test data is treated like large: no automatic broadcast, low skew thresholds."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+    }
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    yield
+    for key in conf:
+        spark.conf.unset(key)
+
+
+def test_upsert_shuffles_the_target_once(spark, large):
+    t, s = (spark.range(n).select((F.col("id") * 7 % 1000).alias("k"), F.lit(n).alias("v")) for n in (100, 10))
+    text = plan(upsert(t, s, ["k"], on_duplicate="keep", nullable_keys=False))
+    assert count(text, "Exchange") == 3  # the target once; the batch's keys to be folded and to be joined
+
+
+@pytest.mark.parametrize("join", [anti_join, semi_join])
+@pytest.mark.parametrize("nullable", [True, False])
+def test_hot_key_is_split(spark, large, join, nullable):
+    """One key owns half of the left side: several tasks share its partition."""
+    t = spark.range(200_000).select(
+        F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id")).alias("k"), F.xxhash64("id").alias("v")
+    )
+    s = spark.range(5, 9).select(F.col("id").alias("k")).union(spark.range(5, 9))
+    got = join(t, s, ["k"], nullable)
+    expected = 100_000 + 2 if join is semi_join else 100_000 - 2
+    assert len(got.collect()) == expected
+    assert "skew=true" in plan(got) or "skewed" in plan(got)

@@ -29,7 +29,8 @@ def _spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     The content hash is deterministic, so a re-run task after an executor loss produces the same placement.  It covers
     all columns of ``df``, so project to the needed ones before a join; it is computed for null-key rows only.
     """
-    return df.withColumn(_SPREAD, F.when(_any_null(df, keys), _content(df, NULL_SPREAD) + 1).otherwise(F.lit(0)))
+    bucket = F.when(_any_null(df, keys), _content(df, NULL_SPREAD) + 1).otherwise(_zero(df, keys))
+    return df.withColumn(_SPREAD, bucket)
 
 
 def _content(df: DataFrame, buckets: int) -> Column:
@@ -44,11 +45,13 @@ def fits_broadcast(df: DataFrame) -> bool:
 
 
 def _unspread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The other side of :func:`_spread`: zero on every row.
+    """The other side of :func:`_spread`: zero on every row."""
+    return df.withColumn(_SPREAD, _zero(df, keys))
 
-    A literal zero would be folded into a one-sided condition, and the join would be partitioned by the keys alone.
-    """
-    return df.withColumn(_SPREAD, F.pmod(F.xxhash64(*[df[k] for k in keys]), F.lit(1)).cast("int"))
+
+def _zero(df: DataFrame, keys: Sequence[str]) -> Column:
+    """Zero, but not a literal: that would be folded into a one-sided condition and leave the join its keys alone."""
+    return F.pmod(F.xxhash64(*[df[k] for k in keys]), F.lit(1)).cast("int")
 
 
 def anti_join(
@@ -57,8 +60,8 @@ def anti_join(
     """Rows of ``df`` whose key is absent from ``other``; rows with a null key always stay.
 
     ``other`` is reduced to its distinct keys first: the map-side half of that aggregation folds repeated keys before
-    the shuffle, and both sides then share the shuffle on ``keys``.  With ``small`` (the caller has checked the size of
-    ``other``) its keys are broadcast and ``df`` is not shuffled at all.
+    the shuffle.  A hot key in ``df`` is split by AQE.  With ``small`` (the caller has checked the size of ``other``) the
+    keys are broadcast and ``df`` is not shuffled at all.
     """
     return _existence_join(df, other, keys, "left_anti", nullable_keys, small)
 
@@ -77,11 +80,11 @@ def _existence_join(
     wanted = other.select(*keys).na.drop(subset=keys).distinct() if nullable else other.select(*keys).distinct()
     if small:
         return df.join(F.broadcast(wanted), keys, how).select(*df.columns)
-    if not nullable:
-        return df.join(wanted, keys, how).select(*df.columns)
-    if how == "left_semi":
-        return df.na.drop(subset=keys).join(wanted, keys, how).select(*df.columns)
-    spread = _spread(df, keys)
+    if how == "left_semi" and nullable:
+        df = df.na.drop(subset=keys)
+    # The extra column gives the join a partitioning of its own.  Sharing the one of ``distinct`` would save shuffling a
+    # key list, but AQE splits a hot key of the other side only if both sides were shuffled for the join itself.
+    spread = _spread(df, keys) if how == "left_anti" and nullable else _unspread(df, keys)
     return spread.join(_unspread(wanted, keys), [*keys, _SPREAD], how).select(*df.columns)
 
 

@@ -8,7 +8,7 @@ from enum import Enum
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.joins import BROADCAST_ROWS, anti_join
+from tidemark.operators.joins import BROADCAST_ROWS, anti_join, semi_join
 
 
 class OnDuplicate(str, Enum):
@@ -93,11 +93,20 @@ def upsert(
     return anti_join(target, source, keys, nullable_keys, small).unionByName(source, allowMissingColumns=True)
 
 
-def new_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], nullable_keys: bool = True) -> DataFrame:
-    """Source rows whose key the target does not hold."""
-    return anti_join(source, target, keys, nullable_keys)
+def new_rows(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], nullable_keys: bool = True, small: bool = False
+) -> DataFrame:
+    """Source rows whose key the target does not hold.
+
+    With ``small`` (the caller has checked the source's size) the source's keys are broadcast to the target's scan, so
+    that of the target only keys which the source has are shuffled.
+    """
+    known = semi_join(target.select(*keys), source, keys, nullable_keys, small=True) if small else target
+    return anti_join(source, known, keys, nullable_keys)
 
 
-def insert_only(target: DataFrame, source: DataFrame, keys: Sequence[str], nullable_keys: bool = True) -> DataFrame:
+def insert_only(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], nullable_keys: bool = True, small: bool = False
+) -> DataFrame:
     """Insert-all without an update branch: target rows always win."""
-    return target.unionByName(new_rows(target, source, keys, nullable_keys), allowMissingColumns=True)
+    return target.unionByName(new_rows(target, source, keys, nullable_keys, small), allowMissingColumns=True)

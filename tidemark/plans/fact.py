@@ -84,7 +84,7 @@ def refresh_fact(
 
     Filtering both sides by their own watermark instead would blank attributes of re-read base rows and never attach
     attributes that arrive after their base row.  While the affected keys fit the broadcast bound, only their rows are
-    shuffled, for the final join; beyond it all joins share one partitioning on the keys.
+    shuffled, for the final join; beyond it both tables are shuffled once to find them.
 
     Rows with a null in their key match no list of keys; new ones are handed over as ``unkeyed``.  With ``partition``,
     a column both tables are partitioned by, whole rows are read only from partitions in which an affected key occurs.
