@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import replace
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import spec as S
@@ -154,26 +154,28 @@ NOTED = FactSpec(
 
 @query("""
 SELECT CAST(e.event_id AS VARCHAR) AS "Fact_ID", sha256(CAST(e.event_id AS VARCHAR)) AS "HashKey", e.event_id, e.user_id,
-       e.ts, e.event_type, CAST(e.ts AS DATE) AS "__PartitionDateUTC", a.event_id AS "callId", a.value AS amount,
+       e.ts, e.event_type, CAST(date_trunc('week', e.ts) AS DATE) AS "__PartitionDateUTC", a.event_id AS "callId", a.value AS amount,
        a.props AS details
 FROM events e LEFT JOIN events a ON a.event_id = e.event_id AND a.event_id % 3 <> 0
 """)
 def gold_fact_two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Attributes arrive three days after their base row, many of them one batch later.  Equal to one full join."""
     lake = Medallion(spark, scratch_path(spark, "gold"))
-    events = TableSpec("srv", "web", "dbo", "events", ("event_id",), "ts")
-    notes = replace(events, table="notes", watermark="stamped")
-    rows = table(spark, sf_dir, "events").drop("value", "props")
-    details = (
-        table(spark, sf_dir, "events")
-        .where(F.col("event_id") % 3 != 0)
-        .select("event_id", (F.col("ts") + F.expr("INTERVAL 3 DAYS")).alias("stamped"), "value", "props")
+    events = TableSpec("srv", "web", "dbo", "events", ("event_id",), "loaded")
+    notes = replace(events, table="notes")
+    source = table(spark, sf_dir, "events")
+
+    def week(stamp: Column) -> Column:
+        return F.date_trunc("week", stamp).cast("timestamp_ntz").alias("loaded")
+
+    rows = source.select("event_id", "user_id", "ts", "event_type", week(F.col("ts")))
+    details = source.where(F.col("event_id") % 3 != 0).select(
+        "event_id", "value", "props", week(F.col("ts") + F.expr("INTERVAL 3 DAYS"))
     )
-    cut = F.lit("2024-01-16").cast("timestamp_ntz")
-    for number, later in enumerate([False, True]):
+    cut = F.lit("2024-01-15").cast("timestamp_ntz")
+    for number, batch in enumerate([F.col("loaded") < cut, F.col("loaded") >= cut]):
         for spec, df in ((events, rows), (notes, details)):
-            stamp = F.col(spec.watermark)
-            lake.land(spec, df.where(stamp >= cut if later else stamp < cut), datetime(2024, 2, 1 + number))
+            lake.land(spec, df.where(batch), datetime(2024, 2, 1 + number))
             lake.bronze(spec, AS_OF)
             lake.silver([spec])
         lake.fact("fact_events", events, notes, NOTED, ["Fact_ID", "event_id"], S.PARTITION_DATE)
