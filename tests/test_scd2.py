@@ -104,6 +104,12 @@ def test_status_and_reason(spark):
     ]
 
 
+def test_rows_of_one_instant_fold_to_one(spark):
+    copies = [on(1)] * 50 + [on(2, "B"), on(2, "C")]
+    got = scd2.versions(history(spark, *copies), replace(SPEC, unique_order=False))
+    assert spans(got) == [("A", 1, 1), ("C", 2, None)]
+
+
 def test_surrogate_key(spark):
     assert [r.Dim_ID for r in build(spark, on(7, entity=42)).collect()] == [1_000_042_2024_01_07]
 

@@ -123,6 +123,22 @@ def test_left_join_many_equals_a_plain_left_join(spark, max_rows):
     assert rows(left_join_many(left, right, ["k"], max_rows=max_rows, buckets=4)) == rows(plain)
 
 
+def test_identical_rows_of_a_hot_key_are_spread(spark):
+    left = spark.createDataFrame([(1, "l"), (2, "m")], "k int, v string")
+    copies = spark.range(0, 4000, 1, 8).select(F.lit(1).alias("k"), F.lit("same").alias("w"))
+    joined = left_join_many(left, copies, ["k"], max_rows=100, buckets=64)
+    assert joined.distinct().count() == 2 and joined.count() == 4001
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        wide = left_join_many(left, copies, ["k"], max_rows=100, buckets=64)
+        per_task = wide.where("k = 1").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(r[1] for r in per_task) == 4000 and len(per_task) > 2
+
+
 def test_map_columns_are_carried_along(spark):
     t = spark.sql("SELECT CAST(NULL AS INT) k, map('a', 1) m UNION ALL SELECT 1, map('b', 2)")
     s = spark.sql("SELECT 1 k, map('c', 3) m")

@@ -27,16 +27,16 @@ def _spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Add a join column that is constant for real keys and spreads null-key rows by their content.
 
     The content hash is deterministic, so a re-run task after an executor loss produces the same placement.  It covers
-    all columns of ``df``, so project to the needed ones before a join; it is computed for null-key rows only.
+    all columns of ``df``, so project to the needed ones before a join; it is computed for null-key rows only.  A large
+    group of identical rows stays in one bucket; AQE splits it like any other skewed partition.
     """
-    bucket = F.when(_any_null(df, keys), _content(df, NULL_SPREAD) + 1).otherwise(_zero(df, keys))
-    return df.withColumn(_SPREAD, bucket)
+    content = F.pmod(F.xxhash64(*_hashable(df)), F.lit(NULL_SPREAD)).cast("int")
+    return df.withColumn(_SPREAD, F.when(_any_null(df, keys), content + 1).otherwise(_zero(df, keys)))
 
 
-def _content(df: DataFrame, buckets: int) -> Column:
-    """Bucket of a row by what it holds; maps cannot be hashed and are left out."""
-    hashable = [df[f"`{f.name}`"] for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
-    return F.pmod(F.xxhash64(*hashable), F.lit(buckets)).cast("int")
+def _hashable(df: DataFrame) -> list[Column]:
+    """Maps cannot be hashed."""
+    return [df[f"`{f.name}`"] for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
 
 
 def fits_broadcast(df: DataFrame) -> bool:
@@ -141,8 +141,11 @@ def left_join_many(
     """Left outer equi-join for a right side in which one key may hold a large share of the rows.
 
     A hot right key cannot be split in an outer join, but its left rows are certain to match, so for hot keys the outer
-    join *is* an inner join.  Those rows are joined over ``buckets`` content buckets of the right side, with each left
-    row copied once per bucket; all other keys take the plain path.  No pair is lost and none is produced twice.
+    join *is* an inner join.  Those rows are joined over ``buckets`` buckets of the right side, with each left row copied
+    once per bucket; all other keys take the plain path.  No pair is lost and none is produced twice.
+
+    The bucket hashes a row's content and the number of the partition it comes from.  A re-run task computes the same
+    buckets, and even identical rows meet only if they come from one partition.
     """
     keys = list(keys)
     extra = [c for c in right.columns if c not in keys]
@@ -153,7 +156,8 @@ def left_join_many(
         return left_join(left, right, keys)
     hot = F.broadcast(hot) if n_hot <= BROADCAST_ROWS else hot
     plain = left_join(anti_join_small(left, hot, keys), anti_join_small(right, hot, keys), keys)
-    split = right.join(hot, keys, "left_semi").withColumn("__bucket", _content(right, buckets))
+    bucket = F.pmod(F.xxhash64(*_hashable(right), F.spark_partition_id()), F.lit(buckets)).cast("int")
+    split = right.join(hot, keys, "left_semi").withColumn("__bucket", bucket)
     copies = left.join(hot, keys, "left_semi").withColumn(
         "__bucket", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1)))
     )

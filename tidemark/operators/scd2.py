@@ -50,6 +50,8 @@ class VersionSpec:
     # An entity with more rows than this is processed in segments, since one task has to sort an entity's rows; None
     # promises that no entity gets there.
     max_rows_per_entity: int | None = 5_000_000
+    # False if an entity may have several rows of the same ``order``; of these one is kept, the greatest by content.
+    unique_order: bool = True
 
     @property
     def timeline(self) -> Timeline:
@@ -138,8 +140,10 @@ def _versions(df: DataFrame, spec: VersionSpec, timeline: Timeline) -> DataFrame
 def versions(history: DataFrame, spec: VersionSpec) -> DataFrame:
     """The whole chain: history rows in, dimension versions out.
 
-    The row hash is taken before the fill, so it describes the row as delivered.
+    Look-ups go by ``order``, so it has to tell an entity's rows apart (see ``unique_order``).  The row hash is taken before the fill, so it describes the row as delivered.
     """
+    if not spec.unique_order:
+        history = dedupe_latest(history, [spec.entity, spec.order], [])
     hashed = add_row_hash(history, spec)
     if spec.max_rows_per_entity is None:
         parts = [(hashed, spec.timeline)]
