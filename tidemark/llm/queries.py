@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import mixing, quality_rules, records, token_counts, warc
+from tidemark.llm import decontaminate, mixing, quality_rules, records, token_counts, toxicity, warc
 from tidemark.llm.common import table
 
 END_ID = 2
@@ -77,6 +77,11 @@ ORACLES["op1_quality_rules"] = QUALITY_SQL + (
 )
 
 
+@query
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     archive = warc.write(table(spark, sf_dir, "pages"), min_bytes=0)
@@ -107,6 +112,12 @@ def op7_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.digests(index)
 
 
+@query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 @query
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"), F.array("source"))
