@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, mixing, quality_rules, records, token_counts, toxicity, warc
+from tidemark.llm import decontaminate, mixing, quality_rules, records, suffix_dedup, token_counts, toxicity, warc
 from tidemark.llm.common import table
 
 END_ID = 2
@@ -77,6 +77,12 @@ ORACLES["op1_quality_rules"] = QUALITY_SQL + (
 )
 
 
+@query
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.dedup(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 @query
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
