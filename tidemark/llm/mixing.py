@@ -22,7 +22,7 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import let, words
+from tidemark.llm.common import let, stored, words
 
 EPOCHS = 3
 WEIGHTS = (5, 2, 1)
@@ -157,8 +157,11 @@ def mix(
     spark = docs.sparkSession
     size = F.size(words(F.col(text_col))).cast("long")
     pattern = F.array_sort(F.array_distinct(F.coalesce(members, F.array().cast("array<string>"))))
-    lines = docs.select(
-        pattern.alias("pattern"), size.alias("size"), _hash(seed, F.col(id_col), F.col(text_col)).alias("hash")
+    lines = stored(  # three numbers a row; the histograms read them several times
+        docs.select(
+            pattern.alias("pattern"), size.alias("size"), _hash(seed, F.col(id_col), F.col(text_col)).alias("hash")
+        ),
+        "mixing",
     )
     totals = lines.groupBy("pattern").agg(F.sum("size").alias("n")).limit(MAX_PATTERNS + 1).collect()
     if len(totals) > MAX_PATTERNS:
