@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, mixing, quality_rules, records, suffix_dedup, token_counts, toxicity, warc
+from tidemark.llm import (
+    decontaminate,
+    jaccard_join,
+    mixing,
+    quality_rules,
+    records,
+    suffix_dedup,
+    token_counts,
+    toxicity,
+    warc,
+)
 from tidemark.llm.common import table
 
 END_ID = 2
@@ -110,6 +120,11 @@ FROM firsts
 """
 
 
+@query
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = records.write(
