@@ -40,7 +40,8 @@ MASK = 0xA282EAD8  # fixed value: the customary masking constant of length-delim
 INDEX_SCHEMA = "shard int, part int, file string, offset long, length long, doc_id long, n_tokens long"
 RECORD_SCHEMA = "shard int, part int, doc_id long, before long, n_tokens long, ids binary"
 FILE_BYTES = 256 << 20
-CACHE_WORDS = 400_000
+CACHE_WORDS = 500_000
+GROUP_CHARS = 1 << 20
 
 
 def masked_crc(data: bytes) -> int:
@@ -49,30 +50,82 @@ def masked_crc(data: bytes) -> int:
 
 
 class WordEncoder:
-    """Ids of whole texts by a cache of words; the cache is emptied when full."""
+    """Ids of whole texts by two bounded caches: words as they stand, and words in lower case without final marks.
+
+    Both take words until they are full; frequent words come early.  ``in_lower_case`` says that the tokenizer lowers all
+    letters and takes a full stop or comma for a token of its own; it is tested when the encoder is made.
+    """
 
     def __init__(self, tokenizer_path: str, end_id: int):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
-        self.end_id = end_id
         self.wide = max(self.tokenizer.get_vocab_size(with_added_tokens=True) - 1, end_id) > 0xFFFF
         self.dtype = np.dtype("<u4" if self.wide else "<u2")
         self.end = np.array([end_id], self.dtype).tobytes()
-        self.known: dict[bytes, bytes] = {}
+        self.words: dict[bytes, bytes] = {}
+        self.stems: dict[bytes, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.last_of_word = np.zeros(max(vocabulary.values(), default=0) + 2, bool)
+        self.last_of_word[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
+        self.in_lower_case = self._one("Ab.,") == self._one("ab") + self._one(".,") and self._one("aB.") == self._one("ab") + self._one(".")
+
+    def _one(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
+
+    def _encode_new(self, new: list[bytes]) -> dict[bytes, bytes]:
+        """Words of letters go in long lines, cut again behind the pieces that end a word; others one by one."""
+        found: dict[bytes, bytes] = {}
+        decoded = [(w, w.decode()) for w in new]
+        plain = [w for w, t in decoded if t.isalpha()]
+        lines = [plain[i : i + 200] for i in range(0, len(plain), 200)]
+        encoded = self.tokenizer.encode_batch_fast([b" ".join(x).decode() for x in lines], add_special_tokens=False)
+        single = [w for w, t in decoded if not t.isalpha()]
+        for line, e in zip(lines, encoded):
+            ids = np.array(e.ids, self.dtype)
+            ends = np.flatnonzero(self.last_of_word[np.minimum(ids, len(self.last_of_word) - 1)]) + 1
+            if len(ends) != len(line) or ends[-1] != len(ids):
+                single += line
+                continue
+            raw, at = ids.tobytes(), (np.append(0, ends) * self.dtype.itemsize).tolist()
+            found.update(zip(line, [raw[a:b] for a, b in zip(at, at[1:])]))
+        for i in range(0, len(single), 5000):
+            some = single[i : i + 5000]
+            encoded = self.tokenizer.encode_batch([w.decode() for w in some], add_special_tokens=False)
+            found.update((w, np.array(e.ids, self.dtype).tobytes()) for w, e in zip(some, encoded))
+        return found
+
+    def _learn(self, missing: set[bytes]) -> dict[bytes, bytes]:
+        stem_of = {}
+        for w in missing:
+            stem = w.lower() if self.in_lower_case and w.isascii() else w
+            mark = stem[-1:] if self.in_lower_case and len(stem) > 1 and stem[-1:] in b".," and stem[-2:-1].isalpha() else b""
+            stem_of[w] = (stem[:-1] if mark else stem, mark)
+        wanted = {x for pair in stem_of.values() for x in pair if x}
+        fresh = self._encode_new([x for x in wanted if x not in self.stems])
+        ids_of = lambda x: (fresh.get(x) or self.stems.get(x) or b"") if x else b""
+        found = {w: ids_of(stem) + ids_of(mark) for w, (stem, mark) in stem_of.items()}
+        for cache, more in ((self.stems, fresh), (self.words, found)):
+            if len(cache) < CACHE_WORDS:
+                cache.update((w, x) for w, x in more.items() if len(w) <= 64)
+        return found
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
-        split = [(t or "").encode().split() for t in texts]
-        known = self.known
-        if len(known) > CACHE_WORDS:
-            known.clear()
-        new = list({w for tokens in split for w in tokens if w not in known})
-        for start in range(0, len(new), 20_000):
-            some = new[start : start + 20_000]
-            found = self.tokenizer.encode_batch([w.decode() for w in some], add_special_tokens=False)
-            known.update((w, np.array(e.ids, self.dtype).tobytes()) for w, e in zip(some, found))
-        for tokens in split:
-            yield b"".join([*map(known.__getitem__, tokens), self.end])
+        """The ids of each text, the end id last; texts are taken in groups of bounded size."""
+        group, held = [], 0
+        for text in texts:
+            group.append((text or "").encode().split())
+            held += len(text or "")
+            if held > GROUP_CHARS:
+                yield from self._encode_group(group)
+                group, held = [], 0
+        yield from self._encode_group(group)
+
+    def _encode_group(self, group: list[list[bytes]]) -> Iterator[bytes]:
+        known = self.words
+        found = self._learn({w for tokens in group for w in tokens if w not in known})
+        for tokens in group:
+            yield b"".join([*[known[w] if w in known else found[w] for w in tokens], self.end])
 
 
 _ENCODERS: dict[tuple[str, int], WordEncoder] = {}
@@ -165,7 +218,8 @@ def read(index: DataFrame) -> DataFrame:
                     yield _records(rows)
 
     named = index.select("shard", "part", "file").distinct()
-    return named.repartition(F.col("file")).mapInPandas(read_files, RECORD_SCHEMA)
+    tasks = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return named.repartition(tasks, "file").mapInPandas(read_files, RECORD_SCHEMA)
 
 
 def read_at(index: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ covers stands for its UTF-8 bytes, one piece each, at ``UNKNOWN`` below the wors
 
 The distinct new pre-tokens of a batch are visited in the order of their trie (sorted), and the forward scores, one per
 prefix, stay on a stack: a prefix shared with the word before is not computed again.  Counts at the words' ends are
-kept in a bounded table that lives as long as the worker.  No shuffle is needed, and nothing but the counts is gathered.
+kept in a bounded table that takes words until it is full and lives as long as the worker.  No shuffle is needed, and nothing but the counts is gathered.
 
 Defined cases: null, empty and blank texts count 0 words and 0 tokens; words of any length are segmented whole (long
 ones are not kept in the table); each input row gives one output row, with its id, null or repeated as it is; other
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 UNKNOWN = 10.0
 MARK = "▁"
 TABLE_WORDS = 600_000
+GROUP_CHARS = 1 << 20
 LONG_WORD = 64
 
 
@@ -82,16 +83,22 @@ class UnigramCounter:
         return found
 
     def count(self, texts: list[str | None]) -> list[tuple[int, int]]:
-        split = [(t or "").encode().split() for t in texts]
-        if len(self.counts) > TABLE_WORDS:
-            self.counts.clear()
+        """(words, tokens) of each text; texts are taken in groups of bounded size."""
+        counts, group, held = [], [], 0
+        for text in texts:
+            group.append((text or "").encode().split())
+            held += len(text or "")
+            if held > GROUP_CHARS:
+                counts += self._count_group(group)
+                group, held = [], 0
+        return counts + self._count_group(group)
+
+    def _count_group(self, group: list[list[bytes]]) -> list[tuple[int, int]]:
         known = self.counts
-        found = self.count_new(list({w for tokens in split for w in tokens if w not in known}))
-        long = {w: n for w, n in found.items() if len(w) > LONG_WORD}
-        known.update((w, n) for w, n in found.items() if w not in long)
-        if not long:
-            return [(len(tokens), sum(map(known.__getitem__, tokens))) for tokens in split]
-        return [(len(tokens), sum(known[w] if w in known else long[w] for w in tokens)) for tokens in split]
+        found = self.count_new(list({w for tokens in group for w in tokens if w not in known}))
+        if len(known) < TABLE_WORDS:
+            known.update((w, n) for w, n in found.items() if len(w) <= LONG_WORD)
+        return [(len(tokens), sum([known[w] if w in known else found[w] for w in tokens])) for tokens in group]
 
 
 _COUNTERS: dict[str, UnigramCounter] = {}
