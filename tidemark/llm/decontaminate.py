@@ -133,19 +133,17 @@ def occurrences(text: str | None, index: Index) -> list[tuple[int | None, int, i
         # A path may stray by k from any diagonal of the band on which it begins.
         first, width = diagonal - k, int(index.step[i]) + 3 * k + 1
         low = max(0, first)
-        part = points[low : first + width + len(item)]
-        at = part.tobytes().find(item.tobytes())
-        while at % 4 > 0:
-            at = part.tobytes().find(item.tobytes(), at + 1)
+        part, whole = points[low : first + width + len(item)].tobytes(), item.tobytes()
+        at = part.find(whole)
+        while at > 0 and at % 4:  # between two characters
+            at = part.find(whole, at + 1)
         if at >= 0:
             places.setdefault(i, []).append((0, low + at // 4, low + at // 4 + len(item)))
             continue
         hit = align(item, points, first, width, k)
         if hit and hit[0] <= k:
             edits, end = hit
-            back = align(item[::-1], points[:end][::-1], -k, 2 * k + 1, k)
-            begin = _begin(item, points, end, edits, k) if back else end - len(item)
-            places.setdefault(i, []).append((edits, begin, end))
+            places.setdefault(i, []).append((edits, _begin(item, points, end, edits, k), end))
     found = []
     for i, many in places.items():
         chosen: list[tuple[int, int, int]] = []
@@ -164,7 +162,7 @@ def _begin(item: np.ndarray, points: np.ndarray, end: int, edits: int, k: int) -
     for n, c in enumerate(item[::-1], 1):
         moved = np.minimum(cost[:-1] + (stretch != c), cost[1:] + 1)
         cost = np.minimum.accumulate(np.append(n, moved) - steps) + steps
-    return end - int(np.flatnonzero(cost == edits)[0]) if (cost == edits).any() else end - len(item)
+    return end - int(np.flatnonzero(cost == edits)[0])
 
 
 def _search(shared: Broadcast):
@@ -173,7 +171,8 @@ def _search(shared: Broadcast):
         names = ("item_id", "begin", "end", "edits")
         return pd.Series([[dict(zip(names, m)) for m in occurrences(t, shared.value)] for t in texts], dtype=object)
 
-    return places
+    # Otherwise the optimizer puts a filter on the array's size in front of an explode and searches twice.
+    return places.asNondeterministic()
 
 
 def matches(text: Column, benchmark: DataFrame, item_col: str = "item_id", item_text: str = "text", **options) -> Column:
