@@ -12,7 +12,7 @@ Sorting the suffixes at every byte would move each text hundreds of times, so th
    left stretches agree in o bytes and the suffixes in ``LENGTH`` - o: both are runs of the sorted orders.  Splitters are
    compared by as many bytes as any pair has to share, so no pair of equal windows lies across a boundary.
 5. Suffixes that begin with the same bytes more than ``HOT`` times would meet in one bucket; their windows are counted by
-   digests with partial aggregation instead.
+   digests instead, of which a batch sends each only once.
 6. Runs of repeated windows become removed spans; the rest of the bytes is kept.
 
 Defined cases: null and empty texts have no bytes and no spans; texts shorter than ``LENGTH`` lose nothing; repeated rows
@@ -218,14 +218,78 @@ def _sort_buckets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame([(keys[i], a, b) for i, a, b in found], columns=["key", "first", "last"])
 
 
-def _digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """All windows of the given anchors, each by a digest of its bytes."""
-    for batch in batches:
-        for key, data, found in zip(batch["key"], batch["data"], batch["anchors"]):
-            for a in found:
-                starts = range(a["at"] - a["high"], a["at"] - a["low"] + 1)
-                made = [hashlib.blake2b(data[s : s + LENGTH], digest_size=16).digest() for s in starts]
-                yield pd.DataFrame({"digest": made, "key": key, "first": list(starts)})
+def _window_runs(key: np.ndarray, first: np.ndarray) -> pd.DataFrame:
+    """Runs of consecutive starts."""
+    order = np.lexsort((first, key))
+    key, first = key[order], first[order]
+    begins = np.append(True, (key[1:] != key[:-1]) | (first[1:] != first[:-1] + 1))[: len(key)]
+    ends = np.append(begins[1:], True)[: len(key)]
+    return pd.DataFrame({"key": key[begins], "first": first[begins], "last": first[ends]})
+
+
+def _counted_windows(rows: DataFrame, buckets: int) -> DataFrame:
+    """Runs of repeated windows of the given anchors, by digests of all of them.
+
+    Digests travel packed, one row for each batch and range of digests.  What repeats within a batch is known to be
+    repeated and is sent once, marked, for the others' sake; so a bucket receives a digest once from each batch at most.
+    """
+
+    def scatter(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            digests, keys, firsts = [], [], []
+            for key, data, found in zip(batch["key"], batch["data"], batch["anchors"]):
+                for a in found:
+                    starts = np.arange(a["at"] - a["high"], a["at"] - a["low"] + 1)
+                    view = memoryview(data)
+                    digests += [hashlib.blake2b(view[s : s + LENGTH], digest_size=16).digest() for s in starts.tolist()]
+                    keys.append(np.full(len(starts), key, np.int64))
+                    firsts.append(starts)
+            if not digests:
+                continue
+            digest = np.frombuffer(b"".join(digests), [("a", "<u8"), ("b", "<u8")])
+            key, first = np.concatenate(keys), np.concatenate(firsts)
+            order = np.lexsort((digest["b"], digest["a"]))
+            digest, key, first = digest[order], key[order], first[order]
+            new = np.append(True, digest[1:] != digest[:-1])
+            several = ~(new & np.append(new[1:], True))
+            runs = _window_runs(key[several], first[several])
+            yield pd.DataFrame({
+                "bucket": [buckets + int(key[0]) % buckets], "digests": [b""], "marks": [b""], "keys": [runs["key"].to_numpy().tobytes()],
+                "firsts": [runs["first"].to_numpy().tobytes()], "lasts": [runs["last"].to_numpy().tobytes()],
+            })
+            digest, key, first, several = digest[new], key[new], first[new], several[new]
+            bucket = ((digest["a"] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+            cut = np.flatnonzero(np.diff(bucket)) + 1
+            cols = [[x.tobytes() for x in np.split(c, cut)] for c in (digest, several, key, first)]
+            yield pd.DataFrame({
+                "bucket": bucket[np.append(0, cut)], "digests": cols[0], "marks": cols[1], "keys": cols[2], "firsts": cols[3],
+                "lasts": b"",
+            })
+
+    def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts = []
+        for batch in batches:
+            for bucket, d, m, k, f, last in batch.itertuples(index=False):
+                key, first = np.frombuffer(k, np.int64), np.frombuffer(f, np.int64)
+                if bucket >= buckets:
+                    yield pd.DataFrame({"key": key, "first": first, "last": np.frombuffer(last, np.int64)})
+                else:
+                    parts.append((np.frombuffer(d, [("a", "<u8"), ("b", "<u8")]), np.frombuffer(m, bool), key, first))
+        if parts:
+            digest, mark, key, first = (np.concatenate(c) for c in zip(*parts))
+            parts = None
+            order = np.lexsort((digest["b"], digest["a"]))
+            digest, mark, key, first = digest[order], mark[order], key[order], first[order]
+            group = np.cumsum(np.append(True, digest[1:] != digest[:-1])) - 1
+            repeated = (np.bincount(group) > 1) | (np.bincount(group, mark) > 0)
+            # Marked rows were among the runs that their own batch has found.
+            some = repeated[group] & ~mark
+            yield _window_runs(key[some], first[some])
+
+    packed = rows.mapInPandas(
+        scatter, "bucket int, digests binary, marks binary, keys binary, firsts binary, lasts binary"
+    )
+    return packed.repartitionById(2 * buckets, "bucket").mapInPandas(gather, SPANS)
 
 
 def repeated_runs(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -258,13 +322,7 @@ def repeated_runs(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     fragments = _fragments(with_text(live.filter("not hot")), splitters)
     runs = fragments.repartitionById(len(splitters) + 1, "bucket").mapInPandas(_sort_buckets, SPANS)
     if not live.filter("hot").limit(1).isEmpty():
-        windows = stored(
-            with_text(live.filter("hot")).mapInPandas(_digests, "digest binary, key long, first long"), "suffix-windows"
-        )
-        many = stored(windows.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest"), "suffix-many")
-        runs = runs.unionByName(
-            windows.join(many, "digest").select("key", "first", F.col("first").alias("last"))
-        )
+        runs = runs.unionByName(_counted_windows(with_text(live.filter("hot")), buckets))
     return copies, runs
 
 
