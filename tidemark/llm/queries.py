@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
+    chain_dedup,
     decontaminate,
     jaccard_join,
     mixing,
@@ -98,6 +99,11 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op4_chain_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chain_dedup.shared_passages(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     archive = warc.write(table(spark, sf_dir, "pages"), min_bytes=0)

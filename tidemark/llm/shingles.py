@@ -28,10 +28,10 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def word_hashes(data: bytes) -> np.ndarray:
-    """One hash for each word of a UTF-8 text, A-Z taken as a-z."""
+def word_spans(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begin, end and hash of each word of a UTF-8 text, A-Z taken as a-z."""
     if not data:
-        return np.empty(0, np.uint64)
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
     raw = np.frombuffer(data, np.uint8)
     space = SPACE[raw]
     edge = np.diff(np.concatenate([[True], space, [True]]).astype(np.int8))
@@ -39,12 +39,15 @@ def word_hashes(data: bytes) -> np.ndarray:
     power, inverse = _power(len(raw) + 1)
     total = np.zeros(len(raw) + 1, np.uint64)
     np.cumsum((LOWER[raw].astype(np.uint64) + np.uint64(1)) * power[: len(raw)], out=total[1:])
-    return mix((total[end] - total[begin]) * inverse[begin])
+    return begin, end, mix((total[end] - total[begin]) * inverse[begin])
 
 
 def shingle_hashes(data: bytes) -> np.ndarray:
     """Hashes of all runs of five words, in the order of the text; fewer words are one shingle."""
-    words = word_hashes(data)
+    return runs_of_words(word_spans(data)[2])
+
+
+def runs_of_words(words: np.ndarray) -> np.ndarray:
     if not len(words):
         return words
     size = min(WORDS, len(words))
