@@ -86,16 +86,21 @@ def test_regions_find_all_close_pairs(monkeypatch):
     rng = np.random.default_rng(3)
     sets = []
     for _ in range(60):
-        base = rng.integers(0, 1 << 63, rng.integers(10, 300)).astype(np.uint64)
+        base = rng.integers(0, 1 << 63, rng.integers(10, 900)).astype(np.uint64)
         for _ in range(rng.integers(1, 5)):
             copy = base.copy()
             change = rng.integers(0, len(base), len(base) // 25)
             copy[change] = rng.integers(0, 1 << 63, len(change))
             sets.append(np.unique(copy))
     n = np.array([len(s) for s in sets])
-    counts = np.stack([jaccard_join.class_counts(s) for s in sets])
-    i, j, _ = jaccard_join.region_candidates(n, counts, np.arange(len(sets)))
+    counts = [jaccard_join.class_counts(s).tobytes() for s in sets]
+    one = np.array([len(sets)])
+    i, j, _ = jaccard_join.cell_candidates(np.array([0]), one, n, counts, np.arange(len(sets)))
     found = set(zip(i.tolist(), j.tolist())) | set(zip(j.tolist(), i.tolist()))
+    whole = set(found)
+    monkeypatch.setattr(jaccard_join, "LEAF", 10_000)
+    i, j, _ = jaccard_join.cell_candidates(np.array([0]), one, n, counts, np.arange(len(sets)))
+    assert whole == set(zip(i.tolist(), j.tolist())) | set(zip(j.tolist(), i.tolist()))
     linked = {
         (a, b)
         for a in range(len(sets))

@@ -40,13 +40,15 @@ from tidemark.llm.components import components
 from tidemark.llm.shingles import shingle_set
 
 NUMERATOR, DENOMINATOR = 80, 100
-CLASSES = 32
+CLASSES = 32  # for small sets; doubled until a class holds some ten shingles, up to MOST_CLASSES
+MOST_CLASSES = 512
 SAMPLE_DOCS = 10_000
 COMMON_SHARE = 0.005  # of the sampled documents; such shingles are last in the order
-LEAF = 64
+LEAF = 48
 PIVOTS = 8
 CELL_ROWS = 4000
-NEAREST_ROUNDS = 2
+NEAREST_ROUNDS = 1
+SIZE_CLASS = DENOMINATOR / NUMERATOR
 
 
 def prefix_length(n: int) -> int:
@@ -54,7 +56,21 @@ def prefix_length(n: int) -> int:
 
 
 def class_counts(shingles: np.ndarray) -> np.ndarray:
-    return np.bincount((shingles >> np.uint64(40)) % np.uint64(CLASSES), minlength=CLASSES).astype(np.uint8)  # on a circle of 256
+    """How many shingles fall in each hash class, on a circle of 256."""
+    classes = CLASSES
+    while classes < MOST_CLASSES and 10 * classes < len(shingles):
+        classes *= 2
+    kept = ((shingles >> np.uint64(40)) & np.uint64(classes - 1)).astype(np.int64)
+    return np.bincount(kept, minlength=classes).astype(np.uint8)
+
+
+def folded(counts: list[bytes], classes: int) -> np.ndarray:
+    """Counts of all sets in ``classes`` classes, from as many or more."""
+    out = np.empty((len(counts), classes), np.uint8)
+    for i, c in enumerate(counts):
+        row = np.frombuffer(c, np.uint8)
+        out[i] = row if len(row) == classes else row.reshape(-1, classes).sum(0, dtype=np.uint8)
+    return out
 
 
 def circular_l1(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -73,42 +89,85 @@ def prefix(shingles: np.ndarray, common: np.ndarray) -> np.ndarray:
     return shingles[:k]
 
 
-def _close(n: np.ndarray, counts: np.ndarray, component: np.ndarray, a: np.ndarray, b: np.ndarray) -> Iterator[tuple]:
-    """(i, j, distance) with different components and no proof that the pair is too far apart."""
-    for start in range(0, len(a), 256):
-        part = a[start : start + 256]
-        x, y = n[part][:, None], n[b][None, :]
-        d = circular_l1(counts[part], counts[b])
-        # similarity s means a symmetric difference of (1 - s) / (1 + s) times the sum of the sizes
-        fits = (NUMERATOR + DENOMINATOR) * d <= (DENOMINATOR - NUMERATOR) * (x + y)
-        fits &= DENOMINATOR * np.minimum(x, y) >= NUMERATOR * np.maximum(x, y)
-        fits &= component[part][:, None] != component[b][None, :]
-        i, j = np.nonzero(fits)
-        yield part[i], b[j], d[i, j]
+def _fit(n: np.ndarray, component: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Pairs in different components whose sizes allow a link."""
+    fits = component[i] != component[j]
+    return fits & (DENOMINATOR * np.minimum(n[i], n[j]) >= NUMERATOR * np.maximum(n[i], n[j]))
 
 
-def region_candidates(n: np.ndarray, counts: np.ndarray, component: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All pairs (i, j, distance bound) of a cell that may link and are not in one component."""
-    found = []
+def _near(n: np.ndarray, counts: list[bytes], i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(i, j, distance) of the pairs that class counts do not rule out.
+
+    Similarity s means a symmetric difference of (1 - s) / (1 + s) times the sum of the sizes.
+    """
+    size = np.fromiter(map(len, counts), np.int64, len(counts))
+    classes = np.minimum(size[i], size[j])
+    distance = np.zeros(len(i), np.int64)
+    for k in np.unique(classes):
+        some = np.flatnonzero(classes == k)
+        rows, at = np.unique(np.concatenate([i[some], j[some]]), return_inverse=True)
+        table = folded([counts[r] for r in rows], int(k))
+        a, b = at[: len(some)], at[len(some) :]
+        for lo in range(0, len(some), 20_000):
+            d = table[a[lo : lo + 20_000]] - table[b[lo : lo + 20_000]]
+            distance[some[lo : lo + 20_000]] = np.minimum(d, -d).sum(1, dtype=np.int64)
+    near = (NUMERATOR + DENOMINATOR) * distance <= (DENOMINATOR - NUMERATOR) * (n[i] + n[j])
+    return i[near], j[near], distance[near]
+
+
+def small_cells(begin: np.ndarray, size: np.ndarray, n: np.ndarray, component: np.ndarray) -> Iterator[tuple]:
+    """Pairs of sets within cells of at most ``LEAF`` rows, for all cells of one size at once."""
+    for s in np.unique(size):
+        one, two = np.triu_indices(int(s), 1)
+        starts = begin[size == s]
+        step = max(1, 500_000 // len(one))
+        for lo in range(0, len(starts), step):
+            base = starts[lo : lo + step][:, None]
+            i, j = (base + one).ravel(), (base + two).ravel()
+            keep = _fit(n, component, i, j)
+            yield i[keep], j[keep]
+
+
+def regions(n: np.ndarray, counts: np.ndarray, component: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of a large cell that may link: Voronoi regions with windows, joined recursively.
+
+    A document x with its nearest pivot p and a partner y within the radius r of it: d(y, p) <= r + d(x, p) <=
+    r + d(x, q) <= 2 r + d(y, q) for the pivot q nearest to y.  So y is in the window of p.
+    """
     pending = [np.arange(len(n))]
     while pending:
         rows = pending.pop()
-        if (component[rows] == component[rows[0]]).all():
+        if len(rows) < 2 or (component[rows] == component[rows[0]]).all():
             continue
         if len(rows) > LEAF:
             chosen = rows[np.argsort(n[rows], kind="stable")[np.linspace(0, len(rows) - 1, PIVOTS).astype(int)]]
-            far = np.concatenate([circular_l1(counts[rows[k : k + 4096]], counts[chosen]) for k in range(0, len(rows), 4096)])
+            far = np.concatenate([circular_l1(counts[rows[k : k + 512]], counts[chosen]) for k in range(0, len(rows), 512)])
             # For a pair that links, the sum of the sizes is at most 1 + 1 / s times the smaller one.
             radius = (DENOMINATOR - NUMERATOR) * n[rows] // NUMERATOR
             window = far <= (far.min(1) + 2 * radius)[:, None]
-            regions = [rows[window[:, p]] for p in range(PIVOTS)]
-            if max(map(len, regions)) <= 0.7 * len(rows):
-                pending += [r for r in regions if len(r) > 1]
+            parts = [rows[window[:, p]] for p in range(PIVOTS)]
+            if max(map(len, parts)) <= 0.7 * len(rows):
+                pending += parts
                 continue
-        if len(rows) > 1:
-            found += _close(n, counts, component, rows, rows)
-    if not found:
-        return (np.empty(0, np.int64),) * 3
+        for lo in range(0, len(rows), 64):
+            i = np.repeat(rows[lo : lo + 64], len(rows))
+            j = np.tile(rows, len(rows[lo : lo + 64]))
+            keep = (i < j) & _fit(n, component, i, j)
+            yield i[keep], j[keep]
+
+
+def cell_candidates(
+    begin: np.ndarray, size: np.ndarray, n: np.ndarray, counts: list[bytes], component: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(i, j, distance) of all pairs within a cell that may link and are not in one component."""
+    found = [(np.empty(0, np.int64),) * 3]
+    small = size <= LEAF
+    found += [_near(n, counts, i, j) for i, j in small_cells(begin[small], size[small], n, component)]
+    for lo, s in zip(begin[~small].tolist(), size[~small].tolist()):
+        part = counts[lo : lo + s]
+        table = folded(part, min(map(len, part)))
+        for i, j in regions(n[lo : lo + s], table, component[lo : lo + s]):
+            found.append(_near(n, counts, lo + i, lo + j))
     i, j, d = (np.concatenate(c) for c in zip(*found))
     return i, j, d
 
@@ -228,11 +287,10 @@ def _plausible(pairs: DataFrame, info: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            x = np.frombuffer(b"".join(batch["ca"]), np.uint8).reshape(-1, CLASSES)
-            y = np.frombuffer(b"".join(batch["cb"]), np.uint8).reshape(-1, CLASSES)
-            d = np.minimum(x - y, y - x).sum(1, dtype=np.int64)
-            sizes = (batch["na"] + batch["nb"]).to_numpy()
-            yield batch.loc[(NUMERATOR + DENOMINATOR) * d <= (DENOMINATOR - NUMERATOR) * sizes, ["a", "b"]]
+            m = len(batch)
+            n = np.concatenate([batch["na"].to_numpy(), batch["nb"].to_numpy()])
+            i, _, _ = _near(n, [*batch["ca"], *batch["cb"]], np.arange(m), np.arange(m, 2 * m))
+            yield batch.iloc[i][["a", "b"]]
 
     def side(s: str) -> DataFrame:
         return info.select(F.col("key").alias(s), F.col("n").alias(f"n{s}"), F.col("counts").alias(f"c{s}"))
@@ -290,21 +348,20 @@ def _candidates(conflicts: DataFrame, info: DataFrame, nearest: bool) -> DataFra
             return
         token, part = rows["token"].to_numpy(), rows["part"].to_numpy()
         key, component, n = (rows[c].to_numpy(np.int64) for c in ("key", "component", "n"))
-        counts = np.frombuffer(b"".join(rows["counts"]), np.uint8).reshape(-1, CLASSES)
-        cut = np.flatnonzero((token[1:] != token[:-1]) | (part[1:] != part[:-1])) + 1
-        for lo, hi in zip(np.append(0, cut).tolist(), np.append(cut, len(token)).tolist()):
-            if hi - lo == 1:
-                continue
-            i, j, d = region_candidates(n[lo:hi], counts[lo:hi], component[lo:hi])
-            if nearest and len(i):
-                order = np.lexsort((key[lo + j], d, i))
-                i, j = i[order], j[order]
-                first = np.append(True, i[1:] != i[:-1])
-                i, j = i[first], j[first]
-            if len(i):
-                a, b = key[lo + i], key[lo + j]
-                found = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
-                yield pd.DataFrame({"a": found[:, 0], "b": found[:, 1]})
+        begin = np.append(0, np.flatnonzero((token[1:] != token[:-1]) | (part[1:] != part[:-1])) + 1)
+        size = np.diff(np.append(begin, len(token)))
+        several = size > 1
+        i, j, d = cell_candidates(begin[several], size[several], n, rows["counts"].tolist(), component)
+        if nearest and len(i):
+            i, j, d = np.concatenate([i, j]), np.concatenate([j, i]), np.concatenate([d, d])
+            order = np.lexsort((key[j], d, i))
+            i, j = i[order], j[order]
+            first = np.append(True, i[1:] != i[:-1])
+            i, j = i[first], j[first]
+        if len(i):
+            a, b = key[i], key[j]
+            found = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
+            yield pd.DataFrame({"a": found[:, 0], "b": found[:, 1]})
 
     buckets = int(conflicts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = rows.repartition(buckets, "token", "part").sortWithinPartitions("token", "part")
@@ -345,7 +402,14 @@ def _labels(texts: DataFrame) -> DataFrame:
     info = members.filter("key = first").select("key", "n", "counts")
 
     cells = stored(_cells(texts, _common(texts, documents.count()), buckets), "jaccard-cells")
-    cells = cells.join(members.select("key", "first"), "key").select("token", F.col("first").alias("key")).distinct()
+    # Sets that link differ in size by a factor of ``SIZE_CLASS`` at most, so they meet in one of two neighbouring classes.
+    size_class = F.floor(F.log("n") / F.log(F.lit(SIZE_CLASS)) + 1e-9).cast("int")
+    cells = (
+        cells.join(members.select("key", "first", "n"), "key")
+        .select("token", F.col("first").alias("key"), F.explode(F.array(size_class, size_class + 1)).alias("size_class"))
+        .select(F.xxhash64("token", "size_class").alias("token"), "key")
+        .distinct()
+    )
     cells = stored(cells, "jaccard-cells-folded")
     pivots = cells.groupBy("token").agg(F.min("key").alias("a"), F.max("key").alias("z")).filter("a <> z").select("token", "a")
     stars = cells.join(stored(pivots, "jaccard-pivots"), "token").filter("a <> key").select("a", F.col("key").alias("b"))

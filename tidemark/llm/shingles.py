@@ -59,4 +59,5 @@ def runs_of_words(words: np.ndarray) -> np.ndarray:
 
 
 def shingle_set(data: bytes) -> np.ndarray:
-    return np.unique(shingle_hashes(data))
+    h = np.sort(shingle_hashes(data))
+    return h[np.append(True, h[1:] != h[:-1])] if len(h) else h
