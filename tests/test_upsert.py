@@ -227,3 +227,27 @@ def test_hot_key_is_split(spark, large, join, nullable):
     expected = 100_000 + 2 if join is semi_join else 100_000 - 2
     assert len(got.collect()) == expected
     assert "skew=true" in plan(got) or "skewed" in plan(got)
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/Chicago", "Asia/Tokyo"])
+def test_partition_pruning_finds_the_same_rows_in_every_zone(spark, zone):
+    from datetime import datetime, timezone
+
+    from tidemark import spec as S
+    from tidemark.operators.enrich import add_lineage
+    from tidemark.operators.watermarks import filter_lookback, filter_since
+
+    table = S.TableSpec("h", "d", "s", "t", ("k",), "at")
+    last = datetime(2024, 3, 10, 2, 30, tzinfo=timezone.utc)
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        hours = spark.range(-60, 60).select(
+            F.col("id").alias("k"), F.timestamp_seconds(F.lit(int(last.timestamp())) + F.col("id") * 3600 + 1).alias("at")
+        )
+        rows = add_lineage(hours, table)
+        for narrow in (filter_since, filter_lookback):
+            plain, pruned = narrow(rows, "at", last), narrow(rows, "at", last, partition_date=S.PARTITION_DATE)
+            assert pruned.count() == plain.count() > 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

@@ -93,7 +93,7 @@ SELECT TIMESTAMP '2024-07-01 12:00:00' AS start_datetime_utc, TIMESTAMP '2024-07
        'incremental' AS load_type, CAST(NULL AS VARCHAR) AS source_server, CAST(NULL AS VARCHAR) AS source_database,
        'orders' AS source_table, 'silver' AS medallion_layer, 'silver/orders' AS data_lake_path,
        CAST(90 AS FLOAT) AS load_execution_time, status AS notebook_execution_status,
-       CAST(sum(n) AS INTEGER) AS records_inserted, max(last) AS last_record_inserted_datetime
+       CAST(sum(n) AS BIGINT) AS records_inserted, max(last) AS last_record_inserted_datetime
 FROM per_host GROUP BY status
 """)
 def run_log_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from dataclasses import replace
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.catalog.registry import query, table
@@ -83,6 +85,11 @@ def _filled(source: str = "ended", name: str = "filled") -> str:
   ORDER BY "LoadDate" ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS "Team") FROM {source})"""
 
 
+def _folded(source: str = "filled", name: str = "folded") -> str:
+    return f"""{name} AS (SELECT * FROM {source}
+  QUALIFY row_number() OVER (PARTITION BY "EmployeeID", CAST("LoadDate" AS DATE) ORDER BY "LoadDate" DESC) = 1)"""
+
+
 def _dated(source: str = "filled", name: str = "dated") -> str:
     return f"""{name} AS (SELECT * EXCLUDE (n), CAST("LoadDate" AS DATE) AS "EffectiveStartDate",
   CASE WHEN n IS NULL THEN DATE '9999-12-31' ELSE CAST(n AS DATE) - 1 END AS "EffectiveEndDate"
@@ -109,8 +116,8 @@ def _numbered(source: str = "settled", name: str = "numbered") -> str:
 
 def _chain(source: str, prefix: str = "") -> str:
     """All steps from raw history rows to versions; the last name is ``{prefix}numbered``."""
-    steps = ["hashed", "changes", "ended", "filled", "dated", "opened", "settled", "numbered"]
-    builders = [_hashed, _changes, _ended, _filled, _dated, _opened, _settled, _numbered]
+    steps = ["hashed", "changes", "ended", "filled", "folded", "dated", "opened", "settled", "numbered"]
+    builders = [_hashed, _changes, _ended, _filled, _folded, _dated, _opened, _settled, _numbered]
     parts, previous = [], source
     for step, build in zip(steps, builders):
         parts.append(build(previous, prefix + step))
@@ -167,10 +174,32 @@ def scd2_full(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {_SNAPSHOTS}, {_chain('snapshots')} SELECT * FROM numbered")
 def scd2_every_event(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """No reduction to days first: an entity with too many rows is worked on in segments."""
+    """No reduction to days first: versions of one day are folded after change detection."""
     return scd2.versions(snapshots(spark, sf_dir), UNBOUNDED)
 
 
+@query(f"WITH {_SNAPSHOTS}, {_chain('snapshots')} SELECT * FROM numbered")
+def scd2_every_event_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with a bound that many entities exceed, so that their histories are worked on in segments."""
+    return scd2.versions(snapshots(spark, sf_dir), replace(UNBOUNDED, max_rows_per_entity=10))
+
+
+@query(f"""WITH {_SNAPSHOTS}, {_chain('snapshots')}
+SELECT count(*) AS versions, count(*) AS ids, CAST(0 AS BIGINT) AS inverted, CAST(0 AS BIGINT) AS overlapping FROM numbered""")
+def scd2_every_event_is_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids are unique, no version ends before it starts, and only ended versions, which stay open, reach into the next."""
+    built = scd2_every_event(spark, sf_dir)
+    following = Window.partitionBy("EmployeeID").orderBy("EffectiveStartDate")
+    after = F.lead("EffectiveStartDate").over(following)
+    reaches = (F.col("EffectiveEndDate") >= F.col("__next")) & (F.col("Status") != scd2.TERMINATED)
+    return built.withColumn("__next", after).agg(
+        F.count("*").alias("versions"),
+        F.countDistinct("Dim_ID").alias("ids"),
+        F.count_if(F.col("EffectiveEndDate") < F.col("EffectiveStartDate")).alias("inverted"),
+        F.count_if(reaches).alias("overlapping"),
+    )
+
+
 _LAYOUT = """"Dim_ID", "EmployeeID", "Status", "Team", "HireDate", "LastDayWorked", "TerminationDate", "TerminationReason",
   CAST("LoadDate" AS DATE) AS "LoadDate", "EffectiveStartDate", "EffectiveEndDate", "RowHashKey" """
 LAYOUT = [

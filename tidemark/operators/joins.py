@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Collection, Sequence
 from functools import reduce
+from math import ceil
 from operator import or_
 
 from pyspark.sql import Column, DataFrame
@@ -11,8 +12,6 @@ from pyspark.sql import functions as F
 
 from tidemark.session import ensure_checkpoint_dir
 
-# Null keys never match, so their rows may go anywhere: this many hash buckets keep them out of a single task.
-NULL_SPREAD = 1024
 # Upper bound on the rows of a frame that is broadcast on purpose.
 BROADCAST_ROWS = 1_000_000
 
@@ -30,7 +29,9 @@ def _spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     all columns of ``df``, so project to the needed ones before a join; it is computed for null-key rows only.  A large
     group of identical rows stays in one bucket; AQE splits it like any other skewed partition.
     """
-    content = F.pmod(F.xxhash64(*_hashable(df)), F.lit(NULL_SPREAD)).cast("int")
+    # Null keys never match, so their rows may go anywhere: a few hash buckets for each shuffle partition.
+    buckets = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    content = F.pmod(F.xxhash64(*_hashable(df)), F.lit(buckets)).cast("int")
     return df.withColumn(_SPREAD, F.when(_any_null(df, keys), content + 1).otherwise(_zero(df, keys)))
 
 
@@ -136,13 +137,14 @@ def hot_keys(df: DataFrame, keys: Sequence[str], max_rows: int) -> DataFrame:
 
 
 def left_join_many(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], max_rows: int = 1_000_000, buckets: int = 256
+    left: DataFrame, right: DataFrame, keys: Sequence[str], max_rows: int = 1_000_000, buckets: int | None = None
 ) -> DataFrame:
     """Left outer equi-join for a right side in which one key may hold a large share of the rows.
 
     A hot right key cannot be split in an outer join, but its left rows are certain to match, so for hot keys the outer
     join *is* an inner join.  Those rows are joined over ``buckets`` buckets of the right side, with each left row copied
-    once per bucket; all other keys take the plain path.  No pair is lost and none is produced twice.
+    once per bucket; all other keys take the plain path.  No pair is lost and none is produced twice.  Unless given, the
+    number of buckets follows from the counted rows of the hottest key, so that a bucket holds about ``max_rows`` of them.
 
     The bucket hashes a row's content and the number of the partition it comes from.  A re-run task computes the same
     buckets, and even identical rows meet only if they come from one partition.
@@ -150,10 +152,11 @@ def left_join_many(
     keys = list(keys)
     extra = [c for c in right.columns if c not in keys]
     ensure_checkpoint_dir(right.sparkSession)
-    hot = hot_keys(right.na.drop(subset=keys), keys, max_rows).select(*keys).checkpoint()
-    n_hot = hot.count()
+    counted = hot_keys(right.na.drop(subset=keys), keys, max_rows).checkpoint()
+    n_hot, most = counted.agg(F.count("*"), F.max("__rows")).head()
     if n_hot == 0:
         return left_join(left, right, keys)
+    hot, buckets = counted.select(*keys), buckets or max(2, ceil(most / max(1, max_rows)))
     hot = F.broadcast(hot) if n_hot <= BROADCAST_ROWS else hot
     plain = left_join(anti_join_small(left, hot, keys), anti_join_small(right, hot, keys), keys)
     bucket = F.pmod(F.xxhash64(*_hashable(right), F.spark_partition_id()), F.lit(buckets)).cast("int")

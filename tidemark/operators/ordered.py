@@ -16,7 +16,7 @@ from math import ceil
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tidemark.operators.joins import BROADCAST_ROWS
+from tidemark.operators.joins import BROADCAST_ROWS, fits_broadcast
 from tidemark.session import ensure_checkpoint_dir
 
 SEGMENT = "__segment"
@@ -69,7 +69,7 @@ class Timeline:
             | {c: F.last(c, ignorenulls=True).over(so_far) for c in filled}
         )
         same = inside[self.entity].eqNullSafe(carry["__entity"]) & (inside[self.segment] == carry["__seg"])
-        joined = inside.join(F.broadcast(carry), same, "left")
+        joined = inside.join(F.broadcast(carry) if fits_broadcast(carry) else carry, same, "left")
         patched = joined.withColumns(
             {name: F.coalesce("__prev", "__prev_carry")[name] for name in previous}
             | {name: F.coalesce("__next", "__next_carry")[name] for name in following}
@@ -82,7 +82,7 @@ class Timeline:
         """What each segment inherits from its neighbours: one row per (entity, segment).
 
         Segments come from a range partitioning of the hot rows, so there are at most (partitions + hot entities) of
-        them: small enough to order within an entity and to broadcast.
+        them: small enough to order within an entity; they are counted before they are broadcast.
         """
         order = F.col(self.order)
         ends: list[Column] = [F.count("*").alias("__n")]

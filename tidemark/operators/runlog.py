@@ -14,6 +14,7 @@ from tidemark.sources import paths, tables
 from tidemark.sources.rows import local_frame
 from tidemark.spec import LoadType, as_utc
 
+# The columns of the stored log.  Counts take 64 bits, so that no load is too large to be logged.
 RUN_LOG_SCHEMA = T.StructType(
     [
         T.StructField("start_datetime_utc", T.TimestampType()),
@@ -26,11 +27,10 @@ RUN_LOG_SCHEMA = T.StructType(
         T.StructField("data_lake_path", T.StringType()),
         T.StructField("load_execution_time", T.FloatType()),
         T.StructField("notebook_execution_status", T.StringType()),
-        T.StructField("records_inserted", T.IntegerType()),
+        T.StructField("records_inserted", T.LongType()),
         T.StructField("last_record_inserted_datetime", T.TimestampType()),
     ]
 )
-COUNT_LIMIT = 2**31 - 1
 
 # Status values.
 SUCCESS, EMPTY, FAILED = "Success", "Empty", "Failed"
@@ -68,8 +68,7 @@ class RunEntry:
             self.path,
             (end - start).total_seconds(),
             self.status,
-            # The column is a 32-bit integer; a larger batch is logged at the limit rather than failing the load.
-            min(self.rows, COUNT_LIMIT),
+            self.rows,
             last,
         )
 
@@ -140,7 +139,7 @@ def consolidated(
         F.lit(path).alias("data_lake_path"),
         F.lit(seconds).cast("float").alias("load_execution_time"),
         F.col("status").alias("notebook_execution_status"),
-        F.least("rows", F.lit(COUNT_LIMIT)).cast("int").alias("records_inserted"),
+        F.col("rows").cast("long").alias("records_inserted"),
         F.col("last").cast("timestamp").alias("last_record_inserted_datetime"),
     )
 

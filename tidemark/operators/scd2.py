@@ -7,7 +7,7 @@ shuffle and one sort.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
@@ -132,15 +132,19 @@ def _versions(df: DataFrame, spec: VersionSpec, timeline: Timeline) -> DataFrame
     changes = drop_after_end(keep_changes(df, spec, timeline), spec, timeline)
     filled = spec.filled
     seen = timeline.with_neighbours(changes, following={"__after": spec.order}, filled=filled)
+    # Versions have day grain: of several versions of one day the last stays, which keeps what the others filled in.
+    lasting = seen.where(F.col("__after").isNull() | (F.to_date("__after") > F.to_date(spec.order)))
     end = F.coalesce(F.date_sub(F.to_date("__after"), 1), F.lit(OPEN_END))
-    dated = seen.withColumns({spec.effective_start: F.to_date(spec.order), spec.effective_end: end}).drop("__after")
+    dated = lasting.withColumns({spec.effective_start: F.to_date(spec.order), spec.effective_end: end}).drop("__after")
     return add_surrogate_key(settle_status(open_ended_versions(dated, spec), spec), spec)
 
 
 def versions(history: DataFrame, spec: VersionSpec) -> DataFrame:
     """The whole chain: history rows in, dimension versions out.
 
-    Look-ups go by ``order``, so it has to tell an entity's rows apart (see ``unique_order``).  The row hash is taken before the fill, so it describes the row as delivered.
+    Look-ups go by ``order``, so it has to tell an entity's rows apart (see ``unique_order``).  The row hash is taken before
+    the fill, so it describes the row as delivered.  An entity has one version a day at most, so that no version ends
+    before it starts and surrogate keys are unique.
     """
     if not spec.unique_order:
         history = dedupe_latest(history, [spec.entity, spec.order], [])
@@ -199,8 +203,3 @@ def rows_to_append(target: DataFrame, built: DataFrame, spec: VersionSpec) -> Da
     if len(target.head(2)) < 2:
         return built
     return new_rows(target, built, [spec.row_hash], nullable_keys=False)
-
-
-def without_hot_check(spec: VersionSpec) -> VersionSpec:
-    """For histories whose length per entity is bounded, e.g. after :func:`latest_per_day`."""
-    return replace(spec, max_rows_per_entity=None)

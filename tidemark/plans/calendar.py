@@ -229,11 +229,13 @@ def dst_transitions(days: DataFrame) -> DataFrame:
 def with_offsets(df: DataFrame, day: str, transitions: DataFrame) -> DataFrame:
     """Attach UTC offsets to facts by a range test against their year's transitions.
 
-    ``transitions`` has one row per calendar year, so its broadcast does not grow with the facts.
+    Facts without a day, or with one outside the calendar, stay and have null offsets.  ``transitions`` has one row per
+    calendar year, so its broadcast does not grow with the facts.
     """
-    joined = df.join(F.broadcast(transitions), F.year(df[day]) == transitions["Year"])
+    joined = df.join(F.broadcast(transitions), F.year(df[day]) == transitions["Year"], "left")
     summer = df[day].between(F.col("dst_first"), F.col("dst_last"))
-    return joined.select(*df.columns, *[c.alias(n) for n, c in utc_offsets(summer).items()])
+    known = F.col("dst_first").isNotNull()
+    return joined.select(*df.columns, *[F.when(known, c).alias(n) for n, c in utc_offsets(summer).items()])
 
 
 def with_calendar(df: DataFrame, day: str, calendar: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
