@@ -36,7 +36,7 @@ def test_words_add_up_to_texts(path):
     plain = tokenizers.Tokenizer.from_file(path)
     assert encoder.in_lower_case
     for _ in range(2):
-        for text, ids in zip(TEXTS, encoder.encode(TEXTS)):
+        for text, ids in zip(TEXTS, encoder.encode([(t or "").encode() for t in TEXTS])):
             assert np.frombuffer(ids, "<u2").tolist() == plain.encode(text or "", add_special_tokens=False).ids + [END], text
 
 

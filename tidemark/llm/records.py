@@ -21,13 +21,15 @@ are records of their own; an empty table gives an empty index.  Other columns ar
 
 from __future__ import annotations
 
+import os
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -38,10 +40,12 @@ from tidemark.session import scratch_path
 
 MASK = 0xA282EAD8  # fixed value: the customary masking constant of length-delimited record files
 INDEX_SCHEMA = "shard int, part int, file string, offset long, length long, doc_id long, n_tokens long"
+INDEX_NAMES = ["shard", "part", "file", "offset", "length", "doc_id", "n_tokens"]
+INDEX_TYPES = [pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
 RECORD_SCHEMA = "shard int, part int, doc_id long, before long, n_tokens long, ids binary"
 FILE_BYTES = 256 << 20
-CACHE_WORDS = 500_000
-GROUP_CHARS = 1 << 20
+CACHE_WORDS = 300_000
+GROUP_BYTES = 1 << 20
 
 
 def masked_crc(data: bytes) -> int:
@@ -59,6 +63,7 @@ class WordEncoder:
     def __init__(self, tokenizer_path: str, end_id: int):
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         self.wide = max(self.tokenizer.get_vocab_size(with_added_tokens=True) - 1, end_id) > 0xFFFF
         self.dtype = np.dtype("<u4" if self.wide else "<u2")
@@ -110,13 +115,13 @@ class WordEncoder:
                 cache.update((w, x) for w, x in more.items() if len(w) <= 64)
         return found
 
-    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
-        """The ids of each text, the end id last; texts are taken in groups of bounded size."""
+    def encode(self, texts: Iterable[bytes]) -> Iterator[bytes]:
+        """The ids of each UTF-8 text, the end id last; texts are taken in groups of bounded size."""
         group, held = [], 0
         for text in texts:
-            group.append((text or "").encode().split())
-            held += len(text or "")
-            if held > GROUP_CHARS:
+            group.append(text.split())
+            held += len(text)
+            if held > GROUP_BYTES:
                 yield from self._encode_group(group)
                 group, held = [], 0
         yield from self._encode_group(group)
@@ -166,36 +171,38 @@ def write(
     """Write all rows of ``docs`` in ascending id order and return the stored index."""
     shards = shards or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    def write_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def write_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, attempt, encoder = TaskContext.get().partitionId(), uuid.uuid4().hex, _encoder(tokenizer_path, end_id)
         part, at, out, name = 0, 0, None, ""
         for batch in batches:
             rows = []
-            ids_of = encoder.encode(batch["text"].tolist())
-            for doc_id, null, ids in zip(batch["doc_id"].tolist(), batch["no_id"].tolist(), ids_of):
+            for key, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(_values(batch.column("data")))):
                 if out is not None and at >= file_bytes:
                     out.close()
                     out, part, at = None, part + 1, 0
                 if out is None:
                     name = f"{root}/records-{shard:06d}-{part:05d}-{attempt}.bin"
                     out = files.open_output(name)
-                key = None if null else doc_id
                 frame = _frame(key, ids, encoder.wide)
                 out.write(frame)
                 rows.append((shard, part, name, at, len(frame), key, len(ids) // encoder.dtype.itemsize))
                 at += len(frame)
-            frame = pd.DataFrame(rows, columns=["shard", "part", "file", "offset", "length", "doc_id", "n_tokens"])
-            yield frame.astype({"doc_id": "Int64"})
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), INDEX_TYPES)], INDEX_NAMES)
         if out is not None:
             out.close()
 
+    text = F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("data")
     ordered = (
-        docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+        docs.select(F.col(id_col).cast("long").alias("doc_id"), text)
         .repartitionByRange(shards, "doc_id")
         .sortWithinPartitions("doc_id")
-        .select(F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("doc_id").isNull().alias("no_id"), "text")
     )
-    return stored(ordered.mapInPandas(write_partition, INDEX_SCHEMA), "records-index")
+    return stored(ordered.mapInArrow(write_partition, INDEX_SCHEMA), "records-index")
+
+
+def _values(column: pa.Array) -> Iterator[bytes]:
+    for i in range(0, len(column), 100):
+        yield from column.slice(i, 100).to_pylist()
 
 
 def read(index: DataFrame) -> DataFrame:
