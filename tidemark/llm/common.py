@@ -11,6 +11,13 @@ SPACE_PATTERN = r"[\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\x0c\r"
 
 
+def bound_batches(spark: SparkSession, size: int = 8 << 20) -> None:
+    """Let Arrow batches hold ``size`` bytes at most, so that a task's memory does not follow the length of its texts."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(name).rstrip("b")) > size:
+        spark.conf.set(name, size)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

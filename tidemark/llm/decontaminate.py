@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import chars
+from tidemark.llm.common import bound_batches
 
 Q = 8
 RATE = 0.1
@@ -177,6 +178,7 @@ def _search(shared: Broadcast):
 
 def matches(text: Column, benchmark: DataFrame, item_col: str = "item_id", item_text: str = "text", **options) -> Column:
     """An array of the places of benchmark items in ``text``; one broadcast index per block of the benchmark."""
+    bound_batches(benchmark.sparkSession)
     context = benchmark.sparkSession.sparkContext
     columns = []
     for block in _blocks(benchmark.select(F.col(item_col).cast("long"), F.col(item_text)).toLocalIterator()):

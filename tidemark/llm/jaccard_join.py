@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import keyed, stored
+from tidemark.llm.common import bound_batches, keyed, stored
 from tidemark.llm.components import components
 from tidemark.llm.shingles import shingle_set
 
@@ -207,14 +207,15 @@ def _common(texts: DataFrame, total: int) -> np.ndarray:
 def _cells(texts: DataFrame, common: np.ndarray, buckets: int) -> DataFrame:
     """``token, key`` of prefix shingles that at least two documents share.
 
-    Tasks pack what they send to a bucket of hashes into one binary row for each batch; copies within a batch are sent
+    Tasks pack what they send to a bucket of hashes into one binary row for each batch; copies within a task are sent
     once.  Common shingles are known to be shared and do not gather in a bucket.
     """
     shared = texts.sparkSession.sparkContext.broadcast(common)
 
     def scatter(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: set[bytes] = set()  # one digest for each text of the task's split
         for batch in batches:
-            seen, tokens, keys = set(), [], []
+            tokens, keys = [], []
             for key, text in zip(batch["key"].tolist(), batch["text"]):
                 shingles = shingle_set((text or "").encode())
                 digest = hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
@@ -395,6 +396,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 def _labels(texts: DataFrame) -> DataFrame:
     """``key, n, component``; a component is named by one of its keys."""
     spark = texts.sparkSession
+    bound_batches(spark)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     documents = stored(_documents(texts), "jaccard-documents")
     firsts = stored(documents.groupBy("digest").agg(F.min("key").alias("first")), "jaccard-firsts")

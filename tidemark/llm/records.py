@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import files
-from tidemark.llm.common import stored
+from tidemark.llm.common import bound_batches, stored
 from tidemark.session import scratch_path
 
 MASK = 0xA282EAD8  # fixed value: the customary masking constant of length-delimited record files
@@ -169,6 +169,7 @@ def write(
     file_bytes: int = FILE_BYTES, shards: int | None = None,
 ) -> DataFrame:
     """Write all rows of ``docs`` in ascending id order and return the stored index."""
+    bound_batches(docs.sparkSession)
     shards = shards or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def write_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

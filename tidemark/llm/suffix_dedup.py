@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import chars
-from tidemark.llm.common import keyed, stored
+from tidemark.llm.common import bound_batches, keyed, stored
 
 LENGTH = 400
 CORE = 64
@@ -328,6 +328,7 @@ def repeated_runs(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` and the kept bytes and removed spans of every row."""
+    bound_batches(docs.sparkSession)
     base = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     base = keyed(base, "doc_id", ["doc_id", "text"])
     texts = base.select("key", "text")

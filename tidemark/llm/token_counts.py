@@ -21,6 +21,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import bound_batches
+
 UNKNOWN = 10.0
 MARK = "▁"
 TABLE_WORDS = 600_000
@@ -117,6 +119,7 @@ def token_counts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
             frame.insert(0, "doc_id", batch["doc_id"].where(~batch["no_id"]).astype("Int64").values)
             yield frame
 
+    bound_batches(docs.sparkSession)
     key = F.col(id_col).cast("long")
     rows = docs.select(
         F.coalesce(key, F.lit(0).cast("long")).alias("doc_id"), key.isNull().alias("no_id"), F.col(text_col).alias("text")

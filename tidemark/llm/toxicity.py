@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import chars
-from tidemark.llm.common import stored
+from tidemark.llm.common import bound_batches, stored
 
 LENGTHS = (3, 4, 5, 6)
 BITS = 20
@@ -136,6 +136,7 @@ def train(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
     rows: int = SAMPLE_ROWS, features: int = FEATURES,
 ) -> Model:
+    bound_batches(docs.sparkSession)
     sample = _sample(docs, labels, id_col, text_col, label_col, rows)
     texts, having = _class_counts(sample)
     slot = np.full(1 << BITS, -1, np.int32)

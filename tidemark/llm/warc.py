@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import bound_batches, stored
 
 RECORD_SCHEMA = (
     "record_id long, record_type string, refers_to long, payload_bytes long, payload_digest string, record binary"
@@ -76,6 +76,7 @@ def write(
     pages: DataFrame, min_bytes: int = 0, date: str = "2020-01-01T00:00:00Z", id_col: str = "page_id",
     url_col: str = "url", payload_col: str = "html",
 ) -> Archive:
+    bound_batches(pages.sparkSession)
     payload = F.coalesce(F.col(payload_col).cast("binary"), F.lit(b""))
     rows = pages.select(
         F.col(id_col).cast("long").alias("record_id"), F.col(url_col).alias("url"), payload.alias("payload")
