@@ -73,7 +73,7 @@ def test_all_pending_batches_are_read_and_the_newest_wins(spark, lake):
 def test_crash_between_bronze_write_and_ledger_is_repaired(spark, lake, monkeypatch):
     lake.land(A, pull(spark, (1, 1, "a")), utc(1))
     with monkeypatch.context() as m:
-        m.setattr(lake, "_record", lambda *args: (_ for _ in ()).throw(RuntimeError("crash")))
+        m.setattr(lake, "_record", lambda *args, **kwargs: (_ for _ in ()).throw(RuntimeError("crash")))
         with pytest.raises(RuntimeError, match="crash"):
             lake.bronze(A)
     assert len(lake.pending(A)) == 1
@@ -197,7 +197,7 @@ def test_dimension_closes_versions_and_keeps_its_seed(spark, lake):
 def test_failed_silver_load_is_logged(spark, lake, monkeypatch):
     lake.land(A, pull(spark, (1, 1, "a")), utc(1))
     lake.bronze(A)
-    monkeypatch.setattr(tables, "upsert_partitions", lambda *args: (_ for _ in ()).throw(RuntimeError("full disk")))
+    monkeypatch.setattr(tables, "upsert_partitions", lambda *args, **kwargs: (_ for _ in ()).throw(RuntimeError("full disk")))
     with pytest.raises(RuntimeError, match="full disk"):
         lake.silver([A])
     log = runlog.read_log(spark, lake.log_path).where("medallion_layer = 'silver'")
@@ -250,3 +250,54 @@ def test_stream_takes_up_only_new_batches(spark):
     out = tables.read_partitioned(spark, f"{root}/out")
     assert content(out) == [("srv-a", 1, "a"), ("srv-a", 2, "b")]
     assert paths.subfolders(spark, f"{root}/out") == ["__PartitionDateUTC=2024-01-01", "__PartitionDateUTC=2024-01-02"]
+
+
+def test_a_commit_moves_only_the_named_tables(spark, lake):
+    other = TableSpec("srv-a", "db", "dbo", "staff", ("k",), "at")
+    for spec in (A, other):
+        lake.land(spec, pull(spark, (1, 2, "x")), utc(3))
+        lake.bronze(spec)
+        lake.silver([spec])
+    lake.commit(["calls"])
+    assert lake.at_watermark(A).last_loaded == utc(2)
+    assert lake.at_watermark(other).last_loaded == S.NEVER_LOADED and lake.gather([other]).count() == 1
+    lake.commit(["staff"])
+    assert lake.at_watermark(other).last_loaded == utc(2)
+
+
+def test_an_unreadable_server_is_left_out_and_logged(spark, lake, monkeypatch):
+    for spec in (A, B):
+        lake.land(spec, pull(spark, (1, 1, spec.host)), utc(2))
+        lake.bronze(spec)
+    read = Medallion.read_bronze
+    with monkeypatch.context() as patch:
+        patch.setattr(Medallion, "read_bronze", lambda self, spec: 1 / 0 if spec is A else read(self, spec))
+        loads = lake.silver([A, B])
+        with pytest.raises(ZeroDivisionError):
+            lake.silver([A, B], OnError.ABORT)
+    assert [x.status for x in loads] == [runlog.FAILED, runlog.SUCCESS]
+    assert content(lake.read_silver(B)) == [("srv-b", 1, "srv-b")]
+    log = runlog.read_log(spark, lake.log_path).where("medallion_layer = 'silver'")
+    assert sorted(r.notebook_execution_status for r in log.collect()) == [runlog.FAILED, runlog.FAILED, runlog.SUCCESS]
+    lake.commit()
+    assert len(lake.silver([A, B])) == 2 and lake.read_silver(A).count() == 2
+
+
+def test_a_server_that_brings_text_does_not_stop_silver(spark, lake):
+    lake.land(A, spark.createDataFrame([(1, utc(1), 5)], "k int, at timestamp, v int"), utc(2))
+    lake.bronze(A)
+    lake.silver([A])
+    lake.commit()
+    lake.land(B, pull(spark, (1, 3, "five")), utc(4))
+    lake.bronze(B)
+    lake.silver([A, B])
+    assert content(lake.read_silver(A)) == [("srv-a", 1, "5"), ("srv-b", 1, "five")]
+
+
+def test_purge_keeps_what_is_pending_and_the_newest(spark, lake):
+    for day in (1, 2, 3):
+        lake.land(A, pull(spark, (day, day, "a")), utc(day))
+        if day < 3:
+            lake.bronze(A)
+    assert len(lake.purge([A])) == 1 and len(lake.pending([A][0])) == 1
+    assert len(landing.landed_batches(spark, lake.path("landing", A))) == 2

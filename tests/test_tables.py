@@ -198,3 +198,71 @@ def test_local_frame_needs_no_python_workers(spark):
     df = local_frame(spark, [(1, None), (2, "x")], "a int, b string")
     assert rows(df) == [(1, None), (2, "x")]
     assert "LocalTableScan" in plan(df)
+
+
+@pytest.mark.parametrize("values", [("a:b", "2024/01", "x y"), (True, False, None), ("50%", "=", None)])
+def test_moving_keys_leave_no_copy_behind_whatever_the_partition_value(spark, base, values):
+    one, two, three = values
+    kind = "boolean" if isinstance(one, bool) else "string"
+    table = lambda *rows: spark.createDataFrame(rows, f"k int, v string, part {kind}")
+    tables.upsert_partitions(spark, base, table((1, "a", one), (2, "a", two), (3, "a", three)), ["k"], "part")
+    tables.upsert_partitions(spark, base, table((1, "b", two), (3, "b", two)), ["k"], "part")
+    got = sorted(((r.k, r.v, r.part) for r in tables.read_partitioned(spark, base).collect()), key=repr)
+    assert got == [(1, "b", two), (2, "a", two), (3, "b", two)]
+
+
+@pytest.mark.parametrize("fail_at", range(1, 7))
+def test_an_interrupted_upsert_loses_nothing(spark, base, monkeypatch, fail_at):
+    from tidemark.sources import paths
+
+    tables.upsert_partitions(spark, base, made(spark, (1, "a", 1), (2, "a", 1), (3, "a", 2), (4, "a", 3)), ["k"], "part")
+    calls = {"n": 0}
+
+    def failing(function):
+        def run(*args):
+            calls["n"] += 1
+            if calls["n"] == fail_at:
+                raise OSError("the driver dies")
+            return function(*args)
+
+        return run
+
+    batch = made(spark, (1, "b", 2), (4, "b", 2))
+    with monkeypatch.context() as patch:
+        patch.setattr(paths, "delete", failing(paths.delete))
+        patch.setattr(paths, "move", failing(paths.move))
+        with pytest.raises(OSError):
+            tables.upsert_partitions(spark, base, batch, ["k"], "part")
+    tables.upsert_partitions(spark, base, batch, ["k"], "part")
+    got = sorted((r.k, r.v, r.part.day) for r in tables.read_partitioned(spark, base).collect())
+    assert got == [(1, "b", 2), (2, "a", 1), (3, "a", 2), (4, "b", 2)]
+
+
+def test_duplicate_keys_are_an_error_or_resolved(spark, base):
+    batch = made(spark, (1, "a", 1), (1, "b", 1))
+    with pytest.raises(ValueError, match="share the key"):
+        tables.upsert_partitions(spark, base, batch, ["k"], "part")
+    tables.upsert_partitions(spark, base, batch, ["k"], "part", on_duplicate="latest", order=["v"])
+    assert [r.v for r in tables.read_partitioned(spark, base).collect()] == ["b"]
+
+
+@pytest.mark.parametrize("first, second", [("int", "string"), ("string", "int"), ("int", "double"), ("int", "bigint")])
+def test_a_column_may_change_its_type(spark, base, first, second):
+    table = lambda kind, *rows: spark.createDataFrame(rows, "k int, v int, part int").withColumn("v", F.col("v").cast(kind))
+    tables.upsert_partitions(spark, base, table(first, (1, 10, 1), (2, 20, 2)), ["k"], "part")
+    tables.upsert_partitions(spark, base, table(second, (2, 21, 2), (3, 30, 3)), ["k"], "part")
+    got = {r.k: float(r.v) for r in tables.read_partitioned(spark, base).collect()}
+    assert got == {1: 10.0, 2: 21.0, 3: 30.0}
+    tables.upsert_partitions(spark, base, table(first, (3, 31, 1)), ["k"], "part")
+    assert {r.k: float(r.v) for r in tables.read_partitioned(spark, base).collect()} == {1: 10.0, 2: 21.0, 3: 31.0}
+
+
+def test_registering_again_follows_columns_and_partitions(spark, base):
+    tables.upsert_partitions(spark, base, made(spark, (1, "a", 1), (2, "a", 2)), ["k"], "part")
+    tables.register_table(spark, "followed", base)
+    wider = made(spark, (1, "b", 2)).withColumn("more", F.lit(5))
+    tables.upsert_partitions(spark, base, wider, ["k"], "part")
+    tables.register_table(spark, "followed", base)
+    assert sorted((r.k, r.v, r.more) for r in spark.table("followed").collect()) == [(1, "b", 5), (2, "a", None)]
+    assert [r.partition for r in spark.sql("SHOW PARTITIONS followed").collect()] == ["part=2024-01-02"]
+    spark.sql("DROP TABLE followed")

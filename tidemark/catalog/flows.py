@@ -181,3 +181,87 @@ def gold_fact_two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
         lake.fact("fact_events", events, notes, NOTED, ["Fact_ID", "event_id"], S.PARTITION_DATE)
         lake.commit()
     return tables.read_partitioned(spark, lake.path("gold", "fact_events"))
+
+
+@query("""
+SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'moved' ELSE event_type END AS state,
+       CASE WHEN event_id % 3 = 0 THEN 'all/' || user_id % 3 ELSE event_type || ':' || user_id % 3 || '/x y%' END AS part
+FROM events
+""")
+def upsert_odd_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partition values that have to be escaped; a third of the keys moves to other partitions."""
+    path = scratch_path(spark, "odd")
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", F.col("event_type").alias("state"))
+    third = (F.col("user_id") % 3).cast("string")
+    first = events.withColumn("part", F.concat("state", F.lit(":"), third, F.lit("/x y%"))).drop("user_id")
+    moved = events.where("event_id % 3 = 0").select(
+        "event_id", F.lit("moved").alias("state"), F.concat(F.lit("all/"), third).alias("part")
+    )
+    tables.upsert_partitions(spark, path, first, ["event_id"], "part")
+    tables.upsert_partitions(spark, path, moved, ["event_id"], "part")
+    return tables.read_partitioned(spark, path)
+
+
+@query("SELECT event_id, value, event_id % 2 = 0 OR event_id % 5 = 0 AS part FROM events")
+def upsert_boolean_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys move between the two partitions of a boolean."""
+    path = scratch_path(spark, "boolean")
+    events = table(spark, sf_dir, "events").select("event_id", "value", (F.col("event_id") % 2 == 0).alias("part"))
+    tables.upsert_partitions(spark, path, events, ["event_id"], "part")
+    moved = events.where("event_id % 5 = 0").withColumn("part", F.lit(True))
+    tables.upsert_partitions(spark, path, moved, ["event_id"], "part")
+    return tables.read_partitioned(spark, path)
+
+
+@query("""
+SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN o_orderpriority ELSE CAST(o_custkey AS VARCHAR) END AS reference,
+       year(o_orderdate) AS part FROM orders
+""")
+def upsert_type_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column of numbers becomes text when a later batch brings text: the stored partitions are rewritten once."""
+    path = scratch_path(spark, "drift")
+    orders = table(spark, sf_dir, "orders").withColumn("part", F.year("o_orderdate").cast("long"))
+    first = orders.select("o_orderkey", F.col("o_custkey").alias("reference"), "part")
+    second = orders.where("o_orderkey % 4 = 0").select("o_orderkey", F.col("o_orderpriority").alias("reference"), "part")
+    tables.upsert_partitions(spark, path, first, ["o_orderkey"], "part")
+    tables.upsert_partitions(spark, path, second, ["o_orderkey"], "part")
+    return tables.read_partitioned(spark, path)
+
+
+@query("""
+SELECT user_id, event_id, value, user_id % 7 AS part FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1
+""")
+def upsert_latest_duplicate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Several source rows of one key: a user's last event wins."""
+    path = scratch_path(spark, "latest")
+    events = table(spark, sf_dir, "events").select("user_id", "event_id", "value", (F.col("user_id") % 7).alias("part"))
+    tables.upsert_partitions(spark, path, events, ["user_id"], "part", on_duplicate="latest", order=["event_id"])
+    return tables.read_partitioned(spark, path)
+
+
+@query("""
+SELECT CAST(e.event_id AS VARCHAR) AS "Fact_ID", sha256(CAST(e.event_id AS VARCHAR)) AS "HashKey", e.event_id, e.user_id,
+       e.ts, e.event_type, CAST(date_trunc('week', e.ts) AS DATE) AS "__PartitionDateUTC", a.event_id AS "callId", a.value AS amount,
+       a.props AS details
+FROM events e LEFT JOIN events a ON a.event_id = e.event_id AND a.event_id % 3 <> 0
+""")
+def gold_two_cadences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Another table's flow commits between a table's silver and its gold step; the gold step still sees all its rows."""
+    lake = Medallion(spark, scratch_path(spark, "cadences"))
+    events = TableSpec("srv", "web", "dbo", "events", ("event_id",), "loaded")
+    notes, users = replace(events, table="notes"), replace(events, table="users", keys=("user_id",))
+    source = table(spark, sf_dir, "events").withColumn("loaded", F.date_trunc("week", "ts").cast("timestamp_ntz"))
+    rows = source.select("event_id", "user_id", "ts", "event_type", "loaded")
+    details = source.where(F.col("event_id") % 3 != 0).select("event_id", "value", "props", "loaded")
+    people = source.groupBy("user_id").agg(F.max("loaded").alias("loaded"))
+    cut = F.lit("2024-01-15").cast("timestamp_ntz")
+    for number, batch in enumerate([F.col("loaded") < cut, F.col("loaded") >= cut]):
+        for spec, df in ((events, rows), (notes, details), (users, people)):
+            lake.land(spec, df.where(batch), datetime(2024, 2, 1 + number))
+            lake.bronze(spec, AS_OF)
+            lake.silver([spec])
+            lake.commit(["users"])
+        lake.fact("fact_events", events, notes, NOTED, ["Fact_ID", "event_id"], S.PARTITION_DATE)
+        lake.commit(["events", "notes"])
+    return tables.read_partitioned(spark, lake.path("gold", "fact_events"))

@@ -29,7 +29,7 @@ def missing_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
     return [c for c in columns if c.lower() not in have]
 
 
-def _textual_conflicts(frames: Sequence[DataFrame]) -> set[str]:
+def textual_conflicts(frames: Sequence[DataFrame]) -> set[str]:
     """Columns that are text on one server and something else on another."""
     types: dict[str, set[bool]] = {}
     for df in frames:
@@ -62,5 +62,5 @@ def conform_union(frames: Sequence[DataFrame]) -> DataFrame:
         raise ValueError("nothing to union")
     ordered = widest_first(frames)
     columns = all_columns(ordered)
-    as_text = _textual_conflicts(ordered)
+    as_text = textual_conflicts(ordered)
     return reduce(DataFrame.union, [align(df, columns, as_text) for df in ordered])

@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 from enum import Enum
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,10 +20,11 @@ from tidemark import spec as S
 from tidemark.operators import runlog
 from tidemark.operators.conform import conform_union
 from tidemark.operators.enrich import add_lineage
-from tidemark.operators.scd2 import VersionSpec, merge_versions
-from tidemark.operators.upsert import dedupe_latest
+from tidemark.operators.scd2 import VersionSpec, merge_versions, rows_to_append
+from tidemark.operators.upsert import OnDuplicate, dedupe_latest
 from tidemark.operators.watermarks import commit_watermarks, earliest_watermark, filter_lookback, filter_since
 from tidemark.plans.fact import FactSpec, affected_keys, build_fact, refresh_fact, without_key
+from tidemark.session import ensure_checkpoint_dir
 from tidemark.sources import landing, paths, tables
 from tidemark.sources.rows import local_frame
 from tidemark.spec import TableSpec
@@ -72,21 +74,24 @@ class Medallion:
     def log_path(self) -> str:
         return f"{self.root}/state/run_log"
 
-    def state_path(self, staged: bool = False) -> str:
-        return f"{self.root}/state/{'staged' if staged else 'watermarks'}"
+    def state_path(self, table: str = "", staged: bool = False) -> str:
+        """Each table has state of its own, so that flows of several tables do not overwrite each other's."""
+        return f"{self.root}/state/{'staged' if staged else 'watermarks'}/{table}".rstrip("/")
 
     # --- state -------------------------------------------------------------------------------------------------------
 
-    def state(self, staged: bool = False) -> DataFrame:
-        path = self.state_path(staged)
-        if not tables.snapshot_exists(self.spark, path):
-            return local_frame(self.spark, [], STATE_DDL)
-        return tables.read_snapshot(self.spark, path)
+    def state(self, staged: bool = False, names: Sequence[str] | None = None) -> DataFrame:
+        """Watermarks of the named tables, or of all; one small snapshot each."""
+        if names is None:
+            names = paths.subfolders(self.spark, self.state_path(staged=staged))
+        found = [self.state_path(name, staged) for name in names]
+        kept = [tables.read_snapshot(self.spark, p) for p in found if tables.snapshot_exists(self.spark, p)]
+        return reduce(DataFrame.unionByName, kept) if kept else local_frame(self.spark, [], STATE_DDL)
 
     def at_watermark(self, spec: TableSpec) -> TableSpec:
         """The spec, moved to the committed watermark of its source if there is one."""
         row = (
-            self.state()
+            self.state(names=[spec.table])
             .where((F.col("host") == spec.host) & (F.col("database") == spec.database) & (F.col("table") == spec.table))
             .select(F.unix_micros("watermark"))
             .head()
@@ -95,7 +100,7 @@ class Medallion:
 
     def earliest(self, table: str) -> datetime:
         """Smallest committed watermark over a table's servers; an unknown table is an error, not a value."""
-        row = earliest_watermark(self.state().where(F.col("table") == table)).select(F.unix_micros("watermark")).head()
+        row = earliest_watermark(self.state(names=[table])).select(F.unix_micros("watermark")).head()
         if row is None or row[0] is None:
             raise LookupError(f"no committed watermark for {table}")
         return _from_micros(row[0])
@@ -107,14 +112,22 @@ class Medallion:
             for x in loads
             if x.last is not None
         ]
-        if rows:
-            staged = commit_watermarks(self.state(staged=True), local_frame(self.spark, rows, STATE_DDL), STATE_KEYS)
-            tables.write_snapshot(staged.coalesce(1), self.state_path(staged=True))
-
-    def commit(self) -> DataFrame:
-        """Make staged watermarks the starting point of the next run; call it after the last layer has succeeded."""
-        merged = commit_watermarks(self.state(), self.state(staged=True), STATE_KEYS)
-        tables.write_snapshot(merged.coalesce(1), self.state_path())
+        for table in sorted({row[2] for row in rows}):
+            new = local_frame(self.spark, [row for row in rows if row[2] == table], STATE_DDL)
+            staged = commit_watermarks(self.state(True, [table]), new, STATE_KEYS)
+            tables.write_snapshot(staged.coalesce(1), self.state_path(table, staged=True))
+
+    def commit(self, names: Sequence[str] | None = None) -> DataFrame:
+        """Make staged watermarks of the named tables the starting point of their next run.
+
+        Call it after the last layer that reads them has succeeded.  Without names all tables are committed, which is
+        right only where one flow feeds them all.
+        """
+        for table in paths.subfolders(self.spark, self.state_path(staged=True)) if names is None else names:
+            merged = commit_watermarks(self.state(names=[table]), self.state(True, [table]), STATE_KEYS)
+            tables.write_snapshot(merged.coalesce(1), self.state_path(table))
+            tables.drop_old_snapshots(self.spark, self.state_path(table, staged=True))
+            tables.drop_old_snapshots(self.spark, self.state_path(table))
         return self.state()
 
     # --- landing -----------------------------------------------------------------------------------------------------
@@ -181,7 +194,10 @@ class Medallion:
         landed = landing.read_batches(self.spark, base, pending)
         enriched = add_lineage(landed, spec, as_of)
         unique = dedupe_latest(enriched, [S.HASH_KEY], [landing.BATCH, spec.watermark]).drop(landing.BATCH)
-        tables.upsert_partitions(self.spark, path, unique, [S.HASH_KEY], S.PARTITION_DATE)
+        tables.upsert_partitions(
+            self.spark, path, unique, [S.HASH_KEY], S.PARTITION_DATE,
+            stable_partition=spec.stable_partition, on_duplicate=OnDuplicate.KEEP,
+        )
         rows, last = landed.agg(F.count("*"), F.max(F.unix_micros(F.col(spec.watermark).cast("timestamp")))).head()
         return rows, None if last is None else _from_micros(last)
 
@@ -206,39 +222,57 @@ class Medallion:
 
         A source without a bronze table yet contributes nothing.
         """
-        frames = []
-        for spec in specs:
-            path = self.path("bronze", spec)
-            if not spec.incremental:
-                if tables.snapshot_exists(self.spark, path):
-                    frames.append(self.read_bronze(spec))
-            elif paths.has_data(self.spark, path):
-                current = self.at_watermark(spec)
-                bronze = self.read_bronze(spec)
-                frames.append(filter_since(bronze, spec.watermark, current.last_loaded, S.PARTITION_DATE))
+        frames = [frame for frame in map(self._fresh, specs) if frame is not None]
         return conform_union(frames) if frames else None
 
-    def silver(self, specs: Sequence[TableSpec]) -> list[Loaded]:
-        """One silver table from all its servers; watermarks are staged only after the write succeeded."""
+    def _fresh(self, spec: TableSpec) -> DataFrame | None:
+        path = self.path("bronze", spec)
+        if not spec.incremental:
+            return self.read_bronze(spec) if tables.snapshot_exists(self.spark, path) else None
+        if not paths.has_data(self.spark, path):
+            return None
+        since = self.at_watermark(spec).last_loaded
+        return filter_since(self.read_bronze(spec), spec.watermark, since, S.PARTITION_DATE)
+
+    def silver(self, specs: Sequence[TableSpec], on_error: OnError = OnError.ISOLATE) -> list[Loaded]:
+        """One silver table from all its servers; watermarks are staged only after the write succeeded.
+
+        A server whose rows cannot be read is left out and logged as failed, beside the row of the others.
+        """
         start = self.clock()
         try:
-            return self._silver(specs, start)
+            return self._silver(specs, start, on_error)
         except Exception as error:
             failed = Loaded(specs[0], 0, None, runlog.FAILED, error)
             self._log(failed, "silver", self.path("silver", specs[0]), start, consolidated=True)
             raise
 
-    def _silver(self, specs: Sequence[TableSpec], start: datetime) -> list[Loaded]:
+    def _silver(self, specs: Sequence[TableSpec], start: datetime, on_error: OnError) -> list[Loaded]:
         first = specs[0]
         path = self.path("silver", first)
-        batch = self.gather(specs)
-        if batch is None:
-            return [Loaded(spec, 0, None, runlog.EMPTY) for spec in specs]
-        loads = self._per_source(batch, specs)
-        if not any(x.rows for x in loads):
+        loads, frames = [], []
+        for spec in specs:
+            try:
+                frame = self._fresh(spec)
+                loads.append(self._measured(spec, frame))
+                frames += [frame] if loads[-1].rows else []
+            except Exception as error:
+                if on_error is OnError.ABORT:
+                    raise
+                log.exception("silver cannot read %s", spec.relative_path)
+                loads.append(Loaded(spec, 0, None, runlog.FAILED, error))
+        failed = [x for x in loads if x.status == runlog.FAILED]
+        if failed:
+            self._log(Loaded(first, 0, None, runlog.FAILED, failed[0].error), "silver", path, start, consolidated=True)
+        if not frames:
             return loads
+        batch = conform_union(frames)
         if first.incremental:
-            tables.upsert_partitions(self.spark, path, batch, [S.HASH_KEY], S.PARTITION_DATE)
+            # Hash keys hold the server, and each server's bronze table is unique.
+            tables.upsert_partitions(
+                self.spark, path, batch, [S.HASH_KEY], S.PARTITION_DATE,
+                stable_partition=first.stable_partition, on_duplicate=OnDuplicate.KEEP,
+            )
             self.stage(loads)
         else:
             tables.write_snapshot(batch, path)
@@ -248,19 +282,13 @@ class Medallion:
         self._log(Loaded(first, total, last), "silver", path, start, consolidated=True)
         return loads
 
-    def _per_source(self, batch: DataFrame, specs: Sequence[TableSpec]) -> list[Loaded]:
-        """Rows and largest watermark per source: one pass, one row per source comes back."""
-        watermark = specs[0].watermark if specs[0].incremental else None
-        mark = F.unix_micros(F.max(F.col(watermark).cast("timestamp"))) if watermark else F.lit(None)
-        found = {
-            (row[0], row[1], row[2]): (row[3], row[4])
-            for row in batch.groupBy(*S.LINEAGE_COLUMNS).agg(F.count("*"), mark).collect()
-        }
-        loads = []
-        for spec in specs:
-            rows, last = found.get((spec.host, spec.database, spec.qualified_table), (0, None))
-            loads.append(Loaded(spec, rows, None if last is None else _from_micros(last), runlog.status_of(rows)))
-        return loads
+    def _measured(self, spec: TableSpec, frame: DataFrame | None) -> Loaded:
+        """Rows and largest watermark of one server: one pass over one column."""
+        if frame is None:
+            return Loaded(spec, 0, None, runlog.EMPTY)
+        mark = F.unix_micros(F.max(F.col(spec.watermark).cast("timestamp"))) if spec.incremental else F.lit(None)
+        rows, last = frame.agg(F.count("*"), mark).head()
+        return Loaded(spec, rows, None if last is None else _from_micros(last), runlog.status_of(rows))
 
     def read_silver(self, spec: TableSpec) -> DataFrame:
         return tables.read_table(self.spark, self.path("silver", spec), "partitioned" if spec.incremental else "snapshot")
@@ -268,23 +296,51 @@ class Medallion:
     # --- gold --------------------------------------------------------------------------------------------------------
 
     def fact(
-        self, name: str, base: TableSpec, attributes: TableSpec, fact: FactSpec, merge_keys: Sequence[str], partition: str
+        self,
+        name: str,
+        base: TableSpec,
+        attributes: TableSpec,
+        fact: FactSpec,
+        merge_keys: Sequence[str],
+        partition: str,
+        on_duplicate: OnDuplicate | str = OnDuplicate.ERROR,
+        windowed: bool = False,
     ) -> None:
-        """Create the fact or bring it up to date with what changed in silver on either side since the last commit."""
+        """Create the fact or bring it up to date with what changed in silver on either side since the last commit.
+
+        ``windowed`` filters each side by its own watermark before the join, as stored loads do it: attributes that
+        arrive later than their base row are then not attached.
+        """
         start = self.clock()
         path = self.path("gold", name)
         rows, details = self.read_silver(base), self.read_silver(attributes)
         if not paths.has_data(self.spark, path):
-            tables.upsert_partitions(self.spark, path, build_fact(rows, details, fact), merge_keys, partition)
+            done = tables.upsert_partitions(
+                self.spark, path, build_fact(rows, details, fact), merge_keys, partition, on_duplicate=on_duplicate
+            )
+            last = self._last(rows, base)
         else:
             since, details_since = self._earliest_or_never(base.table), self._earliest_or_never(attributes.table)
-            keys = affected_keys(
-                rows, details, fact.keys, base.watermark, since, attributes.watermark, details_since, S.PARTITION_DATE
+            recent = filter_since(rows, base.watermark, since, S.PARTITION_DATE)
+            if windowed:
+                late = filter_since(details, attributes.watermark, details_since, S.PARTITION_DATE)
+                fresh = build_fact(recent, late, fact)
+            else:
+                # The key list feeds both sides' partition search and both semi-joins: it is stored once.
+                ensure_checkpoint_dir(self.spark)
+                keys = affected_keys(
+                    rows, details, fact.keys, base.watermark, since, attributes.watermark, details_since, S.PARTITION_DATE
+                ).checkpoint()
+                fresh = refresh_fact(rows, details, keys, fact, without_key(recent, fact.keys), S.PARTITION_DATE)
+            done = tables.upsert_partitions(
+                self.spark, path, fresh, merge_keys, partition, fact.nullable_keys, on_duplicate=on_duplicate
             )
-            unkeyed = without_key(filter_since(rows, base.watermark, since, S.PARTITION_DATE), fact.keys)
-            fresh = refresh_fact(rows, details, keys, fact, unkeyed, S.PARTITION_DATE)
-            tables.upsert_partitions(self.spark, path, fresh, merge_keys, partition, fact.nullable_keys)
-        self._log_table(name, path, base, start)
+            last = self._last(recent, base)
+        self._log_gold(name, path, base, start, done.rows, last)
+
+    def _last(self, rows: DataFrame, spec: TableSpec) -> datetime | None:
+        value = rows.agg(F.max(F.unix_micros(F.col(spec.watermark).cast("timestamp")))).head()[0]
+        return None if value is None else _from_micros(value)
 
     def dimension(
         self,
@@ -294,10 +350,13 @@ class Medallion:
         build: Callable[[DataFrame], DataFrame],
         seed: DataFrame | None = None,
         lookback_days: int = 2,
+        insert_only: bool = False,
     ) -> None:
         """Create the dimension or re-derive the entities with rows since the committed watermark, less a look-back.
 
-        ``build`` turns history rows into dimension rows; ``seed`` rows are put into a new dimension.
+        ``build`` turns history rows into dimension rows; ``seed`` rows are put into a new dimension.  ``insert_only``
+        adds row hashes that are new and closes nothing, as stored loads do it.  The dimension's own watermark, its largest
+        effective start, is staged under its name.
         """
         start = self.clock()
         path = self.path("gold", name)
@@ -309,8 +368,18 @@ class Medallion:
             since = self._earliest_or_never(source.table)
             changed = filter_lookback(history, source.watermark, since, lookback_days, S.PARTITION_DATE)
             target = tables.read_snapshot(self.spark, path)
-            tables.write_snapshot(merge_versions(target, history, changed, versions, build), path)
-        self._log_table(name, path, source, start)
+            if insert_only:
+                built = rows_to_append(target, build(changed), versions)
+                merged = target.unionByName(built.select(*target.columns))
+            else:
+                merged = merge_versions(target, history, changed, versions, build)
+            tables.write_snapshot(merged, path)
+        written = tables.read_snapshot(self.spark, path)
+        mark = F.unix_date(F.max(versions.effective_start)) if versions.effective_start in written.columns else F.lit(None)
+        rows, day = written.agg(F.count("*"), mark).head()
+        last = None if day is None else _from_micros(day * 86_400_000_000)
+        self.stage([Loaded(replace(source, host="", table=name), rows, last)])
+        self._log_gold(name, path, source, start, rows, last)
 
     def _earliest_or_never(self, table: str) -> datetime:
         try:
@@ -318,13 +387,28 @@ class Medallion:
         except LookupError:
             return S.NEVER_LOADED
 
-    def _log_table(self, name: str, path: str, source: TableSpec, start: datetime) -> None:
-        """Gold tables belong to no server; the row count is the table's, read from the files' footers."""
-        fmt = "snapshot" if tables.snapshot_exists(self.spark, path) else "partitioned"
-        rows = tables.read_table(self.spark, path, fmt).count()
-        done = Loaded(replace(source, table=name), rows, start, runlog.status_of(rows))
+    def _log_gold(
+        self, name: str, path: str, source: TableSpec, start: datetime, rows: int, last: datetime | None
+    ) -> None:
+        """Gold tables belong to no server; the row says what the load moved and how far it got."""
+        done = Loaded(replace(source, table=name), rows, last, runlog.status_of(rows))
         self._log(done, "gold", path, start, consolidated=True)
 
+    def purge(self, specs: Sequence[TableSpec], keep: int = 1) -> list[str]:
+        """Delete processed landing batches, but for the newest ``keep`` of each source, and unreferenced snapshots."""
+        gone = []
+        for spec in specs:
+            base = self.path("landing", spec)
+            waiting = set(self.pending(spec))
+            done = [b for b in landing.landed_batches(self.spark, base) if b not in waiting]
+            for batch in done[: max(0, len(done) - keep)]:
+                paths.delete(self.spark, f"{base}/{landing.BATCH}={batch}")
+                gone.append(f"{base}/{landing.BATCH}={batch}")
+            if not spec.incremental:
+                for layer in ("bronze", "silver", "gold"):
+                    gone += tables.drop_old_snapshots(self.spark, self.path(layer, spec))
+        return gone
+
     def promote(self, names: Iterable[str]) -> None:
         """Copy full-load tables from silver to gold as they are."""
         for name in names:

@@ -56,6 +56,13 @@ def replace_text(spark: SparkSession, path: str, text: str) -> None:
     context.rename(qualified, draft_fs.makeQualified(jvm.org.apache.hadoop.fs.Path(path)), options)
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder; ``target`` must not exist, or the folder would land inside it."""
+    fs, origin = _resolve(spark, source)
+    if not fs.rename(origin, _resolve(spark, target)[1]):
+        raise OSError(f"could not move {source} to {target}")
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, target = _resolve(spark, path)
     fs.delete(target, True)

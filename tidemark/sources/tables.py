@@ -4,9 +4,9 @@ Parquet has no MERGE and no transaction log.  Two sinks stand in for them:
 
 * A *snapshot* table is rewritten as a whole into a new folder; a one-line pointer file then switches readers over.
   Right for dimensions, state and full loads.
-* A *partitioned* table is upserted in place with dynamic partition overwrite: only partitions that receive rows or
-  lose rows are read in full and rewritten.  Right for large tables that a batch touches in few places.  Its commit is
-  not atomic across partitions; replaying the batch repairs an interrupted one, because every upsert is idempotent.
+* A *partitioned* table is upserted in place: only partitions that receive rows or lose rows are read in full and
+  rewritten.  Right for large tables that a batch touches in few places.  New files are staged and recorded before any
+  old one goes, so an interrupted upsert is finished by the next one; readers may see it half done until then.
 """
 
 from __future__ import annotations
@@ -14,16 +14,21 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.conform import align, all_columns, textual_conflicts
 from tidemark.operators.joins import BROADCAST_ROWS, anti_join, is_one_of, semi_join
+from tidemark.operators.upsert import OnDuplicate, resolve_duplicates
 from tidemark.sources import paths
 
 POINTER = "_CURRENT"
 SCHEMA_FILE = "_SCHEMA"
+STAGED_FILE = "_STAGED"
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -115,16 +120,12 @@ def _keep_schema(spark: SparkSession, path: str, df: DataFrame) -> None:
     paths.replace_text(spark, f"{path}/{SCHEMA_FILE}", df.schema.json())
 
 
-def partitions_left(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], partition: str, nullable_keys: bool, small: bool
-) -> DataFrame:
-    """Partitions that hold a row the source replaces, with the number of such rows.
+class Rewritten(list):
+    """Partition values that an upsert rewrote, and how many rows it brought."""
 
-    A key may move between partitions, so these are rewritten even if the source brings them nothing.  Reads keys and
-    the partition column only; a batch of checked size is broadcast, so that the table's keys are not shuffled.
-    """
-    replaced = semi_join(target.select(*keys, partition), source, keys, nullable_keys, small)
-    return replaced.groupBy(partition).agg(F.count("*").alias("leaving"))
+    def __init__(self, values=(), rows: int = 0) -> None:
+        super().__init__(values)
+        self.rows = rows
 
 
 def upsert_partitions(
@@ -135,18 +136,25 @@ def upsert_partitions(
     partition: str,
     nullable_keys: bool = False,
     stable_partition: bool = False,
-) -> list:
-    """Upsert ``source`` (unique on ``keys``) into a partitioned Parquet table, creating it if missing.
+    on_duplicate: OnDuplicate | str = OnDuplicate.ERROR,
+    order: Sequence[str] = (),
+) -> Rewritten:
+    """Upsert ``source`` into a partitioned Parquet table, creating it if missing.
+
+    Several source rows of one key are an error, or resolved as ``on_duplicate`` says.  ``stable_partition`` promises that
+    a key never changes partition, which saves the key scan over the whole table.  A column that is text on one side only
+    becomes text; where that, or a wider number, changes a stored column's type, the whole table is rewritten once.
 
-    ``stable_partition`` promises that a key never changes partition, which saves the key scan over the whole table.
-    Returns the rewritten partition values; they and the other values that pass through the driver are bounded by the
-    number of partitions, not by rows.
+    An upsert that was interrupted is finished first.  The partition values that are returned and otherwise pass through
+    the driver are bounded by the number of partitions, not by rows.
     """
+    recover(spark, path)
+    source = resolve_duplicates(source, keys, on_duplicate, order)
     if not paths.has_data(spark, path):
         overwrite(source, path, [partition])
         _keep_schema(spark, path, source)
-        return []
-    # The batch feeds several jobs below; it is small beside the table.
+        return Rewritten([], read_partitioned(spark, path).count())  # from the files' footers
+    # The batch feeds several jobs below.
     source = source.persist()
     try:
         return _rewrite(spark, path, source, list(keys), partition, nullable_keys, stable_partition)
@@ -154,35 +162,72 @@ def upsert_partitions(
         source.unpersist()
 
 
-def _rewrite(spark, path, source, keys, partition, nullable_keys, stable_partition) -> list:
+def _rewrite(spark, path, source, keys, partition, nullable_keys, stable_partition) -> Rewritten:
     target = read_partitioned(spark, path)
-    arriving = {row[0]: row[1] for row in source.groupBy(partition).count().collect()}
+    text = F.col(partition).cast("string").alias("__text")
+    arriving = source.groupBy(partition, text).agg(F.count("*").alias("rows")).collect()
     if not arriving:
-        return []
-    small = sum(arriving.values()) <= BROADCAST_ROWS
-    leaving: dict = {}
-    if not stable_partition:
-        found = partitions_left(target, source, keys, partition, nullable_keys, small).collect()
-        leaving = {row[partition]: row["leaving"] for row in found if row[partition] not in arriving}
-    emptied = []
-    if leaving:
-        # Row counts come from the files' footers.
-        totals = target.where(is_one_of(partition, leaving)).groupBy(partition).count().collect()
-        emptied = [row[0] for row in totals if row[1] == leaving[row[0]]]
-    touched = [*arriving, *leaving]
-    affected = target.where(is_one_of(partition, touched))
+        return Rewritten()
+    rows = sum(r["rows"] for r in arriving)
+    small = rows <= BROADCAST_ROWS
+    touched = {r["__text"]: r[partition] for r in arriving}
+    columns = all_columns([target, source])
+    as_text = textual_conflicts([target, source])
+    stored = align(target, columns, as_text).union(align(source, columns, as_text)).schema
+    drifted = any(stored[f.name].dataType != f.dataType for f in target.schema.fields)
+    if drifted:
+        affected = target
+        touched |= {r["__text"]: r[partition] for r in target.select(partition, text).distinct().collect()}
+    else:
+        if not stable_partition:
+            # A key may move between partitions, so these are rewritten even if the source brings them nothing.
+            replaced = semi_join(target.select(*keys, partition), source, keys, nullable_keys, small)
+            touched |= {r["__text"]: r[partition] for r in replaced.select(partition, text).distinct().collect()}
+        affected = target.where(is_one_of(partition, list(touched.values())))
     kept = anti_join(affected, source, keys, nullable_keys, small)
-    merged = kept.unionByName(source, allowMissingColumns=True)
-    _keep_schema(spark, path, merged)
-    _writer(merged, "overwrite", [partition]).option("partitionOverwriteMode", "dynamic").parquet(path)
-    # Dynamic overwrite leaves partitions alone that receive no row.
-    for value in emptied:
-        paths.delete(spark, f"{path}/{_folder(partition, value)}")
-    return touched
+    merged = align(kept, columns, as_text).union(align(source, columns, as_text))
+    _replace_partitions(spark, path, merged, partition, list(touched))
+    return Rewritten(touched.values(), rows)
 
 
-def _folder(column: str, value) -> str:
-    return f"{column}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
+def _replace_partitions(spark: SparkSession, path: str, merged: DataFrame, partition: str, touched: list[str | None]) -> None:
+    """Put ``merged`` in place of the touched partitions, so that no crash loses a row.
+
+    All new files are first written to a stage inside the table, then a record says that it is complete.  Only then are
+    folders replaced, by renames that :func:`recover` can take up again.
+    """
+    stage = f"_stage-{uuid.uuid4().hex}"
+    overwrite(merged, f"{path}/{stage}", [partition])
+    filled = set(paths.subfolders(spark, f"{path}/{stage}"))
+    gone = [name for name in _folders(spark, path, partition, touched) if name not in filled]
+    record = {"stage": stage, "emptied": gone, "schema": merged.schema.json()}
+    paths.replace_text(spark, f"{path}/{STAGED_FILE}", json.dumps(record))
+    recover(spark, path)
+
+
+def _folders(spark: SparkSession, path: str, partition: str, values: list[str | None]) -> list[str]:
+    """Folders of the given partition values, looked up by what their escaped names stand for."""
+    wanted = {NULL_PARTITION if v is None else v for v in values}
+    names = [n for n in paths.subfolders(spark, path) if n.startswith(f"{partition}=")]
+    return [n for n in names if unquote(n.split("=", 1)[1]) in wanted]
+
+
+def recover(spark: SparkSession, path: str) -> bool:
+    """Finish an upsert that has staged all its files; every step may be repeated."""
+    text = paths.read_text(spark, f"{path}/{STAGED_FILE}")
+    if text is None:
+        return False
+    record = json.loads(text)
+    stage = f"{path}/{record['stage']}"
+    for name in paths.subfolders(spark, stage):
+        paths.delete(spark, f"{path}/{name}")
+        paths.move(spark, f"{stage}/{name}", f"{path}/{name}")
+    for name in record["emptied"]:
+        paths.delete(spark, f"{path}/{name}")
+    paths.replace_text(spark, f"{path}/{SCHEMA_FILE}", record["schema"])
+    paths.delete(spark, stage)
+    paths.delete(spark, f"{path}/{STAGED_FILE}")
+    return True
 
 
 # --- catalog ---------------------------------------------------------------------------------------------------------
@@ -195,13 +240,21 @@ def table_exists(spark: SparkSession, table: str, schema: str = "default") -> bo
 def register_table(spark: SparkSession, table: str, path: str, schema: str = "default") -> None:
     """Make a Parquet location known to the catalog, creating the schema if needed.
 
-    A snapshot table is registered at its current version; register again after the next write to move the entry.
+    The entry is made anew each time, with the columns and partitions that the location has now; it is external, so the
+    data stay.  A snapshot table is registered at its current version: register again after the next write.
     """
     current = current_snapshot(spark, path)
+    stored = paths.read_text(spark, f"{path}/{SCHEMA_FILE}")
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema}`")
-    if current is not None:
-        spark.sql(f"DROP TABLE IF EXISTS `{schema}`.`{table}`")
-    spark.sql(f"CREATE TABLE IF NOT EXISTS `{schema}`.`{table}` USING parquet LOCATION '{current or path}'")
+    spark.sql(f"DROP TABLE IF EXISTS `{schema}`.`{table}`")
+    if current is None and stored:
+        columns = T.StructType.fromJson(json.loads(stored))
+        partition = next(n.split("=", 1)[0] for n in paths.subfolders(spark, path) if "=" in n and n[0] != "_")
+        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns.fields)
+        where = f"PARTITIONED BY (`{partition}`) LOCATION '{path}'"
+        spark.sql(f"CREATE TABLE `{schema}`.`{table}` ({ddl}) USING parquet {where}")
+    else:
+        spark.sql(f"CREATE TABLE `{schema}`.`{table}` USING parquet LOCATION '{current or path}'")
     if any(column.isPartition for column in spark.catalog.listColumns(f"{schema}.{table}")):
         spark.catalog.recoverPartitions(f"{schema}.{table}")
 

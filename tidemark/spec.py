@@ -41,6 +41,8 @@ class TableSpec:
     watermark: str | None = None
     load_type: LoadType = LoadType.INCREMENTAL
     last_loaded: datetime = field(default=NEVER_LOADED)
+    # True promises that a row's watermark date never changes, so that no upsert looks for it in other partitions.
+    stable_partition: bool = False
 
     def __post_init__(self) -> None:
         if not self.keys:

@@ -38,7 +38,7 @@ def bronze_writer(
     def write(batch: DataFrame, _epoch: int) -> None:
         enriched = add_lineage(batch, spec, as_of)
         unique = dedupe_latest(enriched, [S.HASH_KEY], [landing.BATCH, spec.watermark]).drop(landing.BATCH)
-        tables.upsert_partitions(batch.sparkSession, path, unique, [S.HASH_KEY], S.PARTITION_DATE)
+        tables.upsert_partitions(batch.sparkSession, path, unique, [S.HASH_KEY], S.PARTITION_DATE, on_duplicate="keep")
 
     return write
 
