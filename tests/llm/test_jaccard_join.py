@@ -95,11 +95,13 @@ def test_regions_find_all_close_pairs(monkeypatch):
     n = np.array([len(s) for s in sets])
     counts = [jaccard_join.class_counts(s).tobytes() for s in sets]
     one = np.array([len(sets)])
-    i, j, _ = jaccard_join.cell_candidates(np.array([0]), one, n, counts, np.arange(len(sets)))
+    zero = np.zeros(len(sets), np.int64)
+    rows = jaccard_join.Rows(n, np.arange(len(sets)), zero, np.zeros((len(sets), 8), np.int64))
+    i, j, _ = jaccard_join.cell_candidates(np.array([0]), one, rows, counts)
     found = set(zip(i.tolist(), j.tolist())) | set(zip(j.tolist(), i.tolist()))
     whole = set(found)
     monkeypatch.setattr(jaccard_join, "LEAF", 10_000)
-    i, j, _ = jaccard_join.cell_candidates(np.array([0]), one, n, counts, np.arange(len(sets)))
+    i, j, _ = jaccard_join.cell_candidates(np.array([0]), one, rows, counts)
     assert whole == set(zip(i.tolist(), j.tolist())) | set(zip(j.tolist(), i.tolist()))
     linked = {
         (a, b)

@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass, fields
 
 import numpy as np
 import pandas as pd
@@ -46,6 +47,7 @@ SAMPLE_DOCS = 10_000
 COMMON_SHARE = 0.005  # of the sampled documents; such shingles are last in the order
 LEAF = 48
 PIVOTS = 8
+EARLY = 8
 CELL_ROWS = 4000
 NEAREST_ROUNDS = 1
 SIZE_CLASS = DENOMINATOR / NUMERATOR
@@ -89,10 +91,36 @@ def prefix(shingles: np.ndarray, common: np.ndarray) -> np.ndarray:
     return shingles[:k]
 
 
-def _fit(n: np.ndarray, component: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Pairs in different components whose sizes allow a link."""
-    fits = component[i] != component[j]
-    return fits & (DENOMINATOR * np.minimum(n[i], n[j]) >= NUMERATOR * np.maximum(n[i], n[j]))
+@dataclass(frozen=True)
+class Rows:
+    """The rows of some cells: sizes, components, the position of the cell's shingle in the set's order, and of the
+    first shared shingles of the set those in front of it (0 where there is none)."""
+
+    n: np.ndarray
+    component: np.ndarray
+    position: np.ndarray
+    before: np.ndarray
+
+    def part(self, begin: int, end: int) -> Rows:
+        return Rows(*(getattr(self, f.name)[begin:end] for f in fields(self)))
+
+
+def _fit(rows: Rows, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Of the pairs those in different components that may link and have not met in an earlier cell.
+
+    At the first shingle that two sets share, what is left of either bounds the intersection.  Pairs that share one in
+    front of this cell's are left to that one's cell, so that a pair comes up once and not in each of its cells.
+    """
+    n, left = rows.n, rows.n - rows.position
+    fits = rows.component[i] != rows.component[j]
+    fits &= DENOMINATOR * np.minimum(n[i], n[j]) >= NUMERATOR * np.maximum(n[i], n[j])
+    fits &= (NUMERATOR + DENOMINATOR) * np.minimum(left[i], left[j]) >= NUMERATOR * (n[i] + n[j])
+    some = np.flatnonzero(fits)
+    for lo in range(0, len(some), 20_000):
+        s = some[lo : lo + 20_000]
+        x, y = rows.before[i[s]][:, :, None], rows.before[j[s]][:, None, :]
+        fits[s] = ~((x == y) & (x != 0)).any(axis=(1, 2))
+    return fits
 
 
 def _near(n: np.ndarray, counts: list[bytes], i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -115,7 +143,7 @@ def _near(n: np.ndarray, counts: list[bytes], i: np.ndarray, j: np.ndarray) -> t
     return i[near], j[near], distance[near]
 
 
-def small_cells(begin: np.ndarray, size: np.ndarray, n: np.ndarray, component: np.ndarray) -> Iterator[tuple]:
+def small_cells(begin: np.ndarray, size: np.ndarray, rows: Rows) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of sets within cells of at most ``LEAF`` rows, for all cells of one size at once."""
     for s in np.unique(size):
         one, two = np.triu_indices(int(s), 1)
@@ -124,16 +152,17 @@ def small_cells(begin: np.ndarray, size: np.ndarray, n: np.ndarray, component: n
         for lo in range(0, len(starts), step):
             base = starts[lo : lo + step][:, None]
             i, j = (base + one).ravel(), (base + two).ravel()
-            keep = _fit(n, component, i, j)
+            keep = _fit(rows, i, j)
             yield i[keep], j[keep]
 
 
-def regions(n: np.ndarray, counts: np.ndarray, component: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def regions(cell: Rows, counts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of a large cell that may link: Voronoi regions with windows, joined recursively.
 
     A document x with its nearest pivot p and a partner y within the radius r of it: d(y, p) <= r + d(x, p) <=
     r + d(x, q) <= 2 r + d(y, q) for the pivot q nearest to y.  So y is in the window of p.
     """
+    n, component = cell.n, cell.component
     pending = [np.arange(len(n))]
     while pending:
         rows = pending.pop()
@@ -152,22 +181,23 @@ def regions(n: np.ndarray, counts: np.ndarray, component: np.ndarray) -> Iterato
         for lo in range(0, len(rows), 64):
             i = np.repeat(rows[lo : lo + 64], len(rows))
             j = np.tile(rows, len(rows[lo : lo + 64]))
-            keep = (i < j) & _fit(n, component, i, j)
+            i, j = i[i < j], j[i < j]
+            keep = _fit(cell, i, j)
             yield i[keep], j[keep]
 
 
 def cell_candidates(
-    begin: np.ndarray, size: np.ndarray, n: np.ndarray, counts: list[bytes], component: np.ndarray
+    begin: np.ndarray, size: np.ndarray, rows: Rows, counts: list[bytes]
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(i, j, distance) of all pairs within a cell that may link and are not in one component."""
     found = [(np.empty(0, np.int64),) * 3]
     small = size <= LEAF
-    found += [_near(n, counts, i, j) for i, j in small_cells(begin[small], size[small], n, component)]
+    found += [_near(rows.n, counts, i, j) for i, j in small_cells(begin[small], size[small], rows)]
     for lo, s in zip(begin[~small].tolist(), size[~small].tolist()):
         part = counts[lo : lo + s]
         table = folded(part, min(map(len, part)))
-        for i, j in regions(n[lo : lo + s], table, component[lo : lo + s]):
-            found.append(_near(n, counts, lo + i, lo + j))
+        for i, j in regions(rows.part(lo, lo + s), table):
+            found.append(_near(rows.n, counts, lo + i, lo + j))
     i, j, d = (np.concatenate(c) for c in zip(*found))
     return i, j, d
 
@@ -205,7 +235,7 @@ def _common(texts: DataFrame, total: int) -> np.ndarray:
 
 
 def _cells(texts: DataFrame, common: np.ndarray, buckets: int) -> DataFrame:
-    """``token, key`` of prefix shingles that at least two documents share.
+    """``token, key, position`` of prefix shingles that at least two documents share.
 
     Tasks pack what they send to a bucket of hashes into one binary row for each batch; copies within a task are sent
     once.  Common shingles are known to be shared and do not gather in a bucket.
@@ -215,7 +245,7 @@ def _cells(texts: DataFrame, common: np.ndarray, buckets: int) -> DataFrame:
     def scatter(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[bytes] = set()  # one digest for each text of the task's split
         for batch in batches:
-            tokens, keys = [], []
+            tokens, keys, places = [], [], []
             for key, text in zip(batch["key"].tolist(), batch["text"]):
                 shingles = shingle_set((text or "").encode())
                 digest = hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
@@ -224,40 +254,54 @@ def _cells(texts: DataFrame, common: np.ndarray, buckets: int) -> DataFrame:
                     first = prefix(shingles, shared.value)
                     tokens.append(first)
                     keys.append(np.full(len(first), key, np.int64))
+                    places.append(np.arange(len(first), dtype=np.int32))
             if not tokens:
                 continue
-            token, key = np.concatenate(tokens), np.concatenate(keys)
+            token, key, place = np.concatenate(tokens), np.concatenate(keys), np.concatenate(places)
             bucket = ((token >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
             late = np.isin(token, shared.value)
             bucket[late] = buckets + key[late] % buckets
             order = np.argsort(bucket, kind="stable")
-            token, key, bucket = token[order], key[order], bucket[order]
-            cut = np.flatnonzero(np.diff(bucket)) + 1
+            cut = np.flatnonzero(np.diff(bucket[order])) + 1
+            packed = [[x.tobytes() for x in np.split(c[order], cut)] for c in (token, key, place)]
             yield pd.DataFrame({
-                "bucket": bucket[np.append(0, cut)].astype(np.int32),
-                "tokens": [t.tobytes() for t in np.split(token, cut)], "keys": [k.tobytes() for k in np.split(key, cut)],
+                "bucket": bucket[order][np.append(0, cut)].astype(np.int32),
+                "tokens": packed[0], "keys": packed[1], "places": packed[2],
             })
 
     def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokens, keys = [], []
+        parts = []
         for batch in batches:
-            for bucket, t, k in zip(batch["bucket"], batch["tokens"], batch["keys"]):
+            for bucket, t, k, p in batch.itertuples(index=False):
+                columns = np.frombuffer(t, np.int64), np.frombuffer(k, np.int64), np.frombuffer(p, np.int32)
                 if bucket >= buckets:
-                    yield pd.DataFrame({"token": np.frombuffer(t, np.int64), "key": np.frombuffer(k, np.int64)})
+                    yield pd.DataFrame(dict(zip(("token", "key", "position"), columns)))
                 else:
-                    tokens.append(np.frombuffer(t, np.int64))
-                    keys.append(np.frombuffer(k, np.int64))
-        if tokens:
-            token, key = np.concatenate(tokens), np.concatenate(keys)
-            tokens = keys = None
+                    parts.append(columns)
+        if parts:
+            token, key, place = (np.concatenate(c) for c in zip(*parts))
+            parts = None
             order = np.argsort(token, kind="stable")
-            token, key = token[order], key[order]
+            token, key, place = token[order], key[order], place[order]
             same = np.append(False, token[1:] == token[:-1])
             keep = same | np.append(same[1:], False)
-            yield pd.DataFrame({"token": token[keep], "key": key[keep]})
+            yield pd.DataFrame({"token": token[keep], "key": key[keep], "position": place[keep]})
+
+    packed = texts.mapInPandas(scatter, "bucket int, tokens binary, keys binary, places binary")
+    return packed.repartitionById(2 * buckets, "bucket").mapInPandas(gather, "token long, key long, position int")
 
-    packed = texts.mapInPandas(scatter, "bucket int, tokens binary, keys binary")
-    return packed.repartitionById(2 * buckets, "bucket").mapInPandas(gather, "token long, key long")
+
+def _early(cells: DataFrame) -> DataFrame:
+    """``key, early``: the first ``EARLY`` shared shingles of each set, as packed (position, shingle) pairs."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            packed = [np.array([(p["position"], p["token"]) for p in x], np.int64).tobytes() for x in batch["first"]]
+            yield pd.DataFrame({"key": batch["key"], "early": packed})
+
+    first = F.slice(F.sort_array(F.collect_list(F.struct("position", "token"))), 1, EARLY)  # of one set's prefix
+    found = cells.groupBy("key").agg(first.alias("first")).mapInPandas(run, "key long, early binary")
+    return stored(found, "jaccard-early")
 
 
 def _verified(pairs: DataFrame, packed: DataFrame) -> DataFrame:
@@ -303,10 +347,10 @@ def _plausible(pairs: DataFrame, info: DataFrame) -> DataFrame:
 
 
 def _conflicts(cells: DataFrame, labels: DataFrame) -> DataFrame:
-    """``token, key, component`` of cells in which several components meet."""
+    """``token, key, position, component`` of cells in which several components meet."""
     labelled = stored(
         cells.join(labels.select(F.col("node").alias("key"), "component"), "key", "left").select(
-            "token", "key", F.coalesce("component", "key").alias("component")
+            "token", "key", "position", F.coalesce("component", "key").alias("component")
         ),
         "cell-components",
     )
@@ -329,8 +373,8 @@ def _candidates(conflicts: DataFrame, info: DataFrame, nearest: bool) -> DataFra
     )
     rows = (
         conflicts.join(cells, "token", "left")
-        .select("token", "key", "component", F.explode(F.coalesce(part, F.array(F.lit(0)))).alias("part"))
-        .join(info.select("key", "n", "counts"), "key")
+        .select("token", "key", "position", "component", F.explode(F.coalesce(part, F.array(F.lit(0)))).alias("part"))
+        .join(info, "key")
     )
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -352,7 +396,14 @@ def _candidates(conflicts: DataFrame, info: DataFrame, nearest: bool) -> DataFra
         begin = np.append(0, np.flatnonzero((token[1:] != token[:-1]) | (part[1:] != part[:-1])) + 1)
         size = np.diff(np.append(begin, len(token)))
         several = size > 1
-        i, j, d = cell_candidates(begin[several], size[several], n, rows["counts"].tolist(), component)
+        position = rows["position"].to_numpy(np.int64)
+        early, at = np.zeros((len(rows), EARLY), np.int64), np.full((len(rows), EARLY), np.iinfo(np.int64).max)
+        for r, shared in enumerate(rows["early"]):
+            pairs = np.frombuffer(shared, np.int64).reshape(-1, 2)
+            at[r, : len(pairs)], early[r, : len(pairs)] = pairs[:, 0], pairs[:, 1]
+        before = np.where(at < position[:, None], early, 0)
+        cells_ = Rows(n, component, position, before)
+        i, j, d = cell_candidates(begin[several], size[several], cells_, rows["counts"].tolist())
         if nearest and len(i):
             i, j, d = np.concatenate([i, j]), np.concatenate([j, i]), np.concatenate([d, d])
             order = np.lexsort((key[j], d, i))
@@ -366,7 +417,8 @@ def _candidates(conflicts: DataFrame, info: DataFrame, nearest: bool) -> DataFra
 
     buckets = int(conflicts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = rows.repartition(buckets, "token", "part").sortWithinPartitions("token", "part")
-    return spread.select("token", "part", "key", "component", "n", "counts").mapInPandas(run, "a long, b long").distinct()
+    names = ["token", "part", "key", "position", "component", "n", "counts", "early"]
+    return spread.select(*names).mapInPandas(run, "a long, b long").distinct()
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -404,15 +456,14 @@ def _labels(texts: DataFrame) -> DataFrame:
     info = members.filter("key = first").select("key", "n", "counts")
 
     cells = stored(_cells(texts, _common(texts, documents.count()), buckets), "jaccard-cells")
+    folded_ = cells.join(members.select("key", "first", "n"), "key").select("token", F.col("first").alias("key"), "n", "position")
+    cells = stored(folded_.distinct(), "jaccard-cells-folded")
+    info = info.join(_early(cells), "key")
     # Sets that link differ in size by a factor of ``SIZE_CLASS`` at most, so they meet in one of two neighbouring classes.
     size_class = F.floor(F.log("n") / F.log(F.lit(SIZE_CLASS)) + 1e-9).cast("int")
-    cells = (
-        cells.join(members.select("key", "first", "n"), "key")
-        .select("token", F.col("first").alias("key"), F.explode(F.array(size_class, size_class + 1)).alias("size_class"))
-        .select(F.xxhash64("token", "size_class").alias("token"), "key")
-        .distinct()
-    )
-    cells = stored(cells, "jaccard-cells-folded")
+    cells = cells.select(
+        "token", "key", "position", F.explode(F.array(size_class, size_class + 1)).alias("size_class")
+    ).select(F.xxhash64("token", "size_class").alias("token"), "key", "position")
     pivots = cells.groupBy("token").agg(F.min("key").alias("a"), F.max("key").alias("z")).filter("a <> z").select("token", "a")
     stars = cells.join(stored(pivots, "jaccard-pivots"), "token").filter("a <> key").select("a", F.col("key").alias("b"))
     pairs = stored(_plausible(stars.distinct(), info), "jaccard-pairs")
@@ -442,6 +493,6 @@ def _labels(texts: DataFrame) -> DataFrame:
         links = links.unionByName(found)
         labels = stored(components(links), "jaccard-components")
         if turn < NEAREST_ROUNDS:
-            conflicts = stored(_conflicts(conflicts.select("token", "key"), labels), "jaccard-conflicts")
+            conflicts = stored(_conflicts(conflicts.select("token", "key", "position"), labels), "jaccard-conflicts")
     named = members.join(labels.select(F.col("node").alias("first"), "component"), "first", "left")
     return named.select("key", "n", F.coalesce("component", "first").alias("component"))
