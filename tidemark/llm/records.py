@@ -127,10 +127,15 @@ class WordEncoder:
         yield from self._encode_group(group)
 
     def _encode_group(self, group: list[list[bytes]]) -> Iterator[bytes]:
-        known = self.words
-        found = self._learn({w for tokens in group for w in tokens if w not in known})
-        for tokens in group:
-            yield b"".join([*[known[w] if w in known else found[w] for w in tokens], self.end])
+        # One look-up a word; only words that are not known are looked at again.
+        looked_up = [list(map(self.words.get, tokens)) for tokens in group]
+        missing = [k for k, ids in enumerate(looked_up) if None in ids]
+        found = self._learn({w for k in missing for w, x in zip(group[k], looked_up[k]) if x is None})
+        for k in missing:
+            looked_up[k] = [found[w] if x is None else x for w, x in zip(group[k], looked_up[k])]
+        for ids in looked_up:
+            ids.append(self.end)
+            yield b"".join(ids)
 
 
 _ENCODERS: dict[tuple[str, int], WordEncoder] = {}
