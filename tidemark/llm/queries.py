@@ -94,6 +94,26 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+ORACLES["op2_suffix_dedup"] = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n FROM documents),
+windows AS (SELECT doc_id, i, md5(substr(h, 2 * i + 1, 800)) AS m
+            FROM (SELECT doc_id, h, unnest(range(0, n - 399)) AS i FROM d WHERE n >= 400)),
+repeated AS (SELECT doc_id, i FROM windows WHERE m IN (SELECT m FROM windows GROUP BY m HAVING count(*) > 1)),
+marked AS (SELECT *, CASE WHEN i <= lag(i) OVER w + 400 THEN 0 ELSE 1 END AS fresh
+           FROM repeated WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+numbered AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM marked),
+spans AS (SELECT doc_id, min(i) AS b, max(i) + 400 AS e FROM numbered GROUP BY doc_id, span),
+gaps AS (SELECT doc_id, coalesce(lag(e) OVER w, 0) AS b, b AS e FROM spans WINDOW w AS (PARTITION BY doc_id ORDER BY b)
+         UNION ALL SELECT d.doc_id, coalesce(max(s.e), 0), d.n FROM d LEFT JOIN spans s ON s.doc_id = d.doc_id GROUP BY d.doc_id, d.n),
+kept AS (SELECT d.doc_id, string_agg(substr(h, 2 * b + 1, 2 * (e - b)), '' ORDER BY b) AS h
+         FROM d JOIN gaps USING (doc_id) GROUP BY d.doc_id),
+removed AS (SELECT doc_id, sum(e - b) AS n, count(*) AS spans FROM spans GROUP BY doc_id)
+SELECT d.doc_id, d.n AS n_bytes, CAST(coalesce(r.n, 0) AS BIGINT) AS n_removed, CAST(coalesce(r.spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(k.h)) AS kept_sha256
+FROM d JOIN kept k USING (doc_id) LEFT JOIN removed r USING (doc_id)
+"""
+
+
 @query
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -131,6 +151,24 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(table(spark, sf_dir, "documents"))
 
 
+ORACLES["op6_jaccard_join"] = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i + 1 : i + 5], ' ') AS s
+  FROM (SELECT doc_id, ws, unnest(range(0, CASE WHEN len(ws) > 0 THEN greatest(len(ws) - 4, 1) ELSE 0 END)) AS i FROM split)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+          GROUP BY ALL),
+links AS (SELECT a, b FROM pairs p JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+          WHERE 100 * p.n >= 80 * (x.n + y.n - p.n)),
+reach AS (SELECT doc_id, doc_id AS c FROM documents UNION SELECT l.b, r.c FROM reach r JOIN links l ON l.a = r.doc_id)
+SELECT r.doc_id, CAST(coalesce(any_value(s.n), 0) AS BIGINT) AS n_shingles, min(r.c) AS component_id
+FROM reach r LEFT JOIN sizes s ON s.doc_id = r.doc_id GROUP BY r.doc_id
+"""
+
+
 @query
 def op7_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = records.write(
