@@ -1,4 +1,4 @@
-"""Slowly changing dimension over event histories: one row per user and day stands for a daily employee snapshot."""
+"""Slowly changing dimension over event histories: every event stands for an employee snapshot."""
 
 from __future__ import annotations
 
@@ -15,7 +15,7 @@ from tidemark.spec import parse_instant
 
 TRACKED = ("EmployeeID", "Status", "Team", "HireDate", "LastDayWorked", "TerminationDate", "TerminationReason")
 
-# One row per user and day, so an entity's history is bounded by the number of days.
+# Promises that no entity's history is too long for one task.
 SPEC = VersionSpec(
     entity="EmployeeID", order="LoadDate", tracked=TRACKED, filled=("Team",), max_rows_per_entity=None
 )
@@ -43,6 +43,7 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per user and day, for the steps that have day grain by themselves."""
     return scd2.latest_per_day(snapshots(spark, sf_dir), "EmployeeID", "LoadDate")
 
 
@@ -125,24 +126,24 @@ def _chain(source: str, prefix: str = "") -> str:
     return ",\n".join(parts)
 
 
-@query(f"WITH {_DAILY}, {_hashed('history')} SELECT * FROM hashed")
+@query(f"WITH {_SNAPSHOTS}, {_hashed('snapshots')} SELECT * FROM hashed")
 def scd2_row_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scd2.add_row_hash(daily(spark, sf_dir), SPEC)
+    return scd2.add_row_hash(snapshots(spark, sf_dir), SPEC)
 
 
-@query(f"WITH {_DAILY}, {_hashed('history')}, {_changes()} SELECT * FROM changes")
+@query(f"WITH {_SNAPSHOTS}, {_hashed('snapshots')}, {_changes()} SELECT * FROM changes")
 def scd2_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scd2.keep_changes(scd2_row_hash(spark, sf_dir), SPEC)
 
 
-@query(f"WITH {_DAILY}, {_hashed('history')}, {_ended('hashed')} SELECT * FROM ended")
+@query(f"WITH {_SNAPSHOTS}, {_hashed('snapshots')}, {_ended('hashed')} SELECT * FROM ended")
 def scd2_terminal_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scd2.drop_after_end(scd2_row_hash(spark, sf_dir), SPEC)
 
 
-@query(f"WITH {_DAILY}, {_filled('history')} SELECT * FROM filled")
+@query(f"WITH {_SNAPSHOTS}, {_filled('snapshots')} SELECT * FROM filled")
 def scd2_forward_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scd2.fill_forward(daily(spark, sf_dir), SPEC)
+    return scd2.fill_forward(snapshots(spark, sf_dir), SPEC)
 
 
 @query(f"WITH {_DAILY}, {_dated('history')} SELECT * FROM dated")
@@ -155,9 +156,9 @@ def scd2_terminated_open_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scd2.open_ended_versions(scd2.add_effective_dates(daily(spark, sf_dir), SPEC), SPEC)
 
 
-@query(f"WITH {_DAILY}, {_settled('history')} SELECT * FROM settled")
+@query(f"WITH {_SNAPSHOTS}, {_settled('snapshots')} SELECT * FROM settled")
 def scd2_status_fix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scd2.settle_status(daily(spark, sf_dir), SPEC)
+    return scd2.settle_status(snapshots(spark, sf_dir), SPEC)
 
 
 @query(f"""WITH {_DAILY}, {_dated('history')}, {_numbered('dated')}
@@ -167,9 +168,9 @@ def scd2_surrogate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scd2.add_surrogate_key(dated, SPEC).select("EmployeeID", "LoadDate", "EffectiveStartDate", "Dim_ID")
 
 
-@query(f"WITH {_DAILY}, {_chain('history')} SELECT * FROM numbered")
+@query(f"WITH {_SNAPSHOTS}, {_chain('snapshots')} SELECT * FROM numbered")
 def scd2_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scd2.versions(daily(spark, sf_dir), SPEC)
+    return scd2.versions(snapshots(spark, sf_dir), SPEC)
 
 
 @query(f"WITH {_SNAPSHOTS}, {_chain('snapshots')} SELECT * FROM numbered")
@@ -207,7 +208,7 @@ LAYOUT = [
 ]
 
 
-@query(f"WITH {_DAILY}, {_chain('history')} SELECT {_LAYOUT.replace('\"Status\"', '\"Status\" AS \"State\"')} FROM numbered")
+@query(f"WITH {_SNAPSHOTS}, {_chain('snapshots')} SELECT {_LAYOUT.replace('\"Status\"', '\"Status\" AS \"State\"')} FROM numbered")
 def scd2_final_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rename, timestamps to dates, fixed column order."""
     columns = ["State" if c == "Status" else c for c in LAYOUT]
@@ -222,29 +223,29 @@ def _since_split(history: DataFrame) -> DataFrame:
     return history.where(F.col("LoadDate") >= F.lit(SPLIT_DAY).cast("timestamp_ntz"))
 
 
-@query(f"WITH {_DAILY}, {_chain('history')} SELECT * FROM numbered")
+@query(f"WITH {_SNAPSHOTS}, {_chain('snapshots')} SELECT * FROM numbered")
 def scd2_closeout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two batches: the second closes versions that the first left open.  Equal to one full build."""
-    history = daily(spark, sf_dir)
+    history = snapshots(spark, sf_dir)
     target = scd2.versions(_before_split(history), SPEC)
     return scd2.merge_versions(target, history, _since_split(history), SPEC)
 
 
-@query(f"""WITH {_DAILY},
-early AS (SELECT * FROM history WHERE "LoadDate" < TIMESTAMP '{SPLIT_DAY}'),
-late AS (SELECT * FROM history WHERE "LoadDate" >= TIMESTAMP '{SPLIT_DAY}' - INTERVAL 2 DAY),
+@query(f"""WITH {_SNAPSHOTS},
+early AS (SELECT * FROM snapshots WHERE "LoadDate" < TIMESTAMP '{SPLIT_DAY}'),
+late AS (SELECT * FROM snapshots WHERE "LoadDate" >= TIMESTAMP '{SPLIT_DAY}' - INTERVAL 2 DAY),
 {_chain('early', 'e_')}, {_chain('late', 'l_')}
 SELECT * FROM e_numbered UNION ALL
 SELECT * FROM l_numbered WHERE "RowHashKey" NOT IN (SELECT "RowHashKey" FROM e_numbered)""")
 def scd2_insert_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Insert-only load of a batch with two days of look-back: open versions of the first batch stay open."""
-    history = daily(spark, sf_dir)
+    history = snapshots(spark, sf_dir)
     target = scd2.versions(_before_split(history), SPEC)
     recent = filter_lookback(history, "LoadDate", parse_instant(f"{SPLIT_DAY}T00:00:00Z"), days=2)
     return scd2.insert_versions(target, scd2.versions(recent, SPEC), SPEC)
 
 
-@query(f"""WITH {_DAILY}, {_chain('history')}
+@query(f"""WITH {_SNAPSHOTS}, {_chain('snapshots')}
 SELECT max("EffectiveStartDate") AS watermark, count(*) AS versions FROM numbered""")
 def scd2_next_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dimension's own watermark: its largest effective start."""

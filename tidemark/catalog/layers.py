@@ -98,44 +98,41 @@ def batch_watermarks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return W.batch_watermarks(tagged, "ts")
 
 
-def _order_watermarks(orders: DataFrame) -> DataFrame:
+def _order_watermarks(orders: DataFrame, host: Column, days: Column) -> DataFrame:
+    """Watermarks per host of all orders, each moved by a number of days."""
+    stamp = (F.col("o_orderdate").cast("timestamp") + F.make_dt_interval(days)).cast("timestamp_ntz")
     sources = orders.select(
-        server().alias("host"), F.lit("sales").alias("database"), F.lit("orders").alias("table"), "o_orderdate"
+        host.alias("host"), F.lit("sales").alias("database"), F.lit("orders").alias("table"), stamp.alias("stamp")
     )
-    return W.batch_watermarks(sources, "o_orderdate", ("host", "database", "table"))
+    return W.batch_watermarks(sources, "stamp", ("host", "database", "table"))
 
 
 @query("""
-WITH per_host AS (SELECT o_orderstatus, max(o_orderdate) AS watermark FROM orders
-                  WHERE o_orderdate < TIMESTAMP '1999-01-01' AND (o_orderstatus <> 'P' OR o_orderdate < TIMESTAMP '1997-01-01')
-                  GROUP BY o_orderstatus)
+WITH per_host AS (SELECT o_orderstatus, max(o_orderdate - CASE WHEN o_orderstatus = 'P' THEN INTERVAL 730 DAY
+                                            ELSE INTERVAL 0 DAY END) AS watermark FROM orders GROUP BY o_orderstatus)
 SELECT 'orders' AS "table", min(watermark) AS watermark FROM per_host
 """)
 def watermark_min_over_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One server lags behind the others."""
-    orders = table(spark, sf_dir, "orders").where(
-        (F.col("o_orderdate") < F.lit("1999-01-01").cast("timestamp_ntz"))
-        & ((F.col("o_orderstatus") != "P") | (F.col("o_orderdate") < F.lit("1997-01-01").cast("timestamp_ntz")))
-    )
-    return W.earliest_watermark(_order_watermarks(orders))
+    """One server lags two years behind the others."""
+    lag = F.when(F.col("o_orderstatus") == "P", -730).otherwise(0)
+    return W.earliest_watermark(_order_watermarks(table(spark, sf_dir, "orders"), server(), lag))
 
 
 @query("""
-WITH state AS (SELECT 'srv-' || o_orderstatus AS host, max(o_orderdate) AS w FROM orders
-               WHERE o_orderdate < TIMESTAMP '1999-01-01' AND o_orderstatus IN ('F', 'O') GROUP BY ALL),
-staged AS (SELECT 'srv-' || o_orderstatus AS host, max(o_orderdate) AS w FROM orders
-           WHERE (o_orderstatus = 'O' AND o_orderdate < TIMESTAMP '1998-01-01') OR o_orderstatus IN ('F', 'P') GROUP BY ALL)
+WITH state AS (SELECT CASE WHEN o_orderstatus = 'F' THEN 'srv-F' ELSE 'srv-O' END AS host, max(o_orderdate) AS w
+               FROM orders GROUP BY ALL),
+staged AS (SELECT 'srv-' || o_orderstatus AS host, max(o_orderdate + CASE o_orderstatus WHEN 'F' THEN INTERVAL 30 DAY
+             WHEN 'O' THEN INTERVAL (-730) DAY ELSE INTERVAL 0 DAY END) AS w FROM orders GROUP BY ALL)
 SELECT coalesce(a.host, b.host) AS host, 'sales' AS database, 'orders' AS "table", greatest(a.w, b.w) AS watermark
 FROM state a FULL JOIN staged b ON a.host = b.host
 """)
 def watermark_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A server that moved on, one whose staged value is older than the state's, and one that is new."""
-    orders = table(spark, sf_dir, "orders")
-    before = lambda day: F.col("o_orderdate") < F.lit(day).cast("timestamp_ntz")
-    status = F.col("o_orderstatus")
-    state = _order_watermarks(orders.where(before("1999-01-01") & status.isin("F", "O")))
-    staged = _order_watermarks(orders.where(((status == "O") & before("1998-01-01")) | status.isin("F", "P")))
-    return W.commit_watermarks(state, staged)
+    orders, status = table(spark, sf_dir, "orders"), F.col("o_orderstatus")
+    known = F.when(status == "F", "srv-F").otherwise("srv-O")
+    state = _order_watermarks(orders, known, F.lit(0))
+    moved = F.when(status == "F", 30).when(status == "O", -730).otherwise(0)
+    return W.commit_watermarks(state, _order_watermarks(orders, server(), moved))
 
 
 @query("""

@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession
 # Values every job needs for right results (the zone) or for sound plans at scale (AQE and its skew handling).
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -20,7 +21,8 @@ SESSION_CONF = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
-# Beyond this the driver spends more on bookkeeping than smaller partitions save.
+# Beyond this the driver spends more on bookkeeping than smaller partitions save.  A shuffle of more than this number of
+# ``partition_bytes`` gets larger partitions; raise ``partition_bytes`` there, with the executors' memory.
 MAX_SHUFFLE_PARTITIONS = 100_000
 
 
