@@ -301,3 +301,16 @@ def test_purge_keeps_what_is_pending_and_the_newest(spark, lake):
             lake.bronze(A)
     assert len(lake.purge([A])) == 1 and len(lake.pending([A][0])) == 1
     assert len(landing.landed_batches(spark, lake.path("landing", A))) == 2
+
+
+def test_a_batch_that_comes_late_does_not_replace_newer_rows(spark):
+    root = scratch_path(spark, "late")
+
+    def once():
+        stream_to_bronze(spark, A, f"{root}/in", pull(spark).schema, f"{root}/out", f"{root}/cp", utc(9)).awaitTermination()
+
+    landing.land(pull(spark, (1, 5, "new"), (2, 1, "a")), f"{root}/in", "b2")
+    once()
+    landing.land(pull(spark, (1, 3, "old"), (2, 4, "b"), (3, 1, "c")), f"{root}/in", "b1")
+    once()
+    assert content(tables.read_partitioned(spark, f"{root}/out")) == [("srv-a", 1, "new"), ("srv-a", 2, "b"), ("srv-a", 3, "c")]

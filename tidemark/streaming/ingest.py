@@ -10,13 +10,15 @@ from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from tidemark import spec as S
 from tidemark.operators.enrich import add_lineage
+from tidemark.operators.joins import fits_broadcast, semi_join
 from tidemark.operators.upsert import dedupe_latest
-from tidemark.sources import landing, tables
+from tidemark.sources import landing, paths, tables
 from tidemark.spec import TableSpec
 
 
@@ -37,12 +39,29 @@ def bronze_writer(
 
     def write(batch: DataFrame, _epoch: int) -> None:
         enriched = add_lineage(batch, spec, as_of)
-        unique = dedupe_latest(enriched, [S.HASH_KEY], [landing.BATCH, spec.watermark]).drop(landing.BATCH)
-        tables.upsert_partitions(batch.sparkSession, path, unique, [S.HASH_KEY], S.PARTITION_DATE, on_duplicate="keep")
+        spark = batch.sparkSession
+        unique = dedupe_latest(enriched, [S.HASH_KEY], [landing.BATCH, spec.watermark]).drop(landing.BATCH).persist()
+        try:
+            tables.recover(spark, path)
+            stored = tables.read_partitioned(spark, path) if paths.has_data(spark, path) else None
+            rows = unique if stored is None else _not_older(unique, stored, spec.watermark)
+            tables.upsert_partitions(spark, path, rows, [S.HASH_KEY], S.PARTITION_DATE, on_duplicate="keep")
+        finally:
+            unique.unpersist()
 
     return write
 
 
+def _not_older(rows: DataFrame, stored: DataFrame, watermark: str) -> DataFrame:
+    """Rows without a newer one of the same key in the table: files are taken up by their modification time, so a batch may
+    come after one that was landed later."""
+    keys = rows.select(S.HASH_KEY)
+    known = semi_join(stored.select(S.HASH_KEY, watermark), keys, [S.HASH_KEY], False, small=fits_broadcast(keys))
+    joined = rows.join(known.withColumnRenamed(watermark, "__stored"), S.HASH_KEY, "left")
+    current = F.col("__stored").isNull() | (F.col(watermark) >= F.col("__stored"))
+    return joined.where(current).select(*rows.columns)
+
+
 def stream_to_bronze(
     spark: SparkSession,
     spec: TableSpec,
