@@ -96,7 +96,7 @@ def test_regions_find_all_close_pairs(monkeypatch):
     counts = [jaccard_join.class_counts(s).tobytes() for s in sets]
     one = np.array([len(sets)])
     zero = np.zeros(len(sets), np.int64)
-    rows = jaccard_join.Rows(n, np.arange(len(sets)), zero, np.zeros((len(sets), 8), np.int64))
+    rows = jaccard_join.Rows(n, np.arange(len(sets)), zero, np.zeros((len(sets), 8), np.int64), zero == 0)
     i, j, _ = jaccard_join.cell_candidates(np.array([0]), one, rows, counts)
     found = set(zip(i.tolist(), j.tolist())) | set(zip(j.tolist(), i.tolist()))
     whole = set(found)

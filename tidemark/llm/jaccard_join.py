@@ -47,7 +47,8 @@ SAMPLE_DOCS = 10_000
 COMMON_SHARE = 0.005  # of the sampled documents; such shingles are last in the order
 LEAF = 48
 PIVOTS = 8
-EARLY = 8
+EARLY = 5
+EARLY_TYPE = [("position", "<i4"), ("shingle", "<i8")]
 CELL_ROWS = 4000
 NEAREST_ROUNDS = 1
 SIZE_CLASS = DENOMINATOR / NUMERATOR
@@ -94,12 +95,14 @@ def prefix(shingles: np.ndarray, common: np.ndarray) -> np.ndarray:
 @dataclass(frozen=True)
 class Rows:
     """The rows of some cells: sizes, components, the position of the cell's shingle in the set's order, and of the
-    first shared shingles of the set those in front of it (0 where there is none)."""
+    first shared shingles of the set those in front of it (0 where there is none); ``home`` tells the sets of the cell's own
+    size class from those of the class below."""
 
     n: np.ndarray
     component: np.ndarray
     position: np.ndarray
     before: np.ndarray
+    home: np.ndarray
 
     def part(self, begin: int, end: int) -> Rows:
         return Rows(*(getattr(self, f.name)[begin:end] for f in fields(self)))
@@ -112,7 +115,7 @@ def _fit(rows: Rows, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     front of this cell's are left to that one's cell, so that a pair comes up once and not in each of its cells.
     """
     n, left = rows.n, rows.n - rows.position
-    fits = rows.component[i] != rows.component[j]
+    fits = (rows.component[i] != rows.component[j]) & (rows.home[i] | rows.home[j])
     fits &= DENOMINATOR * np.minimum(n[i], n[j]) >= NUMERATOR * np.maximum(n[i], n[j])
     fits &= (NUMERATOR + DENOMINATOR) * np.minimum(left[i], left[j]) >= NUMERATOR * (n[i] + n[j])
     some = np.flatnonzero(fits)
@@ -296,7 +299,7 @@ def _early(cells: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            packed = [np.array([(p["position"], p["token"]) for p in x], np.int64).tobytes() for x in batch["first"]]
+            packed = [np.array([(p["position"], p["token"]) for p in x], EARLY_TYPE).tobytes() for x in batch["first"]]
             yield pd.DataFrame({"key": batch["key"], "early": packed})
 
     first = F.slice(F.sort_array(F.collect_list(F.struct("position", "token"))), 1, EARLY)  # of one set's prefix
@@ -347,14 +350,18 @@ def _plausible(pairs: DataFrame, info: DataFrame) -> DataFrame:
 
 
 def _conflicts(cells: DataFrame, labels: DataFrame) -> DataFrame:
-    """``token, key, position, component`` of cells in which several components meet."""
+    """Rows of cells in which several components meet, with their components.
+
+    A cell without a set of its own size class is left out: its sets meet in their own class as well.
+    """
     labelled = stored(
         cells.join(labels.select(F.col("node").alias("key"), "component"), "key", "left").select(
-            "token", "key", "position", F.coalesce("component", "key").alias("component")
+            "token", "key", "position", "home", F.coalesce("component", "key").alias("component")
         ),
         "cell-components",
     )
-    mixed = labelled.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y")
+    ends = F.min("component").alias("x"), F.max("component").alias("y"), F.max("home").alias("own")
+    mixed = labelled.groupBy("token").agg(*ends).filter("x <> y and own")
     return labelled.join(stored(mixed.select("token"), "mixed-cells"), "token")
 
 
@@ -373,7 +380,7 @@ def _candidates(conflicts: DataFrame, info: DataFrame, nearest: bool) -> DataFra
     )
     rows = (
         conflicts.join(cells, "token", "left")
-        .select("token", "key", "position", "component", F.explode(F.coalesce(part, F.array(F.lit(0)))).alias("part"))
+        .select("token", "key", "position", "home", "component", F.explode(F.coalesce(part, F.array(F.lit(0)))).alias("part"))
         .join(info, "key")
     )
 
@@ -399,10 +406,10 @@ def _candidates(conflicts: DataFrame, info: DataFrame, nearest: bool) -> DataFra
         position = rows["position"].to_numpy(np.int64)
         early, at = np.zeros((len(rows), EARLY), np.int64), np.full((len(rows), EARLY), np.iinfo(np.int64).max)
         for r, shared in enumerate(rows["early"]):
-            pairs = np.frombuffer(shared, np.int64).reshape(-1, 2)
-            at[r, : len(pairs)], early[r, : len(pairs)] = pairs[:, 0], pairs[:, 1]
+            first = np.frombuffer(shared, EARLY_TYPE)
+            at[r, : len(first)], early[r, : len(first)] = first["position"], first["shingle"]
         before = np.where(at < position[:, None], early, 0)
-        cells_ = Rows(n, component, position, before)
+        cells_ = Rows(n, component, position, before, rows["home"].to_numpy(bool))
         i, j, d = cell_candidates(begin[several], size[several], cells_, rows["counts"].tolist())
         if nearest and len(i):
             i, j, d = np.concatenate([i, j]), np.concatenate([j, i]), np.concatenate([d, d])
@@ -417,7 +424,7 @@ def _candidates(conflicts: DataFrame, info: DataFrame, nearest: bool) -> DataFra
 
     buckets = int(conflicts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = rows.repartition(buckets, "token", "part").sortWithinPartitions("token", "part")
-    names = ["token", "part", "key", "position", "component", "n", "counts", "early"]
+    names = ["token", "part", "key", "position", "home", "component", "n", "counts", "early"]
     return spread.select(*names).mapInPandas(run, "a long, b long").distinct()
 
 
@@ -461,9 +468,11 @@ def _labels(texts: DataFrame) -> DataFrame:
     info = info.join(_early(cells), "key")
     # Sets that link differ in size by a factor of ``SIZE_CLASS`` at most, so they meet in one of two neighbouring classes.
     size_class = F.floor(F.log("n") / F.log(F.lit(SIZE_CLASS)) + 1e-9).cast("int")
-    cells = cells.select(
-        "token", "key", "position", F.explode(F.array(size_class, size_class + 1)).alias("size_class")
-    ).select(F.xxhash64("token", "size_class").alias("token"), "key", "position")
+    own = F.struct(size_class.alias("size_class"), F.lit(True).alias("home"))
+    next_ = F.struct((size_class + 1).alias("size_class"), F.lit(False).alias("home"))
+    cells = cells.select("token", "key", "position", F.explode(F.array(own, next_)).alias("c")).select(
+        F.xxhash64("token", "c.size_class").alias("token"), "key", "position", "c.home"
+    )
     pivots = cells.groupBy("token").agg(F.min("key").alias("a"), F.max("key").alias("z")).filter("a <> z").select("token", "a")
     stars = cells.join(stored(pivots, "jaccard-pivots"), "token").filter("a <> key").select("a", F.col("key").alias("b"))
     pairs = stored(_plausible(stars.distinct(), info), "jaccard-pairs")
@@ -493,6 +502,6 @@ def _labels(texts: DataFrame) -> DataFrame:
         links = links.unionByName(found)
         labels = stored(components(links), "jaccard-components")
         if turn < NEAREST_ROUNDS:
-            conflicts = stored(_conflicts(conflicts.select("token", "key", "position"), labels), "jaccard-conflicts")
+            conflicts = stored(_conflicts(conflicts.select("token", "key", "position", "home"), labels), "jaccard-conflicts")
     named = members.join(labels.select(F.col("node").alias("first"), "component"), "first", "left")
     return named.select("key", "n", F.coalesce("component", "first").alias("component"))
