@@ -44,7 +44,7 @@ INDEX_NAMES = ["shard", "part", "file", "offset", "length", "doc_id", "n_tokens"
 INDEX_TYPES = [pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
 RECORD_SCHEMA = "shard int, part int, doc_id long, before long, n_tokens long, ids binary"
 FILE_BYTES = 256 << 20
-CACHE_WORDS = 300_000
+CACHE_WORDS, CACHE_STEMS = 250_000, 600_000
 GROUP_BYTES = 1 << 20
 
 
@@ -56,8 +56,8 @@ def masked_crc(data: bytes) -> int:
 class WordEncoder:
     """Ids of whole texts by two bounded caches: words as they stand, and words in lower case without final marks.
 
-    Both take words until they are full; frequent words come early.  ``in_lower_case`` says that the tokenizer lowers all
-    letters and takes a full stop or comma for a token of its own; it is tested when the encoder is made.
+    Both take words until they are full; frequent words come early.  ``marks`` holds the ids of full stop and comma where
+    the tokenizer lowers all letters and takes these for tokens of their own, which is tested when the encoder is made.
     """
 
     def __init__(self, tokenizer_path: str, end_id: int):
@@ -73,7 +73,8 @@ class WordEncoder:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.last_of_word = np.zeros(max(vocabulary.values(), default=0) + 2, bool)
         self.last_of_word[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
-        self.in_lower_case = self._one("Ab.,") == self._one("ab") + self._one(".,") and self._one("aB.") == self._one("ab") + self._one(".")
+        alike = self._one("Ab.,") == self._one("ab") + self._one(".,") and self._one("aB.") == self._one("ab") + self._one(".")
+        self.marks = {m.encode(): self._one(m) for m in ".,"} if alike else {}
 
     def _one(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
@@ -101,17 +102,23 @@ class WordEncoder:
         return found
 
     def _learn(self, missing: set[bytes]) -> dict[bytes, bytes]:
-        stem_of = {}
+        found, pending, known, marks = {}, [], self.stems.get, self.marks
         for w in missing:
-            stem = w.lower() if self.in_lower_case and w.isascii() else w
-            mark = stem[-1:] if self.in_lower_case and len(stem) > 1 and stem[-1:] in b".," and stem[-2:-1].isalpha() else b""
-            stem_of[w] = (stem[:-1] if mark else stem, mark)
-        wanted = {x for pair in stem_of.values() for x in pair if x}
-        fresh = self._encode_new([x for x in wanted if x not in self.stems])
-        ids_of = lambda x: (fresh.get(x) or self.stems.get(x) or b"") if x else b""
-        found = {w: ids_of(stem) + ids_of(mark) for w, (stem, mark) in stem_of.items()}
-        for cache, more in ((self.stems, fresh), (self.words, found)):
-            if len(cache) < CACHE_WORDS:
+            stem, mark = w, b""
+            if marks and w.isascii():
+                stem = w.lower()
+                if stem[-1:] in marks and stem[-2:-1].isalpha():
+                    stem, mark = stem[:-1], stem[-1:]
+            ids = known(stem)
+            if ids is None:
+                pending.append((w, stem, mark))
+            else:
+                found[w] = ids + marks[mark] if mark else ids
+        fresh = self._encode_new(list({stem for _, stem, _ in pending}))
+        for w, stem, mark in pending:
+            found[w] = fresh[stem] + marks[mark] if mark else fresh[stem]
+        for cache, more, most in ((self.stems, fresh, CACHE_STEMS), (self.words, found, CACHE_WORDS)):
+            if len(cache) < most:
                 cache.update((w, x) for w, x in more.items() if len(w) <= 64)
         return found
 
