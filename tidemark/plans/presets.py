@@ -16,21 +16,22 @@ from tidemark.sources.rows import local_frame
 INTERACTION_KEY = ("InteractionIDKey", "SiteID", "SeqNo")
 
 # Interaction columns taken over under their own name, in fact order.
-INTERACTION_COLUMNS = """
-InteractionIDKey SiteID SeqNo AccountCode Direction ConnectionType MediaType DNIS StartDTOffset
-InitiatedDateTimeUTC ConnectedDateTimeUTC TerminatedDateTimeUTC
-LastLocalUserId LastAssignedWorkgroupID RemoteName FirstAssignedAcdSkillSet
-tDialing tIVRWait QueueWait tAlert tConnected tHeld tConference tExternal tACW
-nIVR nQueueWait nTalk nConference nHeld nTransfer nExternal
-""".split()
+INTERACTION_COLUMNS = (
+    "InteractionIDKey", "SiteID", "SeqNo", "AccountCode", "Direction", "ConnectionType", "MediaType", "DNIS",
+    "StartDTOffset", "InitiatedDateTimeUTC", "ConnectedDateTimeUTC", "TerminatedDateTimeUTC", "LastLocalUserId",
+    "LastAssignedWorkgroupID", "RemoteName", "FirstAssignedAcdSkillSet", "tDialing", "tIVRWait", "QueueWait",
+    "tAlert", "tConnected", "tHeld", "tConference", "tExternal", "tACW", "nIVR", "nQueueWait", "nTalk",
+    "nConference", "nHeld", "nTransfer", "nExternal",
+)
 
 # Fact columns that have another name in the source.
 INTERACTION_RENAMES = {"DNIS": "DNIS_LocalID", "QueueWait": "tQueueWait"}
 
 # Custom attributes joined to the interaction.
-CUSTOM_COLUMNS = """
-CustomNum1 CustomNum2 CustomNum3 CustomNum4 CustomString1 CustomString2 CustomString3 CustomString4
-""".split()
+CUSTOM_COLUMNS = (
+    "CustomNum1", "CustomNum2", "CustomNum3", "CustomNum4", "CustomString1", "CustomString2", "CustomString3",
+    "CustomString4",
+)
 
 # System columns the fact keeps, and their names there.
 RECORD_COLUMNS = {
@@ -59,13 +60,14 @@ INTERACTION_FACT = FactSpec(
 INTERACTION_FACT_KEY = ("Fact_InteractionID", *INTERACTION_KEY)
 
 # Employee attributes that make up the row hash, in hash order.
-EMPLOYEE_TRACKED = """
-EmployeeID FullEmployeeID EmployeeName Company HireDate JobTitle FullName FirstName MiddleName LastName FullPartTIme
-Status OrgLevel1Code OrgLevel2 SupervisorID SupervisorName UserName LastDayWorked TerminationDate TerminationReason
-Location Project CICUserID
-""".split()
+EMPLOYEE_TRACKED = (
+    "EmployeeID", "FullEmployeeID", "EmployeeName", "Company", "HireDate", "JobTitle", "FullName", "FirstName",
+    "MiddleName", "LastName", "FullPartTIme", "Status", "OrgLevel1Code", "OrgLevel2", "SupervisorID",
+    "SupervisorName", "UserName", "LastDayWorked", "TerminationDate", "TerminationReason", "Location", "Project",
+    "CICUserID",
+)
 # Employee attributes whose gaps are filled from earlier rows.
-EMPLOYEE_FILLED = "CICUserID UserName Company OrgLevel1Code OrgLevel2".split()
+EMPLOYEE_FILLED = ("CICUserID", "UserName", "Company", "OrgLevel1Code", "OrgLevel2")
 EMPLOYEE_RENAMES = {"FullPartTIme": "EmploymentType"}
 
 # The employee dimension's columns and types.
@@ -80,8 +82,8 @@ EffectiveStartDate date, EffectiveEndDate date, RowHashKey string
 EMPLOYEE_DIM = VersionSpec(
     entity="EmployeeID",
     order="LoadDate",
-    tracked=tuple(EMPLOYEE_TRACKED),
-    filled=tuple(EMPLOYEE_FILLED),
+    tracked=EMPLOYEE_TRACKED,
+    filled=EMPLOYEE_FILLED,
     surrogate="Dim_EmployeeID",
 )
 
@@ -93,12 +95,36 @@ def employee_schema() -> T.StructType:
 def employee_seed(spark: SparkSession, company: str = "none", code: str = "none") -> DataFrame:
     """The row a new employee dimension starts with; facts without an employee can point at it."""
     # The stored seed row.
-    seed = (
-        99990101, -1, code, "test", company, date(1, 1, 1), *["null"] * 9, 1234, "null", "null",
-        date(9999, 12, 31), date(1, 1, 1), "none", "NY", "null", "s000", date(1, 1, 1), date(9999, 12, 31),
-        "a9a433af4c2cc502",
-    )
-    return local_frame(spark, [seed], employee_schema())
+    seed = {
+        "Dim_EmployeeID": 99990101,
+        "EmployeeID": -1,
+        "FullEmployeeID": code,
+        "EmployeeName": "test",
+        "Company": company,
+        "HireDate": date(1, 1, 1),
+        "JobTitle": "null",
+        "FullName": "null",
+        "FirstName": "null",
+        "MiddleName": "null",
+        "LastName": "null",
+        "EmploymentType": "null",
+        "Status": "null",
+        "OrgLevel1Code": "null",
+        "OrgLevel2": "null",
+        "SupervisorID": 1234,
+        "SupervisorName": "null",
+        "UserName": "null",
+        "LastDayWorked": date(9999, 12, 31),
+        "TerminationDate": date(1, 1, 1),
+        "TerminationReason": "none",
+        "Location": "NY",
+        "Project": "null",
+        "CICUserID": "s000",
+        "EffectiveStartDate": date(1, 1, 1),
+        "EffectiveEndDate": date(9999, 12, 31),
+        "RowHashKey": "a9a433af4c2cc502",
+    }
+    return local_frame(spark, [tuple(seed[name] for name in employee_schema().names)], employee_schema())
 
 
 def employee_versions(history: DataFrame, spec: VersionSpec = EMPLOYEE_DIM) -> DataFrame:
