@@ -266,3 +266,14 @@ def test_registering_again_follows_columns_and_partitions(spark, base):
     assert sorted((r.k, r.v, r.more) for r in spark.table("followed").collect()) == [(1, "b", 5), (2, "a", None)]
     assert [r.partition for r in spark.sql("SHOW PARTITIONS followed").collect()] == ["part=2024-01-02"]
     spark.sql("DROP TABLE followed")
+
+
+def test_files_read_by_an_upsert_depend_on_the_batch(spark, base, monkeypatch):
+    tables.upsert_partitions(spark, base, made(spark, *[(k, "a", 1 + k % 28) for k in range(200)]), ["k"], "part")
+    read = []
+    monkeypatch.setattr(tables, "read_partitioned", lambda *args: read.append(args))
+    touched = tables.upsert_partitions(spark, base, made(spark, (3, "b", 4), (900, "c", 7)), ["k"], "part", stable_partition=True)
+    assert len(touched) == 2 and touched.rows == 2 and read == []
+    monkeypatch.undo()
+    got = {r.k: r.v for r in tables.read_partitioned(spark, base).collect()}
+    assert len(got) == 201 and got[3] == "b" and got[900] == "c"

@@ -21,9 +21,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.conform import align, all_columns, textual_conflicts
-from tidemark.operators.joins import BROADCAST_ROWS, anti_join, is_one_of, semi_join
+from tidemark.operators.joins import BROADCAST_ROWS, anti_join, semi_join
 from tidemark.operators.upsert import OnDuplicate, resolve_duplicates
 from tidemark.sources import paths
+from tidemark.sources.rows import local_frame
 
 POINTER = "_CURRENT"
 SCHEMA_FILE = "_SCHEMA"
@@ -111,9 +112,13 @@ def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
     Partitions written before a column appeared yield null for it, and neither file footers nor partition values have
     to be sampled to find the schema, however many files there are.
     """
-    schema = paths.read_text(spark, f"{path}/{SCHEMA_FILE}")
-    reader = spark.read.schema(T.StructType.fromJson(json.loads(schema))) if schema else spark.read
-    return reader.parquet(path)
+    schema = _stored_schema(spark, path)
+    return (spark.read.schema(schema) if schema else spark.read).parquet(path)
+
+
+def _stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    text = paths.read_text(spark, f"{path}/{SCHEMA_FILE}")
+    return T.StructType.fromJson(json.loads(text)) if text else None
 
 
 def _keep_schema(spark: SparkSession, path: str, df: DataFrame) -> None:
@@ -163,7 +168,7 @@ def upsert_partitions(
 
 
 def _rewrite(spark, path, source, keys, partition, nullable_keys, stable_partition) -> Rewritten:
-    target = read_partitioned(spark, path)
+    schema = _stored_schema(spark, path) or read_partitioned(spark, path).schema
     text = F.col(partition).cast("string").alias("__text")
     arriving = source.groupBy(partition, text).agg(F.count("*").alias("rows")).collect()
     if not arriving:
@@ -171,19 +176,22 @@ def _rewrite(spark, path, source, keys, partition, nullable_keys, stable_partiti
     rows = sum(r["rows"] for r in arriving)
     small = rows <= BROADCAST_ROWS
     touched = {r["__text"]: r[partition] for r in arriving}
-    columns = all_columns([target, source])
-    as_text = textual_conflicts([target, source])
-    stored = align(target, columns, as_text).union(align(source, columns, as_text)).schema
-    drifted = any(stored[f.name].dataType != f.dataType for f in target.schema.fields)
+    empty = local_frame(spark, [], schema)
+    columns, as_text = all_columns([empty, source]), textual_conflicts([empty, source])
+    merged_schema = align(empty, columns, as_text).union(align(source, columns, as_text)).schema
+    drifted = any(merged_schema[f.name].dataType != f.dataType for f in schema.fields)
     if drifted:
-        affected = target
-        touched |= {r["__text"]: r[partition] for r in target.select(partition, text).distinct().collect()}
+        affected = read_partitioned(spark, path)
+        touched |= {r["__text"]: r[partition] for r in affected.select(partition, text).distinct().collect()}
     else:
         if not stable_partition:
             # A key may move between partitions, so these are rewritten even if the source brings them nothing.
-            replaced = semi_join(target.select(*keys, partition), source, keys, nullable_keys, small)
+            target = read_partitioned(spark, path).select(*keys, partition)
+            replaced = semi_join(target, source, keys, nullable_keys, small)
             touched |= {r["__text"]: r[partition] for r in replaced.select(partition, text).distinct().collect()}
-        affected = target.where(is_one_of(partition, list(touched.values())))
+        # Only the touched folders are listed and read, however many the table has.
+        names = [f"{path}/{name}" for name in _folders(spark, path, partition, list(touched))]
+        affected = spark.read.schema(schema).option("basePath", path).parquet(*names) if names else empty
     kept = anti_join(affected, source, keys, nullable_keys, small)
     merged = align(kept, columns, as_text).union(align(source, columns, as_text))
     _replace_partitions(spark, path, merged, partition, list(touched))
@@ -244,13 +252,12 @@ def register_table(spark: SparkSession, table: str, path: str, schema: str = "de
     data stay.  A snapshot table is registered at its current version: register again after the next write.
     """
     current = current_snapshot(spark, path)
-    stored = paths.read_text(spark, f"{path}/{SCHEMA_FILE}")
+    stored = _stored_schema(spark, path)
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema}`")
     spark.sql(f"DROP TABLE IF EXISTS `{schema}`.`{table}`")
     if current is None and stored:
-        columns = T.StructType.fromJson(json.loads(stored))
         partition = next(n.split("=", 1)[0] for n in paths.subfolders(spark, path) if "=" in n and n[0] != "_")
-        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns.fields)
+        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stored.fields)
         where = f"PARTITIONED BY (`{partition}`) LOCATION '{path}'"
         spark.sql(f"CREATE TABLE `{schema}`.`{table}` ({ddl}) USING parquet {where}")
     else:
