@@ -350,18 +350,14 @@ def _plausible(pairs: DataFrame, info: DataFrame) -> DataFrame:
 
 
 def _conflicts(cells: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows of cells in which several components meet, with their components.
-
-    A cell without a set of its own size class is left out: its sets meet in their own class as well.
-    """
+    """Rows of cells in which several components meet, with their components."""
     labelled = stored(
         cells.join(labels.select(F.col("node").alias("key"), "component"), "key", "left").select(
             "token", "key", "position", "home", F.coalesce("component", "key").alias("component")
         ),
         "cell-components",
     )
-    ends = F.min("component").alias("x"), F.max("component").alias("y"), F.max("home").alias("own")
-    mixed = labelled.groupBy("token").agg(*ends).filter("x <> y and own")
+    mixed = labelled.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y")
     return labelled.join(stored(mixed.select("token"), "mixed-cells"), "token")
 
 
@@ -473,12 +469,16 @@ def _labels(texts: DataFrame) -> DataFrame:
     cells = cells.select("token", "key", "position", F.explode(F.array(own, next_)).alias("c")).select(
         F.xxhash64("token", "c.size_class").alias("token"), "key", "position", "c.home"
     )
-    pivots = cells.groupBy("token").agg(F.min("key").alias("a"), F.max("key").alias("z")).filter("a <> z").select("token", "a")
-    stars = cells.join(stored(pivots, "jaccard-pivots"), "token").filter("a <> key").select("a", F.col("key").alias("b"))
+    # A cell without a set of its own size class is left out: its sets meet in their own class as well.
+    ends = F.min("key").alias("a"), F.max("key").alias("z"), F.max("home").alias("own")
+    pivots = stored(cells.groupBy("token").agg(*ends).filter("a <> z and own").select("token", "a"), "jaccard-pivots")
+    cells = stored(cells.join(pivots, "token"), "jaccard-shared-cells")
+    stars = cells.filter("a <> key").select("a", F.col("key").alias("b"))
+    cells = cells.drop("a")
     pairs = stored(_plausible(stars.distinct(), info), "jaccard-pairs")
 
     # Texts are needed of those that share a cell with another set only, and travel compressed.
-    wanted = cells.join(pivots, "token", "left_semi").select("key").distinct()
+    wanted = cells.select("key").distinct()
 
     def compress(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import zstandard
