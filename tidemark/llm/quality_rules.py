@@ -130,13 +130,13 @@ def compile_rules(rules: tuple[Rule, ...], measure: Column) -> Column:
 
 def measure(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """All columns of ``df`` and a struct column ``quality!`` with measures and verdicts."""
-    name = "quality!"
-    with_measures = df.withColumn(name, _measures(F.col(text)))
-    m = F.col(f"`{name}`")
-    base = (m.n_words < 20) | (100 * m.n_repeat_words > 30 * m.n_words)
-    return with_measures.withColumn(
-        name, m.withField("base_failed", base).withField("kept", ~base & compile_rules(rules, m))
-    )
+
+    def judge(m: Column) -> Column:
+        base = (m.n_words < 20) | (100 * m.n_repeat_words > 30 * m.n_words)
+        return m.withField("base_failed", base).withField("kept", ~base & compile_rules(rules, m))
+
+    # One expression that names the measures once: pushed into a filter, it is still computed once.
+    return df.withColumn("quality!", let(_measures(F.col(text)), judge))
 
 
 def keep(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
