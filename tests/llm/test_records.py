@@ -12,7 +12,7 @@ tokenizers = pytest.importorskip("tokenizers")
 public_tokenizers = pytest.importorskip("public_tokenizers")
 END = 2
 TEXTS = [
-    None, "", " \t ", "Hello, World. it's 12345 THE END.", "İstanbul É é ÉCOLE straße, áb", "x" * 5000, "<|endoftext|>a b<|startoftext|>.",
+    None, "", " \t ", "Hello, World. it's 12345 THE END.", "İstanbul É é ÉCOLE straße, áb", "x" * 5000, "<|endoftext|>a b<|startoftext|>. <|ENDOFTEXT|> <|endoftext|>. Ää. ÄÄ, é, ñ.",
     "a.. b,. .,. , ... A. B, é. É,", "tab\tnew\nline nbsp em\x1cfs\x85nel", "日本語 テキスト。 中文.", "don't We'LL 'tis rock'n'roll.",
 ] + [f"Word{i} plain words. again, Again" for i in range(400)]
 

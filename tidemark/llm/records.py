@@ -73,6 +73,7 @@ class WordEncoder:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.last_of_word = np.zeros(max(vocabulary.values(), default=0) + 2, bool)
         self.last_of_word[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
+        self.special = [t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         alike = self._one("Ab.,") == self._one("ab") + self._one(".,") and self._one("aB.") == self._one("ab") + self._one(".")
         self.marks = {m.encode(): self._one(m) for m in ".,"} if alike else {}
 
@@ -102,12 +103,12 @@ class WordEncoder:
         return found
 
     def _learn(self, missing: set[bytes]) -> dict[bytes, bytes]:
-        found, pending, known, marks = {}, [], self.stems.get, self.marks
+        found, pending, known, marks, special = {}, [], self.stems.get, self.marks, self.special
         for w in missing:
             stem, mark = w, b""
-            if marks and w.isascii():
-                stem = w.lower()
-                if stem[-1:] in marks and stem[-2:-1].isalpha():
+            if marks and not any(s in w.lower() for s in special):
+                stem = w.lower()  # of ASCII letters; special tokens are told apart by case
+                if stem[-1:] in marks and (stem[-2:-1].isalpha() or stem[-2:-1] > b"\x7f" and stem[:-1].decode()[-1].isalpha()):
                     stem, mark = stem[:-1], stem[-1:]
             ids = known(stem)
             if ids is None:
@@ -117,9 +118,8 @@ class WordEncoder:
         fresh = self._encode_new(list({stem for _, stem, _ in pending}))
         for w, stem, mark in pending:
             found[w] = fresh[stem] + marks[mark] if mark else fresh[stem]
-        for cache, more, most in ((self.stems, fresh, CACHE_STEMS), (self.words, found, CACHE_WORDS)):
-            if len(cache) < most:
-                cache.update((w, x) for w, x in more.items() if len(w) <= 64)
+        if len(self.stems) < CACHE_STEMS:
+            self.stems.update((w, x) for w, x in fresh.items() if len(w) <= 64)
         return found
 
     def encode(self, texts: Iterable[bytes]) -> Iterator[bytes]:
@@ -134,15 +134,15 @@ class WordEncoder:
         yield from self._encode_group(group)
 
     def _encode_group(self, group: list[list[bytes]]) -> Iterator[bytes]:
-        # One look-up a word; only words that are not known are looked at again.
-        looked_up = [list(map(self.words.get, tokens)) for tokens in group]
-        missing = [k for k, ids in enumerate(looked_up) if None in ids]
-        found = self._learn({w for k in missing for w, x in zip(group[k], looked_up[k]) if x is None})
-        for k in missing:
-            looked_up[k] = [found[w] if x is None else x for w, x in zip(group[k], looked_up[k])]
-        for ids in looked_up:
-            ids.append(self.end)
-            yield b"".join(ids)
+        words = self.words
+        found = self._learn(set().union(*group).difference(words))
+        words.update(found)
+        ids_of = words.__getitem__
+        for tokens in group:
+            yield b"".join(map(ids_of, tokens)) + self.end
+        if len(words) > CACHE_WORDS:  # the cache was full before this group
+            for w in found:
+                del words[w]
 
 
 _ENCODERS: dict[tuple[str, int], WordEncoder] = {}
