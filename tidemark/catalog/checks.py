@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.catalog.registry import query, table
 from tidemark.operators import quality, runlog
-from tidemark.spec import LoadType
+from tidemark.operators.enrich import add_lineage
+from tidemark.spec import LoadType, TableSpec
 
 
 def _layers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -108,3 +110,25 @@ def run_log_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = runlog.consolidated(per_source, "orders", "silver", "silver/orders", START, END, LoadType.INCREMENTAL)
     stamps = ("start_datetime_utc", "end_datetime_utc", "last_record_inserted_datetime")
     return rows.withColumns({c: F.col(c).cast("timestamp_ntz") for c in stamps})
+
+
+@query("""
+SELECT 'system columns added' AS change, true AS equal, count(*) AS rows FROM orders
+UNION ALL SELECT 'key as text', false, count(*) FROM orders
+UNION ALL SELECT 'column missing', false, count(*) FROM orders
+""")
+def dq_schema_equal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Schema equality of two layers, with the rows it was asked for."""
+    orders = table(spark, sf_dir, "orders")
+    spec = TableSpec("srv", "sales", "dbo", "orders", ("o_orderkey",), "o_orderdate")
+    changed = {
+        "system columns added": add_lineage(orders, spec),
+        "key as text": orders.withColumn("o_orderkey", F.col("o_orderkey").cast("string")),
+        "column missing": orders.drop("o_custkey"),
+    }
+    rows = orders.agg(F.count("*").alias("rows"))
+    found = [
+        rows.select(F.lit(name).alias("change"), F.lit(quality.same_schema(orders, other)).alias("equal"), "rows")
+        for name, other in changed.items()
+    ]
+    return reduce(DataFrame.unionByName, found)

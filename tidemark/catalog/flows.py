@@ -265,3 +265,21 @@ def gold_two_cadences(spark: SparkSession, sf_dir: str) -> DataFrame:
         lake.fact("fact_events", events, notes, NOTED, ["Fact_ID", "event_id"], S.PARTITION_DATE)
         lake.commit(["events", "notes"])
     return tables.read_partitioned(spark, lake.path("gold", "fact_events"))
+
+
+@query("""
+SELECT event_id, event_type, CASE WHEN event_id % 4 = 0 THEN value END AS amount,
+       CASE WHEN event_id % 4 = 0 THEN 9 ELSE user_id % 3 END AS part FROM events
+""")
+def catalog_follows_upserts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A registered table after an upsert that brought a column, filled a partition and left others: read by its name."""
+    path = scratch_path(spark, "registered")
+    name = f"events_{path[-32:]}"
+    events = table(spark, sf_dir, "events").withColumn("part", F.col("user_id") % 3)
+    moved = events.where("event_id % 4 = 0").withColumn("part", F.lit(9).cast("long"))
+    tables.upsert_partitions(spark, path, events.select("event_id", "event_type", "part"), ["event_id"], "part")
+    tables.register_table(spark, name, path)
+    more = moved.select("event_id", "event_type", F.col("value").alias("amount"), "part")
+    tables.upsert_partitions(spark, path, more, ["event_id"], "part")
+    tables.register_table(spark, name, path)
+    return spark.table(f"default.{name}")
