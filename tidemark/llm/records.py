@@ -44,7 +44,7 @@ INDEX_NAMES = ["shard", "part", "file", "offset", "length", "doc_id", "n_tokens"
 INDEX_TYPES = [pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
 RECORD_SCHEMA = "shard int, part int, doc_id long, before long, n_tokens long, ids binary"
 FILE_BYTES = 256 << 20
-CACHE_WORDS, CACHE_STEMS = 250_000, 600_000
+CACHE_WORDS, CACHE_STEMS = 200_000, 450_000
 GROUP_BYTES = 1 << 20
 
 
@@ -218,8 +218,11 @@ def _values(column: pa.Array) -> Iterator[bytes]:
         yield from column.slice(i, 100).to_pylist()
 
 
-def read(index: DataFrame) -> DataFrame:
-    """All records of the files that ``index`` names; ``before`` counts the ids in front of a record in its file."""
+def read(index: DataFrame, digest: bool = False) -> DataFrame:
+    """All records of the files that ``index`` names; ``before`` counts the ids in front of a record in its file.
+
+    With ``digest`` there is the CRC-32 of the ids as 32-bit numbers in place of the ids.
+    """
 
     def read_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -228,18 +231,21 @@ def read(index: DataFrame) -> DataFrame:
                 with files.open_input(name) as source:
                     while head := source.read(12):
                         doc_id, ids = _parse(head, source.read(_length(head) + 4))
-                        rows.append((shard, part, doc_id, before, len(ids), ids.astype("<u4").tobytes()))
+                        wide = ids.astype("<u4").tobytes()
+                        rows.append((shard, part, doc_id, before, len(ids), zlib.crc32(wide) if digest else wide))
                         before += len(ids)
-                        held += 4 * len(ids)
+                        held += 32 if digest else len(wide)
                         if held > 16 << 20:
-                            yield _records(rows)
+                            yield _records(rows, last)
                             rows, held = [], 0
                 if rows:
-                    yield _records(rows)
+                    yield _records(rows, last)
 
     named = index.select("shard", "part", "file").distinct()
     tasks = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return named.repartition(tasks, "file").mapInPandas(read_files, RECORD_SCHEMA)
+    last = "ids_crc32" if digest else "ids"
+    schema = RECORD_SCHEMA.replace("ids binary", "ids_crc32 long") if digest else RECORD_SCHEMA
+    return named.repartition(tasks, "file").mapInPandas(read_files, schema)
 
 
 def read_at(index: DataFrame) -> DataFrame:
@@ -258,8 +264,8 @@ def read_at(index: DataFrame) -> DataFrame:
     return index.mapInPandas(seek, RECORD_SCHEMA)
 
 
-def _records(rows: list[tuple]) -> pd.DataFrame:
-    frame = pd.DataFrame(rows, columns=["shard", "part", "doc_id", "before", "n_tokens", "ids"])
+def _records(rows: list[tuple], last: str = "ids") -> pd.DataFrame:
+    frame = pd.DataFrame(rows, columns=["shard", "part", "doc_id", "before", "n_tokens", last])
     return frame.astype({"doc_id": "Int64", "before": "Int64"})
 
 
@@ -272,13 +278,7 @@ def starts(index: DataFrame) -> DataFrame:
 
 def digests(index: DataFrame) -> DataFrame:
     """Read everything back: per record its id, its start in the whole sequence, its ids' number and CRC-32."""
-
-    @F.pandas_udf("long")
-    def crc32(ids: pd.Series) -> pd.Series:
-        return ids.map(zlib.crc32).astype("int64")
-
-    records = read(index).withColumn("ids_crc32", crc32("ids")).drop("ids")
-    return records.join(starts(index), ["shard", "part"]).select(
+    return read(index, digest=True).join(starts(index), ["shard", "part"]).select(
         "doc_id", (F.col("file_start") + F.col("before")).alias("start"), "n_tokens", "ids_crc32"
     )
 
