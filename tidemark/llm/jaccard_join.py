@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bound_batches, keyed, stored
+from tidemark.llm.common import bound_batches, keyed, release_memory, stored
 from tidemark.llm.components import components
 from tidemark.llm.shingles import shingle_set
 
@@ -151,7 +151,7 @@ def small_cells(begin: np.ndarray, size: np.ndarray, rows: Rows) -> Iterator[tup
     for s in np.unique(size):
         one, two = np.triu_indices(int(s), 1)
         starts = begin[size == s]
-        step = max(1, 500_000 // len(one))
+        step = max(1, 100_000 // len(one))
         for lo in range(0, len(starts), step):
             base = starts[lo : lo + step][:, None]
             i, j = (base + one).ravel(), (base + two).ravel()
@@ -216,6 +216,7 @@ def _documents(texts: DataFrame) -> DataFrame:
                 digest = hashlib.blake2b(bytes_, digest_size=16).digest()
                 rows.append((key, len(shingles), digest, class_counts(shingles).tobytes()))
             yield pd.DataFrame(rows, columns=["key", "n", "digest", "counts"])
+        release_memory()
 
     return texts.mapInPandas(run, "key long, n long, digest binary, counts binary")
 
@@ -289,6 +290,7 @@ def _cells(texts: DataFrame, common: np.ndarray, buckets: int) -> DataFrame:
             same = np.append(False, token[1:] == token[:-1])
             keep = same | np.append(same[1:], False)
             yield pd.DataFrame({"token": token[keep], "key": key[keep], "position": place[keep]})
+        release_memory()
 
     packed = texts.mapInPandas(scatter, "bucket int, tokens binary, keys binary, places binary")
     return packed.repartitionById(2 * buckets, "bucket").mapInPandas(gather, "token long, key long, position int")
@@ -324,6 +326,7 @@ def _verified(pairs: DataFrame, packed: DataFrame) -> DataFrame:
                 if DENOMINATOR * both >= NUMERATOR * (len(first) + len(second) - both):
                     links.append((a, b))
             yield pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+        release_memory()
 
     with_b = pairs.join(packed.select(F.col("key").alias("b"), F.col("z").alias("zb")), "b")
     with_both = with_b.join(packed.select(F.col("key").alias("a"), F.col("z").alias("za")), "a")
@@ -390,6 +393,7 @@ def _candidates(conflicts: DataFrame, info: DataFrame, nearest: bool) -> DataFra
             yield from join(done)
         if rest is not None:
             yield from join(rest)
+        release_memory()
 
     def join(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
         if not len(rows):

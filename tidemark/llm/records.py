@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import files
-from tidemark.llm.common import bound_batches, stored
+from tidemark.llm.common import bound_batches, release_memory, stored
 from tidemark.session import scratch_path
 
 MASK = 0xA282EAD8  # fixed value: the customary masking constant of length-delimited record files
@@ -44,7 +44,7 @@ INDEX_NAMES = ["shard", "part", "file", "offset", "length", "doc_id", "n_tokens"
 INDEX_TYPES = [pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
 RECORD_SCHEMA = "shard int, part int, doc_id long, before long, n_tokens long, ids binary"
 FILE_BYTES = 256 << 20
-CACHE_WORDS, CACHE_STEMS = 200_000, 450_000
+CACHE_WORDS, CACHE_STEMS = 150_000, 400_000
 GROUP_BYTES = 1 << 20
 
 
@@ -187,6 +187,7 @@ def write(
     def write_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, attempt, encoder = TaskContext.get().partitionId(), uuid.uuid4().hex, _encoder(tokenizer_path, end_id)
         part, at, out, name = 0, 0, None, ""
+        release_memory()
         for batch in batches:
             rows = []
             for key, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(_values(batch.column("data")))):
