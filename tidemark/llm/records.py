@@ -220,15 +220,15 @@ def _values(column: pa.Array) -> Iterator[bytes]:
 
 
 def read(index: DataFrame, digest: bool = False) -> DataFrame:
-    """All records of the files that ``index`` names; ``before`` counts the ids in front of a record in its file.
+    """All records of the files that ``index`` names; ``before`` counts the ids in front of a record in all of these files.
 
     With ``digest`` there is the CRC-32 of the ids as 32-bit numbers in place of the ids.
     """
 
     def read_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for shard, part, name in batch.itertuples(index=False):
-                rows, held, before = [], 0, 0
+            for shard, part, name, before in batch.itertuples(index=False):
+                rows, held = [], 0
                 with files.open_input(name) as source:
                     while head := source.read(12):
                         doc_id, ids = _parse(head, source.read(_length(head) + 4))
@@ -242,7 +242,8 @@ def read(index: DataFrame, digest: bool = False) -> DataFrame:
                 if rows:
                     yield _records(rows, last)
 
-    named = index.select("shard", "part", "file").distinct()
+    # One row for each file on either side.
+    named = index.select("shard", "part", "file").distinct().join(starts(index), ["shard", "part"])
     tasks = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     last = "ids_crc32" if digest else "ids"
     schema = RECORD_SCHEMA.replace("ids binary", "ids_crc32 long") if digest else RECORD_SCHEMA
@@ -279,9 +280,7 @@ def starts(index: DataFrame) -> DataFrame:
 
 def digests(index: DataFrame) -> DataFrame:
     """Read everything back: per record its id, its start in the whole sequence, its ids' number and CRC-32."""
-    return read(index, digest=True).join(starts(index), ["shard", "part"]).select(
-        "doc_id", (F.col("file_start") + F.col("before")).alias("start"), "n_tokens", "ids_crc32"
-    )
+    return read(index, digest=True).select("doc_id", F.col("before").alias("start"), "n_tokens", "ids_crc32")
 
 
 def folder(spark: SparkSession) -> str:
