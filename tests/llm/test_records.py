@@ -34,7 +34,7 @@ def ids_of(path, text):
 def test_words_add_up_to_texts(path):
     encoder = records.WordEncoder(path, END)
     plain = tokenizers.Tokenizer.from_file(path)
-    assert set(encoder.marks) == {b".", b","}
+    assert encoder.alike
     for _ in range(2):
         for text, ids in zip(TEXTS, encoder.encode([(t or "").encode() for t in TEXTS])):
             assert np.frombuffer(ids, "<u2").tolist() == plain.encode(text or "", add_special_tokens=False).ids + [END], text

@@ -22,6 +22,7 @@ are records of their own; an empty table gives an empty index.  Other columns ar
 from __future__ import annotations
 
 import os
+import re
 import struct
 import uuid
 import zlib
@@ -44,8 +45,10 @@ INDEX_NAMES = ["shard", "part", "file", "offset", "length", "doc_id", "n_tokens"
 INDEX_TYPES = [pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
 RECORD_SCHEMA = "shard int, part int, doc_id long, before long, n_tokens long, ids binary"
 FILE_BYTES = 256 << 20
-CACHE_WORDS, CACHE_STEMS = 150_000, 400_000
-GROUP_BYTES = 1 << 20
+CACHE_WORDS = 600_000
+# A full stop or comma at a word's end, behind a letter of ASCII or Latin-1.
+FINAL_MARK = re.compile(rb"([.,])(?:(?<=[a-z].)|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf].))(?![^ \t\n\r\x0b\x0c])")
+GROUP_BYTES = 2 << 20
 
 
 def masked_crc(data: bytes) -> int:
@@ -54,10 +57,10 @@ def masked_crc(data: bytes) -> int:
 
 
 class WordEncoder:
-    """Ids of whole texts by two bounded caches: words as they stand, and words in lower case without final marks.
+    """Ids of whole texts by a bounded cache of words, which takes words until it is full; frequent ones come early.
 
-    Both take words until they are full; frequent words come early.  ``marks`` holds the ids of full stop and comma where
-    the tokenizer lowers all letters and takes these for tokens of their own, which is tested when the encoder is made.
+    Where the tokenizer lowers all letters and takes a full stop or comma behind a letter for a token of its own, which is
+    tested when the encoder is made, texts are lowered and such marks cut off first, so that fewer words are told apart.
     """
 
     def __init__(self, tokenizer_path: str, end_id: int):
@@ -69,13 +72,13 @@ class WordEncoder:
         self.dtype = np.dtype("<u4" if self.wide else "<u2")
         self.end = np.array([end_id], self.dtype).tobytes()
         self.words: dict[bytes, bytes] = {}
-        self.stems: dict[bytes, bytes] = {}
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.last_of_word = np.zeros(max(vocabulary.values(), default=0) + 2, bool)
         self.last_of_word[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
+        # Special tokens are told apart by case.
         self.special = [t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        alike = self._one("Ab.,") == self._one("ab") + self._one(".,") and self._one("aB.") == self._one("ab") + self._one(".")
-        self.marks = {m.encode(): self._one(m) for m in ".,"} if alike else {}
+        one = self._one
+        self.alike = all(one("Ab" + m) == one("ab") + one(m) for m in ".,") and one("aB") == one("ab")
 
     def _one(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
@@ -102,31 +105,19 @@ class WordEncoder:
             found.update((w, np.array(e.ids, self.dtype).tobytes()) for w, e in zip(some, encoded))
         return found
 
-    def _learn(self, missing: set[bytes]) -> dict[bytes, bytes]:
-        found, pending, known, marks, special = {}, [], self.stems.get, self.marks, self.special
-        for w in missing:
-            stem, mark = w, b""
-            if marks and not any(s in w.lower() for s in special):
-                stem = w.lower()  # of ASCII letters; special tokens are told apart by case
-                if stem[-1:] in marks and (stem[-2:-1].isalpha() or stem[-2:-1] > b"\x7f" and stem[:-1].decode()[-1].isalpha()):
-                    stem, mark = stem[:-1], stem[-1:]
-            ids = known(stem)
-            if ids is None:
-                pending.append((w, stem, mark))
-            else:
-                found[w] = ids + marks[mark] if mark else ids
-        fresh = self._encode_new(list({stem for _, stem, _ in pending}))
-        for w, stem, mark in pending:
-            found[w] = fresh[stem] + marks[mark] if mark else fresh[stem]
-        if len(self.stems) < CACHE_STEMS:
-            self.stems.update((w, x) for w, x in fresh.items() if len(w) <= 64)
-        return found
+    def _split(self, text: bytes) -> list[bytes]:
+        if not self.alike:
+            return text.split()
+        lowered = text.lower()  # ASCII letters only
+        if any(token in lowered for token in self.special):
+            return text.split()
+        return FINAL_MARK.sub(rb" \1", lowered).split()
 
     def encode(self, texts: Iterable[bytes]) -> Iterator[bytes]:
         """The ids of each UTF-8 text, the end id last; texts are taken in groups of bounded size."""
         group, held = [], 0
         for text in texts:
-            group.append(text.split())
+            group.append(self._split(text))
             held += len(text)
             if held > GROUP_BYTES:
                 yield from self._encode_group(group)
@@ -135,7 +126,7 @@ class WordEncoder:
 
     def _encode_group(self, group: list[list[bytes]]) -> Iterator[bytes]:
         words = self.words
-        found = self._learn(set().union(*group).difference(words))
+        found = self._encode_new(list(set().union(*group).difference(words)))
         words.update(found)
         ids_of = words.__getitem__
         for tokens in group:
@@ -143,6 +134,10 @@ class WordEncoder:
         if len(words) > CACHE_WORDS:  # the cache was full before this group
             for w in found:
                 del words[w]
+        else:
+            for w in found:
+                if len(w) > 64:
+                    del words[w]
 
 
 _ENCODERS: dict[tuple[str, int], WordEncoder] = {}
