@@ -40,6 +40,15 @@ def test_words_add_up_to_texts(path):
             assert np.frombuffer(ids, "<u2").tolist() == plain.encode(text or "", add_special_tokens=False).ids + [END], text
 
 
+def test_capitals_before_combining_marks(path):
+    marks = [chr(c) for c in range(0x300, 0x370)] + ["\u05b0\u030c", "\u0317\u0307", "\u1dce\u0331", "\u0323\u0308"]
+    pairs = [c + m for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ" for m in marks]
+    texts = ["J\u030c", "H\u0331", "T\u0308", "W\u030a", "Y\u030a", "The H\u0331 and Y\u030ab, End.", *pairs]
+    encoder = records.WordEncoder(path, END)
+    for text, ids in zip(texts, encoder.encode([t.encode() for t in texts])):
+        assert np.frombuffer(ids, "<u2").tolist() == ids_of(path, text), ascii(text)
+
+
 def test_round_trip_and_digests(spark, documents, path):
     rows = [(5 * i - 20, t) for i, t in enumerate(TEXTS)] + [(None, "no id"), (0, "Hello, World."), (0, "Hello, World.")]
     index = records.write(documents(rows), scratch_path(spark, "records"), path, END, file_bytes=2000)

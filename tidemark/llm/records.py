@@ -48,6 +48,9 @@ FILE_BYTES = 256 << 20
 CACHE_WORDS = 600_000
 # A full stop or comma at a word's end, behind a letter of ASCII or Latin-1.
 FINAL_MARK = re.compile(rb"([.,])(?:(?<=[a-z].)|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf].))(?![^ \t\n\r\x0b\x0c])")
+# An ASCII capital before a character from U+0300 on.  All combining marks are among these, and a capital and its small
+# letter need not compose with a mark alike.
+BEFORE_MARK = re.compile(rb"[A-Z][\xcc-\xf4]")
 GROUP_BYTES = 2 << 20
 
 
@@ -61,6 +64,7 @@ class WordEncoder:
 
     Where the tokenizer lowers all letters and takes a full stop or comma behind a letter for a token of its own, which is
     tested when the encoder is made, texts are lowered and such marks cut off first, so that fewer words are told apart.
+    A text where a combining mark may follow an ASCII capital stays as it is: the tokenizer composes before it lowers.
     """
 
     def __init__(self, tokenizer_path: str, end_id: int):
@@ -106,7 +110,7 @@ class WordEncoder:
         return found
 
     def _split(self, text: bytes) -> list[bytes]:
-        if not self.alike:
+        if not self.alike or (not text.isascii() and BEFORE_MARK.search(text)):
             return text.split()
         lowered = text.lower()  # ASCII letters only
         if any(token in lowered for token in self.special):
