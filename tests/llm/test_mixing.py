@@ -78,3 +78,43 @@ def test_overlapping_sources_and_empty_tables(spark, documents):
     # a has 2000 words with what it shares, b 1000: each asks for 1500, and both together have 2000 words to repeat.
     assert got[()] == 0 and abs(sum(got.values()) - 3000) <= 20
     assert mixing.mix(documents([]), F.array("source")).collect() == []
+
+
+def taken_of(table):
+    m = F.col("`mix!`")
+    rows = mixing.mix(table, F.array("source")).select("source", m.taken.alias("taken"), m.size.alias("n"), m.sources[0].target.alias("t"))
+    return [tuple(r) for r in rows.collect()]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_a_long_document_at_the_cut_does_not_leave_its_source_short(spark, seed):
+    rng = random.Random(seed)
+    sizes = {"a": [rng.randint(1, 30) for _ in range(200)], "b": [3000] + [rng.randint(1, 30) for _ in range(400)], "c": [rng.randint(1, 30) for _ in range(90)]}
+    rows = [(100_000 * seed + i, "w " * n, s) for i, (s, n) in enumerate((s, n) for s in sizes for n in sizes[s])]
+    got = taken_of(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    for s in sizes:
+        assert abs(sum(k for t, k, *_ in got if t == s) - next(t for u, *_, t in got if u == s)) <= 2
+
+
+def test_a_single_document_above_its_target_stays_if_that_is_nearer(spark):
+    rows = [(i, "w " * 10, "a") for i in range(100)] + [(200, "w " * 1000, "b")]
+    got = taken_of(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    # b asks for 2/7 of 2000 words: 571, nearer to 1000 than to none.
+    assert [k for s, k, *_ in got if s == "b"] == [1000]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_rounds_fill_in_the_order_of_hashes(spark, seed):
+    rng = random.Random(seed)
+    lines = [(["p"], rng.choice([1, 7, 20, 90, 400]) + rng.randint(0, 3), rng.randrange(1 << 30)) for _ in range(300)]
+    rest = rng.randint(1, sum(n for _, n, _ in lines))
+    table = spark.createDataFrame(lines, "pattern array<string>, size long, hash long")
+    spans = mixing._choose(table, {("p",): rest})["p",]
+    taken = sum(n for _, n, h in lines if any(b <= h < e and n <= most for b, e, most in spans))
+    left, missed = rest, []
+    for _, n, _ in sorted(lines, key=lambda r: r[2]):
+        if n <= left:
+            left -= n
+        else:
+            missed.append(n)
+    assert abs(taken - rest) <= min([left, *[abs(n - left) for n in missed]])

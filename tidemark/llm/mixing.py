@@ -7,7 +7,9 @@ has one node per pattern and per source, however many documents there are.
 
 What the flow routes through a pattern is some whole passes over its documents and a rest; the rest goes to those with
 the smallest seeded hash.  The hash where it ends is found by histograms of the hash, refined three times, so that
-nothing is sorted and a hot source is summed in parallel.
+nothing is sorted and a hot source is summed in parallel.  What is then left is filled in further rounds with documents
+behind that hash which are no larger.  In the end one more document is taken if that comes nearer: a pattern misses its
+words by at most half of the smallest document (or group of equal rows) that was not taken.
 
 Defined cases: null texts have size 0; a null source is a source of its own, ordered last; a document without any source
 (empty or null array) is never taken; repeated rows and equal ids are judged by a hash of id and text, so equal rows are
@@ -27,8 +29,11 @@ from tidemark.llm.common import let, stored, words
 EPOCHS = 3
 WEIGHTS = (5, 2, 1)
 STEP_BITS, STEPS = 10, 3
+#: Each round asks for less; what a last one would still leave is bounded by the document that is nearest to it.
+ROUNDS = 12
 #: The flow is solved on the driver; more patterns than this are refused, never dropped.
 MAX_PATTERNS = 20_000
+SPANS = "array<struct<begin:bigint,end:bigint,most:bigint>>"
 SOURCES = "array<struct<source:string,source_size:bigint,target:double>>"
 
 
@@ -109,41 +114,81 @@ def _hash(seed: int, *columns: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *columns), 64 - bits)
 
 
-def _locate(lines: DataFrame, capacity: dict, marks: dict) -> dict:
-    """For every (pattern, words) in ``marks``, the hash below which the pattern's documents hold about those words."""
-    spark, found, bits = lines.sparkSession, {}, STEP_BITS * STEPS
-    state = {(p, m): (0, 0) for p, many in marks.items() for m in many}  # prefix of the hash, words before it
+def _locate(lines: DataFrame, marks: dict) -> dict:
+    """For every pattern and its (first hash, words) in ``marks``, where documents from there on that hold as many words end.
+
+    Documents of more words are passed over.  Found are the hash that no longer fits, the words before it and its own,
+    which are 0 if there is none.
+    """
+    spark, bits = lines.sparkSession, STEP_BITS * STEPS
+    state = {p: (0, 0, 0) for p in marks}  # prefix of the hash, words before it, words of it
+    found = {}
     for step in range(1, STEPS + 1):
-        prefixes = sorted({(p, prefix) for (p, _), (prefix, _) in state.items()}, key=repr)
-        number = {x: i for i, x in enumerate(prefixes)}
-        if not prefixes:
+        if not state:
             break
-        wanted = spark.createDataFrame([(list(p), q, i) for (p, q), i in number.items()], "w array<string>, q long, i int")
         shift = bits - STEP_BITS * step
+        order = list(state)
+        wanted = spark.createDataFrame(
+            [(list(p), i, state[p][0], *marks[p]) for i, p in enumerate(order)],
+            "w array<string>, i int, q long, begin long, most long",
+        )
         sums = (
             lines.join(
-                F.broadcast(wanted),  # at most patterns x sources rows, both bounded by MAX_PATTERNS
+                F.broadcast(wanted),  # at most one row for each pattern, bounded by MAX_PATTERNS
                 F.col("w").eqNullSafe(F.col("pattern")) & (F.shiftright("hash", shift + STEP_BITS) == F.col("q")),
             )
+            .filter("hash >= begin AND size <= most AND size > 0")
             .groupBy("i", F.shiftright("hash", shift).alias("bucket"))
             .agg(F.sum("size").alias("n"))
         )
-        by_prefix: dict[int, list] = {}
-        for row in sums.collect():  # 2 ** STEP_BITS rows for each cut at most
-            by_prefix.setdefault(row.i, []).append((row.bucket, row.n))
-        for (p, m), (prefix, before) in list(state.items()):
-            last = (prefix, before)
-            for bucket, n in sorted(by_prefix.get(number[p, prefix], [])):
-                last = (bucket, before)
-                if before + n > m:
+        by_pattern: dict[int, list] = {}
+        for row in sums.collect():  # 2 ** STEP_BITS rows for each pattern at most
+            by_pattern.setdefault(row.i, []).append((row.bucket, row.n))
+        for i, p in enumerate(order):
+            before = state[p][1]
+            for bucket, n in sorted(by_pattern.get(i, [])):
+                if before + n > marks[p][1]:
+                    state[p] = (bucket, before, n)
                     break
                 before += n
-                last = (bucket + 1, before)
-            state[p, m] = last
-            if last[1] == m or step == STEPS:
-                found[p, m] = last[0] << shift
-                del state[p, m]
-    return found | {(p, m): v[0] for (p, m), v in state.items()}
+            else:  # only in the first step: all fit
+                found[p] = (1 << bits, before, 0)
+                del state[p]
+    return found | state
+
+
+def _choose(lines: DataFrame, rests: dict) -> dict:
+    """For each pattern, spans (first hash, end, largest size) of the documents that together come near its rest."""
+    spans: dict = {p: [] for p in rests}
+    left, open_ = dict(rests), {p: (0, rest) for p, rest in rests.items()}
+    for _ in range(ROUNDS):
+        if not open_:
+            break
+        for p, (at, before, over) in _locate(lines, open_).items():
+            begin, most = open_.pop(p)
+            left[p] -= before
+            if before:
+                spans[p].append((begin, at, most))
+            if over and left[p]:
+                open_[p] = (at + 1, left[p])
+    for p, found in _nearest(lines, {p: n for p, n in left.items() if n}, spans).items():
+        spans[p].append(found)
+    return spans
+
+
+def _nearest(lines: DataFrame, left: dict, spans: dict) -> dict:
+    """For patterns where one more hash leaves less error than ``left``, the span of the best one."""
+    if not left:
+        return {}
+    order = list(left)
+    wanted = lines.sparkSession.createDataFrame(
+        [(list(p), i, left[p], spans[p]) for i, p in enumerate(order)], f"w array<string>, i int, left long, spans {SPANS}"
+    )
+    rest = lines.join(F.broadcast(wanted), F.col("w").eqNullSafe(F.col("pattern")))  # one row per pattern
+    rest = rest.filter("size > 0 AND size < 2 * left AND NOT exists(spans, s -> hash >= s.begin AND hash < s.end AND size <= s.most)")
+    sums = rest.groupBy("i", "hash", "left").agg(F.sum("size").alias("n")).filter("n < 2 * left")
+    best = sums.groupBy("i").agg(F.expr("min(struct(abs(n - left), hash)).hash").alias("hash"))
+    return {order[r.i]: (r.hash, r.hash + 1, 2 * left[order[r.i]] - 1) for r in best.collect()}
 
 
 def mix(
@@ -176,17 +221,23 @@ def mix(
 
     routed = {p: sum(n for (q, _), n in flow.items() if q == p) for p in capacity}
     full = {p: divmod(n, capacity[p]) if capacity[p] else (0, 0) for p, n in routed.items()}
-    cuts = _locate(lines, capacity, {p: [rest] for p, (_, rest) in full.items() if rest})
+    spans = _choose(lines, {p: rest for p, (_, rest) in full.items() if rest})
     rows = [
-        (list(p), turns, cuts.get((p, rest), 0), [(s, int(sizes[s]), float(asked[s])) for s in p])
-        for p, (turns, rest) in full.items()
+        (list(p), turns, spans.get(p, []), [(s, int(sizes[s]), float(asked[s])) for s in p])
+        for p, (turns, _) in full.items()
     ]
-    plan = spark.createDataFrame(rows, f"`w!` array<string>, `turns!` long, `below!` long, `sources!` {SOURCES}")
-    more = (_hash(seed, F.col(id_col), F.col(text_col)) < F.col("`below!`")).cast("long")
+    plan = spark.createDataFrame(rows, f"`w!` array<string>, `turns!` long, `spans!` {SPANS}, `sources!` {SOURCES}")
     joined = docs.withColumn("pattern!", pattern).join(
         F.broadcast(plan), F.col("`pattern!`").eqNullSafe(F.col("`w!`"))  # one row per pattern
     )
-    taken = let(size, lambda n: F.struct(n.alias("size"), (n * (F.col("`turns!`") + more)).alias("taken")))
+
+    def judged(line: Column) -> Column:
+        n, h = line["size"], line["hash"]
+        more = F.exists("spans!", lambda s: (h >= s["begin"]) & (h < s["end"]) & (n <= s["most"])).cast("long")
+        return F.struct(n.alias("size"), (n * (F.col("`turns!`") + more)).alias("taken"))
+
+    line = F.struct(size.alias("size"), _hash(seed, F.col(id_col), F.col(text_col)).alias("hash"))
+    taken = let(line, judged)
     return joined.withColumn("mix!", taken.withField("sources", F.col("`sources!`"))).drop(
-        "pattern!", "w!", "turns!", "below!", "sources!"
+        "pattern!", "w!", "turns!", "spans!", "sources!"
     )
