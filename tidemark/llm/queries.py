@@ -11,6 +11,7 @@ from tidemark.llm import (
     chain_dedup,
     decontaminate,
     jaccard_join,
+    merkle,
     mixing,
     quality_rules,
     records,
@@ -198,3 +199,70 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
+@query
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(merkle.build(table(spark, sf_dir, "documents"), merkle.tampered_leaf())).drop("source")
+
+
+def _merkle_levels(name: str, group: str, levels: int) -> str:
+    """SQL for the levels above ``{name}0`` (group, pos, d, n) and each node's siblings at each of them."""
+    parts = []
+    for k in range(levels + 1):
+        parts.append(f"""{name}s{k} AS (SELECT {group}, pos, n,
+  CASE WHEN n > 1 THEN coalesce(string_agg(d, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') ELSE '' END AS l,
+  CASE WHEN n > 1 THEN coalesce(string_agg(d, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') ELSE '' END AS r
+  FROM {name}{k} WINDOW w AS (PARTITION BY {group}, pos // 16 ORDER BY pos))""")
+        parts.append(f"""{name}{k + 1} AS (SELECT {group}, pos // 16 AS pos, (any_value(n) + 15) // 16 AS n,
+  CASE WHEN any_value(n) = 1 THEN any_value(d) ELSE sha256(string_agg(d, '' ORDER BY pos)) END AS d
+  FROM {name}{k} GROUP BY {group}, pos // 16)""")
+    return ",\n".join(parts)
+
+
+def _merkle_folds(levels: int, upper: int) -> str:
+    """SQL that folds each leaf through its source's levels and then the upper ones."""
+    parts, previous = [], "f"
+    for tree, group, at, count in (("t", "g", "pos", levels), ("u", "z", "spos", upper)):
+        for k in range(count + 1):
+            name = f"f{tree}{k}"
+            parts.append(f"""{name} AS (SELECT f.* REPLACE (CASE WHEN s.n > 1 THEN sha256(s.l || f.cur || s.r) ELSE f.cur END AS cur,
+  f.proof || s.l || s.r AS proof) FROM {previous} f JOIN {tree}s{k} s ON s.{group} = f.{group} AND s.pos = f.{at} // {16**k})""")
+            previous = name
+    return ",\n".join(parts)
+
+
+def _merkle_field(column: str) -> str:
+    return f"coalesce(strlen(CAST({column} AS VARCHAR)) || ':' || CAST({column} AS VARCHAR), '-')"
+
+
+_FIELDS = " || ".join(map(_merkle_field, ("doc_id", "source", "lang", "n_chars")))
+_LOWERED = f"translate(text, '{merkle.UPPER}', '{merkle.LOWER}')"
+_LEVELS, _UPPER = 7, 3  # enough for 16 ** 8 documents of a source and 16 ** 4 sources
+# Unsigned crc32 of a decimal, a digit at a time; DuckDB has no such function.
+_CRC_BITS = "xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END)"
+_CRC = "list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)), lambda a, b: {})"
+
+
+def _crc_step(value: str, times: int) -> str:
+    return value if times == 0 else (
+        f"list_extract(list_transform([{_crc_step(value, times - 1)}], lambda x: {_CRC_BITS}), 1)"
+    )
+
+
+ORACLES["op11_merkle"] = f"""
+WITH hashed AS (
+  SELECT doc_id, coalesce('s' || source, '') AS g, sha256({_FIELDS} || {_merkle_field("text")}) AS leaf,
+         sha256({_FIELDS} || {_merkle_field(_LOWERED)}) AS lowered,
+         xor({_CRC.format(_crc_step("xor(a, b)", 8))}, 4294967295::BIGINT) % 5 = 0 AS tampered
+  FROM documents),
+t0 AS (SELECT *, leaf AS d, row_number() OVER (PARTITION BY g ORDER BY doc_id) - 1 AS pos, count(*) OVER (PARTITION BY g) AS n FROM hashed),
+{_merkle_levels("t", "g", _LEVELS)},
+u0 AS (SELECT 0 AS z, g, d, row_number() OVER (ORDER BY g) - 1 AS pos, count(*) OVER () AS n FROM t{_LEVELS + 1}),
+{_merkle_levels("u", "z", _UPPER)},
+f AS (SELECT t.doc_id, t.g, t.pos, t.leaf, u.z, u.pos AS spos, u.d AS subroot, CASE WHEN t.tampered THEN t.lowered ELSE t.leaf END AS cur,
+             '' AS proof FROM t0 t JOIN u0 u USING (g)),
+{_merkle_folds(_LEVELS, _UPPER)}
+SELECT doc_id, leaf, subroot, (SELECT d FROM u{_UPPER + 1}) AS root, sha256(proof) AS proof_sha256, cur AS folded_root,
+       cur = (SELECT d FROM u{_UPPER + 1}) AS verified FROM fu{_UPPER}
+"""
