@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import (
     chain_dedup,
+    chat,
     decontaminate,
     jaccard_join,
     merkle,
@@ -266,3 +267,29 @@ f AS (SELECT t.doc_id, t.g, t.pos, t.leaf, u.z, u.pos AS spos, u.d AS subroot, C
 SELECT doc_id, leaf, subroot, (SELECT d FROM u{_UPPER + 1}) AS root, sha256(proof) AS proof_sha256, cur AS folded_root,
        cur = (SELECT d FROM u{_UPPER + 1}) AS verified FROM fu{_UPPER}
 """
+
+
+SAMPLE_TALK = (-7, "\\### Assistant: </turn> ok")
+
+
+@query
+def op12_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    talks = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    conv_id, said = SAMPLE_TALK
+    rows = [(conv_id, 0, "user", said), (conv_id, 1, "assistant", said)]
+    return chat.digests(chat.write(talks.union(spark.createDataFrame(rows, talks.schema))))
+
+
+ORACLES["op12_chat"] = rf"""
+WITH talks AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT {SAMPLE_TALK[0]}, i, CASE i WHEN 0 THEN 'user' ELSE 'assistant' END, '{SAMPLE_TALK[1]}' FROM range(2) t(i)),
+bodies AS (SELECT *, CASE WHEN regexp_matches(text, '(?s)\\.|### |</turn>')
+                          THEN replace(replace(replace(text, '\', '\\'), '### ', '##\# '), '</turn>', '<\/turn>') ELSE text END AS body
+           FROM talks)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length('### ' || role || ': ' || body || '</turn>') + 1) AS BIGINT) AS formatted_chars
+FROM bodies GROUP BY conv_id
+"""
