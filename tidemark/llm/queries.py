@@ -11,6 +11,7 @@ from tidemark.llm import (
     chain_dedup,
     chat,
     decontaminate,
+    divergence,
     jaccard_join,
     merkle,
     mixing,
@@ -293,3 +294,37 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
        CAST(sum(length('### ' || role || ': ' || body || '</turn>') + 1) AS BIGINT) AS formatted_chars
 FROM bodies GROUP BY conv_id
 """
+
+
+@query
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def _share(n: str, total: str) -> str:
+    return f"CAST(1 + (1000000000::HUGEINT * ({n} + 1)) // ({total} + v) AS BIGINT)"
+
+
+ORACLES["op13_divergence"] = rf"""
+WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  translate(coalesce(text, ''), '{merkle.UPPER}', '{merkle.LOWER}') AS t FROM documents),
+said AS (SELECT id, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS ln FROM said GROUP BY ALL HAVING count(DISTINCT id) >= {divergence.MIN_DOCS}),
+langs AS (SELECT lang, count(*) AS v, sum(ln) AS lt FROM kept GROUP BY lang),
+c AS (SELECT s.lang, s.source, s.term, count(*) AS n FROM said s JOIN kept k ON k.lang = s.lang AND k.term = s.term GROUP BY ALL),
+groups AS (SELECT g.lang, g.source, coalesce(t.n, 0) AS total, coalesce(l.v, 0) AS v, l.lt
+           FROM (SELECT DISTINCT lang, source FROM d) g LEFT JOIN langs l ON l.lang = g.lang
+           LEFT JOIN (SELECT lang, source, sum(n) AS n FROM c GROUP BY ALL) t ON t.lang = g.lang AND t.source = g.source),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, {_share("coalesce(c.n, 0)", "g.total")} AS p, {_share("k.ln", "g.lt")} AS q
+      FROM groups g JOIN kept k ON k.lang = g.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+found AS (
+  SELECT g.lang, g.source, 'pair' AS part, o.source AS item, CAST(coalesce(any_value(x.value), 0) AS BIGINT) AS value
+  FROM groups g JOIN groups o ON o.lang = g.lang AND o.source <> g.source
+  LEFT JOIN (SELECT a.lang, a.source, b.source AS other, sum(((a.p - b.p)::HUGEINT * (a.p - b.p)) // b.p) AS value
+             FROM p a JOIN p b ON b.lang = a.lang AND b.term = a.term GROUP BY ALL) x
+    ON x.lang = g.lang AND x.source = g.source AND x.other = o.source GROUP BY g.lang, g.source, o.source
+  UNION ALL
+  SELECT lang, source, 'term', term, CAST(((p - q)::HUGEINT * (p - q)) // q AS BIGINT) FROM p WHERE n > 0 AND p > q)
+SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM found
+QUALIFY part = 'pair' OR rank <= {divergence.TOP_TERMS}
+"""
