@@ -194,8 +194,8 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lists = batch.column(1)
         offsets = lists.offsets.to_numpy()
         inner = lists.values
-        names = inner.field(0).dictionary_encode()
-        code, p, zero = names.indices.to_numpy().astype(np.int64), inner.field(1).to_numpy(), inner.field(2).to_numpy()
+        names = inner.field("source").dictionary_encode()
+        code, p, zero = names.indices.to_numpy().astype(np.int64), inner.field("p").to_numpy(), inner.field("zero").to_numpy()
         lang = batch.column(0).dictionary_encode()
         of, size = lang.indices.to_numpy().astype(np.int64), len(names.dictionary)
         keys, values, held = [], [], 0
