@@ -314,3 +314,74 @@ def test_a_batch_that_comes_late_does_not_replace_newer_rows(spark):
     landing.land(pull(spark, (1, 3, "old"), (2, 4, "b"), (3, 1, "c")), f"{root}/in", "b1")
     once()
     assert content(tables.read_partitioned(spark, f"{root}/out")) == [("srv-a", 1, "new"), ("srv-a", 2, "b"), ("srv-a", 3, "c")]
+
+
+NOTES = TableSpec("srv-a", "db", "dbo", "notes", ("k",), "at")
+CALLS = FactSpec(keys=("k",), base={"k": "k", "v": "v", "at": "at", S.PARTITION_DATE: S.PARTITION_DATE, "server": S.SOURCE_SERVER},
+                 attributes={"note": "v"})
+
+
+def gold_calls(lake, windowed=False):
+    lake.fact("calls", A, NOTES, CALLS, ["k"], S.PARTITION_DATE, windowed=windowed)
+    lake.commit()
+    return sorted(r.k for r in tables.read_partitioned(lake.spark, lake.path("gold", "calls")).collect())
+
+
+def silver_of(lake, specs, pulls, day):
+    for spec, df in pulls.items():
+        lake.land(spec, df, utc(day))
+    lake.bronze_all(specs)
+    return lake.silver(specs)
+
+
+@pytest.mark.parametrize("windowed", [False, True])
+def test_a_server_that_joins_late_brings_its_older_rows(spark, lake, windowed):
+    silver_of(lake, [NOTES], {NOTES: pull(spark, (1, 20, "n"))}, 20)
+    silver_of(lake, [A, B], {A: pull(spark, *[(k, 20, "a") for k in range(5)])}, 20)
+    assert gold_calls(lake) == list(range(5))
+    silver_of(lake, [A, B], {B: pull(spark, *[(k, 10, "b") for k in range(5, 15)])}, 21)
+    assert lake.frontier("calls") == {("srv-a", "db"): utc(20), ("srv-b", "db"): None}
+    assert gold_calls(lake, windowed) == list(range(15))
+    assert lake.frontier("calls") == {("srv-a", "db"): utc(20), ("srv-b", "db"): utc(10)}
+
+
+def test_a_server_left_out_at_first_is_not_left_behind(spark, lake, monkeypatch):
+    silver_of(lake, [NOTES], {NOTES: pull(spark, (1, 20, "n"))}, 20)
+    fresh = lake._fresh
+    with monkeypatch.context() as m:
+        m.setattr(lake, "_fresh", lambda spec: fresh(spec) if spec.host == "srv-a" else (_ for _ in ()).throw(OSError("gone")))
+        silver_of(lake, [A, B], {A: pull(spark, (1, 20, "a")), B: pull(spark, (2, 5, "b"))}, 20)
+    assert gold_calls(lake) == [1]
+    lake.silver([A, B], OnError.ISOLATE)
+    assert gold_calls(lake) == [1, 2]
+
+
+def test_dimension_of_a_server_that_joins_late(spark, lake):
+    people = [TableSpec(h, "db", "dbo", "employees", ("EmployeeID", "LoadDate"), "LoadDate") for h in ("srv-a", "srv-b")]
+    for spec, rows in zip(people, [((5, 20, {}), (5, 22, {"JobTitle": "Lead"})), ((6, 3, {}), (6, 4, {"JobTitle": "Lead"}))]):
+        silver_of(lake, people, {spec: employees(spark, *rows)}, 25)
+        lake.dimension("dim_employee", people[0], EMPLOYEE_DIM, employee_versions, employee_seed(spark))
+        lake.commit()
+    found = tables.read_snapshot(spark, lake.path("gold", "dim_employee")).where("EmployeeID in (5, 6)")
+    assert sorted(r.EmployeeID for r in found.collect()) == [5, 5, 6, 6]
+
+
+def test_frontier_prunes_partitions_until_a_source_is_new(spark, tmp_path):
+    from tests.plans import plan
+    from tidemark.operators.watermarks import filter_frontier
+
+    rows = [(h, "db", utc(d).replace(tzinfo=None), utc(d).date()) for h in ("a", "b") for d in (1, 10, 20)]
+    ddl = f"`{S.SOURCE_SERVER}` string, `{S.SOURCE_DATABASE}` string, at timestamp_ntz, `{S.PARTITION_DATE}` date"
+    spark.createDataFrame(rows, ddl).write.partitionBy(S.PARTITION_DATE).parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+
+    def found(frontier, **more):
+        out = filter_frontier(df, "at", frontier, S.PARTITION_DATE, **more)
+        return sorted((r[S.SOURCE_SERVER], r["at"].day) for r in out.collect()), plan(out, "formatted")
+
+    both, text = found({("a", "db"): utc(10), ("b", "db"): utc(1)})
+    assert both == [("a", 20), ("b", 10), ("b", 20)]
+    assert f"PartitionFilters: [((({S.PARTITION_DATE}" in text or f"PartitionFilters: [(({S.PARTITION_DATE}" in text
+    assert found({("a", "db"): utc(10), ("b", "db"): None})[0] == [("a", 20), ("b", 1), ("b", 10), ("b", 20)]
+    assert found({("a", "db"): utc(20)}, lookback_days=10)[0] == [("a", 10), ("a", 20)]
+    assert len(found({})[0]) == 6

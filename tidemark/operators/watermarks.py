@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import datetime, time, timedelta
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.temporal import literal_like
-from tidemark.spec import LINEAGE_COLUMNS, as_utc
+from tidemark.spec import LINEAGE_COLUMNS, SOURCE_DATABASE, SOURCE_SERVER, as_utc
 
 
 def filter_since(
@@ -43,6 +45,47 @@ def max_watermark(df: DataFrame, watermark: str, alias: str = "watermark") -> Da
     return df.agg(F.max(watermark).alias(alias))
 
 
+# Committed watermark by (server, database); None for a source of which nothing is committed yet.
+Frontier = Mapping[tuple[str, str], datetime | None]
+
+
+def filter_frontier(
+    df: DataFrame,
+    watermark: str,
+    frontier: Frontier,
+    partition_date: str | None = None,
+    lookback_days: int | None = None,
+) -> DataFrame:
+    """Rows past the watermark of their *own* source; a source without one counts from the beginning.
+
+    One minimum over all sources would re-read what fast sources have delivered long ago and, worse, has no value for a
+    source that joins later: its older rows lie before the minimum.  ``frontier`` names every source whose rows ``df`` can
+    hold; an empty one filters nothing.  With ``lookback_days`` a source is read from that many days before its watermark.
+
+    Sources of one watermark share a branch of the predicate, so it grows with the number of servers at most.  Every
+    branch holds literals of the columns' own types and reaches the scan; while no source is new, partitions are pruned.
+    """
+    if not frontier:
+        return df
+    sources: dict[datetime | None, list[tuple[str, str]]] = {}
+    for source, last in frontier.items():
+        sources.setdefault(None if last is None else as_utc(last), []).append(source)
+
+    def past(last: datetime | None, of: list[tuple[str, str]]) -> Column:
+        own = reduce(or_, [(F.col(SOURCE_SERVER) == host) & (F.col(SOURCE_DATABASE) == base) for host, base in of])
+        if last is None:
+            return own
+        if lookback_days is None:
+            first_day, fresh = last.date(), F.col(watermark) > literal_like(df, watermark, last)
+        else:
+            first_day = last.date() - timedelta(days=lookback_days)
+            fresh = F.col(watermark) >= literal_like(df, watermark, datetime.combine(first_day, time()))
+        pruned = F.lit(True) if partition_date is None else F.col(partition_date) >= F.lit(first_day)
+        return own & fresh & pruned
+
+    return df.where(reduce(or_, [past(last, of) for last, of in sources.items()]))
+
+
 def batch_watermarks(df: DataFrame, watermark: str, sources: Sequence[str] = LINEAGE_COLUMNS) -> DataFrame:
     """Largest watermark per source, cut to whole seconds.
 

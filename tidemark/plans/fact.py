@@ -56,6 +56,11 @@ def build_fact(base: DataFrame, attributes: DataFrame, spec: FactSpec) -> DataFr
     return fact.select(*spec.order) if spec.order else fact
 
 
+def changed_keys(changed: DataFrame, arrived: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Distinct keys of base rows and attribute rows that are new."""
+    return changed.select(*keys).unionByName(arrived.select(*keys)).distinct()
+
+
 def affected_keys(
     base: DataFrame,
     attributes: DataFrame,
@@ -67,9 +72,8 @@ def affected_keys(
     partition: str | None = None,
 ) -> DataFrame:
     """Keys that changed on either side since its watermark; ``partition`` holds the watermarks' date on both sides."""
-    changed = filter_since(base, base_watermark, base_since, partition).select(*keys)
-    arrived = filter_since(attributes, attribute_watermark, attribute_since, partition).select(*keys)
-    return changed.unionByName(arrived).distinct()
+    changed = filter_since(base, base_watermark, base_since, partition)
+    return changed_keys(changed, filter_since(attributes, attribute_watermark, attribute_since, partition), keys)
 
 
 def refresh_fact(

@@ -22,8 +22,10 @@ from tidemark.operators.conform import conform_union
 from tidemark.operators.enrich import add_lineage
 from tidemark.operators.scd2 import VersionSpec, merge_versions, rows_to_append
 from tidemark.operators.upsert import OnDuplicate, dedupe_latest
-from tidemark.operators.watermarks import commit_watermarks, earliest_watermark, filter_lookback, filter_since
-from tidemark.plans.fact import FactSpec, affected_keys, build_fact, refresh_fact, without_key
+from tidemark.operators.watermarks import (
+    Frontier, commit_watermarks, earliest_watermark, filter_frontier, filter_since, max_watermark,
+)
+from tidemark.plans.fact import FactSpec, build_fact, changed_keys, refresh_fact, without_key
 from tidemark.session import ensure_checkpoint_dir
 from tidemark.sources import landing, paths, tables
 from tidemark.sources.rows import local_frame
@@ -105,6 +107,20 @@ class Medallion:
             raise LookupError(f"no committed watermark for {table}")
         return _from_micros(row[0])
 
+    def frontier(self, table: str) -> Frontier:
+        """How far each source of a table is committed; None for sources that silver has staged for the first time."""
+        known = [
+            (row["host"], row["database"], row["micros"], committed)
+            for committed, state in ((False, self.state(True, [table])), (True, self.state(names=[table])))
+            for row in state.select("host", "database", F.unix_micros("watermark").alias("micros")).collect()
+        ]
+        staged = {(host, base): None for host, base, *_ in known}
+        return staged | {(host, base): _from_micros(m) for host, base, m, committed in known if committed and m is not None}
+
+    def _recent(self, df: DataFrame, spec: TableSpec, lookback_days: int | None = None) -> DataFrame:
+        """Silver rows that no committed gold load has seen."""
+        return filter_frontier(df, spec.watermark, self.frontier(spec.table), S.PARTITION_DATE, lookback_days)
+
     def stage(self, loads: Iterable[Loaded]) -> None:
         """Remember how far each source got; whole seconds, so the last second is read again."""
         rows = [
@@ -308,6 +324,9 @@ class Medallion:
     ) -> None:
         """Create the fact or bring it up to date with what changed in silver on either side since the last commit.
 
+        Each source counts from its own committed watermark, so a server that joins late, or whose first load failed,
+        brings all its rows, however old.
+
         ``windowed`` filters each side by its own watermark before the join, as stored loads do it: attributes that
         arrive later than their base row are then not attached.
         """
@@ -320,17 +339,13 @@ class Medallion:
             )
             last = self._last(rows, base)
         else:
-            since, details_since = self._earliest_or_never(base.table), self._earliest_or_never(attributes.table)
-            recent = filter_since(rows, base.watermark, since, S.PARTITION_DATE)
+            recent, late = self._recent(rows, base), self._recent(details, attributes)
             if windowed:
-                late = filter_since(details, attributes.watermark, details_since, S.PARTITION_DATE)
                 fresh = build_fact(recent, late, fact)
             else:
                 # The key list feeds both sides' partition search and both semi-joins: it is stored once.
                 ensure_checkpoint_dir(self.spark)
-                keys = affected_keys(
-                    rows, details, fact.keys, base.watermark, since, attributes.watermark, details_since, S.PARTITION_DATE
-                ).checkpoint()
+                keys = changed_keys(recent, late, fact.keys).checkpoint()
                 fresh = refresh_fact(rows, details, keys, fact, without_key(recent, fact.keys), S.PARTITION_DATE)
             done = tables.upsert_partitions(
                 self.spark, path, fresh, merge_keys, partition, fact.nullable_keys, on_duplicate=on_duplicate
@@ -339,7 +354,8 @@ class Medallion:
         self._log_gold(name, path, base, start, done.rows, last)
 
     def _last(self, rows: DataFrame, spec: TableSpec) -> datetime | None:
-        value = rows.agg(F.max(F.unix_micros(F.col(spec.watermark).cast("timestamp")))).head()[0]
+        largest = max_watermark(rows, spec.watermark)
+        value = largest.select(F.unix_micros(F.col("watermark").cast("timestamp"))).head()[0]
         return None if value is None else _from_micros(value)
 
     def dimension(
@@ -365,8 +381,7 @@ class Medallion:
             built = build(history)
             tables.write_snapshot(built if seed is None else seed.unionByName(built), path)
         else:
-            since = self._earliest_or_never(source.table)
-            changed = filter_lookback(history, source.watermark, since, lookback_days, S.PARTITION_DATE)
+            changed = self._recent(history, source, lookback_days)
             target = tables.read_snapshot(self.spark, path)
             if insert_only:
                 built = rows_to_append(target, build(changed), versions)
@@ -381,12 +396,6 @@ class Medallion:
         self.stage([Loaded(replace(source, host="", table=name), rows, last)])
         self._log_gold(name, path, source, start, rows, last)
 
-    def _earliest_or_never(self, table: str) -> datetime:
-        try:
-            return self.earliest(table)
-        except LookupError:
-            return S.NEVER_LOADED
-
     def _log_gold(
         self, name: str, path: str, source: TableSpec, start: datetime, rows: int, last: datetime | None
     ) -> None:
