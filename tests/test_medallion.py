@@ -385,3 +385,24 @@ def test_frontier_prunes_partitions_until_a_source_is_new(spark, tmp_path):
     assert found({("a", "db"): utc(10), ("b", "db"): None})[0] == [("a", 20), ("b", 1), ("b", 10), ("b", 20)]
     assert found({("a", "db"): utc(20)}, lookback_days=10)[0] == [("a", 10), ("a", 20)]
     assert len(found({})[0]) == 6
+
+
+def test_pending_batches_of_drifting_types_reach_bronze(spark, lake):
+    lake.land(A, spark.createDataFrame([(1, utc(1), 5)], "k int, at timestamp, x int"), utc(1))
+    lake.land(A, spark.createDataFrame([(2, utc(2), "five")], "k int, at timestamp, x string"), utc(2))
+    done = lake.bronze(A)
+    assert (done.rows, done.last) == (2, utc(2))
+    assert sorted((r.k, r.x) for r in lake.read_bronze(A).collect()) == [(1, "5"), (2, "five")]
+    lake.land(A, spark.createDataFrame([(1, utc(3), 6)], "k int, at timestamp, x int"), utc(3))
+    done = lake.bronze(A)
+    assert (done.rows, done.last) == (1, utc(3))
+    assert sorted((r.k, r.x) for r in lake.read_bronze(A).collect()) == [(1, "6"), (2, "five")]
+
+
+def test_stream_takes_rows_without_a_watermark(spark):
+    root = scratch_path(spark, "stream")
+    for day, at, v in ((1, utc(1), "old"), (2, None, "new")):
+        df = spark.createDataFrame([(1, at, v)], DDL)
+        landing.land(df, f"{root}/in", landing.batch_name("calls", utc(day)))
+        stream_to_bronze(spark, A, f"{root}/in", df.schema, f"{root}/out", f"{root}/cp", utc(9)).awaitTermination()
+    assert [r.v for r in tables.read_partitioned(spark, f"{root}/out").collect()] == ["new"]

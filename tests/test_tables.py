@@ -194,6 +194,29 @@ def test_reading_batches_skips_the_others(spark, base):
     assert "batch_id=b" in text and "batch_id=a" not in text
 
 
+def test_batches_with_drifting_schemas_are_read_together(spark, base):
+    landing.land(spark.createDataFrame([(1, 7, "x")], "k int, v int, old string"), base, "b1")
+    landing.land(spark.createDataFrame([(2, "seven", 2.5)], "k bigint, v string, fresh double"), base, "b2")
+    landing.land(spark.createDataFrame([(3, "nine", 3.5)], "k bigint, v string, fresh double"), base, "b3")
+    df = landing.read_batches(spark, base, ["b1", "b2", "b3"])
+    found = {r.batch_id: (r.k, r.v, r.old, r.fresh) for r in df.collect()}
+    assert found == {"b1": (1, "7", "x", None), "b2": (2, "seven", None, 2.5), "b3": (3, "nine", None, 3.5)}
+    text = plan(df)
+    assert text.count("FileScan parquet") == 2 and "mergeSchema" not in text  # one scan for each schema
+
+
+def test_types_without_a_common_one_become_text(spark, base):
+    landing.land(spark.createDataFrame([(1, 7)], "k int, v int"), base, "b1")
+    landing.land(spark.sql("SELECT 2 AS k, DATE '2024-01-02' AS v"), base, "b2")
+    assert {r.v for r in landing.read_batches(spark, base, ["b1", "b2"]).collect()} == {"7", "2024-01-02"}
+
+
+def test_a_batch_without_a_kept_schema_is_read_by_its_own_footer(spark, base):
+    landing.land(spark.createDataFrame([(1, 7)], "k int, v int"), base, "b1")
+    spark.createDataFrame([(2, "x")], "k int, v string").write.parquet(f"{base}/{landing.BATCH}=b2")
+    assert {r.v for r in landing.read_batches(spark, base, ["b1", "b2"]).collect()} == {"7", "x"}
+
+
 def test_local_frame_needs_no_python_workers(spark):
     df = local_frame(spark, [(1, None), (2, "x")], "a int, b string")
     assert rows(df) == [(1, None), (2, "x")]

@@ -283,3 +283,26 @@ def catalog_follows_upserts(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables.upsert_partitions(spark, path, more, ["event_id"], "part")
     tables.register_table(spark, name, path)
     return spark.table(f"default.{name}")
+
+
+@query("""
+SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority ELSE CAST(o_custkey AS VARCHAR) END AS reference,
+       CASE WHEN o_orderkey % 2 = 0 THEN NULL ELSE o_totalprice END AS o_totalprice,
+       CASE WHEN o_orderkey % 2 = 0 THEN o_orderstatus END AS o_orderstatus, loaded, CAST(loaded AS DATE) AS "__PartitionDateUTC",
+       sha256(concat_ws(' ', CAST(o_orderkey AS VARCHAR), 'srv-A')) AS "__hash_key",
+       TIMESTAMP '2024-07-01 12:00:00' AS "__record_created_datetime_utc",
+       TIMESTAMP '2024-07-01 07:00:00' AS "__record_created_datetime_cst",
+       'srv-A' AS "__source_server", 'sales' AS "__source_database", 'dbo.orders' AS "__source_table"
+FROM (SELECT *, date_trunc('year', o_orderdate)::TIMESTAMP AS loaded FROM orders)
+""")
+def bronze_drifting_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two pending batches, of which the second has text for a number, lacks a column and brings one: bronze holds both."""
+    lake = Medallion(spark, scratch_path(spark, "drifting"))
+    spec = _yearly(replace(ORDERS, host="srv-A"))
+    orders = _loaded(table(spark, sf_dir, "orders"), 0)
+    numbers = orders.where("o_orderkey % 2 = 1").select("o_orderkey", F.col("o_custkey").alias("reference"), "o_totalprice", "loaded")
+    texts = orders.where("o_orderkey % 2 = 0").select("o_orderkey", F.col("o_orderpriority").alias("reference"), "o_orderstatus", "loaded")
+    for number, batch in enumerate([numbers, texts]):
+        lake.land(spec, batch, datetime(2024, 7, 1 + number))
+    lake.bronze(spec, AS_OF)
+    return naive_records(lake.read_bronze(spec))

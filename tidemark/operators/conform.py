@@ -29,13 +29,24 @@ def missing_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
     return [c for c in columns if c.lower() not in have]
 
 
+def _family(dtype: T.DataType) -> str:
+    """Types that Spark widens into each other; nested types are a family of their own each."""
+    if isinstance(dtype, T.NullType):
+        return ""
+    if isinstance(dtype, T.NumericType):
+        return "number"
+    if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return "moment"
+    return dtype.simpleString()
+
+
 def textual_conflicts(frames: Sequence[DataFrame]) -> set[str]:
-    """Columns that are text on one server and something else on another."""
-    types: dict[str, set[bool]] = {}
+    """Columns whose types on two servers have no common type but text."""
+    types: dict[str, set[str]] = {}
     for df in frames:
         for f in df.schema.fields:
-            types.setdefault(f.name.lower(), set()).add(isinstance(f.dataType, T.StringType))
-    return {name for name, kinds in types.items() if len(kinds) > 1}
+            types.setdefault(f.name.lower(), set()).add(_family(f.dataType))
+    return {name for name, families in types.items() if len(families - {""}) > 1}
 
 
 def align(df: DataFrame, columns: Sequence[str], as_text: set[str] = frozenset()) -> DataFrame:
@@ -54,8 +65,8 @@ def align(df: DataFrame, columns: Sequence[str], as_text: set[str] = frozenset()
 def conform_union(frames: Sequence[DataFrame]) -> DataFrame:
     """Bag union over the superset of columns.
 
-    Numeric and temporal drift is left to Spark's type widening.  A column that is text on any server becomes text
-    everywhere, because the reverse cast could fail on rows it has not seen.  A union adds no shuffle, and filters on
+    Numeric and temporal drift is left to Spark's type widening.  A column that is text on any server, or has types without a
+    common one, becomes text everywhere, because the reverse cast could fail on rows it has not seen.  A union adds no shuffle, and filters on
     the result still reach every server's scan.
     """
     if not frames:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timezone
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -100,23 +101,40 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
 
 
 class WriteMetrics:
-    """Row count and largest watermark of a frame, collected while it is written, without another pass."""
+    """Row count and largest watermark of a frame, collected while it is written, without another pass.
+
+    Watermarks pass as microseconds, so dates, instants and wall-clock values come out alike: in UTC.
+    """
 
     def __init__(self, watermark: str | None = None) -> None:
         self._observation = Observation()
         self._watermark = watermark
 
     def attach(self, df: DataFrame) -> DataFrame:
-        mark = F.col(self._watermark) if self._watermark else F.lit(None).cast("timestamp")
+        mark = F.unix_micros(F.col(self._watermark).cast("timestamp")) if self._watermark else F.lit(None).cast("long")
         return df.observe(self._observation, F.count(F.lit(1)).alias("rows"), F.max(mark).alias("last"))
 
+    @property
+    def observed(self) -> bool:
+        """False if AQE took the frame out of the plan while it ran, which it does only where nothing is left of it."""
+        try:
+            return bool(self._observation.get)
+        except Py4JJavaError:
+            return False
+
     @property
     def rows(self) -> int:
-        return self._observation.get["rows"]
+        return self._observation.get["rows"] if self.observed else 0
 
     @property
     def last(self) -> datetime | None:
-        return self._observation.get["last"]
+        micros = self._observation.get["last"] if self.observed else None
+        return None if micros is None else from_micros(micros)
+
+
+def from_micros(value: int) -> datetime:
+    seconds, micros = divmod(value, 1_000_000)
+    return datetime.fromtimestamp(seconds, timezone.utc).replace(microsecond=micros)
 
 
 def consolidated(

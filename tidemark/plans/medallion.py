@@ -20,6 +20,7 @@ from tidemark import spec as S
 from tidemark.operators import runlog
 from tidemark.operators.conform import conform_union
 from tidemark.operators.enrich import add_lineage
+from tidemark.operators.runlog import from_micros
 from tidemark.operators.scd2 import VersionSpec, merge_versions, rows_to_append
 from tidemark.operators.upsert import OnDuplicate, dedupe_latest
 from tidemark.operators.watermarks import (
@@ -98,14 +99,14 @@ class Medallion:
             .select(F.unix_micros("watermark"))
             .head()
         )
-        return spec if row is None or row[0] is None else spec.since(_from_micros(row[0]))
+        return spec if row is None or row[0] is None else spec.since(from_micros(row[0]))
 
     def earliest(self, table: str) -> datetime:
         """Smallest committed watermark over a table's servers; an unknown table is an error, not a value."""
         row = earliest_watermark(self.state(names=[table])).select(F.unix_micros("watermark")).head()
         if row is None or row[0] is None:
             raise LookupError(f"no committed watermark for {table}")
-        return _from_micros(row[0])
+        return from_micros(row[0])
 
     def frontier(self, table: str) -> Frontier:
         """How far each source of a table is committed; None for sources that silver has staged for the first time."""
@@ -115,7 +116,7 @@ class Medallion:
             for row in state.select("host", "database", F.unix_micros("watermark").alias("micros")).collect()
         ]
         staged = {(host, base): None for host, base, *_ in known}
-        return staged | {(host, base): _from_micros(m) for host, base, m, committed in known if committed and m is not None}
+        return staged | {(host, base): from_micros(m) for host, base, m, committed in known if committed and m is not None}
 
     def _recent(self, df: DataFrame, spec: TableSpec, lookback_days: int | None = None) -> DataFrame:
         """Silver rows that no committed gold load has seen."""
@@ -207,15 +208,15 @@ class Medallion:
         return done
 
     def _bronze_incremental(self, spec, base, pending, path, as_of) -> tuple[int, datetime | None]:
-        landed = landing.read_batches(self.spark, base, pending)
+        metrics = runlog.WriteMetrics(spec.watermark)  # of the job that first reads the batches: they are read once
+        landed = metrics.attach(landing.read_batches(self.spark, base, pending))
         enriched = add_lineage(landed, spec, as_of)
         unique = dedupe_latest(enriched, [S.HASH_KEY], [landing.BATCH, spec.watermark]).drop(landing.BATCH)
         tables.upsert_partitions(
             self.spark, path, unique, [S.HASH_KEY], S.PARTITION_DATE,
             stable_partition=spec.stable_partition, on_duplicate=OnDuplicate.KEEP,
         )
-        rows, last = landed.agg(F.count("*"), F.max(F.unix_micros(F.col(spec.watermark).cast("timestamp")))).head()
-        return rows, None if last is None else _from_micros(last)
+        return metrics.rows, metrics.last
 
     def _bronze_full(self, spec, base, newest, path, as_of) -> tuple[int, None]:
         metrics = runlog.WriteMetrics()
@@ -304,7 +305,7 @@ class Medallion:
             return Loaded(spec, 0, None, runlog.EMPTY)
         mark = F.unix_micros(F.max(F.col(spec.watermark).cast("timestamp"))) if spec.incremental else F.lit(None)
         rows, last = frame.agg(F.count("*"), mark).head()
-        return Loaded(spec, rows, None if last is None else _from_micros(last), runlog.status_of(rows))
+        return Loaded(spec, rows, None if last is None else from_micros(last), runlog.status_of(rows))
 
     def read_silver(self, spec: TableSpec) -> DataFrame:
         return tables.read_table(self.spark, self.path("silver", spec), "partitioned" if spec.incremental else "snapshot")
@@ -356,7 +357,7 @@ class Medallion:
     def _last(self, rows: DataFrame, spec: TableSpec) -> datetime | None:
         largest = max_watermark(rows, spec.watermark)
         value = largest.select(F.unix_micros(F.col("watermark").cast("timestamp"))).head()[0]
-        return None if value is None else _from_micros(value)
+        return None if value is None else from_micros(value)
 
     def dimension(
         self,
@@ -392,7 +393,7 @@ class Medallion:
         written = tables.read_snapshot(self.spark, path)
         mark = F.unix_date(F.max(versions.effective_start)) if versions.effective_start in written.columns else F.lit(None)
         rows, day = written.agg(F.count("*"), mark).head()
-        last = None if day is None else _from_micros(day * 86_400_000_000)
+        last = None if day is None else from_micros(day * 86_400_000_000)
         self.stage([Loaded(replace(source, host="", table=name), rows, last)])
         self._log_gold(name, path, source, start, rows, last)
 
@@ -461,8 +462,3 @@ class Medallion:
             database=None if consolidated else done.spec.database,
         )
         runlog.append_log(self.spark, self.log_path, [entry])
-
-
-def _from_micros(value: int) -> datetime:
-    seconds, micros = divmod(value, 1_000_000)
-    return datetime.fromtimestamp(seconds, timezone.utc).replace(microsecond=micros)

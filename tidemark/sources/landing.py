@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from datetime import datetime
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.temporal import instant
+from tidemark.operators.conform import conform_union
 from tidemark.sources import paths, tables
 from tidemark.sources.rows import local_frame
 
@@ -31,9 +33,10 @@ def batch_name(table: str, moment: datetime) -> str:
 
 
 def land(df: DataFrame, base: str, batch_id: str) -> str:
-    """Write one pull as its own folder.  Landing the same batch again replaces it."""
+    """Write one pull as its own folder, with its schema beside the data.  Landing the same batch again replaces it."""
     path = f"{base}/{BATCH}={batch_id}"
     df.write.mode("overwrite").parquet(path)
+    paths.replace_text(df.sparkSession, f"{path}/{tables.SCHEMA_FILE}", df.schema.json())
     return path
 
 
@@ -43,11 +46,33 @@ def landed_batches(spark: SparkSession, base: str) -> list[str]:
     return [name.split("=", 1)[1] for name in names if paths.has_data(spark, f"{base}/{name}")]
 
 
+def batch_schema(spark: SparkSession, base: str, batch: str) -> T.StructType:
+    """Schema of one landed batch: as kept at landing, else from a footer of that batch alone."""
+    path = f"{base}/{BATCH}={batch}"
+    text = paths.read_text(spark, f"{path}/{tables.SCHEMA_FILE}")
+    return T.StructType.fromJson(json.loads(text)) if text else spark.read.parquet(path).schema
+
+
 def read_batches(spark: SparkSession, base: str, batches: Sequence[str]) -> DataFrame:
-    """The given batches as one frame with their ``batch_id``; only their folders are listed and read."""
-    reader = spark.read.option("basePath", base).option("mergeSchema", "true")
-    df = reader.parquet(*[f"{base}/{BATCH}={batch}" for batch in batches])
-    return df.withColumn(BATCH, F.col(BATCH).cast("string"))
+    """The given batches as one frame with their ``batch_id``; only their folders are listed and read.
+
+    Batches of one schema are read together, under the schema kept at landing: no footers are merged, and a source that
+    changes a column's type between two pulls blocks neither of them.  The groups are conformed like servers are, so a
+    column that was a number and became text is text in both.
+    """
+    groups: dict[str, list[str]] = {}
+    for batch in batches:
+        groups.setdefault(batch_schema(spark, base, batch).json(), []).append(batch)
+
+    def read(schema: str, members: list[str]) -> DataFrame:
+        own = T.StructType.fromJson(json.loads(schema))
+        own = T.StructType([f for f in own.fields if f.name != BATCH]).add(BATCH, T.StringType())
+        return spark.read.schema(own).option("basePath", base).parquet(*[f"{base}/{BATCH}={batch}" for batch in members])
+
+    # Newest first: of two spellings of a column the newest stays.
+    frames = [read(schema, members) for schema, members in sorted(groups.items(), key=lambda g: max(g[1]), reverse=True)]
+    stacked = conform_union(frames)
+    return stacked.select(*[c for c in stacked.columns if c != BATCH], BATCH)
 
 
 def latest_batch(df: DataFrame, batch: str = BATCH) -> DataFrame:

@@ -58,7 +58,8 @@ def _not_older(rows: DataFrame, stored: DataFrame, watermark: str) -> DataFrame:
     keys = rows.select(S.HASH_KEY)
     known = semi_join(stored.select(S.HASH_KEY, watermark), keys, [S.HASH_KEY], False, small=fits_broadcast(keys))
     joined = rows.join(known.withColumnRenamed(watermark, "__stored"), S.HASH_KEY, "left")
-    current = F.col("__stored").isNull() | (F.col(watermark) >= F.col("__stored"))
+    # Without a watermark on either side the order of arrival decides, as it does between batches.
+    current = F.coalesce(F.col(watermark) >= F.col("__stored"), F.lit(True))
     return joined.where(current).select(*rows.columns)
 
 
