@@ -1,6 +1,9 @@
 """Sinks: snapshots, partitioned upserts, catalog entries, landed batches."""
 
+import json
+import shutil
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -9,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tests.plans import plan
 from tidemark.operators.joins import rows_of_keys
-from tidemark.sources import landing, paths, tables
+from tidemark.sources import keyindex, landing, paths, tables
 from tidemark.sources.rows import local_frame
 from tidemark.session import scratch_path
 
@@ -88,7 +91,8 @@ def test_a_key_that_moves_leaves_no_copy_behind(spark, base):
     tables.upsert_partitions(spark, base, made(spark, (1, "b", 5), (3, "b", 5)), ["k"], "part")
     got = rows(tables.read_partitioned(spark, base))
     assert got == rows(made(spark, (1, "b", 5), (2, "a", 1), (3, "b", 5)))
-    assert paths.subfolders(spark, base) == ["part=2024-01-01", "part=2024-01-05"]
+    folders = [name for name in paths.subfolders(spark, base) if not name.startswith("_")]
+    assert folders == ["part=2024-01-01", "part=2024-01-05"]
 
 
 def test_null_partition_value(spark, base):
@@ -300,3 +304,94 @@ def test_files_read_by_an_upsert_depend_on_the_batch(spark, base, monkeypatch):
     monkeypatch.undo()
     got = {r.k: r.v for r in tables.read_partitioned(spark, base).collect()}
     assert len(got) == 201 and got[3] == "b" and got[900] == "c"
+
+
+# --- key index -------------------------------------------------------------------------------------------------------
+
+PARTS = "k int, v string, part int"
+
+
+def moved(spark, base, *batch, **options):
+    return tables.upsert_partitions(spark, base, spark.createDataFrame(batch, PARTS), ["k"], "part", **options)
+
+
+def garble(folder):
+    for file in Path(folder).rglob("*.parquet"):
+        file.write_bytes(b"not parquet")
+        file.with_name(f".{file.name}.crc").unlink(missing_ok=True)
+
+
+def indexed(spark, base, monkeypatch):
+    """A table of ten partitions with an index of several buckets."""
+    monkeypatch.setattr(keyindex, "BUCKET_PAIRS", 10)
+    moved(spark, base, *[(k, "a", k % 10) for k in range(100)])
+    moved(spark, base, (0, "b", 0))
+    return {k: ("b" if k == 0 else "a", k % 10) for k in range(100)}
+
+
+def stored(spark, base):
+    found = tables.read_partitioned(spark, base).collect()
+    assert len(found) == len({r.k for r in found})
+    return {r.k: (r.v, r.part) for r in found}
+
+
+def test_an_upsert_of_few_keys_reads_only_their_buckets_and_partitions(spark, base, monkeypatch):
+    expected = indexed(spark, base, monkeypatch)
+    index = keyindex.KeyIndex(spark, base, ("k",), "part", tables._stored_schema(spark, base))
+    pairs = index.pairs_of(spark.createDataFrame([(57, "c", 3)], PARTS))
+    used = {f.rsplit("/", 2)[1] for f in index.matching(pairs).inputFiles()}
+    assert len(used) == 1 and len(list(Path(base).glob("_keys/*/bucket=*"))) > 5
+    kept = {"part=7", "part=3"}
+    backup = Path(f"{base}-backup")
+    shutil.copytree(base, backup)
+    for folder in [*Path(base).glob("part=*"), *Path(base).glob("_keys/*/bucket=*")]:
+        if folder.name not in kept and folder.name not in used:
+            garble(folder)
+    assert sorted(moved(spark, base, (57, "c", 3))) == [3, 7]  # what is not needed could not even be read
+    for n in range(10):
+        if f"part={n}" not in kept:
+            shutil.rmtree(f"{base}/part={n}")
+            shutil.copytree(backup / f"part={n}", f"{base}/part={n}")
+    assert stored(spark, base) == expected | {57: ("c", 3)}
+
+
+def test_keys_that_move_again_and_again(spark, base, monkeypatch):
+    expected = indexed(spark, base, monkeypatch)
+    monkeypatch.setattr(keyindex, "MAX_APPENDS", 3)
+    for turn in range(1, 6):
+        batch = [(k, f"t{turn}", (k + turn) % 10) for k in range(0, 130, turn + 1)]
+        moved(spark, base, *batch)
+        expected |= {k: (v, p) for k, v, p in batch}
+    assert stored(spark, base) == expected
+    state = json.loads(paths.read_text(spark, f"{base}/{keyindex.STATE}"))
+    assert state["appends"] < 3 and len([n for n in paths.subfolders(spark, f"{base}/_keys")]) == 1
+
+
+def test_an_index_is_not_trusted_after_other_writes(spark, base, monkeypatch):
+    expected = indexed(spark, base, monkeypatch)
+    tables.append(spark.createDataFrame([(500, "x", 4)], PARTS), base, ["part"])
+    moved(spark, base, (500, "y", 5))
+    moved(spark, base, (700, "s", 6), stable_partition=True)
+    moved(spark, base, (700, "t", 1))
+    assert stored(spark, base) == expected | {500: ("y", 5), 700: ("t", 1)}
+
+
+def test_repeated_upserts_do_not_grow_the_index(spark, base, monkeypatch):
+    indexed(spark, base, monkeypatch)
+    before = paths.read_text(spark, f"{base}/{keyindex.STATE}")
+    for v in "xyz":
+        moved(spark, base, (5, v, 5), (6, v, 6))
+    assert paths.read_text(spark, f"{base}/{keyindex.STATE}") == before
+
+
+def test_keys_of_other_types_and_null_partitions_are_found(spark, base):
+    make = lambda rows, ddl: spark.createDataFrame(rows, ddl)
+    put = lambda df: tables.upsert_partitions(spark, base, df, ["k"], "part")
+    put(make([(1.5, "a", None), (0.0, "a", "p"), (3.0, "a", "q")], "k double, v string, part string"))
+    put(make([(1.5, "b", "p")], "k float, v string, part string"))
+    put(make([(-0.0, "c", "q"), (4.0, "c", None)], "k double, v string, part string"))
+    put(make([(3, "d", "p"), (4, "d", "r")], "k int, v string, part string"))
+    assert {r.k: (r.v, r.part) for r in tables.read_partitioned(spark, base).collect()} == {
+        1.5: ("b", "p"), 0.0: ("c", "q"), 3.0: ("d", "p"), 4.0: ("d", "r"),
+    }
+    assert tables.read_partitioned(spark, base).count() == 4

@@ -14,6 +14,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,14 +22,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.conform import align, all_columns, textual_conflicts
-from tidemark.operators.joins import BROADCAST_ROWS, anti_join, semi_join
+from tidemark.operators.joins import BROADCAST_ROWS, anti_join
 from tidemark.operators.upsert import OnDuplicate, resolve_duplicates
-from tidemark.sources import paths
+from tidemark.sources import keyindex, paths
 from tidemark.sources.rows import local_frame
 
 POINTER = "_CURRENT"
 SCHEMA_FILE = "_SCHEMA"
 STAGED_FILE = "_STAGED"
+#: Folders of an upsert that are replaced at a time.
+RENAMES = 16
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -55,6 +58,8 @@ def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Non
 
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    if partition_by:
+        keyindex.drop(df.sparkSession, path)
     _writer(df, "append", partition_by).parquet(path)
 
 
@@ -146,8 +151,9 @@ def upsert_partitions(
 ) -> Rewritten:
     """Upsert ``source`` into a partitioned Parquet table, creating it if missing.
 
-    Several source rows of one key are an error, or resolved as ``on_duplicate`` says.  ``stable_partition`` promises that
-    a key never changes partition, which saves the key scan over the whole table.  A column that is text on one side only
+    Several source rows of one key are an error, or resolved as ``on_duplicate`` says.  Where the source's keys are stored
+    is looked up in an index beside the table (:mod:`keyindex`), which the first upsert of an existing table builds;
+    ``stable_partition`` promises that a key never changes partition, which saves the look-up.  A column that is text on one side only
     becomes text; where that, or a wider number, changes a stored column's type, the whole table is rewritten once.
 
     An upsert that was interrupted is finished first.  The partition values that are returned and otherwise pass through
@@ -181,14 +187,16 @@ def _rewrite(spark, path, source, keys, partition, nullable_keys, stable_partiti
     merged_schema = align(empty, columns, as_text).union(align(source, columns, as_text)).schema
     drifted = any(merged_schema[f.name].dataType != f.dataType for f in schema.fields)
     if drifted:
+        keyindex.drop(spark, path)
         affected = read_partitioned(spark, path)
         touched |= {r["__text"]: r[partition] for r in affected.select(partition, text).distinct().collect()}
     else:
-        if not stable_partition:
+        if stable_partition:
+            keyindex.drop(spark, path)
+        else:
             # A key may move between partitions, so these are rewritten even if the source brings them nothing.
-            target = read_partitioned(spark, path).select(*keys, partition)
-            replaced = semi_join(target, source, keys, nullable_keys, small)
-            touched |= {r["__text"]: r[partition] for r in replaced.select(partition, text).distinct().collect()}
+            index = keyindex.KeyIndex(spark, path, tuple(keys), partition, schema)
+            touched |= index.locate(read_partitioned(spark, path), source, small)
         # Only the touched folders are listed and read, however many the table has.
         names = [f"{path}/{name}" for name in _folders(spark, path, partition, list(touched))]
         affected = spark.read.schema(schema).option("basePath", path).parquet(*names) if names else empty
@@ -227,11 +235,15 @@ def recover(spark: SparkSession, path: str) -> bool:
         return False
     record = json.loads(text)
     stage = f"{path}/{record['stage']}"
-    for name in paths.subfolders(spark, stage):
+
+    def put(name: str) -> None:
         paths.delete(spark, f"{path}/{name}")
         paths.move(spark, f"{stage}/{name}", f"{path}/{name}")
-    for name in record["emptied"]:
-        paths.delete(spark, f"{path}/{name}")
+
+    # Requests to the file system, not work: many partitions would otherwise wait for each other's renames.
+    with ThreadPoolExecutor(RENAMES) as pool:
+        list(pool.map(put, paths.subfolders(spark, stage)))
+        list(pool.map(lambda name: paths.delete(spark, f"{path}/{name}"), record["emptied"]))
     paths.replace_text(spark, f"{path}/{SCHEMA_FILE}", record["schema"])
     paths.delete(spark, stage)
     paths.delete(spark, f"{path}/{STAGED_FILE}")
