@@ -10,7 +10,7 @@ from tidemark.operators import runlog
 from tests.test_scd2 import employees
 from tidemark.plans.fact import FactSpec
 from tidemark.plans.medallion import Medallion, OnError
-from tidemark.plans.presets import EMPLOYEE_DIM, employee_schema, employee_seed, employee_versions
+from tidemark.plans.presets import EMPLOYEE_DIM, employee_layout, employee_schema, employee_seed, employee_versions
 from tidemark.session import scratch_path
 from tidemark.sources import landing, paths, tables
 from tidemark.spec import LoadType, TableSpec
@@ -334,6 +334,30 @@ def silver_of(lake, specs, pulls, day):
     return lake.silver(specs)
 
 
+def test_dimension_from_carried_state(spark, lake, monkeypatch):
+    """Equal to the dimension derived anew; a crash between dimension and state is noticed and both are built again."""
+    people = TableSpec("srv-a", "db", "dbo", "employees", ("EmployeeID", "LoadDate"), "LoadDate")
+    batches = [[(5, 1, {}), (6, 1, {})], [(5, 3, {"UserName": None, "JobTitle": "Lead"}), (6, 2, {"TerminationDate": datetime(2024, 1, 2)})],
+               [(5, 6, {"JobTitle": "Head"})], [(6, 7, {"JobTitle": "Back"}), (7, 7, {})]]
+
+    def load(number, name, **options):
+        lake.dimension(name, people, EMPLOYEE_DIM, employee_versions, employee_seed(spark), **options)
+
+    for number, batch in enumerate(batches):
+        silver_of(lake, [people], {people: employees(spark, *batch)}, 10 + number)
+        load(number, "plain")
+        if number == 2:
+            with monkeypatch.context() as m:
+                m.setattr(lake, "_keep_carried", lambda *args: (_ for _ in ()).throw(RuntimeError("crash")))
+                with pytest.raises(RuntimeError, match="crash"):
+                    load(number, "carried", layout=employee_layout)
+            assert lake._carried(lake.path("gold", "carried")) is None
+        load(number, "carried", layout=employee_layout)
+        lake.commit()
+        found = [tables.read_snapshot(spark, lake.path("gold", n)) for n in ("plain", "carried")]
+        assert sorted(map(repr, found[0].collect())) == sorted(map(repr, found[1].collect()))
+
+
 @pytest.mark.parametrize("windowed", [False, True])
 def test_a_server_that_joins_late_brings_its_older_rows(spark, lake, windowed):
     silver_of(lake, [NOTES], {NOTES: pull(spark, (1, 20, "n"))}, 20)

@@ -63,6 +63,10 @@ def _seed(spark: SparkSession, like: DataFrame) -> DataFrame:
     return nothing.select(*[F.lit(0 if f.name == "Dim_ID" else None).cast(f.dataType).alias(f.name) for f in like.schema.fields])
 
 
+def _finish(df: DataFrame) -> DataFrame:
+    return scd2.finish(df, LAYOUT)
+
+
 _SEEDED = f"""WITH {_SNAPSHOTS}, {_chain('snapshots')} SELECT {_LAYOUT} FROM numbered UNION ALL
 SELECT 0, {', '.join(['NULL'] * (len(LAYOUT) - 1))}"""
 
@@ -72,7 +76,7 @@ def gold_dimension_late_server(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A seeded type-2 dimension whose second server joins after the first commit.  Equal to one full build."""
     lake = Medallion(spark, scratch_path(spark, "people"))
     history = snapshots(spark, sf_dir).withColumn("loaded", _week("LoadDate"))
-    build = lambda df: scd2.finish(scd2.versions(df, SPEC), LAYOUT)
+    build = lambda df: _finish(scd2.versions(df, SPEC))
     seed = _seed(spark, build(history))
     for number, (host, of_server) in enumerate([("srv-A", EARLY), ("srv-B", LATE)]):
         own = replace(HISTORY, host=host)
@@ -84,6 +88,25 @@ def gold_dimension_late_server(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_snapshot(spark, lake.path("gold", "dim_people"))
 
 
+@query(_SEEDED)
+def gold_dimension_carried(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from carried state: two weeks in order, then the second server's rows.  Equal to one full build."""
+    lake = Medallion(spark, scratch_path(spark, "carried"))
+    history = snapshots(spark, sf_dir).withColumn("loaded", _week("LoadDate"))
+    build = lambda df: _finish(scd2.versions(df, SPEC))
+    seed = _seed(spark, build(history))
+    cut = "loaded {0} TIMESTAMP_NTZ '2024-01-15'"
+    for number, (host, part) in enumerate([("srv-A", cut.format("<")), ("srv-A", cut.format(">=")), ("srv-B", "true")]):
+        own = replace(HISTORY, host=host)
+        of_server = EARLY if host == "srv-A" else LATE
+        lake.land(own, history.where(of_server.format("EmployeeID")).where(part), datetime(2024, 2, 1 + number))
+        lake.bronze(own, AS_OF)
+        lake.silver(_both_servers(HISTORY))
+        lake.dimension("dim_people", HISTORY, SPEC, build, seed, layout=_finish)
+        lake.commit()
+    return tables.read_snapshot(spark, lake.path("gold", "dim_people"))
+
+
 @query("""
 WITH loads AS (
   SELECT 'landing' AS layer, 'srv-A' AS host, 'events' AS source_table, 'Success' AS status, count(*) AS n, max(date_trunc('week', ts)) AS last

@@ -130,8 +130,11 @@ def add_surrogate_key(df: DataFrame, spec: VersionSpec) -> DataFrame:
 
 def _versions(df: DataFrame, spec: VersionSpec, timeline: Timeline) -> DataFrame:
     changes = drop_after_end(keep_changes(df, spec, timeline), spec, timeline)
-    filled = spec.filled
-    seen = timeline.with_neighbours(changes, following={"__after": spec.order}, filled=filled)
+    return dated_versions(timeline.with_neighbours(changes, following={"__after": spec.order}, filled=spec.filled), spec)
+
+
+def dated_versions(seen: DataFrame, spec: VersionSpec) -> DataFrame:
+    """Effective dates, status and key for changes that know the order of the one after them as ``__after``."""
     # Versions have day grain: of several versions of one day the last stays, which keeps what the others filled in.
     lasting = seen.where(F.col("__after").isNull() | (F.to_date("__after") > F.to_date(spec.order)))
     end = F.coalesce(F.date_sub(F.to_date("__after"), 1), F.lit(OPEN_END))

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from tidemark import spec as S
 from tidemark.operators import runlog
+from tidemark.operators.carry import advance_versions, carried_state
 from tidemark.operators.conform import conform_union
 from tidemark.operators.enrich import add_lineage
 from tidemark.operators.runlog import from_micros
@@ -36,6 +37,7 @@ log = logging.getLogger(__name__)
 
 STATE_DDL = "host string, database string, table string, watermark timestamp"
 STATE_KEYS = ("host", "database", "table")
+STATE_OF = "__dimension"
 
 
 class OnError(str, Enum):
@@ -368,19 +370,33 @@ class Medallion:
         seed: DataFrame | None = None,
         lookback_days: int = 2,
         insert_only: bool = False,
+        layout: Callable[[DataFrame], DataFrame] | None = None,
     ) -> None:
         """Create the dimension or re-derive the entities with rows since the committed watermark, less a look-back.
 
         ``build`` turns history rows into dimension rows; ``seed`` rows are put into a new dimension.  ``insert_only``
         adds row hashes that are new and closes nothing, as stored loads do it.  The dimension's own watermark, its largest
         effective start, is staged under its name.
+
+        With ``layout``, which turns versions into dimension rows, the dimension is advanced from carried state: only new
+        rows are read, but for entities whose rows come late (see :mod:`tidemark.operators.carry`).  Rows behind their
+        source's committed watermark do not reach silver, so there is nothing to look back for.  The state names the
+        version of the dimension it belongs to; where it belongs to another, after a crash between the two writes, both are
+        built anew.
         """
         start = self.clock()
         path = self.path("gold", name)
         history = self.read_silver(source)
-        if not tables.snapshot_exists(self.spark, path):
+        state = self._carried(path) if layout else None
+        if layout and state is not None:
+            target, changed = tables.read_snapshot(self.spark, path), self._recent(history, source)
+            done = advance_versions(target, state, history, changed, versions, layout)
+            self._keep_carried(path, tables.write_snapshot(done.versions, path), done.state)
+        elif layout or not tables.snapshot_exists(self.spark, path):
             built = build(history)
-            tables.write_snapshot(built if seed is None else seed.unionByName(built), path)
+            folder = tables.write_snapshot(built if seed is None else seed.unionByName(built), path)
+            if layout:
+                self._keep_carried(path, folder, carried_state(history, versions))
         else:
             changed = self._recent(history, source, lookback_days)
             target = tables.read_snapshot(self.spark, path)
@@ -397,6 +413,18 @@ class Medallion:
         self.stage([Loaded(replace(source, host="", table=name), rows, last)])
         self._log_gold(name, path, source, start, rows, last)
 
+    def _carried(self, path: str) -> DataFrame | None:
+        """State of the dimension's current version, if there is one."""
+        current, kept = tables.current_snapshot(self.spark, path), f"{path}.carried"
+        if current is None or not tables.snapshot_exists(self.spark, kept):
+            return None
+        state = tables.read_snapshot(self.spark, kept)
+        known = state.select(STATE_OF).head()
+        return state.drop(STATE_OF) if known and known[0] == current else None
+
+    def _keep_carried(self, path: str, folder: str, state: DataFrame) -> None:
+        tables.write_snapshot(state.withColumn(STATE_OF, F.lit(folder)), f"{path}.carried")
+
     def _log_gold(
         self, name: str, path: str, source: TableSpec, start: datetime, rows: int, last: datetime | None
     ) -> None:

@@ -127,7 +127,11 @@ def employee_seed(spark: SparkSession, company: str = "none", code: str = "none"
     return local_frame(spark, [tuple(seed[name] for name in employee_schema().names)], employee_schema())
 
 
+def employee_layout(versions: DataFrame) -> DataFrame:
+    """Versions in the stored layout."""
+    return scd2.finish(versions, employee_schema().names, EMPLOYEE_RENAMES)
+
+
 def employee_versions(history: DataFrame, spec: VersionSpec = EMPLOYEE_DIM) -> DataFrame:
     """Employee snapshots -> dimension rows in the stored layout."""
-    needed = history.select(*EMPLOYEE_TRACKED, spec.order)
-    return scd2.finish(scd2.versions(needed, spec), employee_schema().names, EMPLOYEE_RENAMES)
+    return employee_layout(scd2.versions(history.select(*EMPLOYEE_TRACKED, spec.order), spec))
