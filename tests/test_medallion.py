@@ -430,3 +430,39 @@ def test_stream_takes_rows_without_a_watermark(spark):
         landing.land(df, f"{root}/in", landing.batch_name("calls", utc(day)))
         stream_to_bronze(spark, A, f"{root}/in", df.schema, f"{root}/out", f"{root}/cp", utc(9)).awaitTermination()
     assert [r.v for r in tables.read_partitioned(spark, f"{root}/out").collect()] == ["new"]
+
+
+def test_slow_sources_overlap_and_one_failure_leaves_the_others(spark, lake):
+    import threading
+
+    specs = [TableSpec(f"srv-{n}", "db", "dbo", "calls", ("k",), "at") for n in range(3)]
+    together = threading.Barrier(2, timeout=60)
+
+    def read(spec):
+        if spec.host == "srv-2":
+            raise OSError("gone")
+        together.wait()  # passes only while both sources are being read
+        return pull(spark, (int(spec.host[-1]), 1, spec.host))
+
+    loads = lake.land_all(specs, read)
+    assert [(x.spec.host, x.rows, x.status) for x in loads] == [
+        ("srv-0", 1, "Success"), ("srv-1", 1, "Success"), ("srv-2", 0, "Failed"),
+    ]
+    lake.bronze_all(specs)
+    assert {n: len(x) for n, x in lake.silver_all(specs).items()} == {"calls": 3}
+    assert content(lake.read_silver(specs[0])) == [("srv-0", 0, "srv-0"), ("srv-1", 1, "srv-1")]
+    logged = runlog.read_log(spark, lake.log_path).where("source_table = 'calls'").groupBy("medallion_layer").count()
+    assert dict(map(tuple, logged.collect())) == {"landing": 3, "bronze": 2, "silver": 1}
+
+
+def test_abort_begins_nothing_new_and_raises(spark, lake):
+    lake.parallel = 1
+    seen = []
+
+    def read(spec):
+        seen.append(spec.host)
+        raise OSError(spec.host)
+
+    with pytest.raises(OSError, match="srv-a"):
+        lake.land_all([A, B], read, OnError.ABORT)
+    assert seen == ["srv-a"]

@@ -156,3 +156,32 @@ def watermark_frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.commit().select(
         F.col("table").alias("source_table"), F.col("host").alias("source_server"), F.col("watermark").cast("timestamp_ntz").alias("watermark")
     )
+
+
+@query("""
+SELECT 'orders' AS source_table, 'srv-' || o_orderstatus AS source_server, count(*) AS rows, CAST(sum(o_custkey) AS BIGINT) AS checksum FROM orders GROUP BY ALL
+UNION ALL
+SELECT 'events', CASE WHEN user_id % 3 = 0 THEN 'srv-B' ELSE 'srv-A' END, count(*), CAST(sum(user_id) AS BIGINT) FROM events GROUP BY ALL
+""")
+def medallion_side_by_side(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two tables from five servers, landed, enriched and conformed side by side."""
+    lake = Medallion(spark, scratch_path(spark, "parallel"))
+    orders = table(spark, sf_dir, "orders").withColumn("loaded", F.trunc("o_orderdate", "year").cast("timestamp_ntz"))
+    events = table(spark, sf_dir, "events").withColumn("loaded", _week("ts"))
+    sales = TableSpec("", "sales", "dbo", "orders", ("o_orderkey",), "loaded")
+    specs = [replace(sales, host=f"srv-{status}") for status in "FOP"] + _both_servers(EVENTS)
+
+    def read(spec: TableSpec) -> DataFrame:
+        if spec.table == "orders":
+            return orders.where(F.col("o_orderstatus") == spec.host[-1])
+        return events.where((EARLY if spec.host == "srv-A" else LATE).format("user_id"))
+
+    lake.land_all(specs, read)
+    lake.bronze_all(specs, AS_OF)
+    lake.silver_all(specs)
+    parts = [
+        lake.read_silver(spec).groupBy(F.lit(spec.table).alias("source_table"), F.col(S.SOURCE_SERVER).alias("source_server"))
+        .agg(F.count("*").alias("rows"), F.sum(key).alias("checksum"))
+        for spec, key in ((specs[0], "o_custkey"), (specs[-1], "user_id"))
+    ]
+    return parts[0].unionByName(parts[1])

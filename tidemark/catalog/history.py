@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.catalog.registry import query, table
 from tidemark.operators import scd2
 from tidemark.operators.carry import advance_versions, carried_state
+from tidemark.operators.intervals import valid_versions
 from tidemark.operators.scd2 import VersionSpec
 from tidemark.operators.watermarks import filter_lookback
 from tidemark.spec import parse_instant
@@ -265,3 +266,26 @@ def scd2_carried_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     tail = F.col("LoadDate") >= F.lit(SPLIT_DAY).cast("timestamp_ntz")
     some = advance_versions(middle.versions, middle.state, history, history.where(late & tail), SPEC)
     return advance_versions(some.versions, some.state, history, history.where(late & ~tail), SPEC).versions
+
+
+_AS_OF_SQL = f"""WITH {_SNAPSHOTS}, {_chain('snapshots')},
+met AS (SELECT e.event_id, e.user_id, e.ts, n."Dim_ID", n."Status", n."EffectiveStartDate" AS s FROM events e
+  LEFT JOIN numbered n ON n."EmployeeID" = e.user_id AND CAST(e.ts AS DATE) BETWEEN n."EffectiveStartDate" AND n."EffectiveEndDate")"""
+
+
+@query(f"""{_AS_OF_SQL} SELECT event_id, user_id, ts, "Dim_ID", "Status" FROM met
+QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY s DESC NULLS LAST) = 1""")
+def events_to_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event with the version of its user that was valid on its day; ended versions stay open, the last start wins."""
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
+    built = scd2_full(spark, sf_dir).withColumnRenamed("EmployeeID", "user_id")
+    return valid_versions(events, built, "user_id", "ts", columns=["Dim_ID", "Status"], bin_days=7, max_rows=1000)
+
+
+@query(f"""{_AS_OF_SQL} SELECT event_id, "Dim_ID", "Status" FROM met""")
+def events_to_all_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event with every version that covers its day, hot users spread over buckets."""
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
+    built = scd2_full(spark, sf_dir).withColumnRenamed("EmployeeID", "user_id")
+    options = {"columns": ["Dim_ID", "Status"], "bin_days": 7, "latest_start": False, "max_rows": 5}
+    return valid_versions(events, built, "user_id", "ts", **options).drop("user_id", "ts")

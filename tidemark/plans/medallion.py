@@ -7,12 +7,15 @@ staged watermark, and the committed watermark last.  Every data write is an over
 from __future__ import annotations
 
 import logging
+import threading
 from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 from enum import Enum
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,6 +66,10 @@ class Medallion:
     spark: SparkSession
     root: str
     clock: Callable[[], datetime] = field(default=lambda: datetime.now(timezone.utc))
+    #: Sources that a step loads at a time, each in a scheduler pool of its own.
+    parallel: int = 8
+    # The run log and the ledger are appended to by one load at a time: Spark's commits into one folder exclude each other.
+    _appending: threading.Lock = field(default_factory=threading.Lock, repr=False, compare=False)
 
     # --- locations ---------------------------------------------------------------------------------------------------
 
@@ -266,20 +273,38 @@ class Medallion:
             self._log(failed, "silver", self.path("silver", specs[0]), start, consolidated=True)
             raise
 
+    def silver_all(self, specs: Sequence[TableSpec], on_error: OnError = OnError.ISOLATE) -> dict[str, list[Loaded]]:
+        """Silver of several tables side by side; a table that fails leaves the others alone unless ``on_error`` says so."""
+        by_table: dict[str, list[TableSpec]] = {}
+        for spec in specs:
+            by_table.setdefault(spec.table, []).append(spec)
+        run = lambda name: self.silver(by_table[name], on_error)
+        done = self._side_by_side(list(by_table), run, stop_at_error=on_error is OnError.ABORT)
+        errors = [x for x in done if isinstance(x, Exception)]
+        if errors and on_error is OnError.ABORT:
+            raise errors[0]
+        failed = lambda name, error: [Loaded(by_table[name][0], 0, None, runlog.FAILED, error)]
+        return {n: failed(n, x) if isinstance(x, Exception) else x for n, x in zip(by_table, done) if x is not None}
+
     def _silver(self, specs: Sequence[TableSpec], start: datetime, on_error: OnError) -> list[Loaded]:
         first = specs[0]
         path = self.path("silver", first)
         loads, frames = [], []
-        for spec in specs:
-            try:
-                frame = self._fresh(spec)
-                loads.append(self._measured(spec, frame))
-                frames += [frame] if loads[-1].rows else []
-            except Exception as error:
+
+        def measured(spec: TableSpec) -> tuple[DataFrame | None, Loaded]:
+            frame = self._fresh(spec)
+            return frame, self._measured(spec, frame)
+
+        found = self._side_by_side(list(specs), measured, stop_at_error=on_error is OnError.ABORT)
+        for spec, result in zip(specs, found):
+            if isinstance(result, Exception):
                 if on_error is OnError.ABORT:
-                    raise
-                log.exception("silver cannot read %s", spec.relative_path)
-                loads.append(Loaded(spec, 0, None, runlog.FAILED, error))
+                    raise result
+                log.error("silver cannot read %s", spec.relative_path, exc_info=result)
+                loads.append(Loaded(spec, 0, None, runlog.FAILED, result))
+            elif result is not None:
+                loads.append(result[1])
+                frames += [result[0]] if result[1].rows else []
         failed = [x for x in loads if x.status == runlog.FAILED]
         if failed:
             self._log(Loaded(first, 0, None, runlog.FAILED, failed[0].error), "silver", path, start, consolidated=True)
@@ -457,23 +482,52 @@ class Medallion:
 
     # --- shared ------------------------------------------------------------------------------------------------------
 
-    def _each(self, specs, step, layer: str, on_error: OnError) -> list[Loaded]:
-        results = []
-        for spec in specs:
+    def _side_by_side(self, items: Sequence, step: Callable, stop_at_error: bool = False) -> list:
+        """``step`` of every item, at most ``parallel`` at a time; an item's result, its exception, or None if not begun.
+
+        Slow sources keep the cluster busy with each other's work.  Every item runs in a pool of its own, so with the FAIR
+        scheduler a large one does not hold up small ones.  After an error nothing new begins if ``stop_at_error``.
+        """
+        failed = threading.Event()
+        context = self.spark.sparkContext
+
+        def run(number: int, item):
+            if failed.is_set():
+                return None
+            context.setLocalProperty("spark.scheduler.pool", f"load-{number % max(1, self.parallel)}")
             try:
-                results.append(step(spec))
+                return step(item)
             except Exception as error:
-                failed = Loaded(spec, 0, None, runlog.FAILED, error)
-                self._log(failed, layer, self.path(layer, spec), self.clock())
-                if on_error is OnError.ABORT:
-                    raise
-                log.exception("%s load of %s failed", layer, spec.relative_path)
-                results.append(failed)
+                if stop_at_error:
+                    failed.set()
+                return error
+            finally:
+                context.setLocalProperty("spark.scheduler.pool", None)
+
+        if min(self.parallel, len(items)) <= 1:
+            return [run(0, item) for item in items]
+        with ThreadPoolExecutor(min(self.parallel, len(items))) as pool:
+            return list(pool.map(inheritable_thread_target(self.spark)(run), range(len(items)), items))
+
+    def _each(self, specs, step, layer: str, on_error: OnError) -> list[Loaded]:
+        """Loads of all sources side by side.  Under ABORT those that run when one fails still end, then its error is raised."""
+        results = []
+        done = self._side_by_side(list(specs), step, stop_at_error=on_error is OnError.ABORT)
+        for spec, result in zip(specs, done):
+            if isinstance(result, Exception):
+                log.error("%s load of %s failed", layer, spec.relative_path, exc_info=result)
+                result = Loaded(spec, 0, None, runlog.FAILED, result)
+                self._log(result, layer, self.path(layer, spec), self.clock())
+            results += [] if result is None else [result]
+        errors = [x.error for x in results if x.error is not None]
+        if errors and on_error is OnError.ABORT:
+            raise errors[0]
         return results
 
     def _record(self, spec: TableSpec, batches: Sequence[str], status: str) -> None:
         rows = landing.ledger_rows(self.spark, spec.relative_path, batches, status, self.clock())
-        landing.record(self.ledger_path, rows)
+        with self._appending:
+            landing.record(self.ledger_path, rows)
 
     def _log(self, done: Loaded, layer: str, path: str, start: datetime, consolidated: bool = False) -> None:
         entry = runlog.RunEntry(
@@ -489,4 +543,5 @@ class Medallion:
             host=None if consolidated else done.spec.host,
             database=None if consolidated else done.spec.database,
         )
-        runlog.append_log(self.spark, self.log_path, [entry])
+        with self._appending:
+            runlog.append_log(self.spark, self.log_path, [entry])

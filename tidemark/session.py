@@ -13,6 +13,8 @@ from pyspark.sql import SparkSession
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # Loads of several sources share the executors.
+    "spark.scheduler.mode": "FAIR",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
