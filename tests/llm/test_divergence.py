@@ -95,19 +95,32 @@ def test_refinement_keeps_what_full_counts_keep(spark, monkeypatch, most):
     monkeypatch.setattr(divergence, "BROADCAST_ROWS", most)
     rows = corpus(5)
     counted = table(spark, rows).select("lang", "source", "text").mapInArrow(divergence._count_terms, divergence.OCCURRENCES)
-    found = {(r.l, bytes(r.k)) for r in divergence.kept_terms(counted).collect()}
+    kept = divergence.kept_terms(counted)
+    found = {(r.lang, bytes(r.term)) for r in kept.collect()}
+    assert kept.filter("first").count() == len(found)
     assert found == {(lang, t.encode() + b"\0") for lang, ts in kept_of(rows).items() for t in ts}
 
 
-def test_a_prefix_counts_documents_once():
+def test_a_prefix_counts_documents_once(monkeypatch):
     """Several terms of one document share a prefix: the first alone counts for it."""
+    monkeypatch.setattr(divergence, "FIRST_LEVEL", 4)
     batch = pa.record_batch([["en"] * 2, ["s"] * 2, ["abcde abcdf abcd abcdefgh", "Abcdf abcdf"]], ["lang", "source", "text"])
     rows = next(divergence._count_terms(iter([batch]))).to_pylist()
-    assert {r["term"].rstrip(b"\0").decode(): (r["n"], r["docs"], r["firsts"]) for r in rows} == {
-        "abcd": (1, 1, [1, 1]), "abcde": (1, 1, [0, 1]), "abcdefgh": (1, 1, [0, 1, 1]), "abcdf": (3, 2, [1, 2]),
+    found = {r["term"].rstrip(b"\0").decode(): (*r["counts"][0].values(), r["firsts"]) for r in rows}
+    assert found == {
+        "abcd": ("s", 1, 1, [1, 1]), "abcde": ("s", 1, 1, [0, 1]), "abcdefgh": ("s", 1, 1, [0, 1, 1]), "abcdf": ("s", 3, 2, [1, 2]),
     }
 
 
+def test_probabilities_beyond_a_long_are_exact(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(0, 1, 1), (5, 10**4, 7), (9 * 10**9 - 1, 10**10, 3), (9 * 10**9, 10**10, 3), (10**15, 3 * 10**15, 10**6), (1, 0, 0)]
+    found = spark.createDataFrame(rows, "n long, total long, terms long").select("*", divergence._p(*map(F.col, ("n", "total", "terms"))).alias("p"))
+    for r in found.collect():
+        assert r.p == (1 + 10**9 * (r.n + 1) // (r.total + r.terms) if r.total + r.terms else None)
+
+
 def test_blocks_add_up(monkeypatch):
     monkeypatch.setattr(divergence, "BLOCK", 7)
     rng = np.random.default_rng(1)

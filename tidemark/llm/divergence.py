@@ -6,9 +6,9 @@ A term is a run of ASCII letters and characters beyond ASCII, A-Z lower-cased.
 *Refinement.*  A term is its bytes and an end mark.  A prefix of ``LEVELS[0]`` bytes is held by at least as many documents
 as any term behind it, so a prefix below the threshold is discarded with all its terms; what is left is refined to
 prefixes twice as long, level by level, until every term left is complete.  Rare long terms are never shuffled whole.
-Tasks fold the documents of an Arrow batch: a row holds how often a term occurs in a group, in how many documents, and for
-each level in how many of them it is the first of its prefix.  These counts add up, so no document is compared again and
-distinct documents are counted by sums, partial ones first; a frequent term costs one row a batch.
+Tasks fold the documents of an Arrow batch: a row holds how often a term occurs in each source of a language, in how many
+documents, and for each level in how many of them it is the first of its prefix.  These counts add up, so no document is
+compared again and distinct documents are counted by sums, partial ones first; a frequent term costs one row a batch.
 
 *Divergence.*  All probabilities are integers scaled by ``SCALE``, computed in decimals.  Two sources differ by a sum
 over all kept terms, most of which neither of them holds.  The sum is taken from the case where one of them holds none
@@ -22,6 +22,7 @@ without terms is a group; terms and texts may have any length; an empty table gi
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,8 @@ from tidemark.llm.common import bound_batches, release_memory, stored
 MIN_DOCS = 3
 TOP_TERMS = 200
 SCALE = 1_000_000_000
-FIRST_LEVEL = 4
+#: Shorter prefixes are held by enough documents nearly always: a level of them discards nothing.
+FIRST_LEVEL = 8
 END = b"\x00"
 #: Products that a task holds at a time when it compares the sources of its terms.
 BLOCK = 1 << 20
@@ -42,7 +44,7 @@ BLOCK = 1 << 20
 BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 16 << 20
 BUCKETS = 8
 
-OCCURRENCES = "lang string, source string, term binary, n long, docs long, firsts array<long>"
+OCCURRENCES = "lang string, term binary, firsts array<long>, counts array<struct<source:string,n:bigint,docs:bigint>>"
 
 _LETTER = np.zeros(256, bool)
 _LETTER[128:] = _LETTER[ord("A") : ord("Z") + 1] = _LETTER[ord("a") : ord("z") + 1] = True
@@ -88,53 +90,70 @@ def _levels(longest: int) -> list[int]:
     return levels
 
 
+def _ranges(keys: np.ndarray) -> np.ndarray:
+    """Where runs of equal keys begin, and the end."""
+    if not len(keys):
+        return np.zeros(1, np.int64)
+    return np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)]])
+
+
 def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Fold a batch of (lang, source, text): one row for each term of a group, and one without a term for each group."""
+    """Fold a batch of (lang, source, text): a row for each term of a language, and one without a term for each language."""
     for batch in batches:
-        groups = {}
-        pairs = zip(*(pc.fill_null(batch.column(k), "").to_pylist() for k in (0, 1)))
-        group = np.array([groups.setdefault(p, len(groups)) for p in pairs], np.int64)
+        (lang_of, langs), (source_of, sources) = (
+            (c.indices.to_numpy().astype(np.int64), c.dictionary.cast(pa.string()))
+            for c in (pc.fill_null(batch.column(k), "").dictionary_encode() for k in (0, 1))
+        )
         doc, terms = _terms(batch.column(2))
         coded = terms.dictionary_encode()
-        words = coded.dictionary
-        order = pc.sort_indices(words).to_numpy()
+        order = pc.sort_indices(coded.dictionary)
+        words = pc.binary_join_element_wise(coded.dictionary.take(order), pa.scalar(END, pa.large_binary()), pa.scalar(b"", pa.large_binary()))
         rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
-        words = [w + END for w in words.take(pa.array(order)).to_pylist()]
+        rank[order.to_numpy()] = np.arange(len(order))
         size = max(1, len(words))
-        code = rank[coded.indices.to_numpy(zero_copy_only=False)]
-        held, n = _sums(doc * size + code, np.ones(len(code), np.int64))  # of a document, terms in order
+        held, n = _sums(doc * size + rank[coded.indices.to_numpy()], np.ones(len(doc), np.int64))  # a document's terms in order
         doc, code = np.divmod(held, size)
-        levels = _levels(max((len(w) - 1 for w in words), default=0))
+        lengths = pc.binary_length(words).to_numpy()
+        levels = _levels(int(lengths.max(initial=1)) - 1)
         flags = []
         for level in levels:
-            prefixes = np.cumsum([0, *(a[:level] != b[:level] for a, b in zip(words, words[1:]))])
-            prefix = prefixes[code] if len(words) else code
-            fresh = np.append(True, (doc[1:] != doc[:-1]) | (prefix[1:] != prefix[:-1])) if len(doc) else np.empty(0, bool)
-            flags.append(fresh.astype(np.int64))
-        keys, n, docs, *flags = _sums(group[doc] * size + code, n, np.ones(len(code), np.int64), *flags)
-        which, code = np.divmod(keys, size)
-        needed = np.array([len(_levels(len(w) - 1)) for w in words], np.int64)[code] if len(words) else code
-        table = np.stack(flags, 1) if len(keys) else np.empty((0, len(levels)), np.int64)
-        firsts = pa.ListArray.from_arrays(
-            np.append(0, np.cumsum(needed)).astype(np.int32), table[np.arange(len(levels)) < needed[:, None]]
+            prefix = pc.binary_slice(words, 0, level).dictionary_encode().indices.to_numpy()[code]
+            flags.append(np.append(True, (doc[1:] != doc[:-1]) | (prefix[1:] != prefix[:-1]))[: len(doc)].astype(np.int64))
+        ones = np.ones(len(code), np.int64)
+        by_lang, docs, *flags = _sums(lang_of[doc] * size + code, ones, *flags)
+        by_source, n, own = _sums((lang_of[doc] * size + code) * len(sources) + source_of[doc], n, ones)
+        counts = pa.StructArray.from_arrays(
+            [sources.take(pa.array(by_source % max(1, len(sources)))), pa.array(n), pa.array(own)], ["source", "n", "docs"]
+        )
+        which, code = np.divmod(by_lang, size)
+        needed = np.searchsorted(levels, lengths[code]) + 1
+        table = np.stack(flags, 1) if len(by_lang) else np.empty((0, len(levels)), np.int64)
+        firsts = table[np.arange(len(levels)) < needed[:, None]]
+        found = pa.RecordBatch.from_arrays(
+            [
+                langs.take(pa.array(which)),
+                words.take(pa.array(code)).cast(pa.binary()),
+                pa.ListArray.from_arrays(np.append(0, np.cumsum(needed)).astype(np.int32), firsts),
+                pa.ListArray.from_arrays(_ranges(by_source // max(1, len(sources))).astype(np.int32), counts),
+            ],
+            ["lang", "term", "firsts", "counts"],
         )
-        names = list(groups)
-        rows = [
-            pa.array([names[g][0] for g in which], pa.string()), pa.array([names[g][1] for g in which], pa.string()),
-            pa.array([words[c] for c in code], pa.binary()), pa.array(n), pa.array(docs), firsts,
-        ]
-        schema = ["lang", "source", "term", "n", "docs", "firsts"]
-        found = pa.RecordBatch.from_arrays(rows, schema)
         yield found
-        none = pa.nulls(len(names))
+        # Groups without terms are groups.
+        pairs = np.unique(lang_of * max(1, len(sources)) + source_of)
+        own = np.zeros(len(pairs), np.int64)
+        here = pa.StructArray.from_arrays([sources.take(pa.array(pairs % max(1, len(sources)))), pa.array(own), pa.array(own)], ["source", "n", "docs"])
+        bounds = _ranges(pairs // max(1, len(sources)))
+        none = pa.nulls(len(bounds) - 1)
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array([p[0] for p in names], pa.string()), pa.array([p[1] for p in names], pa.string()),
-                none.cast(pa.binary()), none.cast(pa.int64()), none.cast(pa.int64()), none.cast(found.schema.field("firsts").type),
+                langs.take(pa.array(pairs[bounds[:-1]] // max(1, len(sources)))),
+                none.cast(pa.binary()),
+                none.cast(found.schema.field("firsts").type),
+                pa.ListArray.from_arrays(bounds.astype(np.int32), here),
             ],
-            schema,
-        )
+            found.schema.names,
+        )
         release_memory()
 
 
@@ -149,37 +168,50 @@ def _among(rows: DataFrame, key: Column, listed: DataFrame) -> DataFrame:
     return rows.join(listed, (rows["lang"] == listed["l"]) & (key == listed["k"]), "left_semi")
 
 
+def _complete(rows: DataFrame, min_docs: int) -> DataFrame:
+    """Counts of the terms that enough documents hold, by source; ``lang_n`` in the language, ``first`` on one row a term."""
+    of_term = Window.partitionBy("lang", "term")
+    # One shuffle, of folded rows: sums by source and over sources are both taken where a term's rows are.
+    single = rows.repartition("lang", "term").select("lang", "term", F.inline("counts"))
+    counts = single.groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    held = counts.withColumns(
+        {
+            "all_docs": F.sum("docs").over(of_term),
+            "lang_n": F.sum("n").over(of_term),
+            "first": F.col("source") == F.min("source").over(of_term),
+        }
+    )
+    return held.filter(F.col("all_docs") >= min_docs).select("lang", "source", "term", "n", "lang_n", "first")
+
+
 def kept_terms(occurrences: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """(l, k): languages and their kept terms, each with its end mark."""
-    longest = occurrences.agg(F.max(F.octet_length("term"))).head()[0]
-    if longest is None:
-        return occurrences.select(F.col("lang").alias("l"), F.col("term").alias("k")).limit(0)
-    live, complete = occurrences.filter("term is not null"), []
+    """(lang, source, term, n, lang_n, first): the kept terms of each language, each with its end mark, and their counts."""
+    live = occurrences.filter("term is not null")
+    longest = live.agg(F.max(F.octet_length("term"))).head()[0] or 1
+    found = []
     for i, level in enumerate(_levels(longest - 1)):
-        prefix = F.substring("term", 1, level)
-        counted = live.groupBy("lang", prefix.alias("k")).agg(F.sum(F.col("firsts")[i]).alias("docs"))
-        left = stored(counted.filter(F.col("docs") >= min_docs).select(F.col("lang").alias("l"), "k"), "prefixes")
-        ends = F.col("k").endswith(F.lit(END))
-        complete.append(left.filter(ends))
-        longer = left.filter(~ends)
-        if longer.isEmpty():
+        length, prefix = F.octet_length("term"), F.substring("term", 1, level)
+        found.append(_complete(live.filter(length <= level), min_docs))
+        longer = live.filter(length > level)
+        counted = longer.groupBy(F.col("lang").alias("l"), prefix.alias("k")).agg(F.sum(F.col("firsts")[i]).alias("docs"))
+        left = stored(counted.filter(F.col("docs") >= min_docs).select("l", "k"), "prefixes")
+        if left.isEmpty():
             break
         # A prefix that is left has only such parents, so looking it up is looking up all of them.
-        live = _among(occurrences.filter(F.octet_length("term") > level), prefix, longer)
-    found = complete[0]
-    for more in complete[1:]:
-        found = found.union(more)
-    return found
+        live = _among(occurrences.filter(length > level), prefix, left)
+    return reduce(DataFrame.union, found)
 
 
 # --- divergence ------------------------------------------------------------------------------------------------------
 
 
 def _p(n: Column, total: Column, terms: Column) -> Column:
-    """1 + floor(SCALE * (n + 1) / (total + terms)), exact; null without terms."""
-    above = (n + 1).cast("decimal(20,0)") * F.lit(SCALE).cast("decimal(10,0)")
-    below = F.nullif(total + terms, F.lit(0)).cast("decimal(20,0)")
-    return F.call_function("div", above, below) + 1
+    """1 + floor(SCALE * (n + 1) / (total + terms)), exact; null without terms.  Decimals only where a long is too short."""
+    below = F.nullif(total + terms, F.lit(0))
+    wide = (n + 1).cast("decimal(20,0)") * F.lit(SCALE).cast("decimal(10,0)")
+    above = (n + 1) * F.lit(SCALE).cast("long")
+    exact = F.call_function("div", wide, below.cast("decimal(20,0)"))
+    return F.when(n < 9 * SCALE, F.call_function("div", above, below)).otherwise(exact) + 1
 
 
 def _f(p: Column, q: Column) -> Column:
@@ -207,17 +239,23 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             take = lambda d, i: d.dictionary.take(pa.array(i)).cast(pa.string())
             return pa.RecordBatch.from_arrays([take(lang, which), take(names, a), take(names, b), pa.array(v)], ["lang", "source", "other", "value"])
 
-        for row, (begin, end) in enumerate(zip(offsets[:-1], offsets[1:])):
-            step = max(1, BLOCK // max(1, end - begin))
-            for start in range(begin, end, step):
-                mine, all_ = slice(start, min(end, start + step)), slice(begin, end)
-                ps, p0, qs, q0 = p[mine, None], zero[mine, None], p[None, all_], zero[None, all_]
-                values.append((f(ps, qs) - f(ps, q0) - f(p0, qs) + f(p0, q0)).ravel())
-                keys.append((((of[row] * size + code[mine, None]) * size) + code[None, all_]).ravel())
-                held += len(keys[-1])
-                if held >= BLOCK:
-                    yield flush()
-                    keys, values, held = [], [], 0
+        # Terms that equally many sources hold are compared at once.
+        for k in np.unique(np.diff(offsets)):
+            rows = np.flatnonzero(np.diff(offsets) == k)
+            many, few = max(1, BLOCK // (k * k)), min(k, max(1, BLOCK // k))
+            for begin in range(0, len(rows), many):
+                part = rows[begin : begin + many]
+                all_ = offsets[part][:, None] + np.arange(k)
+                for start in range(0, k, few):
+                    mine = all_[:, start : start + few, None]
+                    theirs = all_[:, None, :]
+                    ps, p0, qs, q0 = p[mine], zero[mine], p[theirs], zero[theirs]
+                    values.append((f(ps, qs) - f(ps, q0) - f(p0, qs) + f(p0, q0)).ravel())
+                    keys.append(((of[part][:, None, None] * size + code[mine]) * size + code[theirs]).ravel())
+                    held += len(keys[-1])
+                    if held >= BLOCK:
+                        yield flush()
+                        keys, values, held = [], [], 0
         if keys:
             yield flush()
         release_memory()
@@ -258,21 +296,20 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top_terms: int = TOP_TERMS)
     """lang, source, part, item, value, rank: for every group the other sources (pair) and its most typical terms (term)."""
     bound_batches(docs.sparkSession)
     occurrences = stored(docs.select("lang", "source", "text").mapInArrow(_count_terms, OCCURRENCES), "occurrences")
-    groups = occurrences.select("lang", "source").distinct()
-    kept = stored(_among(occurrences.filter("term is not null"), F.col("term"), kept_terms(occurrences, min_docs))
-                  .groupBy("lang", "source", "term").agg(F.sum("n").alias("n")), "kept-terms")
-    by_lang = stored(kept.groupBy("lang", "term").agg(F.sum("n").alias("lang_n")), "language-terms")
-    langs = by_lang.groupBy("lang").agg(F.count("*").alias("terms"), F.sum("lang_n").alias("lang_total"))
-    totals = kept.groupBy("lang", "source").agg(F.sum("n").alias("total"))
-    groups = groups.join(totals, ["lang", "source"], "left").join(langs, "lang", "left").na.fill(0, ["total", "terms", "lang_total"])
-    groups = stored(groups.withColumn("zero", _p(F.lit(0), F.col("total"), F.col("terms"))), "groups")
-
-    counts = kept.join(groups, ["lang", "source"]).withColumn("p", _p(F.col("n"), F.col("total"), F.col("terms")))
-    counts = stored(counts, "probabilities")
+    groups = occurrences.filter("term is null").select("lang", F.inline("counts")).select("lang", "source").distinct()
+    kept = stored(kept_terms(occurrences, min_docs), "kept-terms")
+    totals = kept.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count_if("first").alias("own_terms"))
+    groups = stored(groups.join(totals, ["lang", "source"], "left").na.fill(0, ["total", "own_terms"]), "groups")
+    langs = groups.groupBy("lang").agg(F.sum("own_terms").alias("terms"), F.sum("total").alias("lang_total"))
+    groups = groups.join(langs, "lang").withColumn("zero", _p(F.lit(0), F.col("total"), F.col("terms")))
+    groups = stored(groups.select("lang", "source", "total", "terms", "lang_total", "zero"), "groups")
+
+    counts = kept.join(groups, ["lang", "source"]).withColumns(
+        {"p": _p(F.col("n"), F.col("total"), F.col("terms")), "q": _p(F.col("lang_n"), F.col("lang_total"), F.col("terms"))}
+    )
     pairs = _pairs(counts, groups)
-    typical = counts.join(by_lang, ["lang", "term"]).withColumn("q", _p(F.col("lang_n"), F.col("lang_total"), F.col("terms")))
     text = F.decode(F.substring("term", 1, F.octet_length("term") - 1), "UTF-8")
-    terms = typical.filter("p > q").select("lang", "source", text.alias("item"), _f(F.col("p"), F.col("q")).alias("value"))
+    terms = counts.filter("p > q").select("lang", "source", text.alias("item"), _f(F.col("p"), F.col("q")).alias("value"))
     w = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     ranked = [pairs.withColumn("rank", F.row_number().over(w))]
     ranked.append(terms.withColumn("part", F.lit("term")).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top_terms))
