@@ -395,3 +395,47 @@ def test_keys_of_other_types_and_null_partitions_are_found(spark, base):
         1.5: ("b", "p"), 0.0: ("c", "q"), 3.0: ("d", "p"), 4.0: ("d", "r"),
     }
     assert tables.read_partitioned(spark, base).count() == 4
+
+
+# --- registration in place -------------------------------------------------------------------------------------------
+
+
+def statements(spark, monkeypatch):
+    """SQL that runs from here on."""
+    seen, run = [], type(spark).sql
+    monkeypatch.setattr(type(spark), "sql", lambda self, query, *a, **k: seen.append(query) or run(self, query, *a, **k))
+    return seen
+
+
+def test_a_registered_table_is_never_absent(spark, base, monkeypatch):
+    name = f"live_{base[-32:]}"
+    moved(spark, base, (1, "a", 1), (2, "a", 2))
+    tables.register_table(spark, name, base)
+    seen = statements(spark, monkeypatch)
+    wider = spark.createDataFrame([(2, "b", "new", 3)], "k int, v string, w string, part int")
+    tables.upsert_partitions(spark, base, wider, ["k"], "part")
+    tables.register_table(spark, name, base)
+    assert rows(spark.table(f"default.{name}").select("k", "v", "w", "part")) == [(1, "a", None, 1), (2, "b", "new", 3)]
+    assert not any("DROP" in q for q in seen) and any("ADD COLUMNS" in q for q in seen)
+    gone = spark.sql(f"SHOW PARTITIONS default.{name}").collect()
+    assert {r[0] for r in gone} == {"part=1", "part=3"}
+
+
+def test_a_new_snapshot_moves_the_entry(spark, base, monkeypatch):
+    name = f"snap_{base[-32:]}"
+    tables.write_snapshot(spark.range(2), base)
+    tables.register_table(spark, name, base)
+    seen = statements(spark, monkeypatch)
+    tables.write_snapshot(spark.range(5), base)
+    tables.register_table(spark, name, base)
+    assert spark.table(f"default.{name}").count() == 5
+    assert not any("DROP" in q for q in seen) and any("SET LOCATION" in q for q in seen)
+
+
+def test_a_changed_type_makes_the_entry_anew(spark, base):
+    name = f"drift_{base[-32:]}"
+    moved(spark, base, (1, "a", 1))
+    tables.register_table(spark, name, base)
+    tables.upsert_partitions(spark, base, spark.createDataFrame([(2, 5.5, 1)], "k int, v double, part int").withColumn("k", F.col("k").cast("string")), ["k"], "part")
+    tables.register_table(spark, name, base)
+    assert rows(spark.table(f"default.{name}").select("k", "v")) == [("1", "a"), ("2", "5.5")]

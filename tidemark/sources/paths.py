@@ -11,6 +11,12 @@ def _resolve(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system, so that two spellings of one place compare equal."""
+    fs, target = _resolve(spark, path)
+    return fs.makeQualified(target).toString()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, target = _resolve(spark, path)
     return fs.exists(target)

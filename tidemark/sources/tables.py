@@ -260,22 +260,48 @@ def table_exists(spark: SparkSession, table: str, schema: str = "default") -> bo
 def register_table(spark: SparkSession, table: str, path: str, schema: str = "default") -> None:
     """Make a Parquet location known to the catalog, creating the schema if needed.
 
-    The entry is made anew each time, with the columns and partitions that the location has now; it is external, so the
-    data stay.  A snapshot table is registered at its current version: register again after the next write.
+    The entry is external, so the data stay, and names the columns, partitions and, for a snapshot table, the version that
+    are there now: register again after the next write.  An entry that exists is altered, so readers find the table all the
+    time; it is made anew only where a column has changed its type or gone, or the partitioning is another.
     """
     current = current_snapshot(spark, path)
-    stored = _stored_schema(spark, path)
+    location = current or path
+    stored = _stored_schema(spark, path) if current is None else None
+    partition = next((n.split("=", 1)[0] for n in paths.subfolders(spark, path) if "=" in n and n[0] != "_"), None) if stored else None
+    wanted = stored or spark.read.parquet(location).schema
+    name = f"`{schema}`.`{table}`"
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema}`")
-    spark.sql(f"DROP TABLE IF EXISTS `{schema}`.`{table}`")
-    if current is None and stored:
-        partition = next(n.split("=", 1)[0] for n in paths.subfolders(spark, path) if "=" in n and n[0] != "_")
-        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stored.fields)
-        where = f"PARTITIONED BY (`{partition}`) LOCATION '{path}'"
-        spark.sql(f"CREATE TABLE `{schema}`.`{table}` ({ddl}) USING parquet {where}")
-    else:
-        spark.sql(f"CREATE TABLE `{schema}`.`{table}` USING parquet LOCATION '{current or path}'")
+    if not (table_exists(spark, table, schema) and _alter(spark, name, wanted, location, partition)):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        columns = f" ({_ddl(wanted.fields)})" if stored else ""
+        by = f" PARTITIONED BY (`{partition}`)" if partition else ""
+        spark.sql(f"CREATE TABLE {name}{columns} USING parquet{by} LOCATION '{location}'")
     if any(column.isPartition for column in spark.catalog.listColumns(f"{schema}.{table}")):
-        spark.catalog.recoverPartitions(f"{schema}.{table}")
+        spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+    spark.catalog.refreshTable(f"{schema}.{table}")
+
+
+def _ddl(fields: Sequence[T.StructField]) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+
+
+def _alter(spark: SparkSession, name: str, wanted: T.StructType, location: str, partition: str | None) -> bool:
+    """Bring an entry up to date in place; False if that is not possible."""
+    described = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    columns = {c.name: c for c in spark.catalog.listColumns(name)}
+    types = {f.name: f.dataType.simpleString() for f in wanted.fields}
+    partitioned = [c for c in columns if columns[c].isPartition]
+    same = described.get("Type") == "EXTERNAL" and described.get("Provider", "").lower() == "parquet"
+    if not same or any(types.get(c) != columns[c].dataType for c in columns):
+        return False
+    moved = paths.qualified(spark, described["Location"]) != paths.qualified(spark, location)
+    if (partition and partitioned != [partition]) or (partitioned and moved):
+        return False
+    if new := [f for f in wanted.fields if f.name not in columns]:
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({_ddl(new)})")
+    if moved:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
+    return True
 
 
 def replace_managed_table(df: DataFrame, table: str, schema: str = "default") -> None:
