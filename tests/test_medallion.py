@@ -466,3 +466,22 @@ def test_abort_begins_nothing_new_and_raises(spark, lake):
     with pytest.raises(OSError, match="srv-a"):
         lake.land_all([A, B], read, OnError.ABORT)
     assert seen == ["srv-a"]
+
+
+def test_gold_opens_only_partitions_that_were_rewritten(spark, lake):
+    """A new server has no watermark to prune by; the journal of rewritten partitions does."""
+    silver_of(lake, [NOTES], {NOTES: pull(spark, (1, 20, "n"))}, 20)
+    silver_of(lake, [A, B], {A: pull(spark, *[(k, 10 + k, "a") for k in range(5)])}, 20)
+    assert lake.rewritten("calls") is None  # a new table: all
+    assert gold_calls(lake) == list(range(5))
+    assert lake.rewritten("calls") == []
+    silver_of(lake, [A, B], {B: pull(spark, (7, 2, "b")), A: pull(spark, (3, 25, "moved"))}, 26)
+    assert lake.rewritten("calls") == ["2024-01-02", "2024-01-13", "2024-01-25"]
+    files = lake._recent(lake.read_silver(A), A)
+    assert sorted(r.k for r in files.collect()) == [3, 7]
+    from tests.plans import plan
+
+    scan = next(line for line in plan(files, "formatted").splitlines() if "PartitionFilters" in line)
+    assert "2024-01-02" in scan or "IN (" in scan
+    assert gold_calls(lake) == [0, 1, 2, 3, 4, 7]
+    assert lake.rewritten("calls") == []

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 from functools import reduce
 
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 from tidemark.catalog.registry import query, table
 from tidemark.operators import quality, runlog
 from tidemark.operators.enrich import add_lineage
+from tidemark.session import scratch_path
+from tidemark.sources import tables
 from tidemark.spec import LoadType, TableSpec
 
 
@@ -132,3 +135,29 @@ def dq_schema_equal(spark: SparkSession, sf_dir: str) -> DataFrame:
         for name, other in changed.items()
     ]
     return reduce(DataFrame.unionByName, found)
+
+
+@query("""
+SELECT 'o_orderkey' AS "column", 'bigint' AS left_type, 'string' AS right_type, count(*) AS left_rows FROM orders
+UNION ALL SELECT 'o_totalprice', 'double', NULL, count(*) FROM orders
+""")
+def dq_catalog_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Types that differ between two registered tables, from the catalog, with the rows of the first."""
+    left, right = _layers(spark, sf_dir)
+    names = [f"typed_{uuid.uuid4().hex}" for _ in range(2)]
+    for name, df in zip(names, (left, right)):
+        path = scratch_path(spark, name)
+        tables.write_snapshot(df, path)
+        tables.register_table(spark, name, path)
+    rows = spark.table(f"default.{names[0]}").agg(F.count("*").alias("left_rows"))
+    return quality.catalog_type_differences(spark, *[f"default.{n}" for n in names]).join(rows, F.lit(True))
+
+
+@query("SELECT o_orderkey, o_custkey % 10 AS tenth, o_orderstatus FROM orders")
+def managed_table_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A managed table made from a query and replaced by a wider one, read by its name."""
+    name = f"managed_{uuid.uuid4().hex}"
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_custkey") % 10).alias("tenth"), "o_orderstatus")
+    tables.replace_managed_table(orders.where("o_orderstatus = 'F'").drop("tenth"), name)
+    tables.replace_managed_table(orders, name)
+    return spark.table(f"default.{name}")

@@ -41,6 +41,8 @@ log = logging.getLogger(__name__)
 STATE_DDL = "host string, database string, table string, watermark timestamp"
 STATE_KEYS = ("host", "database", "table")
 STATE_OF = "__dimension"
+# A partition that silver rewrote; one whose value was not told apart (a new table) stands for all.
+JOURNAL_DDL = "partition string, everything boolean"
 
 
 class OnError(str, Enum):
@@ -128,8 +130,39 @@ class Medallion:
         return staged | {(host, base): from_micros(m) for host, base, m, committed in known if committed and m is not None}
 
     def _recent(self, df: DataFrame, spec: TableSpec, lookback_days: int | None = None) -> DataFrame:
-        """Silver rows that no committed gold load has seen."""
-        return filter_frontier(df, spec.watermark, self.frontier(spec.table), S.PARTITION_DATE, lookback_days)
+        """Silver rows that no committed gold load has seen; only partitions that were rewritten since then are opened.
+
+        A look-back reads rows again on purpose, from all partitions of its days.
+        """
+        recent = filter_frontier(df, spec.watermark, self.frontier(spec.table), S.PARTITION_DATE, lookback_days)
+        changed = None if lookback_days is not None else self.rewritten(spec.table)
+        if changed is None:
+            return recent
+        dtype = df.schema[S.PARTITION_DATE].dataType
+        values = [F.lit(v).cast(dtype) for v in changed if v is not None]
+        hit = F.col(S.PARTITION_DATE).isin(values) if values else F.lit(False)
+        return recent.where(hit | F.col(S.PARTITION_DATE).isNull() if None in changed else hit)
+
+    def journal_path(self, table: str) -> str:
+        return f"{self.root}/state/rewritten/{table}"
+
+    def _journal(self, table: str, rewritten: Sequence | None) -> None:
+        """Remember which partitions a load rewrote, until the table is committed; None for all of them."""
+        path = self.journal_path(table)
+        rows = [(None, True)] if rewritten is None else [(None if v is None else str(v), False) for v in rewritten]
+        new = local_frame(self.spark, rows, JOURNAL_DDL)
+        if tables.snapshot_exists(self.spark, path):
+            new = tables.read_snapshot(self.spark, path).union(new).distinct()
+        tables.write_snapshot(new.coalesce(1), path)
+        tables.drop_old_snapshots(self.spark, path)
+
+    def rewritten(self, table: str) -> list[str | None] | None:
+        """Partitions of silver that changed since the table's last commit; None if that is not known or is all of them."""
+        path = self.journal_path(table)
+        if not tables.snapshot_exists(self.spark, path):
+            return None
+        rows = tables.read_snapshot(self.spark, path).collect()  # bounded by the number of partitions
+        return None if any(r["everything"] for r in rows) else sorted((r["partition"] for r in rows), key=lambda v: (v is not None, v))
 
     def stage(self, loads: Iterable[Loaded]) -> None:
         """Remember how far each source got; whole seconds, so the last second is read again."""
@@ -154,6 +187,9 @@ class Medallion:
             tables.write_snapshot(merged.coalesce(1), self.state_path(table))
             tables.drop_old_snapshots(self.spark, self.state_path(table, staged=True))
             tables.drop_old_snapshots(self.spark, self.state_path(table))
+            if tables.snapshot_exists(self.spark, self.journal_path(table)):
+                tables.write_snapshot(local_frame(self.spark, [], JOURNAL_DDL).coalesce(1), self.journal_path(table))
+                tables.drop_old_snapshots(self.spark, self.journal_path(table))
         return self.state()
 
     # --- landing -----------------------------------------------------------------------------------------------------
@@ -313,10 +349,13 @@ class Medallion:
         batch = conform_union(frames)
         if first.incremental:
             # Hash keys hold the server, and each server's bronze table is unique.
-            tables.upsert_partitions(
+            exists = paths.has_data(self.spark, path)
+            done = tables.upsert_partitions(
                 self.spark, path, batch, [S.HASH_KEY], S.PARTITION_DATE,
                 stable_partition=first.stable_partition, on_duplicate=OnDuplicate.KEEP,
             )
+            # Before the watermarks: a crash in between repeats the load, and with it this entry.
+            self._journal(first.table, done if exists else None)
             self.stage(loads)
         else:
             tables.write_snapshot(batch, path)
