@@ -323,6 +323,7 @@ def garble(folder):
 
 def indexed(spark, base, monkeypatch):
     """A table of ten partitions with an index of several buckets."""
+    monkeypatch.setattr(keyindex, "INDEX_FROM", 0)
     monkeypatch.setattr(keyindex, "BUCKET_PAIRS", 10)
     moved(spark, base, *[(k, "a", k % 10) for k in range(100)])
     moved(spark, base, (0, "b", 0))
@@ -384,7 +385,14 @@ def test_repeated_upserts_do_not_grow_the_index(spark, base, monkeypatch):
     assert paths.read_text(spark, f"{base}/{keyindex.STATE}") == before
 
 
-def test_keys_of_other_types_and_null_partitions_are_found(spark, base):
+def test_a_small_table_needs_no_index(spark, base):
+    moved(spark, base, (1, "a", 1), (2, "a", 2))
+    moved(spark, base, (1, "b", 2))
+    assert stored(spark, base) == {1: ("b", 2), 2: ("a", 2)} and not paths.exists(spark, f"{base}/{keyindex.STATE}")
+
+
+def test_keys_of_other_types_and_null_partitions_are_found(spark, base, monkeypatch):
+    monkeypatch.setattr(keyindex, "INDEX_FROM", 0)
     make = lambda rows, ddl: spark.createDataFrame(rows, ddl)
     put = lambda df: tables.upsert_partitions(spark, base, df, ["k"], "part")
     put(make([(1.5, "a", None), (0.0, "a", "p"), (3.0, "a", "q")], "k double, v string, part string"))

@@ -149,8 +149,9 @@ def dq_catalog_types(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = scratch_path(spark, name)
         tables.write_snapshot(df, path)
         tables.register_table(spark, name, path)
-    rows = spark.table(f"default.{names[0]}").agg(F.count("*").alias("left_rows"))
-    return quality.catalog_type_differences(spark, *[f"default.{n}" for n in names]).join(rows, F.lit(True))
+    rows = quality.row_count(spark.table(f"default.{names[0]}"))
+    differing = quality.catalog_type_differences(spark, *[f"default.{n}" for n in names])
+    return differing.withColumn("left_rows", F.lit(rows).cast("long"))
 
 
 @query("SELECT o_orderkey, o_custkey % 10 AS tenth, o_orderstatus FROM orders")

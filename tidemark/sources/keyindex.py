@@ -24,6 +24,8 @@ from tidemark.sources import paths
 STATE = "_keys/_STATE"
 #: Pairs a bucket is made for, 12 bytes each or so; the number of buckets follows when the index is built or compacted.
 BUCKET_PAIRS, MAX_BUCKETS = 2_000_000, 1 << 14
+#: Rows from which a table gets an index; the keys of a smaller one are scanned sooner than an index is kept.
+INDEX_FROM = 1_000_000
 #: Appends after which pairs are written anew in few files.
 MAX_APPENDS = 32
 
@@ -49,6 +51,9 @@ class KeyIndex:
         current = [[k, self.schema[k].dataType.json()] for k in (*self.keys, self.partition)]
         return state if state and state["columns"] == current else None
 
+    def exists(self) -> bool:
+        return self._state() is not None
+
     def _keep(self, folder: str, buckets: int, pairs: int, appends: int) -> dict:
         columns = [[k, self.schema[k].dataType.json()] for k in (*self.keys, self.partition)]
         state = {"folder": folder, "buckets": buckets, "pairs": pairs, "appends": appends, "columns": columns}

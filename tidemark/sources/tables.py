@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.conform import align, all_columns, textual_conflicts
-from tidemark.operators.joins import BROADCAST_ROWS, anti_join
+from tidemark.operators.joins import BROADCAST_ROWS, anti_join, semi_join
 from tidemark.operators.upsert import OnDuplicate, resolve_duplicates
 from tidemark.sources import keyindex, paths
 from tidemark.sources.rows import local_frame
@@ -152,7 +152,8 @@ def upsert_partitions(
     """Upsert ``source`` into a partitioned Parquet table, creating it if missing.
 
     Several source rows of one key are an error, or resolved as ``on_duplicate`` says.  Where the source's keys are stored
-    is looked up in an index beside the table (:mod:`keyindex`), which the first upsert of an existing table builds;
+    is looked up in an index beside the table (:mod:`keyindex`), which is built once the table is larger than a scan of its
+    keys is worth;
     ``stable_partition`` promises that a key never changes partition, which saves the look-up.  A column that is text on one side only
     becomes text; where that, or a wider number, changes a stored column's type, the whole table is rewritten once.
 
@@ -195,8 +196,12 @@ def _rewrite(spark, path, source, keys, partition, nullable_keys, stable_partiti
             keyindex.drop(spark, path)
         else:
             # A key may move between partitions, so these are rewritten even if the source brings them nothing.
-            index = keyindex.KeyIndex(spark, path, tuple(keys), partition, schema)
-            touched |= index.locate(read_partitioned(spark, path), source, small)
+            index, target = keyindex.KeyIndex(spark, path, tuple(keys), partition, schema), read_partitioned(spark, path)
+            if index.exists() or target.count() > keyindex.INDEX_FROM:
+                touched |= index.locate(target, source, small)
+            else:
+                replaced = semi_join(target.select(*keys, partition), source, keys, nullable_keys, small)
+                touched |= {r["__text"]: r[partition] for r in replaced.select(partition, text).distinct().collect()}
         # Only the touched folders are listed and read, however many the table has.
         names = [f"{path}/{name}" for name in _folders(spark, path, partition, list(touched))]
         affected = spark.read.schema(schema).option("basePath", path).parquet(*names) if names else empty
