@@ -1,0 +1,166 @@
+"""Checks inside loads, rows kept apart, retention, and the cost of old batches."""
+
+from dataclasses import replace
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.test_medallion import A, FULL, content, pull, utc
+from tidemark.operators import measures, runlog
+from tidemark.plans.medallion import Medallion
+from tidemark.session import scratch_path
+from tidemark.sources import landing, paths, tables
+
+RULES = (("key present", "k IS NOT NULL"), ("short", "length(v) < 4"))
+
+
+@pytest.fixture
+def lake(spark):
+    return Medallion(spark, scratch_path(spark, "measured"), measured=True)
+
+
+def jobs_of(spark, action):
+    """Number of jobs that an action starts."""
+    group = scratch_path(spark, "jobs")
+    spark.sparkContext.setJobGroup(group, "")
+    try:
+        action()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def found(lake, layer):
+    rows = lake.read_measures().where(F.col("layer") == layer).collect()
+    return {(r.measure, r["name"]): r.value for r in rows}
+
+
+@pytest.mark.parametrize("spec", [A, FULL], ids=["incremental", "full"])
+def test_broken_rows_are_kept_apart_and_counted(spark, lake, spec):
+    spec = replace(spec, rules=RULES)
+    lake.land(spec, pull(spark, (1, 1, "a"), (2, 1, "long one"), (3, 1, None), (None, 1, "too long")), utc(1))
+    load = lake.bronze(spec)
+    assert load.rows == 1 and content(lake.read_bronze(spec)) == [("srv-a", 1, "a")]
+    apart = {(r.k, r.v): r[measures.BROKEN] for r in lake.read_quarantine(spec).collect()}
+    assert apart == {(2, "long one"): ["short"], (3, None): ["short"], (None, "too long"): ["key present", "short"]}
+    assert found(lake, "bronze") == {
+        ("rows", None): 4, ("rejected", None): 3, ("nulls", "k"): 1, ("nulls", "at"): 0, ("nulls", "v"): 1,
+        ("broken", "key present"): 1, ("broken", "short"): 3,
+    }
+    assert {r["ok"] for r in lake.parity().collect()} == {True}
+
+
+def test_a_load_of_which_nothing_is_left_still_keeps_its_rows(spark, lake):
+    spec = replace(A, rules=(("never", "false"),))
+    for day in (1, 2):  # into a new table and into one that exists
+        lake.land(spec, pull(spark, (day, day, "a"), (9, day, "b")), utc(day))
+        assert lake.bronze(spec).rows == 0
+        assert lake.read_quarantine(spec).count() == 2 * day
+    log = runlog.read_log(spark, lake.log_path).where("medallion_layer = 'bronze' AND source_server = 'srv-a'")
+    assert {r.notebook_execution_status for r in log.collect()} == {runlog.EMPTY}
+
+
+def test_a_repeated_load_keeps_its_rows_apart_once(spark, lake, monkeypatch):
+    spec = replace(A, rules=RULES)
+    lake.land(spec, pull(spark, (1, 1, "a"), (2, 1, "long one")), utc(1))
+    with monkeypatch.context() as m:
+        m.setattr(Medallion, "_record", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            lake.bronze(spec)
+    lake.land(spec, pull(spark, (3, 2, "b"), (4, 2, "also long")), utc(2))
+    lake.bronze(spec)
+    apart = lake.read_quarantine(spec)
+    assert sorted((r.k, r[landing.BATCH] == landing.batch_name("calls", utc(1))) for r in apart.collect()) == [(2, True), (4, False)]
+    assert content(lake.read_bronze(spec)) == [("srv-a", 1, "a"), ("srv-a", 3, "b")]
+
+
+def test_parity_over_batches_whose_columns_differ(spark, lake):
+    lake.land(A, pull(spark, (1, 1, "a"), (2, 1, None)).drop("v"), utc(1))
+    lake.land(A, pull(spark, (3, 2, None), (4, 2, "b")).withColumnRenamed("v", "V"), utc(2))
+    lake.bronze(A)
+    rows = {(r.measure, r["name"]): (r.expected, r.found, r.ok) for r in lake.parity().collect()}
+    assert rows == {("rows", ""): (4, 4, True), ("nulls", "k"): (0, 0, True), ("nulls", "at"): (0, 0, True), ("nulls", "v"): (3, 3, True)}
+
+
+def test_parity_sees_rows_that_were_lost_after_landing(spark, lake):
+    lake.land(A, pull(spark, (1, 1, "a"), (2, 1, None)), utc(1))
+    batch = f"{lake.path('landing', A)}/{landing.BATCH}={landing.batch_name('calls', utc(1))}"
+    kept = spark.read.parquet(batch).where("k = 1").collect()
+    spark.createDataFrame(kept, "k int, at timestamp, v string").write.mode("overwrite").parquet(batch)
+    lake.bronze(A)
+    assert {(r.measure, r["name"]) for r in lake.parity().where("NOT ok").collect()} == {("rows", ""), ("nulls", "v")}
+
+
+def test_a_batch_that_was_not_measured_is_not_ok(spark, lake):
+    lake.land(A, pull(spark, (1, 1, "a")), utc(1))
+    lake.measured = False
+    lake.land(A, pull(spark, (2, 2, "a")), utc(2))
+    lake.measured = True
+    lake.bronze(A)
+    assert {(r.expected, r.ok) for r in lake.parity().collect()} == {(None, False)}
+
+
+def test_measuring_takes_no_pass_of_its_own(spark, lake):
+    plain = Medallion(spark, scratch_path(spark, "plain"))
+    for each in (lake, plain):
+        each.land(FULL, pull(spark, (1, 1, "a")), utc(1))
+        each.bronze(FULL)  # logs and tables exist from here on
+        each.land(FULL, pull(spark, (1, 1, "a"), (2, 1, None)), utc(2))
+    # The one more job appends the measures.
+    assert jobs_of(spark, lambda: lake.bronze(FULL)) == jobs_of(spark, lambda: plain.bronze(FULL)) + 1
+
+
+def test_old_batches_cost_no_request_each(spark, lake, monkeypatch):
+    for day in range(1, 6):
+        lake.land(A, pull(spark, (day, day, "a")), utc(day))
+    lake.bronze(A)
+    lake.land(A, pull(spark, (9, 9, "a")), utc(9))
+    probed = []
+    real = paths.has_data
+    monkeypatch.setattr(paths, "has_data", lambda spark, path: probed.append(path) or real(spark, path))
+    assert lake.pending(A) == [landing.batch_name("calls", utc(9))]
+    assert len(probed) == 1
+
+
+def test_flows_drop_what_they_no_longer_need(spark):
+    lake = Medallion(spark, scratch_path(spark, "kept"), keep_batches=1, keep_versions=2)
+    for day in range(1, 5):
+        for spec in (A, FULL):
+            lake.land(spec, pull(spark, (day, day, "a")), utc(day))
+            lake.bronze(spec)
+            lake.silver([spec])
+    for spec in (A, FULL):
+        assert landing.landed_batches(spark, lake.path("landing", spec)) == [landing.batch_name(spec.table, utc(4))]
+    assert lake.read_bronze(A).count() == 4
+    for layer in ("bronze", "silver"):
+        path = lake.path(layer, FULL)
+        assert len([n for n in paths.subfolders(spark, path) if n.startswith("version=")]) == 2
+        assert content(tables.read_snapshot(spark, path)) == [("srv-a", 4, "a")]
+
+
+def test_a_crashed_or_running_write_is_not_dropped(spark, lake):
+    lake.land(A, pull(spark, (1, 1, "a")), utc(1))
+    lake.bronze(A)
+    unfinished = f"{lake.path('landing', A)}/{landing.BATCH}={landing.batch_name('calls', utc(2))}"
+    paths.replace_text(spark, f"{unfinished}/part", "half")
+    assert lake.pending(A) == []
+    assert lake.purge([A], keep=0) == [f"{lake.path('landing', A)}/{landing.BATCH}={landing.batch_name('calls', utc(1))}"]
+    assert paths.exists(spark, unfinished)
+
+
+def test_logs_are_folded_and_a_crash_in_between_is_finished(spark, lake, monkeypatch):
+    for day in range(1, 4):
+        lake.land(A, pull(spark, (day, day, "a")), utc(day))
+        lake.bronze(A)
+    before = {p: sorted(map(repr, spark.read.parquet(p).collect())) for p in (lake.log_path, lake.ledger_path, lake.measures_path)}
+    with monkeypatch.context() as m:
+        m.setattr(paths, "move", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            lake.compact_logs(more_than=1)
+    folded = lake.compact_logs(more_than=1)
+    assert folded[lake.ledger_path] == 3
+    for path, rows in before.items():
+        assert sorted(map(repr, spark.read.parquet(path).collect())) == rows
+        assert len(paths.files(spark, path)) == 1
+        assert not paths.exists(spark, f"{path}/{tables.COMPACTED_FILE}")
+    assert lake.pending(A) == [] and lake.compact_logs(more_than=1)[lake.ledger_path] == 0

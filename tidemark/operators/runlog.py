@@ -6,7 +6,7 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -108,11 +108,19 @@ class WriteMetrics:
 
     def __init__(self, watermark: str | None = None) -> None:
         self._observation = Observation()
+        self._measured: dict | None = None
         self._watermark = watermark
 
-    def attach(self, df: DataFrame) -> DataFrame:
+    def aggregates(self) -> list[Column]:
         mark = F.unix_micros(F.col(self._watermark).cast("timestamp")) if self._watermark else F.lit(None).cast("long")
-        return df.observe(self._observation, F.count(F.lit(1)).alias("rows"), F.max(mark).alias("last"))
+        return [F.count(F.lit(1)).alias("rows"), F.max(mark).alias("last")]
+
+    def attach(self, df: DataFrame) -> DataFrame:
+        return df.observe(self._observation, *self.aggregates())
+
+    def measure(self, df: DataFrame) -> None:
+        """Count in a pass of its own, for a frame that was taken out of the plan."""
+        self._measured = df.agg(*self.aggregates()).head().asDict()
 
     @property
     def observed(self) -> bool:
@@ -122,13 +130,18 @@ class WriteMetrics:
         except Py4JJavaError:
             return False
 
+    def value(self, name: str, default: int | None = None) -> int | None:
+        if self._measured is not None:
+            return self._measured.get(name, default)
+        return self._observation.get.get(name, default) if self.observed else default
+
     @property
     def rows(self) -> int:
-        return self._observation.get["rows"] if self.observed else 0
+        return self.value("rows", 0)
 
     @property
     def last(self) -> datetime | None:
-        micros = self._observation.get["last"] if self.observed else None
+        micros = self.value("last")
         return None if micros is None else from_micros(micros)
 
 

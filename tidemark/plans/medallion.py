@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import spec as S
-from tidemark.operators import runlog
+from tidemark.operators import measures, runlog
 from tidemark.operators.carry import advance_versions, carried_state
 from tidemark.operators.conform import conform_union
 from tidemark.operators.enrich import add_lineage
@@ -41,6 +41,9 @@ log = logging.getLogger(__name__)
 STATE_DDL = "host string, database string, table string, watermark timestamp"
 STATE_KEYS = ("host", "database", "table")
 STATE_OF = "__dimension"
+PER_SOURCE = ("landing", "bronze", "quarantine")
+#: Batch that a row kept apart was landed in; its folder is named after the newest batch of its load.
+LANDED_IN = "__landed_batch"
 # A partition that silver rewrote; one whose value was not told apart (a new table) stands for all.
 JOURNAL_DDL = "partition string, everything boolean"
 
@@ -70,6 +73,11 @@ class Medallion:
     clock: Callable[[], datetime] = field(default=lambda: datetime.now(timezone.utc))
     #: Sources that a step loads at a time, each in a scheduler pool of its own.
     parallel: int = 8
+    #: Landing and bronze write down nulls per column as well, so that they can be compared without being read again.
+    measured: bool = False
+    #: Processed batches that bronze leaves in landing, and versions of a snapshot that are kept; None for all.
+    keep_batches: int | None = None
+    keep_versions: int | None = None
     # The run log and the ledger are appended to by one load at a time: Spark's commits into one folder exclude each other.
     _appending: threading.Lock = field(default_factory=threading.Lock, repr=False, compare=False)
 
@@ -77,7 +85,7 @@ class Medallion:
 
     def path(self, layer: str, spec: TableSpec | str) -> str:
         """Landing and bronze are kept per server, later layers per table."""
-        name = spec if isinstance(spec, str) else spec.relative_path if layer in ("landing", "bronze") else spec.table
+        name = spec if isinstance(spec, str) else spec.relative_path if layer in PER_SOURCE else spec.table
         return f"{self.root}/{layer}/{name}"
 
     @property
@@ -88,6 +96,10 @@ class Medallion:
     def log_path(self) -> str:
         return f"{self.root}/state/run_log"
 
+    @property
+    def measures_path(self) -> str:
+        return f"{self.root}/state/measures"
+
     def state_path(self, table: str = "", staged: bool = False) -> str:
         """Each table has state of its own, so that flows of several tables do not overwrite each other's."""
         return f"{self.root}/state/{'staged' if staged else 'watermarks'}/{table}".rstrip("/")
@@ -197,9 +209,10 @@ class Medallion:
     def land(self, spec: TableSpec, source: DataFrame, moment: datetime | None = None) -> Loaded:
         """Write one pull as a batch.  Count and largest watermark come from the write job: one pass over the source."""
         start = self.clock()
-        metrics = runlog.WriteMetrics(spec.watermark if spec.incremental else None)
-        base = self.path("landing", spec)
-        path = landing.land(metrics.attach(source), base, landing.batch_name(spec.table, moment or start))
+        metrics = measures.LoadMetrics(spec.watermark if spec.incremental else None, source.columns if self.measured else ())
+        base, batch = self.path("landing", spec), landing.batch_name(spec.table, moment or start)
+        path = landing.land(metrics.attach(source), base, batch)
+        self._measure(metrics, "landing", spec, [batch])
         done = Loaded(spec, metrics.rows, metrics.last, runlog.status_of(metrics.rows))
         self._log(done, "landing", path, start)
         return done
@@ -219,22 +232,32 @@ class Medallion:
 
     def pending(self, spec: TableSpec) -> list[str]:
         """Names of landed batches not yet in bronze, oldest first."""
+        return self._batches(spec)[1]
+
+    def _batches(self, spec: TableSpec) -> tuple[list[str], list[str]]:
+        """Processed and pending batches, oldest first.  Processed ones, however many, cost one listing together."""
         base = self.path("landing", spec)
-        names = [(spec.relative_path, name) for name in landing.landed_batches(self.spark, base)]
+        names = landing.batch_folders(self.spark, base)
         if not names:
-            return []
-        batches = local_frame(self.spark, names, f"source string, {landing.BATCH} string")
+            return [], []
+        batches = local_frame(self.spark, [(spec.relative_path, n) for n in names], f"source string, {landing.BATCH} string")
         todo = landing.pending_batches(batches, landing.read_ledger(self.spark, self.ledger_path))
-        return sorted(row[landing.BATCH] for row in todo.collect())
+        waiting = {row[landing.BATCH] for row in todo.collect()}
+        pending = landing.committed(self.spark, base, [n for n in names if n in waiting])
+        return [n for n in names if n not in waiting], pending
 
     def bronze(self, spec: TableSpec, as_of: datetime | None = None) -> Loaded:
         """Enrich all pending batches and bring them into the server's bronze table.
 
         Incremental tables are upserted by hash key, the newest batch winning.  Full tables are replaced by their newest
         batch; older pending ones are superseded.
+
+        Rows that break a rule of the spec are kept apart, under ``quarantine`` and per batch, with the names of the rules
+        they break; they count neither as inserted nor as missing.  How many break which rule, and with ``measured`` the
+        nulls per column, come from the job that reads the batches.
         """
         start = self.clock()
-        pending = self.pending(spec)
+        processed, pending = self._batches(spec)
         path = self.path("bronze", spec)
         if not pending:
             return Loaded(spec, 0, None, runlog.EMPTY)
@@ -250,24 +273,57 @@ class Medallion:
         self._record(spec, pending, "processed")
         done = Loaded(spec, rows, last, runlog.status_of(rows))
         self._log(done, "bronze", path, start)
+        if self.keep_batches is not None:
+            self._drop_batches(spec, processed + pending, self.keep_batches)
+        if not spec.incremental:
+            self._drop_versions(path)
         return done
 
+    def _checked(self, spec: TableSpec, landed: DataFrame) -> tuple[DataFrame, measures.LoadMetrics]:
+        """Landed rows with the rules they break, if there are any rules, and what counts them as they are read."""
+        rules = dict(spec.rules)
+        columns = [c for c in landed.columns if c != landing.BATCH] if self.measured else []
+        metrics = measures.LoadMetrics(spec.watermark if spec.incremental else None, columns, rules)
+        return (measures.with_broken_rules(landed, rules) if rules else landed), metrics
+
+    def _set_apart(self, spec: TableSpec, metrics: measures.LoadMetrics, checked: DataFrame, batches: Sequence[str]) -> int:
+        """Write rows that break rules into a folder of their load, anew if it is repeated; the number of rows left."""
+        if (spec.rules or self.measured) and not metrics.observed:
+            metrics.measure(checked)  # nothing was left of the rows, so the plan that counted them was cut short
+        self._measure(metrics, "bronze", spec, batches)
+        base = self.path("quarantine", spec)
+        for batch in batches if spec.rules else ():
+            paths.delete(self.spark, f"{base}/{landing.BATCH}={batch}")  # of a load of these batches that was interrupted
+        if metrics.rejected:
+            landing.land(measures.unsound(checked).withColumnRenamed(landing.BATCH, LANDED_IN), base, batches[-1])
+        return metrics.rows - metrics.rejected
+
+    def read_quarantine(self, spec: TableSpec) -> DataFrame | None:
+        """Rows of a source that broke rules, with the rules' names and their batch; None if there were never any."""
+        base = self.path("quarantine", spec)
+        loads = landing.landed_batches(self.spark, base)
+        if not loads:
+            return None
+        return landing.read_batches(self.spark, base, loads).drop(landing.BATCH).withColumnRenamed(LANDED_IN, landing.BATCH)
+
     def _bronze_incremental(self, spec, base, pending, path, as_of) -> tuple[int, datetime | None]:
-        metrics = runlog.WriteMetrics(spec.watermark)  # of the job that first reads the batches: they are read once
-        landed = metrics.attach(landing.read_batches(self.spark, base, pending))
-        enriched = add_lineage(landed, spec, as_of)
+        # The metrics are of the job that first reads the batches: they are read once, but for rows that break rules.
+        checked, metrics = self._checked(spec, landing.read_batches(self.spark, base, pending))
+        landed = metrics.attach(checked)
+        enriched = add_lineage(measures.sound(landed) if spec.rules else landed, spec, as_of)
         unique = dedupe_latest(enriched, [S.HASH_KEY], [landing.BATCH, spec.watermark]).drop(landing.BATCH)
         tables.upsert_partitions(
             self.spark, path, unique, [S.HASH_KEY], S.PARTITION_DATE,
             stable_partition=spec.stable_partition, on_duplicate=OnDuplicate.KEEP,
         )
-        return metrics.rows, metrics.last
+        return self._set_apart(spec, metrics, checked, pending), metrics.last
 
     def _bronze_full(self, spec, base, newest, path, as_of) -> tuple[int, None]:
-        metrics = runlog.WriteMetrics()
-        landed = landing.read_batches(self.spark, base, [newest]).drop(landing.BATCH)
-        tables.write_snapshot(metrics.attach(add_lineage(landed, spec, as_of)), path)
-        return metrics.rows, None
+        checked, metrics = self._checked(spec, landing.read_batches(self.spark, base, [newest]))
+        landed = metrics.attach(checked)
+        rows = (measures.sound(landed) if spec.rules else landed).drop(landing.BATCH)
+        tables.write_snapshot(add_lineage(rows, spec, as_of), path)
+        return self._set_apart(spec, metrics, checked, [newest]), None
 
     def bronze_all(
         self, specs: Sequence[TableSpec], as_of: datetime | None = None, on_error: OnError = OnError.ABORT
@@ -359,6 +415,7 @@ class Medallion:
             self.stage(loads)
         else:
             tables.write_snapshot(batch, path)
+            self._drop_versions(path)
             self.stage([Loaded(x.spec, x.rows, start, x.status) for x in loads if x.rows])
         total = sum(x.rows for x in loads)
         last = max((x.last for x in loads if x.last is not None), default=None)
@@ -474,6 +531,8 @@ class Medallion:
         mark = F.unix_date(F.max(versions.effective_start)) if versions.effective_start in written.columns else F.lit(None)
         rows, day = written.agg(F.count("*"), mark).head()
         last = None if day is None else from_micros(day * 86_400_000_000)
+        self._drop_versions(path)
+        self._drop_versions(f"{path}.carried")
         self.stage([Loaded(replace(source, host="", table=name), rows, last)])
         self._log_gold(name, path, source, start, rows, last)
 
@@ -500,17 +559,35 @@ class Medallion:
         """Delete processed landing batches, but for the newest ``keep`` of each source, and unreferenced snapshots."""
         gone = []
         for spec in specs:
-            base = self.path("landing", spec)
-            waiting = set(self.pending(spec))
-            done = [b for b in landing.landed_batches(self.spark, base) if b not in waiting]
-            for batch in done[: max(0, len(done) - keep)]:
-                paths.delete(self.spark, f"{base}/{landing.BATCH}={batch}")
-                gone.append(f"{base}/{landing.BATCH}={batch}")
+            gone += self._drop_batches(spec, self._batches(spec)[0], keep)
             if not spec.incremental:
                 for layer in ("bronze", "silver", "gold"):
                     gone += tables.drop_old_snapshots(self.spark, self.path(layer, spec))
         return gone
 
+    def _drop_batches(self, spec: TableSpec, processed: Sequence[str], keep: int) -> list[str]:
+        folders = [f"{self.path('landing', spec)}/{landing.BATCH}={batch}" for batch in sorted(processed)]
+        old = folders[: max(0, len(folders) - keep)]
+        for folder in old:
+            paths.delete(self.spark, folder)
+        return old
+
+    def _drop_versions(self, path: str) -> None:
+        if self.keep_versions is not None:
+            tables.drop_old_snapshots(self.spark, path, self.keep_versions)
+
+    def compact_logs(self, more_than: int = 100) -> dict[str, int]:
+        """Fold the small files that loads append to the run log, the ledger and the measures; files folded per log.
+
+        Between loads, since a reader may miss what moves meanwhile.
+        """
+        logs = {
+            self.log_path: runlog.RUN_LOG_SCHEMA, self.ledger_path: landing.LEDGER_SCHEMA,
+            self.measures_path: measures.MEASURES_DDL,
+        }
+        with self._appending:
+            return {path: tables.compact(self.spark, path, schema, more_than) for path, schema in logs.items()}
+
     def promote(self, names: Iterable[str]) -> None:
         """Copy full-load tables from silver to gold as they are."""
         for name in names:
@@ -568,6 +645,20 @@ class Medallion:
         with self._appending:
             landing.record(self.ledger_path, rows)
 
+    def _measure(self, metrics: measures.LoadMetrics, layer: str, spec: TableSpec, batches: Sequence[str]) -> None:
+        if self.measured or spec.rules:
+            rows = metrics.measures(layer, spec.relative_path, batches, self.clock())
+            with self._appending:
+                tables.append(measures.measures_frame(self.spark, rows).coalesce(1), self.measures_path)
+
+    def read_measures(self) -> DataFrame:
+        """What loads measured: rows, rows kept apart, nulls per column and rows per broken rule."""
+        return measures.read_measures(self.spark, self.measures_path)
+
+    def parity(self) -> DataFrame:
+        """Rows and nulls that bronze loads read, beside those of the batches when they were landed; reads no layer."""
+        return measures.parity(self.read_measures(), "landing", "bronze")
+
     def _log(self, done: Loaded, layer: str, path: str, start: datetime, consolidated: bool = False) -> None:
         entry = runlog.RunEntry(
             start=start,

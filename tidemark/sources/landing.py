@@ -40,10 +40,19 @@ def land(df: DataFrame, base: str, batch_id: str) -> str:
     return path
 
 
+def batch_folders(spark: SparkSession, base: str) -> list[str]:
+    """Names of all batch folders in name order, in one listing; a crashed write may have left some of them behind."""
+    return [name.split("=", 1)[1] for name in paths.subfolders(spark, base) if name.startswith(f"{BATCH}=")]
+
+
+def committed(spark: SparkSession, base: str, batches: Sequence[str]) -> list[str]:
+    """Those of the batches whose write was completed: one request each, so leave out what is known to be done."""
+    return [batch for batch in batches if paths.has_data(spark, f"{base}/{BATCH}={batch}")]
+
+
 def landed_batches(spark: SparkSession, base: str) -> list[str]:
     """Committed batches in name order; a folder that a crashed write left behind does not count."""
-    names = [name for name in paths.subfolders(spark, base) if name.startswith(f"{BATCH}=")]
-    return [name.split("=", 1)[1] for name in names if paths.has_data(spark, f"{base}/{name}")]
+    return committed(spark, base, batch_folders(spark, base))
 
 
 def batch_schema(spark: SparkSession, base: str, batch: str) -> T.StructType:
@@ -82,8 +91,8 @@ def latest_batch(df: DataFrame, batch: str = BATCH) -> DataFrame:
 
 
 def latest_landed(spark: SparkSession, base: str) -> str | None:
-    batches = landed_batches(spark, base)
-    return batches[-1] if batches else None
+    newest = (b for b in reversed(batch_folders(spark, base)) if committed(spark, base, [b]))
+    return next(newest, None)
 
 
 # --- ledger ----------------------------------------------------------------------------------------------------------

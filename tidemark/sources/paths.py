@@ -30,6 +30,21 @@ def subfolders(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(target) if s.isDirectory())
 
 
+def files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the visible files directly under ``path``, sorted; empty if there is no such path."""
+    fs, target = _resolve(spark, path)
+    if not fs.exists(target):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(target) if s.isFile()]
+    return sorted(name for name in names if name[0] not in "_.")
+
+
+def modified(spark: SparkSession, path: str) -> int:
+    """When a file or folder was last modified, in milliseconds."""
+    fs, target = _resolve(spark, path)
+    return fs.getFileStatus(target).getModificationTime()
+
+
 def has_data(spark: SparkSession, path: str) -> bool:
     """A folder counts as a table once a write into it has committed."""
     return exists(spark, f"{path}/_SUCCESS")

@@ -30,6 +30,7 @@ from tidemark.sources.rows import local_frame
 POINTER = "_CURRENT"
 SCHEMA_FILE = "_SCHEMA"
 STAGED_FILE = "_STAGED"
+COMPACTED_FILE = "_COMPACTED"
 #: Folders of an upsert that are replaced at a time.
 RENAMES = 16
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
@@ -63,6 +64,37 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     _writer(df, "append", partition_by).parquet(path)
 
 
+def compact(spark: SparkSession, path: str, schema: T.StructType | str, more_than: int = 1) -> int:
+    """Put the many small files of an append-only folder into one; the number of files that went.
+
+    A record of what replaces what is written before any file moves, so a crash in between is finished by the next call.
+    Until then, and for a moment in any case, readers may see rows twice; one that has listed the old files may miss them.
+    """
+    _finish_compaction(spark, path)
+    old = paths.files(spark, path)
+    if len(old) <= more_than:
+        return 0
+    stage = f"_compact-{uuid.uuid4().hex}"
+    rows = spark.read.schema(schema).parquet(*[f"{path}/{name}" for name in old])
+    overwrite(rows.coalesce(1), f"{path}/{stage}")
+    paths.replace_text(spark, f"{path}/{COMPACTED_FILE}", json.dumps({"stage": stage, "old": old}))
+    _finish_compaction(spark, path)
+    return len(old)
+
+
+def _finish_compaction(spark: SparkSession, path: str) -> None:
+    text = paths.read_text(spark, f"{path}/{COMPACTED_FILE}")
+    if text is None:
+        return
+    record = json.loads(text)
+    for name in paths.files(spark, f"{path}/{record['stage']}"):
+        paths.move(spark, f"{path}/{record['stage']}/{name}", f"{path}/{name}")
+    with ThreadPoolExecutor(RENAMES) as pool:
+        list(pool.map(lambda name: paths.delete(spark, f"{path}/{name}"), record["old"]))
+    paths.delete(spark, f"{path}/{record['stage']}")
+    paths.delete(spark, f"{path}/{COMPACTED_FILE}")
+
+
 # --- snapshots -------------------------------------------------------------------------------------------------------
 
 
@@ -94,13 +126,18 @@ def write_snapshot(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -
     return f"{path}/{folder}"
 
 
-def drop_old_snapshots(spark: SparkSession, path: str) -> list[str]:
-    """Delete every version but the current one; run it when no reader can still be on an older one."""
+def drop_old_snapshots(spark: SparkSession, path: str, keep: int = 1) -> list[str]:
+    """Delete every version but the current one and the ``keep`` - 1 newest others; run it when no reader can still be on
+    one that goes."""
     current = current_snapshot(spark, path)
+    if current is None:
+        return []
     old = [f"{path}/{name}" for name in paths.subfolders(spark, path) if f"{path}/{name}" != current]
-    for folder in old if current else []:
+    if keep > 1:
+        old = sorted(old, key=lambda folder: paths.modified(spark, folder), reverse=True)[keep - 1 :]
+    for folder in old:
         paths.delete(spark, folder)
-    return old if current else []
+    return old
 
 
 def promote(spark: SparkSession, source: str, target: str) -> str:

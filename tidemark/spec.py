@@ -43,6 +43,8 @@ class TableSpec:
     last_loaded: datetime = field(default=NEVER_LOADED)
     # True promises that a row's watermark date never changes, so that no upsert looks for it in other partitions.
     stable_partition: bool = False
+    # (name, boolean SQL expression) pairs; bronze keeps rows that break one apart.
+    rules: tuple[tuple[str, str], ...] = ()
 
     def __post_init__(self) -> None:
         if not self.keys:
@@ -89,6 +91,7 @@ def specs_from_json(text: str) -> list[TableSpec]:
             watermark=(entry.get("watermark_column") or "").strip() or None,
             load_type=LoadType(entry["load_type"].lower()),
             last_loaded=parse_instant(entry["last_inserted_datetime"]),
+            rules=tuple((entry.get("rules") or {}).items()),
         )
         for entry in entries
     ]
