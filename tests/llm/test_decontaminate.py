@@ -82,3 +82,44 @@ def test_blocks_and_empty_tables(spark, documents, monkeypatch):
     assert sorted(map(repr, d.contaminated(documents(docs), benchmark).collect())) == one
     assert d.contaminated(documents([]), benchmark).collect() == []
     assert d.clean(documents(docs), benchmark.limit(0)).count() == len(docs)
+
+
+def whole(item, text):
+    """Begins of the item in the text as whole words, A-Z and a-z alike."""
+    lower = lambda s: "".join(c.lower() if "A" <= c <= "Z" else c for c in s)
+    item, text = lower(item), lower(text)
+    inner = lambda c: c.isalnum() and ord(c) < 0x2E80
+    begins = []
+    for b in range(len(text) - len(item) + 1):
+        e = b + len(item)
+        joined = (b > 0 and inner(text[b - 1]) and inner(text[b])) or (e < len(text) and inner(text[e - 1]) and inner(text[e]))
+        if text[b:e] == item and not joined:
+            begins.append(b)
+    return begins
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_short_items_are_found_as_whole_words(spark, documents, seed):
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abAé日本7") for _ in range(rng.randint(1, 4)))
+    prose = lambda n: rng.choice([" ", "-", ", "]).join(word() for _ in range(n))
+    items = [(i, prose(rng.randint(1, 6))) for i in range(300)]
+    items = [(i, t) for i, t in items if len(t) < d.MIN_CHARS] + [(900, items[0][1]), (901, "ab"), (902, "a"), (903, None), (904, "")]
+    docs = [(0, None), (1, ""), (2, "aba"), (3, "ab")]
+    docs += [(n, prose(rng.randint(0, 60)) + " " + rng.choice(items[:-4])[1] + rng.choice(["", ".", "a"])) for n in range(4, 80)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = {}
+    for r in d.contaminated(documents(docs), benchmark).collect():
+        assert r.edits == 0
+        got.setdefault((r.doc_id, r.item_id), []).append((r.begin, r.end))
+    want = {}
+    for n, text in docs:
+        for i, item in items:
+            if text and item and len(item) >= d.MIN_EXACT:
+                for b in whole(item, text):
+                    chosen = want.setdefault((n, i), [])
+                    if not chosen or chosen[-1][1] <= b:  # overlapping places: the leftmost
+                        chosen.append((b, b + len(item)))
+    want = {k: v for k, v in want.items() if v}
+    assert got == want and {len(i) for _, i in items if i and len(i) in range(3, 24)} >= {3, 7, 8, 15}
+    assert {r.doc_id for r in d.clean(documents(docs), benchmark).collect()} == {n for n, _ in docs} - {n for n, _ in want}

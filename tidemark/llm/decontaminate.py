@@ -7,7 +7,10 @@ every occurrence lies in one band as a whole; bands that reach the lemma's bound
 Nothing that has at most k edits is missed, and nothing with more is reported.
 
 k is ``rate`` times the item's length, or less where the bound would not be positive.  Characters are code points with
-A-Z in lower case.  Items of fewer than ``min_chars`` characters are no evidence by definition and match nothing.
+A-Z in lower case.  Items of fewer than ``min_chars`` characters match without edits (k = 0) and as whole words only: no
+letter or digit may go on before or behind them, but for scripts from U+2E80 on, which are written without spaces.  Where
+an item is shorter than q its q-gram is the item itself.  Items of fewer than ``min_exact`` characters are no evidence by
+definition and match nothing.
 
 The benchmark is the stated query set: it is read in blocks of at most ``BLOCK_CHARS`` characters, each block's index is
 broadcast, and documents are never shuffled.
@@ -34,6 +37,8 @@ from tidemark.llm.common import bound_batches
 Q = 8
 RATE = 0.1
 MIN_CHARS = 24
+MIN_EXACT = 3
+NO_SPACES = 0x2E80
 BLOCK_CHARS = 4_000_000
 FILTER_BITS = 22
 MATCHES = "array<struct<item_id:bigint,begin:bigint,end:bigint,edits:int>>"
@@ -51,13 +56,19 @@ class Index:
     item_of: np.ndarray
     at: np.ndarray
     present: np.ndarray
+    exact: np.ndarray  # items that have to be whole words
+    short: dict[int, tuple[np.ndarray, np.ndarray]]  # per length below Q: keys in order and their items
 
 
-def build(rows: list[tuple[int | None, str | None]], rate: float = RATE, min_chars: int = MIN_CHARS) -> Index:
-    kept = [(i, chars.ascii_lower(chars.code_points(t))) for i, t in rows if t and len(t) >= max(min_chars, Q)]
+def build(
+    rows: list[tuple[int | None, str | None]], rate: float = RATE, min_chars: int = MIN_CHARS, min_exact: int = MIN_EXACT
+) -> Index:
+    least = max(1, min(min_chars, min_exact))
+    kept = [(i, chars.ascii_lower(chars.code_points(t))) for i, t in rows if t and len(t) >= least]
     items = [t for _, t in kept]
     length = np.array([len(t) for t in items], np.int64)
-    budget = np.minimum((length * rate).astype(np.int64), (length - Q) // Q)
+    exact = length < max(min_chars, Q)
+    budget = np.where(exact, 0, np.minimum((length * rate).astype(np.int64), (length - Q) // Q))
     step = np.array([1 << int(k).bit_length() for k in budget], np.int64)
     keys = [chars.grams(chars.fold(t), Q) for t in items]
     flat = np.concatenate([*keys, np.empty(0, np.uint64)])
@@ -67,9 +78,15 @@ def build(rows: list[tuple[int | None, str | None]], rate: float = RATE, min_cha
     unique, first = np.unique(flat[order], return_index=True)
     present = np.zeros(1 << FILTER_BITS, bool)
     present[chars.slots(unique, FILTER_BITS)] = True
+    short = {}
+    for m in {int(n) for n in length if n < Q}:
+        of = np.flatnonzero(length == m)
+        own = np.array([chars.grams(chars.fold(items[i]), m)[0] for i in of], np.uint64)
+        sort = np.argsort(own, kind="stable")
+        short[m] = own[sort], of[sort]
     return Index(
         [i for i, _ in kept], items, budget, step, length - Q + 1 - budget * Q, unique, np.append(first, len(flat)),
-        item_of[order], at[order], present,
+        item_of[order], at[order], present, exact, short,
     )
 
 
@@ -97,6 +114,30 @@ def bands(points: np.ndarray, index: Index) -> list[tuple[int, int]]:
     return [(int(i), int(b * index.step[i])) for i, b in zip(item[enough], band[enough])]
 
 
+def short_bands(folded: np.ndarray, index: Index) -> list[tuple[int, int]]:
+    """(item, position) of the places whose q-gram is an item's, for items shorter than ``Q``."""
+    hits = []
+    for m, (keys, of) in index.short.items():
+        found = chars.grams(folded, m)
+        low = np.searchsorted(keys, found)
+        where = np.flatnonzero(keys[np.minimum(low, len(keys) - 1)] == found)  # beyond the last key nothing is equal
+        for at in where.tolist():
+            n = int(low[at])
+            while n < len(keys) and keys[n] == found[at]:
+                hits.append((int(of[n]), at))
+                n += 1
+    return hits
+
+
+def whole_words(points: np.ndarray, begin: int, end: int) -> bool:
+    """No letter or digit on one side of an end of the stretch goes on on the other."""
+
+    def goes_on(left: int, right: int) -> bool:
+        return all(int(c) < NO_SPACES and chr(int(c)).isalnum() for c in points[left : right + 1])
+
+    return not (begin > 0 and goes_on(begin - 1, begin)) and not (end < len(points) and goes_on(end - 1, end))
+
+
 def align(item: np.ndarray, points: np.ndarray, diagonal: int, width: int, budget: int) -> tuple[int, int] | None:
     """(edits, end) of the best occurrence of ``item`` whose path stays on ``width`` diagonals from ``diagonal`` on.
 
@@ -129,8 +170,17 @@ def occurrences(text: str | None, index: Index) -> list[tuple[int | None, int, i
         return []
     points = chars.ascii_lower(chars.code_points(text))
     places: dict[int, list[tuple[int, int, int]]] = {}
+    for i, begin in short_bands(chars.fold(points), index) if index.short else ():
+        end = begin + len(index.items[i])
+        if np.array_equal(points[begin:end], index.items[i]) and whole_words(points, begin, end):
+            places.setdefault(i, []).append((0, begin, end))
     for i, diagonal in bands(points, index):
         item, k = index.items[i], int(index.budget[i])
+        if index.exact[i]:
+            end = diagonal + len(item)
+            if diagonal >= 0 and np.array_equal(points[diagonal:end], item) and whole_words(points, diagonal, end):
+                places.setdefault(i, []).append((0, diagonal, end))
+            continue
         # A path may stray by k from any diagonal of the band on which it begins.
         first, width = diagonal - k, int(index.step[i]) + 3 * k + 1
         low = max(0, first)
