@@ -250,6 +250,18 @@ def test_segments_bound_what_one_task_sees(spark, skewed):
     assert sizes[1] + cold.count() == skewed.count()
 
 
+def test_a_small_bound_asks_for_no_more_tasks(spark, skewed):
+    """Segments are as small as the bound; the tasks that cut them follow the rows."""
+    hot, timeline = split_hot(skewed, Timeline("id", "at"), 3)[-1]
+    sizes = hot.groupBy("id", timeline.segment).count().agg(F.max("count"), F.count("*")).head()
+    assert sizes[0] <= 3
+    assert sizes[1] > 10 * spark.sparkContext.defaultParallelism
+    assert hot.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    cut = scd2.versions(skewed, replace(SPEC, max_rows_per_entity=3))
+    ordered = lambda df: sorted(map(repr, df.collect()))
+    assert ordered(cut) == ordered(scd2.versions(skewed, SPEC))
+
+
 def test_histories_within_the_bound_are_left_alone(spark, skewed):
     assert len(split_hot(skewed, Timeline("id", "at"), 10_000_000)) == 1
 

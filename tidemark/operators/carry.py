@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.temporal import OPEN_END
 from tidemark.operators.joins import BROADCAST_ROWS
-from tidemark.operators.ordered import SEGMENT, Timeline, split_hot
+from tidemark.operators.ordered import POSITION, SEGMENT, Timeline, split_hot
 from tidemark.operators.scd2 import VersionSpec, _all_set, add_row_hash, dated_versions
 from tidemark.operators.upsert import dedupe_latest
 from tidemark.session import ensure_checkpoint_dir
@@ -144,7 +144,7 @@ def advance_versions(
         rows = rows.unionByName(of(_prepared(history, spec), True).select(*rows.columns))
     rows = rows.checkpoint()
     parts = _parts(rows, spec)
-    staying = reduce(DataFrame.unionByName, [df.drop(SEGMENT) for _, df in parts])
+    staying = reduce(DataFrame.unionByName, [df.drop(SEGMENT, POSITION) for _, df in parts])
     built = dated_versions(staying.where(~F.col(_CARRIED)), spec).drop(_CARRIED, _START)
 
     # What becomes of stored versions: late entities' go, the last one of the others ends where a new one starts.

@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 from tidemark.operators.joins import BROADCAST_ROWS, fits_broadcast
 from tidemark.session import ensure_checkpoint_dir
 
-SEGMENT = "__segment"
+SEGMENT, POSITION = "__segment", "__position"
+# Hot rows that one task numbers; segments may be far smaller, tasks need not be.
+ROWS_PER_TASK = 500_000
 
 
 @dataclass(frozen=True)
@@ -81,8 +83,9 @@ class Timeline:
     def _carry(self, df, previous, following, filled) -> DataFrame:
         """What each segment inherits from its neighbours: one row per (entity, segment).
 
-        Segments come from a range partitioning of the hot rows, so there are at most (partitions + hot entities) of
-        them: small enough to order within an entity; they are counted before they are broadcast.
+        Segments are cut from a range partitioning of the hot rows, so there are at most (rows / bound + partitions + hot
+        entities) of them: few enough to order within an entity; they are counted before they are broadcast.  They are
+        stored, since the next look-up of a chain would otherwise compute all earlier ones twice.
         """
         order = F.col(self.order)
         ends: list[Column] = [F.count("*").alias("__n")]
@@ -94,13 +97,15 @@ class Timeline:
         summary = df.groupBy(F.col(self.entity).alias("__entity"), F.col(self.segment).alias("__seg")).agg(*ends)
         w = Window.partitionBy("__entity").orderBy("__seg")
         before = w.rowsBetween(Window.unboundedPreceding, -1)
-        return summary.select(
+        ensure_checkpoint_dir(df.sparkSession)
+        carried = summary.select(
             "__entity",
             "__seg",
             *([F.lag("__last").over(w).alias("__prev_carry")] if previous else []),
             *([F.lead("__first").over(w).alias("__next_carry")] if following else []),
             *[F.last(f"__end_{c}", ignorenulls=True).over(before).alias(f"__fill_{c}") for c in filled],
         )
+        return carried.checkpoint()
 
 
 def _pack(columns: Mapping[str, str]) -> Column:
@@ -111,8 +116,9 @@ def split_hot(df: DataFrame, timeline: Timeline, max_rows: int) -> list[tuple[Da
     """Split into rows of ordinary entities and, when there are any, segmented rows of hot ones.
 
     Counting reads the entity column only and pre-aggregates map-side.  The hot rows are range-partitioned by
-    (entity, order), which balances them by quantile whatever their distribution, and checkpointed once so that the
-    segment numbers are stored data rather than something a re-run task could number differently.
+    (entity, order), which balances them by quantile whatever their distribution, numbered in that order and cut every
+    ``max_rows`` rows; the number of tasks follows the rows, not the bound.  They are checkpointed once so that the
+    numbers are stored data rather than something a re-run task could give differently.
     """
     spark = df.sparkSession
     entity = timeline.entity
@@ -126,10 +132,15 @@ def split_hot(df: DataFrame, timeline: Timeline, max_rows: int) -> list[tuple[Da
     listed = F.broadcast(listed) if n_hot <= BROADCAST_ROWS else listed
     is_hot = df[entity].eqNullSafe(listed["__hot"])
     cold = df.join(listed, is_hot, "left_anti")
+    parts = min(ceil(hot_rows / max_rows), max(spark.sparkContext.defaultParallelism, ceil(hot_rows / ROWS_PER_TASK)))
+    # The number of the partition and, in the lower 33 bits, that of the row in it.
+    inside = F.col(POSITION).bitwiseAND(F.lit((1 << 33) - 1))
     hot = (
         df.join(listed, is_hot, "left_semi")
-        .repartitionByRange(ceil(hot_rows / max_rows), entity, timeline.order)
-        .withColumn(SEGMENT, F.spark_partition_id())
+        .repartitionByRange(parts, entity, timeline.order)
+        .sortWithinPartitions(entity, timeline.order)
+        .withColumn(POSITION, F.monotonically_increasing_id())
+        .withColumn(SEGMENT, F.col(POSITION) - inside % F.lit(max_rows))
         .checkpoint()
     )
-    return [(cold, timeline), (hot, replace(timeline, segment=SEGMENT))]
+    return [(cold, timeline), (hot, replace(timeline, order=POSITION, segment=SEGMENT))]

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.hashing import fingerprint
 from tidemark.functions.temporal import OPEN_END, timestamps_to_dates
 from tidemark.operators.joins import fits_broadcast
-from tidemark.operators.ordered import SEGMENT, Timeline, split_hot
+from tidemark.operators.ordered import POSITION, SEGMENT, Timeline, split_hot
 from tidemark.operators.upsert import dedupe_latest, insert_only, new_rows
 
 # Literals that stored dimensions contain.
@@ -156,7 +156,7 @@ def versions(history: DataFrame, spec: VersionSpec) -> DataFrame:
         parts = [(hashed, spec.timeline)]
     else:
         parts = split_hot(hashed, spec.timeline, spec.max_rows_per_entity)
-    built = [_versions(df, spec, timeline).drop(SEGMENT) for df, timeline in parts]
+    built = [_versions(df, spec, timeline).drop(SEGMENT, POSITION) for df, timeline in parts]
     return reduce(DataFrame.unionByName, built)
 
 
