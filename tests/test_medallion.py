@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from tidemark import spec as S
 from tidemark.operators import runlog
 from tests.test_scd2 import employees
+from tidemark.operators.upsert import dedupe_latest
+from tidemark.plans import medallion
 from tidemark.plans.fact import FactSpec
 from tidemark.plans.medallion import Medallion, OnError
 from tidemark.plans.presets import EMPLOYEE_DIM, employee_layout, employee_schema, employee_seed, employee_versions
@@ -62,6 +64,16 @@ def test_unknown_table_has_no_earliest_watermark(lake):
         lake.earliest("nothing")
 
 
+def test_whole_rows_are_deduplicated_only_where_a_key_repeats(spark, lake, monkeypatch):
+    calls = []
+    monkeypatch.setattr(medallion, "dedupe_latest", lambda *args: calls.append(args) or dedupe_latest(*args))
+    lake.land(A, pull(spark, (1, 1, "a"), (2, 1, "b")), utc(1))
+    assert lake.bronze(A).rows == 2 and not calls
+    lake.land(A, pull(spark, (2, 2, "old"), (2, 3, "new"), (3, 2, "c")), utc(3))
+    assert lake.bronze(A).rows == 3 and len(calls) == 1
+    assert content(lake.read_bronze(A)) == [("srv-a", 1, "a"), ("srv-a", 2, "new"), ("srv-a", 3, "c")]
+
+
 def test_all_pending_batches_are_read_and_the_newest_wins(spark, lake):
     lake.land(A, pull(spark, (1, 1, "old"), (2, 1, "only here")), utc(1))
     lake.land(A, pull(spark, (1, 2, "new")), utc(2))

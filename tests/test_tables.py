@@ -385,6 +385,19 @@ def test_repeated_upserts_do_not_grow_the_index(spark, base, monkeypatch):
     assert paths.read_text(spark, f"{base}/{keyindex.STATE}") == before
 
 
+def test_a_large_batch_scans_the_keys_and_drops_the_index(spark, base, monkeypatch):
+    expected = indexed(spark, base, monkeypatch)
+    assert paths.exists(spark, f"{base}/{keyindex.STATE}")
+    monkeypatch.setattr(tables, "BROADCAST_ROWS", 0)
+    batch = [(k, "large", (k + 3) % 12) for k in range(0, 130, 2)]
+    assert sorted(moved(spark, base, *batch)) == [*range(10), 11]
+    expected |= {k: (v, p) for k, v, p in batch}
+    assert stored(spark, base) == expected and not paths.exists(spark, f"{base}/{keyindex.STATE}")
+    with pytest.raises(ValueError, match="share the key"):
+        moved(spark, base, (1, "x", 1), (1, "y", 2))
+    assert stored(spark, base) == expected and not list(Path(base).glob("_stage*"))
+
+
 def test_a_small_table_needs_no_index(spark, base):
     moved(spark, base, (1, "a", 1), (2, "a", 2))
     moved(spark, base, (1, "b", 2))

@@ -33,6 +33,12 @@ def dedupe_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str], null
     return picked.unionByName(df.where(~_complete(keys))) if nullable_keys else picked
 
 
+def may_repeat(df: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether rows share a key, or at least its hash.  Counting hashes shuffles a few bytes a row instead of whole rows."""
+    hashes = df.groupBy(F.xxhash64(*[F.col(f"`{k}`") for k in keys])).agg(F.count("*").alias("rows"))
+    return (hashes.agg(F.max("rows")).head()[0] or 0) > 1
+
+
 def _complete(keys: Sequence[str]):
     condition = F.lit(True)
     for key in keys:

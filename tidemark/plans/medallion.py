@@ -26,7 +26,7 @@ from tidemark.operators.conform import conform_union
 from tidemark.operators.enrich import add_lineage
 from tidemark.operators.runlog import from_micros
 from tidemark.operators.scd2 import VersionSpec, merge_versions, rows_to_append
-from tidemark.operators.upsert import OnDuplicate, dedupe_latest
+from tidemark.operators.upsert import OnDuplicate, dedupe_latest, may_repeat
 from tidemark.operators.watermarks import (
     Frontier, commit_watermarks, earliest_watermark, filter_frontier, filter_since, max_watermark,
 )
@@ -307,11 +307,14 @@ class Medallion:
         return landing.read_batches(self.spark, base, loads).drop(landing.BATCH).withColumnRenamed(LANDED_IN, landing.BATCH)
 
     def _bronze_incremental(self, spec, base, pending, path, as_of) -> tuple[int, datetime | None]:
-        # The metrics are of the job that first reads the batches: they are read once, but for rows that break rules.
+        # The metrics are of the job that writes: whole rows are read once, but for those that break rules.
         checked, metrics = self._checked(spec, landing.read_batches(self.spark, base, pending))
-        landed = metrics.attach(checked)
-        enriched = add_lineage(measures.sound(landed) if spec.rules else landed, spec, as_of)
-        unique = dedupe_latest(enriched, [S.HASH_KEY], [landing.BATCH, spec.watermark]).drop(landing.BATCH)
+        enrich = lambda df: add_lineage(measures.sound(df) if spec.rules else df, spec, as_of)
+        unique = enrich(metrics.attach(checked))
+        # Whole rows are shuffled and sorted by key only where a key repeats at all.
+        if may_repeat(enrich(checked), [S.HASH_KEY]):
+            unique = dedupe_latest(unique, [S.HASH_KEY], [landing.BATCH, spec.watermark])
+        unique = unique.drop(landing.BATCH)
         tables.upsert_partitions(
             self.spark, path, unique, [S.HASH_KEY], S.PARTITION_DATE,
             stable_partition=spec.stable_partition, on_duplicate=OnDuplicate.KEEP,

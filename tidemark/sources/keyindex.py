@@ -26,6 +26,8 @@ STATE = "_keys/_STATE"
 BUCKET_PAIRS, MAX_BUCKETS = 2_000_000, 1 << 14
 #: Rows from which a table gets an index; the keys of a smaller one are scanned sooner than an index is kept.
 INDEX_FROM = 1_000_000
+#: Share of the table's rows from which a batch too large to broadcast scans the keys: looking so many up costs more.
+SCAN_SHARE = 0.1
 #: Appends after which pairs are written anew in few files.
 MAX_APPENDS = 32
 
@@ -61,7 +63,11 @@ class KeyIndex:
         return state
 
     def pairs_of(self, df: DataFrame) -> DataFrame:
-        """Distinct pairs of table or batch rows; null keys match nothing and have none.
+        """Distinct pairs of table or batch rows."""
+        return self._hashed(df).distinct()
+
+    def _hashed(self, df: DataFrame) -> DataFrame:
+        """Pairs of table or batch rows; null keys match nothing and have none.
 
         Keys are hashed in the table's types, so that a batch with narrower numbers hashes alike.
         """
@@ -74,7 +80,7 @@ class KeyIndex:
 
         rows = df.na.drop(subset=list(self.keys))
         part = F.col(f"`{self.partition}`").cast(self.schema[self.partition].dataType)
-        return rows.select(F.xxhash64(*[typed(k) for k in self.keys]).alias(_HASH), part.alias(_PART)).distinct()
+        return rows.select(F.xxhash64(*[typed(k) for k in self.keys]).alias(_HASH), part.alias(_PART))
 
     def _write(self, pairs: DataFrame, folder: str, buckets: int, mode: str) -> None:
         dealt = pairs.withColumn(_BUCKET, F.pmod(_HASH, F.lit(buckets)))
@@ -109,6 +115,11 @@ class KeyIndex:
         buckets = [r[0] for r in rows.collect()]  # bounded by MAX_BUCKETS
         return semi_join(self._read(state, buckets), batch_pairs, [_HASH], False, small)
 
+    def scan(self, table: DataFrame, batch: DataFrame) -> dict[str | None, object]:
+        """Partition values, by their text, that may hold keys of ``batch``, without an index: hashes of all keys are joined."""
+        hits = self._hashed(table).join(self._hashed(batch).select(_HASH), _HASH, "left_semi").select(_PART).distinct()
+        return {r["text"]: r[_PART] for r in hits.select(_PART, F.col(_PART).cast("string").alias("text")).collect()}
+
     def locate(self, table: DataFrame, batch: DataFrame, small: bool = False) -> dict[str | None, object]:
         """Partition values, by their text, that may hold keys of ``batch``; its own pairs are then part of the index.
 

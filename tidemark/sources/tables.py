@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.conform import align, all_columns, textual_conflicts
 from tidemark.operators.joins import BROADCAST_ROWS, anti_join, semi_join
-from tidemark.operators.upsert import OnDuplicate, resolve_duplicates
+from tidemark.operators.upsert import OnDuplicate, checked_key_count, resolve_duplicates
 from tidemark.sources import keyindex, paths
 from tidemark.sources.rows import local_frame
 
@@ -190,7 +190,8 @@ def upsert_partitions(
 
     Several source rows of one key are an error, or resolved as ``on_duplicate`` says.  Where the source's keys are stored
     is looked up in an index beside the table (:mod:`keyindex`), which is built once the table is larger than a scan of its
-    keys is worth;
+    keys is worth.  A large batch, of ``keyindex.SCAN_SHARE`` of the table's rows or more, would reach every bucket: it drops
+    the index, scans the keys, and the next small batch builds the index anew.
     ``stable_partition`` promises that a key never changes partition, which saves the look-up.  A column that is text on one side only
     becomes text; where that, or a wider number, changes a stored column's type, the whole table is rewritten once.
 
@@ -198,33 +199,44 @@ def upsert_partitions(
     the driver are bounded by the number of partitions, not by rows.
     """
     recover(spark, path)
-    source = resolve_duplicates(source, keys, on_duplicate, order)
     if not paths.has_data(spark, path):
+        source = resolve_duplicates(source, keys, on_duplicate, order)
         overwrite(source, path, [partition])
         _keep_schema(spark, path, source)
         return Rewritten([], read_partitioned(spark, path).count())  # from the files' footers
-    # The batch feeds several jobs below.
-    source = source.persist()
+    checked = OnDuplicate(on_duplicate) is OnDuplicate.ERROR
+    if not checked:
+        source = resolve_duplicates(source, keys, on_duplicate, order)
+    stage = f"{path}/_stage-{uuid.uuid4().hex}"
     try:
-        return _rewrite(spark, path, source, list(keys), partition, nullable_keys, stable_partition)
-    finally:
-        source.unpersist()
+        return _rewrite(spark, path, stage, source, list(keys), partition, nullable_keys, stable_partition, checked)
+    except Exception:
+        if not paths.exists(spark, f"{path}/{STAGED_FILE}"):
+            paths.delete(spark, stage)
+        raise
 
 
-def _rewrite(spark, path, source, keys, partition, nullable_keys, stable_partition) -> Rewritten:
+def _rewrite(spark, path, stage, source, keys, partition, nullable_keys, stable_partition, checked) -> Rewritten:
     schema = _stored_schema(spark, path) or read_partitioned(spark, path).schema
     text = F.col(partition).cast("string").alias("__text")
-    arriving = source.groupBy(partition, text).agg(F.count("*").alias("rows")).collect()
-    if not arriving:
-        return Rewritten()
-    rows = sum(r["rows"] for r in arriving)
-    small = rows <= BROADCAST_ROWS
-    touched = {r["__text"]: r[partition] for r in arriving}
     empty = local_frame(spark, [], schema)
     columns, as_text = all_columns([empty, source]), textual_conflicts([empty, source])
-    merged_schema = align(empty, columns, as_text).union(align(source, columns, as_text)).schema
-    drifted = any(merged_schema[f.name].dataType != f.dataType for f in schema.fields)
-    if drifted:
+    # The batch is computed once, by the job that writes it in its final form; the rest reads what it needs of the files.
+    arriving = align(empty, columns, as_text).union(align(source, columns, as_text))
+    merged_schema = arriving.schema
+    overwrite(arriving, stage, [partition])
+    names = [f"{stage}/{name}" for name in paths.subfolders(spark, stage)]
+    if not names:
+        paths.delete(spark, stage)
+        return Rewritten()
+    source = spark.read.schema(merged_schema).option("basePath", stage).parquet(*names)
+    if checked:
+        checked_key_count(source, keys)
+    found = source.groupBy(partition, text).agg(F.count("*").alias("rows")).collect()
+    rows = sum(r["rows"] for r in found)
+    small = rows <= BROADCAST_ROWS
+    touched = {r["__text"]: r[partition] for r in found}
+    if any(merged_schema[f.name].dataType != f.dataType for f in schema.fields):
         keyindex.drop(spark, path)
         affected = read_partitioned(spark, path)
         touched |= {r["__text"]: r[partition] for r in affected.select(partition, text).distinct().collect()}
@@ -234,31 +246,36 @@ def _rewrite(spark, path, source, keys, partition, nullable_keys, stable_partiti
         else:
             # A key may move between partitions, so these are rewritten even if the source brings them nothing.
             index, target = keyindex.KeyIndex(spark, path, tuple(keys), partition, schema), read_partitioned(spark, path)
-            if index.exists() or target.count() > keyindex.INDEX_FROM:
+            stored = target.count()
+            if not small and rows >= keyindex.SCAN_SHARE * stored:
+                keyindex.drop(spark, path)
+                touched |= index.scan(target, source)
+            elif index.exists() or stored > keyindex.INDEX_FROM:
                 touched |= index.locate(target, source, small)
             else:
                 replaced = semi_join(target.select(*keys, partition), source, keys, nullable_keys, small)
                 touched |= {r["__text"]: r[partition] for r in replaced.select(partition, text).distinct().collect()}
         # Only the touched folders are listed and read, however many the table has.
         names = [f"{path}/{name}" for name in _folders(spark, path, partition, list(touched))]
-        affected = spark.read.schema(schema).option("basePath", path).parquet(*names) if names else empty
-    kept = anti_join(affected, source, keys, nullable_keys, small)
-    merged = align(kept, columns, as_text).union(align(source, columns, as_text))
-    _replace_partitions(spark, path, merged, partition, list(touched))
+        affected = spark.read.schema(schema).option("basePath", path).parquet(*names) if names else None
+    if affected is not None:
+        kept = align(anti_join(affected, source, keys, nullable_keys, small), columns, as_text)
+        _writer(kept.union(local_frame(spark, [], merged_schema).select(*kept.columns)), "append", [partition]).parquet(stage)
+    _replace_partitions(spark, path, stage, merged_schema, partition, list(touched))
     return Rewritten(touched.values(), rows)
 
 
-def _replace_partitions(spark: SparkSession, path: str, merged: DataFrame, partition: str, touched: list[str | None]) -> None:
-    """Put ``merged`` in place of the touched partitions, so that no crash loses a row.
+def _replace_partitions(
+    spark: SparkSession, path: str, stage: str, schema: T.StructType, partition: str, touched: list[str | None]
+) -> None:
+    """Put the staged rows in place of the touched partitions, so that no crash loses a row.
 
-    All new files are first written to a stage inside the table, then a record says that it is complete.  Only then are
-    folders replaced, by renames that :func:`recover` can take up again.
+    All new files are in a stage inside the table; then a record says that it is complete.  Only then are folders
+    replaced, by renames that :func:`recover` can take up again.
     """
-    stage = f"_stage-{uuid.uuid4().hex}"
-    overwrite(merged, f"{path}/{stage}", [partition])
-    filled = set(paths.subfolders(spark, f"{path}/{stage}"))
+    filled = set(paths.subfolders(spark, stage))
     gone = [name for name in _folders(spark, path, partition, touched) if name not in filled]
-    record = {"stage": stage, "emptied": gone, "schema": merged.schema.json()}
+    record = {"stage": stage.rsplit("/", 1)[1], "emptied": gone, "schema": schema.json()}
     paths.replace_text(spark, f"{path}/{STAGED_FILE}", json.dumps(record))
     recover(spark, path)
 
