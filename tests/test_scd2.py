@@ -262,6 +262,16 @@ def test_a_small_bound_asks_for_no_more_tasks(spark, skewed):
     assert ordered(cut) == ordered(scd2.versions(skewed, SPEC))
 
 
+def test_values_of_rows_without_a_time_cross_segment_borders(spark):
+    """Rows without a time come first; the value they bring is carried like any other."""
+    day = lambda d: None if d is None else datetime(2024, 1, d)
+    made = [(1, day(d), "j", team, day(1), None, None, "r", f"s{d}") for d, team in [(None, "x"), *[(d, None) for d in range(2, 8)]]]
+    names = "id long, at timestamp, job string, team string, HireDate timestamp, LastDayWorked timestamp, TerminationDate timestamp, TerminationReason string, Status string"
+    history = spark.createDataFrame(made, names)
+    cut = scd2.versions(history, replace(SPEC, max_rows_per_entity=1)).where("at IS NOT NULL")
+    assert {r.team for r in cut.collect()} == {"x"}
+
+
 def test_histories_within_the_bound_are_left_alone(spark, skewed):
     assert len(split_hot(skewed, Timeline("id", "at"), 10_000_000)) == 1
 
