@@ -246,11 +246,12 @@ def _rewrite(spark, path, stage, source, keys, partition, nullable_keys, stable_
         else:
             # A key may move between partitions, so these are rewritten even if the source brings them nothing.
             index, target = keyindex.KeyIndex(spark, path, tuple(keys), partition, schema), read_partitioned(spark, path)
-            stored = target.count()
+            indexed = small and index.exists()
+            stored = 0 if indexed else target.count()  # opens every file
             if not small and rows >= keyindex.SCAN_SHARE * stored:
                 keyindex.drop(spark, path)
                 touched |= index.scan(target, source)
-            elif index.exists() or stored > keyindex.INDEX_FROM:
+            elif indexed or index.exists() or stored > keyindex.INDEX_FROM:
                 touched |= index.locate(target, source, small)
             else:
                 replaced = semi_join(target.select(*keys, partition), source, keys, nullable_keys, small)
